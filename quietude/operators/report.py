@@ -132,7 +132,9 @@ def report_flat(c: DataFrame, readings: DataFrame) -> DataFrame:
     """The report as one flat row (summary scalars, maps as ordered JSON text,
     insight figures) for comparison and CSV export."""
     p = report_parts(c, readings)
-    ins = _insights(p)
+    # Insights are built once into a column; the flat fields read from it.
+    p = p.withColumn("_ins", _insights(p))
+    ins = F.col("_ins")
     ts_fmt = "yyyy-MM-dd HH:mm:ss"
     return p.select(
         F.col("total_complaints"), F.col("total_readings"),

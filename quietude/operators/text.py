@@ -85,7 +85,8 @@ def keyword_categories(texts: DataFrame, col: str = "text",
     with the share of all texts (A27). One scan with one conditional count
     per category instead of a text x keyword nested-loop join."""
     keywords = keywords or COMPLAINT_KEYWORDS
-    low = F.lower(F.col(col))
+    texts = texts.select(F.lower(F.col(col)).alias("_low"))  # lower-cased once per text
+    low = F.col("_low")
     aggs = [F.count(F.lit(1)).alias("_total")]
     for i, (cat, kws) in enumerate(keywords.items()):
         hit = None

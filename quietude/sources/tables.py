@@ -59,3 +59,14 @@ def stored(spark: SparkSession, path_or_table: str) -> DataFrame:
     if "/" in path_or_table:
         return spark.read.parquet(path_or_table)
     return spark.table(path_or_table)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that arrived in fewer partitions than the cluster has
+    cores (one small file, one row group), so per-row work such as
+    tokenizing runs in parallel. A no-op for inputs that already have enough
+    splits, which is every large input."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
