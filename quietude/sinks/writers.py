@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from quietude.operators import features
 from quietude.sources.schemas import EXPORT_HEADER
 
+# Local wall-clock time with full microseconds (the CSV default keeps millis).
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 
 def write_key_value_text(df: DataFrame, path: str, key: str, value: str,
                          mode: str = "errorifexists") -> None:
@@ -25,7 +28,9 @@ def write_key_value_text(df: DataFrame, path: str, key: str, value: str,
 def export_readings_tsv(readings: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """The eleven reading columns as TSV with a header (K2)."""
     out = features.export_columns(readings)
-    out.write.mode(mode).options(sep="\t", header=True, escape='"').csv(path)
+    (out.write.mode(mode)
+     .options(sep="\t", header=True, escape='"', timestampNTZFormat=TS_FORMAT)
+     .csv(path))
     return out
 
 
@@ -52,9 +57,13 @@ def insert_overwrite_directory(spark: SparkSession, query_view: str, path: str)
 def write_partitioned_parquet(df: DataFrame, path: str, partition_col: str = "date_partition",
                               mode: str = "overwrite") -> None:
     """Parquet partitioned by ``partition_col`` (K6); dynamic partition
-    overwrite replaces only the partitions present in ``df``. Rows are
-    clustered by the partition column first so each task writes few files."""
-    (df.repartition(partition_col)
+    overwrite replaces only the partitions present in ``df``.
+
+    Rows are range-partitioned on (partition value, row hash): each task
+    writes few partition folders, and a partition value holding a large
+    share of the rows is split over several tasks instead of one. The hash
+    is deterministic, so a retried task writes the same rows."""
+    (df.repartitionByRange(F.col(partition_col), F.xxhash64(*[F.col(c) for c in df.columns]))
      .write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col)
