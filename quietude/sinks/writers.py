@@ -63,7 +63,9 @@ def write_partitioned_parquet(df: DataFrame, path: str, partition_col: str = "da
     writes few partition folders, and a partition value holding a large
     share of the rows is split over several tasks instead of one. The hash
     is deterministic, so a retried task writes the same rows."""
-    (df.repartitionByRange(F.col(partition_col), F.xxhash64(*[F.col(c) for c in df.columns]))
+    hashable = [f.name for f in df.schema.fields
+                if f.dataType.typeName() not in ("map",) and f.name != partition_col]
+    (df.repartitionByRange(F.col(partition_col), F.xxhash64(*[F.col(c) for c in hashable]))
      .write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col)
