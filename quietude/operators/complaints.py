@@ -1,5 +1,5 @@
 """Complaint jobs: routing, deterministic weighted assignment, sampling,
-patterns (hour, zone, weekday, status), the four insights and the report.
+patterns (hour, zone, weekday, status) and the four insights.
 
 The reference draws categories and statuses at random; here the draw is a
 fixed arithmetic bucket of the reading id, uniform over consecutive ids and
@@ -8,11 +8,12 @@ reproducible in any engine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quietude.functions import expr as X
-from quietude.functions.expr import round_half_up as r2
+from quietude.functions.expr import E, q
+from quietude.functions.expr import round_half_up_sql as R
 
 # --- fixed values that must equal the reference's -------------------------
 # Category choices and weights (in percent) per route group.
@@ -31,63 +32,81 @@ UNRESOLVED_HIGH_PCT = 50.0
 SAMPLE_MODULUS = 100003
 
 
-def route_group(location: Column, hour: Column) -> Column:
+def route_group_sql(location: str = "location_type", hour: str = "hour") -> str:
     """Ordered routing rule (P20): Transport location -> ``traffic``; hour 7-18
     -> ``day``; 18-23 -> ``evening``; otherwise (NULL hour too) ``night``."""
-    return (F.when(F.coalesce(location.contains("Transport"), F.lit(False)), F.lit("traffic"))
-            .when(hour.between(7, 18), F.lit("day"))
-            .when(hour.between(18, 23), F.lit("evening"))
-            .otherwise(F.lit("night")))
+    return (f"CASE WHEN coalesce(contains({location}, 'Transport'), false) THEN 'traffic' "
+            f"WHEN {hour} BETWEEN 7 AND 18 THEN 'day' WHEN {hour} BETWEEN 18 AND 23 THEN 'evening' "
+            f"ELSE 'night' END")
 
 
-def category_bucket(id_col: str) -> Column:
+def route_group(location: str = "location_type", hour: str = "hour") -> Column:
+    return E(route_group_sql(q(location), q(hour)))
+
+
+def category_bucket_sql(id_col: str = "reading_id") -> str:
     """0..99 bucket for the category draw."""
-    return (F.col(id_col) * F.lit(7919)) % 100
+    return f"(({q(id_col)} * 7919) % 100)"
 
 
-def status_bucket(id_col: str) -> Column:
+def status_bucket_sql(id_col: str = "reading_id") -> str:
     """0..99 bucket for the status draw; mixes in ``id div 100`` so it does not
     follow the category bucket."""
-    return (F.col(id_col) * F.lit(7) + F.expr(f"`{id_col}` div 100") * F.lit(13)) % 100
+    i = q(id_col)
+    return f"(({i} * 7 + ({i} div 100) * 13) % 100)"
+
+
+def category_bucket(id_col: str = "reading_id") -> Column:
+    return E(category_bucket_sql(id_col))
+
 
+def status_bucket(id_col: str = "reading_id") -> Column:
+    return E(status_bucket_sql(id_col))
 
-def weighted_pick(bucket: Column, choices: list[tuple[str, int]]) -> Column:
+
+def weighted_pick_sql(bucket: str, choices: list[tuple[str, int]]) -> str:
     """Choice whose cumulative weight first exceeds ``bucket`` (0..99)."""
-    expr, acc = None, 0
+    whens, acc = [], 0
     for label, weight in choices[:-1]:
         acc += weight
-        expr = F.when(bucket < acc, F.lit(label)) if expr is None else expr.when(bucket < acc, F.lit(label))
-    return expr.otherwise(F.lit(choices[-1][0]))
+        whens.append(f"WHEN {bucket} < {acc} THEN {X.s(label)}")
+    return f"CASE {' '.join(whens)} ELSE {X.s(choices[-1][0])} END"
+
+
+def assigned_category_sql(group: str, id_col: str = "reading_id") -> str:
+    """Category of a route group: ``traffic`` stays, the others draw by weight."""
+    b, g = category_bucket_sql(id_col), f"({group})"
+    whens = [f"WHEN {g} = 'traffic' THEN 'traffic'"]
+    whens += [f"WHEN {g} = {X.s(name)} THEN {weighted_pick_sql(b, ch)}" for name, ch in ROUTE_CHOICES.items()]
+    return f"CASE {' '.join(whens)} END"
+
+
+def assigned_category(group: str | None = None, id_col: str = "reading_id") -> Column:
+    return E(assigned_category_sql(group or route_group_sql(), id_col))
 
 
-def assigned_category(group: Column, id_col: str = "reading_id") -> Column:
-    b = category_bucket(id_col)
-    expr = F.when(group == "traffic", F.lit("traffic"))
-    for g, choices in ROUTE_CHOICES.items():
-        expr = expr.when(group == g, weighted_pick(b, choices))
-    return expr
+def assigned_status_sql(id_col: str = "reading_id") -> str:
+    return weighted_pick_sql(status_bucket_sql(id_col), STATUS_CHOICES)
 
 
 def assigned_status(id_col: str = "reading_id") -> Column:
-    return weighted_pick(status_bucket(id_col), STATUS_CHOICES)
+    return E(assigned_status_sql(id_col))
 
 
 def complaint_route(readings: DataFrame) -> DataFrame:
     """Route group of every reading (P20)."""
-    return readings.select("reading_id", "location_type", "hour",
-                           route_group(F.col("location_type"), F.col("hour")).alias("route"))
+    return readings.selectExpr("reading_id", "location_type", "hour", f"{route_group_sql()} AS route")
 
 
 def weighted_assign(readings: DataFrame) -> DataFrame:
     """Category and status of every reading by weighted pick."""
-    group = route_group(F.col("location_type"), F.col("hour"))
-    return readings.select("reading_id",
-                           assigned_category(group).alias("category"),
-                           assigned_status().alias("status"))
+    return readings.selectExpr("reading_id",
+                               f"{assigned_category_sql(route_group_sql())} AS category",
+                               f"{assigned_status_sql()} AS status")
 
 
-def sample_order(reading_id: Column) -> Column:
-    return (reading_id * F.lit(7919)) % SAMPLE_MODULUS
+def sample_order_sql(id_col: str = "reading_id") -> str:
+    return f"(({q(id_col)} * 7919) % {SAMPLE_MODULUS})"
 
 
 def sample_high_noise(readings: DataFrame, n: int = 500,
@@ -99,50 +118,46 @@ def sample_high_noise(readings: DataFrame, n: int = 500,
     pick is a top-n (each task keeps ``n`` rows), so no task holds more than
     ``n`` rows per input partition.
     """
-    high = F.col("noise_level_db") > threshold
-    n_high = readings.filter(high).agg(F.count(F.lit(1))).scalar()
-    return (readings.filter(high | (n_high < n))
-            .orderBy(sample_order(F.col("reading_id")), F.col("reading_id"))
+    high = f"noise_level_db > {X.dbl(threshold)}"
+    n_high = readings.filter(high).agg(E("count(1)")).scalar()
+    return (readings.filter(E(high) | (n_high < n))
+            .orderBy(E(sample_order_sql()), "reading_id")
             .limit(n))
 
 
 def complaints(readings: DataFrame, n: int = 500) -> DataFrame:
     """Complaint records from sampled readings."""
-    s = sample_high_noise(readings, n)
-    group = route_group(F.col("location_type"), F.col("hour"))
-    return s.select(
-        X.zero_pad_id("NC", F.col("reading_id")).alias("complaint_id"),
-        "reading_id",
-        "timestamp", "latitude", "longitude",
-        assigned_category(group).alias("category"),
-        F.col("noise_level_db").alias("estimated_noise_db"),
+    return sample_high_noise(readings, n).selectExpr(
+        f"{X.zero_pad_id_sql('NC', 'reading_id')} AS complaint_id",
+        "reading_id", "`timestamp`", "latitude", "longitude",
+        f"{assigned_category_sql(route_group_sql())} AS category",
+        "noise_level_db AS estimated_noise_db",
         "location_type", "hour", "day_of_week", "geo_zone",
-        assigned_status().alias("status"),
+        f"{assigned_status_sql()} AS status",
     )
 
 
 def complaints_by_hour(c: DataFrame) -> DataFrame:
     """Complaints per hour."""
-    return c.groupBy("hour").agg(F.count(F.lit(1)).alias("complaints")).orderBy("hour")
+    return c.groupBy("hour").agg(E("count(1) AS complaints")).orderBy("hour")
 
 
 def complaint_zones(c: DataFrame, top: int = 10) -> DataFrame:
     """Top zones by complaint count with their average noise."""
     return (c.groupBy("geo_zone")
-            .agg(F.count(F.lit(1)).alias("complaints"),
-                 r2(F.avg("estimated_noise_db")).alias("avg_noise_db"))
-            .orderBy(F.col("complaints").desc(), "geo_zone")
+            .agg(E("count(1) AS complaints"), E(f"{R('avg(estimated_noise_db)')} AS avg_noise_db"))
+            .orderBy(F.desc("complaints"), "geo_zone")
             .limit(top))
 
 
 def complaints_by_weekday(c: DataFrame) -> DataFrame:
     """Complaints per weekday with its name; days outside 0-6 dropped."""
-    names = F.array(*[F.lit(d) for d in X.DAY_NAMES])
-    dow = F.col("day_of_week")
-    return (c.filter(dow.between(0, 6))
-            .groupBy("day_of_week").agg(F.count(F.lit(1)).alias("complaints"))
-            .select("day_of_week", F.element_at(names, (F.col("day_of_week") + 1).cast("int")).alias("day_name"),
-                    "complaints")
+    names = ", ".join(X.s(d) for d in X.DAY_NAMES)
+    return (c.filter("day_of_week BETWEEN 0 AND 6")
+            .groupBy("day_of_week").agg(E("count(1) AS complaints"))
+            .selectExpr("day_of_week",
+                        f"element_at(array({names}), CAST(day_of_week + 1 AS INT)) AS day_name",
+                        "complaints")
             .orderBy("day_of_week"))
 
 
@@ -152,57 +167,55 @@ def complaint_status(c: DataFrame) -> DataFrame:
     return value_counts(c, "status")
 
 
-def _top_by_count(c: DataFrame, col: str, k: int) -> DataFrame:
-    return (c.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.col("n").desc(), F.col(col)).limit(k))
+def _counts_with_total(c: DataFrame, col: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Per-value counts carrying the overall total; the window runs over the
+    grouped rows (one per value), not over the complaints."""
+    grouped = c.groupBy(col).agg(E("count(1) AS n"), *[E(x) for x in extra])
+    return grouped.withColumn("total", F.sum("n").over(Window.partitionBy()))
 
 
 def top_zone_share(c: DataFrame, k: int = 5) -> DataFrame:
     """Insight 1: the ``k`` busiest zones (ties by zone), their share of all
     complaints and the average noise of their complaints (I1, J1).
 
-    The membership test of the reference is folded into per-zone partial
-    sums: the top-k rows already carry count and noise sum, so no second
-    scan and no join are needed.
+    The reference's membership test (complaints in the top zones) is folded
+    into per-zone partial sums: the top-k rows already carry count and noise
+    sum, so there is no second scan and no join.
     """
-    per_zone = c.groupBy("geo_zone").agg(F.count(F.lit(1)).alias("n"),
-                                         F.sum("estimated_noise_db").alias("s"))
-    top = per_zone.orderBy(F.col("n").desc(), F.col("geo_zone")).limit(k)
-    total = c.agg(F.count(F.lit(1))).scalar()
-    ordered = F.array_sort(F.collect_list(
-        F.struct((-F.col("n")).alias("neg_n"), F.col("geo_zone").alias("z"))))
-    return top.agg(F.array_join(F.transform(ordered, lambda e: e.getField("z")), ", ").alias("top_zones"),
-                   r2(F.lit(100.0) * F.sum("n") / total).alias("zone_share_pct"),
-                   r2(F.sum("s") / F.sum("n")).alias("avg_noise_db"))
+    top = (_counts_with_total(c, "geo_zone", ("sum(estimated_noise_db) AS s",))
+           .orderBy(F.desc("n"), "geo_zone").limit(k))
+    names = "array_join(transform(array_sort(collect_list(named_struct('neg_n', -n, 'z', geo_zone))), " \
+            "e -> e.z), ', ')"
+    return top.agg(E(f"{names} AS top_zones"),
+                   E(f"{R('100.0D * sum(n) / max(total)')} AS zone_share_pct"),
+                   E(f"{R('sum(s) / sum(n)')} AS avg_noise_db"))
 
 
 def peak_hour(c: DataFrame) -> DataFrame:
     """Insight 2: busiest hour (ties to the lowest), its count and the patrol
     window hour-1..hour+1 (I2)."""
-    top = _top_by_count(c, "hour", 1)
-    return top.select(F.col("hour").alias("peak_hour"), F.col("n").alias("peak_count"),
-                      (F.col("hour") - 1).alias("window_start"), (F.col("hour") + 1).alias("window_end"))
+    top = c.groupBy("hour").agg(E("count(1) AS n")).orderBy(F.desc("n"), "hour").limit(1)
+    return top.selectExpr("hour AS peak_hour", "n AS peak_count", "hour - 1 AS window_start",
+                          "hour + 1 AS window_end")
 
 
-def priority(pct: Column, high_above: float) -> Column:
+def priority_sql(pct: str, high_above: float) -> str:
     """``High`` above the threshold, else ``Medium``."""
-    return F.when(pct > high_above, F.lit("High")).otherwise(F.lit("Medium"))
+    return f"CASE WHEN {pct} > {X.dbl(high_above)} THEN 'High' ELSE 'Medium' END"
 
 
 def top_category(c: DataFrame) -> DataFrame:
     """Insight 3: leading category, its share and priority."""
-    total = c.agg(F.count(F.lit(1))).scalar()
-    top = _top_by_count(c, "category", 1)
-    pct = F.lit(100.0) * F.col("n") / total
-    return top.select(F.col("category"), F.col("n").alias("category_count"),
-                      r2(pct).alias("category_pct"),
-                      priority(pct, CATEGORY_HIGH_PCT).alias("priority"))
+    top = _counts_with_total(c, "category").orderBy(F.desc("n"), "category").limit(1)
+    pct = "(100.0D * n / total)"
+    return top.selectExpr("category", "n AS category_count", f"{R(pct)} AS category_pct",
+                          f"{priority_sql(pct, CATEGORY_HIGH_PCT)} AS priority")
 
 
 def unresolved_share(c: DataFrame) -> DataFrame:
     """Insight 4: complaints still open or in progress, share and priority (I4)."""
-    out = c.agg(F.count_if(F.col("status").isin(*UNRESOLVED)).alias("unresolved_count"),
-                F.count(F.lit(1)).alias("_total"))
-    pct = F.lit(100.0) * F.col("unresolved_count") / F.col("_total")
-    return out.select("unresolved_count", r2(pct).alias("unresolved_pct"),
-                      priority(pct, UNRESOLVED_HIGH_PCT).alias("priority"))
+    states = ", ".join(X.s(u) for u in UNRESOLVED)
+    out = c.agg(E(f"count_if(status IN ({states})) AS unresolved_count"), E("count(1) AS _total"))
+    pct = "(100.0D * unresolved_count / _total)"
+    return out.selectExpr("unresolved_count", f"{R(pct)} AS unresolved_pct",
+                          f"{priority_sql(pct, UNRESOLVED_HIGH_PCT)} AS priority")

@@ -2,155 +2,140 @@
 
 Built from two aggregates and no join: one grouping-sets pass over the
 complaints (per category, hour, status, zone and overall), then one global
-aggregate over those few grouped rows that assembles the maps and the
-insights. The reading total is a scalar subquery.
+aggregate over those few grouped rows (at most categories + 24 hours +
+statuses + zones + 1) that assembles the maps and the insights. The reading
+total is a scalar subquery.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from quietude.functions.expr import round_half_up as r2
-from quietude.operators.complaints import CATEGORY_HIGH_PCT, UNRESOLVED, UNRESOLVED_HIGH_PCT
+from quietude.functions import expr as X
+from quietude.functions.expr import E
+from quietude.functions.expr import round_half_up_sql as R
+from quietude.operators.complaints import CATEGORY_HIGH_PCT, UNRESOLVED, UNRESOLVED_HIGH_PCT, priority_sql
 
-_SECTIONS = {  # grouping_id over (category, hour, status, geo_zone) -> section
-    7: "category", 11: "hour", 13: "status", 14: "zone", 15: "all",
-}
+# grouping_id() over (category, hour, status, geo_zone) for each section
+_GID = {"category": 7, "hour": 11, "status": 13, "zone": 14, "all": 15}
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _grouped(c: DataFrame) -> DataFrame:
     keys = ["category", "hour", "status", "geo_zone"]
     return (c.groupingSets([["category"], ["hour"], ["status"], ["geo_zone"], []], *keys)
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum("estimated_noise_db").alias("s"),
-                 F.max("estimated_noise_db").alias("mx"),
-                 F.min("timestamp").alias("t0"),
-                 F.max("timestamp").alias("t1"),
-                 F.grouping_id(*keys).alias("gid")))
+            .agg(*[E(a) for a in ("count(1) AS n", "sum(estimated_noise_db) AS s",
+                                  "max(estimated_noise_db) AS mx", "min(`timestamp`) AS t0",
+                                  "max(`timestamp`) AS t1", "grouping_id() AS gid")]))
 
 
-def _entries(gid: int, key: Column, by_key: bool = False) -> Column:
-    """Sorted (count desc, key) or (key) array of section entries."""
-    g = F.col("gid") == gid
+def _entries_sql(gid: int, key: str, by_key: bool = False) -> str:
+    """Sorted (count desc, key) or (key) array of one section's entries."""
     if by_key:
-        e = F.struct(key.alias("k"), F.col("n").alias("n"), F.col("s").alias("s"))
+        e = f"named_struct('k', {key}, 'n', n, 's', s)"
     else:
-        e = F.struct((-F.col("n")).alias("neg_n"), key.alias("k"), F.col("n").alias("n"),
-                     F.col("s").alias("s"))
-    return F.array_sort(F.collect_list(F.when(g, e)))
-
-
-def _as_map(entries: Column, limit: int | None = None) -> Column:
-    arr = F.slice(entries, 1, limit) if limit else entries
-    return F.map_from_entries(F.transform(arr, lambda e: F.struct(e.getField("k"), e.getField("n"))))
+        e = f"named_struct('neg_n', -n, 'k', {key}, 'n', n, 's', s)"
+    return f"array_sort(collect_list(CASE WHEN gid = {gid} THEN {e} END))"
 
 
 def report_parts(c: DataFrame, readings: DataFrame) -> DataFrame:
     """One row with every report figure as plain columns and sorted entry arrays."""
-    total_readings = readings.agg(F.count(F.lit(1))).scalar()
-    g = _grouped(c)
-    all_row = F.col("gid") == 15
-    return g.agg(
-        F.max(F.when(all_row, F.col("n"))).alias("total_complaints"),
-        F.max(F.when(all_row, F.col("t0"))).alias("date_start"),
-        F.max(F.when(all_row, F.col("t1"))).alias("date_end"),
-        F.max(F.when(all_row, F.col("s") / F.col("n"))).alias("avg_noise_level_db"),
-        F.max(F.when(all_row, F.col("mx"))).alias("max_noise_level_db"),
-        _entries(7, F.col("category")).alias("categories"),
-        _entries(11, F.col("hour"), by_key=True).alias("hours"),
-        _entries(13, F.col("status")).alias("statuses"),
-        _entries(14, F.col("geo_zone")).alias("zones"),
-        F.sum(F.when((F.col("gid") == 13) & F.col("status").isin(*UNRESOLVED), F.col("n")))
-        .alias("unresolved_count"),
-    ).withColumn("total_readings", total_readings)
-
-
-def _insights(p: DataFrame) -> Column:
-    total = F.col("total_complaints")
-    top5 = F.slice(F.col("zones"), 1, 5)
-    top5_n = F.aggregate(top5, F.lit(0).cast("bigint"), lambda a, e: a + e.getField("n"))
-    top5_s = F.aggregate(top5, F.lit(0.0), lambda a, e: a + e.getField("s"))
-    hours_by_count = F.array_sort(F.transform(
-        F.col("hours"), lambda e: F.struct((-e.getField("n")).alias("neg_n"), e.getField("k").alias("k"),
-                                           e.getField("n").alias("n"))))
-    peak = F.element_at(hours_by_count, 1)
-    cat = F.element_at(F.col("categories"), 1)
-    cat_pct = F.lit(100.0) * cat.getField("n") / total
-    unres_pct = F.lit(100.0) * F.coalesce(F.col("unresolved_count"), F.lit(0)) / total
-
-    def item(kind, prio, **metrics):
-        fields = {"avg_noise_db": F.lit(None).cast("double"), "peak_hour": F.lit(None).cast("bigint"),
-                  "category": F.lit(None).cast("string"), "unresolved_count": F.lit(None).cast("bigint"),
-                  "share_pct": F.lit(None).cast("double")}
-        fields.update(metrics)
-        return F.struct(F.lit(kind).alias("type"), prio.alias("priority"),
-                        *[v.alias(k) for k, v in fields.items()])
-
-    def prio(pct, high):
-        return F.when(pct > high, F.lit("High")).otherwise(F.lit("Medium"))
-
-    return F.array(
-        item("Geographic Hotspot", F.lit("High"), avg_noise_db=r2(top5_s / top5_n),
-             share_pct=r2(F.lit(100.0) * top5_n / total)),
-        item("Temporal Pattern", F.lit("Medium"), peak_hour=peak.getField("k").cast("bigint")),
-        item("Complaint Category", prio(cat_pct, CATEGORY_HIGH_PCT), category=cat.getField("k"),
-             share_pct=r2(cat_pct)),
-        item("Response Efficiency", prio(unres_pct, UNRESOLVED_HIGH_PCT),
-             unresolved_count=F.coalesce(F.col("unresolved_count"), F.lit(0)).cast("bigint"),
-             share_pct=r2(unres_pct)),
-    )
+    total_readings = readings.agg(E("count(1)")).scalar()
+    states = ", ".join(X.s(u) for u in UNRESOLVED)
+    a = _GID["all"]
+    return _grouped(c).agg(*[E(x) for x in (
+        f"max(CASE WHEN gid = {a} THEN n END) AS total_complaints",
+        f"max(CASE WHEN gid = {a} THEN t0 END) AS date_start",
+        f"max(CASE WHEN gid = {a} THEN t1 END) AS date_end",
+        f"max(CASE WHEN gid = {a} THEN s / n END) AS avg_noise_level_db",
+        f"max(CASE WHEN gid = {a} THEN mx END) AS max_noise_level_db",
+        f"{_entries_sql(_GID['category'], 'category')} AS categories",
+        f"{_entries_sql(_GID['hour'], 'hour', by_key=True)} AS hours",
+        f"{_entries_sql(_GID['status'], 'status')} AS statuses",
+        f"{_entries_sql(_GID['zone'], 'geo_zone')} AS zones",
+        f"sum(CASE WHEN gid = {_GID['status']} AND status IN ({states}) THEN n END) AS unresolved_count",
+    )]).withColumn("total_readings", total_readings)
+
+
+def _insights_sql() -> str:
+    top5 = "slice(zones, 1, 5)"
+    top5_n = f"aggregate({top5}, 0L, (a, e) -> a + e.n)"
+    top5_s = f"aggregate({top5}, 0.0D, (a, e) -> a + e.s)"
+    peak = ("element_at(array_sort(transform(hours, e -> named_struct('neg_n', -e.n, 'k', e.k, 'n', e.n))), 1)")
+    cat = "element_at(categories, 1)"
+    cat_pct = f"(100.0D * {cat}.n / total_complaints)"
+    unres = "coalesce(unresolved_count, 0L)"
+    unres_pct = f"(100.0D * {unres} / total_complaints)"
+
+    def item(kind: str, prio: str, **m: str) -> str:
+        fields = {"avg_noise_db": "CAST(NULL AS DOUBLE)", "peak_hour": "CAST(NULL AS BIGINT)",
+                  "category": "CAST(NULL AS STRING)", "unresolved_count": "CAST(NULL AS BIGINT)",
+                  "share_pct": "CAST(NULL AS DOUBLE)"}
+        fields.update(m)
+        body = ", ".join(f"'{k}', {v}" for k, v in fields.items())
+        return f"named_struct('type', {X.s(kind)}, 'priority', {prio}, {body})"
+
+    return "array(" + ", ".join([
+        item("Geographic Hotspot", "'High'", avg_noise_db=R(f"{top5_s} / {top5_n}"),
+             share_pct=R(f"100.0D * {top5_n} / total_complaints")),
+        item("Temporal Pattern", "'Medium'", peak_hour=f"CAST({peak}.k AS BIGINT)"),
+        item("Complaint Category", priority_sql(cat_pct, CATEGORY_HIGH_PCT), category=f"{cat}.k",
+             share_pct=R(cat_pct)),
+        item("Response Efficiency", priority_sql(unres_pct, UNRESOLVED_HIGH_PCT),
+             unresolved_count=unres, share_pct=R(unres_pct)),
+    ]) + ")"
+
+
+def _as_map_sql(entries: str, limit: int | None = None) -> str:
+    arr = f"slice({entries}, 1, {limit})" if limit else entries
+    return f"map_from_entries(transform({arr}, e -> named_struct('k', e.k, 'n', e.n)))"
 
 
 def report_document(c: DataFrame, readings: DataFrame, run_ts: str | None = None) -> DataFrame:
     """The nested report: summary struct, four count maps, insights array."""
-    p = report_parts(c, readings)
-    ts_fmt = "yyyy-MM-dd HH:mm:ss"
-    return p.select(
-        F.lit(run_ts).cast("string").alias("generated_at"),
-        F.struct(F.col("total_complaints"), F.col("total_readings").alias("total_sensors"),
-                 F.struct(F.date_format("date_start", ts_fmt).alias("start"),
-                          F.date_format("date_end", ts_fmt).alias("end")).alias("date_range"),
-                 F.col("avg_noise_level_db"), F.col("max_noise_level_db")).alias("summary"),
-        _as_map(F.col("categories")).alias("category_distribution"),
-        _as_map(F.col("hours")).alias("hourly_distribution"),
-        _as_map(F.col("statuses")).alias("status_distribution"),
-        _as_map(F.col("zones"), 10).alias("top_complaint_zones"),
-        _insights(p).alias("insights"),
+    gen = X.s(run_ts) if run_ts is not None else "CAST(NULL AS STRING)"
+    return report_parts(c, readings).selectExpr(
+        f"{gen} AS generated_at",
+        "named_struct('total_complaints', total_complaints, 'total_sensors', total_readings, "
+        f"'date_range', named_struct('start', date_format(date_start, '{TS_FORMAT}'), "
+        f"'end', date_format(date_end, '{TS_FORMAT}')), "
+        "'avg_noise_level_db', avg_noise_level_db, 'max_noise_level_db', max_noise_level_db) AS summary",
+        f"{_as_map_sql('categories')} AS category_distribution",
+        f"{_as_map_sql('hours')} AS hourly_distribution",
+        f"{_as_map_sql('statuses')} AS status_distribution",
+        f"{_as_map_sql('zones', 10)} AS top_complaint_zones",
+        f"{_insights_sql()} AS insights",
     )
 
 
-def _json_pairs(entries: Column, limit: int | None = None) -> Column:
+def _json_pairs_sql(entries: str, limit: int | None = None) -> str:
     """Entries as ``{"key":n,...}`` text in entry order."""
-    arr = F.slice(entries, 1, limit) if limit else entries
-    body = F.array_join(F.transform(arr, lambda e: F.concat(
-        F.lit('"'), e.getField("k").cast("string"), F.lit('":'), e.getField("n").cast("string"))), ",")
-    return F.concat(F.lit("{"), body, F.lit("}"))
+    arr = f"slice({entries}, 1, {limit})" if limit else entries
+    body = f"array_join(transform({arr}, e -> concat('\"', CAST(e.k AS STRING), '\":', CAST(e.n AS STRING))), ',')"
+    return f"concat('{{', {body}, '}}')"
 
 
 def report_flat(c: DataFrame, readings: DataFrame) -> DataFrame:
     """The report as one flat row (summary scalars, maps as ordered JSON text,
-    insight figures) for comparison and CSV export."""
-    p = report_parts(c, readings)
-    # Insights are built once into a column; the flat fields read from it.
-    p = p.withColumn("_ins", _insights(p))
-    ins = F.col("_ins")
-    ts_fmt = "yyyy-MM-dd HH:mm:ss"
-    return p.select(
-        F.col("total_complaints"), F.col("total_readings"),
-        F.date_format("date_start", ts_fmt).alias("date_start"),
-        F.date_format("date_end", ts_fmt).alias("date_end"),
-        r2(F.col("avg_noise_level_db"), 6).alias("avg_noise_level_db"),
-        F.col("max_noise_level_db"),
-        _json_pairs(F.col("categories")).alias("category_distribution"),
-        _json_pairs(F.col("hours")).alias("hourly_distribution"),
-        _json_pairs(F.col("statuses")).alias("status_distribution"),
-        _json_pairs(F.col("zones"), 10).alias("top_complaint_zones"),
-        ins[0].getField("share_pct").alias("top5_zone_share_pct"),
-        ins[0].getField("avg_noise_db").alias("top5_avg_noise_db"),
-        ins[1].getField("peak_hour").alias("peak_hour"),
-        ins[2].getField("category").alias("top_category"),
-        ins[2].getField("priority").alias("category_priority"),
-        ins[3].getField("unresolved_count").alias("unresolved_count"),
-        ins[3].getField("priority").alias("unresolved_priority"),
+    insight figures) for comparison and CSV export. The insights array is
+    built once into a column and read field by field."""
+    p = report_parts(c, readings).selectExpr("*", f"{_insights_sql()} AS _ins")
+    return p.selectExpr(
+        "total_complaints", "total_readings",
+        f"date_format(date_start, '{TS_FORMAT}') AS date_start",
+        f"date_format(date_end, '{TS_FORMAT}') AS date_end",
+        f"{R('avg_noise_level_db', 6)} AS avg_noise_level_db",
+        "max_noise_level_db",
+        f"{_json_pairs_sql('categories')} AS category_distribution",
+        f"{_json_pairs_sql('hours')} AS hourly_distribution",
+        f"{_json_pairs_sql('statuses')} AS status_distribution",
+        f"{_json_pairs_sql('zones', 10)} AS top_complaint_zones",
+        "_ins[0].share_pct AS top5_zone_share_pct",
+        "_ins[0].avg_noise_db AS top5_avg_noise_db",
+        "_ins[1].peak_hour AS peak_hour",
+        "_ins[2].category AS top_category",
+        "_ins[2].priority AS category_priority",
+        "_ins[3].unresolved_count AS unresolved_count",
+        "_ins[3].priority AS unresolved_priority",
     )
+

@@ -5,11 +5,12 @@ group mode, top zones, distinct zones, hotspot thresholds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quietude.functions import expr as X
-from quietude.functions.expr import round_half_up as r2
+from quietude.functions.expr import E, q
+from quietude.functions.expr import round_half_up_sql as R
 
 NOISE = "noise_level_db"
 
@@ -22,47 +23,44 @@ GROUPING_SET_KEYS = {
     13: ("hour", ["hour"]),
     7: ("zone", ["geo_zone"]),
 }
+_KEY_COLS = ["geo_zone", "location_type", "hour", "day_of_week"]
 
 
-def _composite_key() -> Column:
+def _composite_key_sql() -> str:
     """``kind:part:part`` key built from the grouping id (on final rows only)."""
-    gid = F.col("_gid")
-    expr = None
+    whens = []
     for g, (kind, cols) in GROUPING_SET_KEYS.items():
-        key = F.concat_ws(":", F.lit(kind), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-        expr = F.when(gid == g, key) if expr is None else expr.when(gid == g, key)
-    return expr
+        parts = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in cols)
+        whens.append(f"WHEN _gid = {g} THEN concat_ws(':', '{kind}', {parts})")
+    return f"CASE {' '.join(whens)} END"
 
 
 def _keyed_rows(readings: DataFrame) -> DataFrame:
-    """Rows the five-way key stream accepts: noise and time present."""
-    return readings.filter(F.col(NOISE).isNotNull() & F.col("timestamp").isNotNull()
-                           & F.col("hour").isNotNull())
+    """Rows the five-way key stream accepts: noise, time and hour present."""
+    return readings.filter(f"{NOISE} IS NOT NULL AND `timestamp` IS NOT NULL AND hour IS NOT NULL")
 
 
-def _grouping_sets(df: DataFrame, *aggs: Column, extra: tuple[str, ...] = ()) -> DataFrame:
+def _grouping_sets(df: DataFrame, aggs: list[str], extra: tuple[str, ...] = ()) -> DataFrame:
     """One scan, five groupings (Expand + partial aggregate). ``extra`` columns
     join every set. The location set drops rows with a NULL or blank
     location."""
-    keys = ["geo_zone", "location_type", "hour", "day_of_week"]
     sets = [[*cols, *extra] for _, (_, cols) in sorted(GROUPING_SET_KEYS.items())]
-    out = (df.groupingSets([[F.col(c) for c in s] for s in sets], *keys, *extra)
-           .agg(*aggs, F.shiftright(F.grouping_id(), len(extra)).alias("_gid")))
-    loc = F.col("location_type")
-    return out.filter((F.col("_gid") != 9) | (loc.isNotNull() & (loc != "")))
+    out = (df.groupingSets([[F.col(c) for c in s] for s in sets], *_KEY_COLS, *extra)
+           .agg(*[E(a) for a in aggs], E(f"shiftright(grouping_id(), {len(extra)}) AS _gid")))
+    return out.filter("_gid != 9 OR (location_type IS NOT NULL AND location_type != '')")
 
 
 def noise_grouping_sets(readings: DataFrame) -> DataFrame:
     """Per composite key count, mean, population std, min, max (A3, P15, P16,
     O2), sorted by the key as text."""
-    x = F.col(NOISE)
-    out = _grouping_sets(_keyed_rows(readings),
-                         F.count(F.lit(1)).alias("count"),
-                         r2(F.avg(x)).alias("mean_db"),
-                         r2(F.stddev_pop(x)).alias("std_dev"),
-                         r2(F.min(x)).alias("min_db"),
-                         r2(F.max(x)).alias("max_db"))
-    return (out.select(_composite_key().alias("key"), "count", "mean_db", "std_dev", "min_db", "max_db")
+    out = _grouping_sets(_keyed_rows(readings), [
+        "count(1) AS count",
+        f"{R(f'avg({NOISE})')} AS mean_db",
+        f"{R(f'stddev_pop({NOISE})')} AS std_dev",
+        f"{R(f'min({NOISE})')} AS min_db",
+        f"{R(f'max({NOISE})')} AS max_db"])
+    return (out.selectExpr(f"{_composite_key_sql()} AS key", "count", "mean_db", "std_dev",
+                           "min_db", "max_db")
             .orderBy("key"))
 
 
@@ -71,17 +69,14 @@ def moments_partial(readings: DataFrame, split_cols: tuple[str, ...] = ("date",)
     of squares (A4). Splits (default: the reading date) are the units an
     incremental load stores and later merges. One scan: the five key sets
     are grouping sets, each extended by the split columns."""
-    x = F.col(NOISE)
-    df = _keyed_rows(readings).withColumn("date", F.to_date("timestamp"))
-    out = _grouping_sets(df,
-                         F.count(F.lit(1)).alias("n"),
-                         F.sum(x).alias("sum_x"),
-                         F.min(x).alias("min_x"),
-                         F.max(x).alias("max_x"),
-                         F.sum(x * x).alias("sum_x2"),
+    df = _keyed_rows(readings)
+    if "date" in split_cols and "date" not in df.columns:
+        df = df.withColumn("date", E("to_date(`timestamp`)"))
+    out = _grouping_sets(df, ["count(1) AS n", f"sum({NOISE}) AS sum_x", f"min({NOISE}) AS min_x",
+                              f"max({NOISE}) AS max_x", f"sum({NOISE} * {NOISE}) AS sum_x2"],
                          extra=tuple(split_cols))
-    return out.select(_composite_key().alias("key"), *split_cols,
-                      "n", "sum_x", "min_x", "max_x", "sum_x2")
+    return out.selectExpr(f"{_composite_key_sql()} AS key", *[q(c) for c in split_cols],
+                          "n", "sum_x", "min_x", "max_x", "sum_x2")
 
 
 def moments_merge(partials: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
@@ -90,17 +85,16 @@ def moments_merge(partials: DataFrame, key_cols: list[str] | None = None) -> Dat
     same result, so roll-ups can be incremental."""
     key_cols = key_cols or ["key"]
     merged = (partials.groupBy(*key_cols)
-              .agg(F.sum("n").alias("n"), F.sum("sum_x").alias("sum_x"),
-                   F.min("min_x").alias("min_x"), F.max("max_x").alias("max_x"),
-                   F.sum("sum_x2").alias("sum_x2")))
-    mean = F.col("sum_x") / F.col("n")
-    var = F.col("sum_x2") / F.col("n") - mean * mean
-    return (merged.select(*key_cols,
-                          F.col("n").cast("bigint").alias("count"),
-                          r2(mean).alias("mean_db"),
-                          r2(F.sqrt(F.greatest(F.lit(0.0), var))).alias("std_dev"),
-                          r2(F.col("min_x")).alias("min_db"),
-                          r2(F.col("max_x")).alias("max_db"))
+              .agg(*[E(a) for a in ("sum(n) AS n", "sum(sum_x) AS sum_x", "min(min_x) AS min_x",
+                                    "max(max_x) AS max_x", "sum(sum_x2) AS sum_x2")]))
+    mean = "(sum_x / n)"
+    var = f"(sum_x2 / n - {mean} * {mean})"
+    return (merged.selectExpr(*[q(k) for k in key_cols],
+                              "CAST(n AS BIGINT) AS count",
+                              f"{R(mean)} AS mean_db",
+                              f"{R(f'sqrt(greatest(0.0D, {var}))')} AS std_dev",
+                              f"{R('min_x')} AS min_db",
+                              f"{R('max_x')} AS max_db")
             .orderBy(*key_cols))
 
 
@@ -108,115 +102,99 @@ def zone_statistics(store: DataFrame, run_ts: str | None = None) -> DataFrame:
     """Per-zone avg/max/min, sample std (0 when n <= 1), count, rounded to 2
     places; a zero value is stored as NULL (A16). ``last_updated`` is the
     ``run_ts`` parameter, not the wall clock, so reruns are reproducible."""
-    x = F.col(NOISE)
 
-    def nz(c: Column) -> Column:
-        return F.when(c.isNotNull() & (c != 0), r2(c))
+    def nz(v: str) -> str:
+        return f"CASE WHEN {v} IS NOT NULL AND {v} != 0 THEN {R(v)} END"
 
-    out = (store.filter(F.col("geo_zone").isNotNull())
+    out = (store.filter("geo_zone IS NOT NULL")
            .groupBy("geo_zone")
-           .agg(F.avg(x).alias("a"), F.max(x).alias("mx"), F.min(x).alias("mn"),
-                F.stddev_samp(x).alias("s"), F.count(F.lit(1)).alias("sample_count")))
-    cols = [F.col("geo_zone"), nz(F.col("a")).alias("avg_noise_db"),
-            nz(F.col("mx")).alias("max_noise_db"), nz(F.col("mn")).alias("min_noise_db"),
-            nz(F.when(F.col("sample_count") > 1, F.col("s")).otherwise(F.lit(0.0))).alias("std_dev_db"),
-            F.col("sample_count")]
+           .agg(*[E(a) for a in (f"avg({NOISE}) AS a", f"max({NOISE}) AS mx", f"min({NOISE}) AS mn",
+                                 f"stddev_samp({NOISE}) AS s", "count(1) AS sample_count")]))
+    cols = ["geo_zone", f"{nz('a')} AS avg_noise_db", f"{nz('mx')} AS max_noise_db",
+            f"{nz('mn')} AS min_noise_db",
+            f"{nz('(CASE WHEN sample_count > 1 THEN s ELSE 0.0D END)')} AS std_dev_db", "sample_count"]
     if run_ts is not None:
-        cols.append(F.lit(run_ts).alias("last_updated"))
-    return out.select(*cols)
+        cols.append(f"{X.s(run_ts)} AS last_updated")
+    return out.selectExpr(*cols)
 
 
 def hotspots_threshold(zone_stats: DataFrame, threshold: float = 75.0,
                        min_count: int = 10) -> DataFrame:
     """Zones with average >= ``threshold`` and at least ``min_count`` rows (P5)."""
-    return (zone_stats.filter((F.col("avg_noise_db") >= threshold)
-                              & (F.col("sample_count") >= min_count))
+    return (zone_stats.filter(f"avg_noise_db >= {X.dbl(threshold)} AND sample_count >= {min_count}")
             .select("geo_zone", "avg_noise_db", "sample_count")
-            .orderBy(F.col("avg_noise_db").desc(), "geo_zone"))
+            .orderBy(F.desc("avg_noise_db"), "geo_zone"))
 
 
 def hourly_patterns(store: DataFrame) -> DataFrame:
     """Per hour avg (rounded), max (raw), count."""
-    x = F.col(NOISE)
-    return (store.filter(F.col("hour").isNotNull())
+    return (store.filter("hour IS NOT NULL")
             .groupBy("hour")
-            .agg(r2(F.avg(x)).alias("avg_noise_db"),
-                 F.max(x).alias("max_noise_db"),
-                 F.count(F.lit(1)).alias("sample_count"))
+            .agg(*[E(a) for a in (f"{R(f'avg({NOISE})')} AS avg_noise_db", f"max({NOISE}) AS max_noise_db",
+                                  "count(1) AS sample_count")])
             .orderBy("hour"))
 
 
 def dataset_stats(store: DataFrame) -> DataFrame:
-    """Store-level count, avg, min, max, distinct participants and zones."""
-    x = F.col(NOISE)
-    return store.agg(F.count(F.lit(1)).alias("total_records"),
-                     r2(F.avg(x)).alias("avg_noise_db"),
-                     F.min(x).alias("min_noise_db"),
-                     F.max(x).alias("max_noise_db"),
-                     F.countDistinct("participant_id").alias("participants"),
-                     F.countDistinct("geo_zone").alias("zones"))
+    """Store-level count, avg, min, max, distinct participants and zones.
+    The distinct counts deduplicate on (value) across tasks; only the final
+    counts meet in one task."""
+    return store.agg(*[E(a) for a in (
+        "count(1) AS total_records", f"{R(f'avg({NOISE})')} AS avg_noise_db",
+        f"min({NOISE}) AS min_noise_db", f"max({NOISE}) AS max_noise_db",
+        "count(DISTINCT participant_id) AS participants", "count(DISTINCT geo_zone) AS zones")])
 
 
 def noise_describe(readings: DataFrame, col: str = NOISE, digits: int = 5) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (exact, interpolated), max."""
-    x = F.col(col)
-    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (readings.agg(F.count(x).alias("count"),
-                         X.round_half_up(F.avg(x), digits).alias("mean"),
-                         X.round_half_up(F.stddev_samp(x), digits).alias("std"),
-                         F.min(x).alias("min"),
-                         q.alias("_q"),
-                         F.max(x).alias("max"))
-            .select("count", "mean", "std", "min",
-                    X.round_half_up(F.col("_q")[0], digits).alias("p25"),
-                    X.round_half_up(F.col("_q")[1], digits).alias("p50"),
-                    X.round_half_up(F.col("_q")[2], digits).alias("p75"),
-                    "max"))
+    x = q(col)
+    return (readings.agg(*[E(a) for a in (
+        f"count({x}) AS count", f"{R(f'avg({x})', digits)} AS mean",
+        f"{R(f'stddev_samp({x})', digits)} AS std", f"min({x}) AS min",
+        f"percentile({x}, array(0.25, 0.5, 0.75)) AS _q", f"max({x}) AS max")])
+            .selectExpr("count", "mean", "std", "min", f"{R('_q[0]', digits)} AS p25",
+                        f"{R('_q[1]', digits)} AS p50", f"{R('_q[2]', digits)} AS p75", "max"))
 
 
 def noise_summary(readings: DataFrame, col: str = NOISE) -> DataFrame:
     """Whole-table count, mean, sample std, min, max, median, 2 places."""
-    x = F.col(col)
-    return readings.agg(F.count(F.lit(1)).alias("total_records"),
-                        r2(F.avg(x)).alias("mean_db"),
-                        r2(F.stddev_samp(x)).alias("std_dev_db"),
-                        r2(F.min(x)).alias("min_db"),
-                        r2(F.max(x)).alias("max_db"),
-                        r2(F.median(x)).alias("median_db"))
+    x = q(col)
+    return readings.agg(*[E(a) for a in (
+        "count(1) AS total_records", f"{R(f'avg({x})')} AS mean_db",
+        f"{R(f'stddev_samp({x})')} AS std_dev_db", f"{R(f'min({x})')} AS min_db",
+        f"{R(f'max({x})')} AS max_db", f"{R(f'median({x})')} AS median_db")])
 
 
 def value_counts(df: DataFrame, col: str, with_pct: bool = True) -> DataFrame:
     """Count per value, most frequent first, ties by value; optional share of
     non-null rows in percent (A22)."""
-    out = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    out = df.filter(f"{q(col)} IS NOT NULL").groupBy(col).agg(E("count(1) AS count"))
     if with_pct:
         from quietude.operators.trends import with_share_of_total
         out = with_share_of_total(out, "count", "percentage")
-    return out.orderBy(F.col("count").desc(), F.col(col))
+    return out.orderBy(F.desc("count"), col)
 
 
 def group_mode(df: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
     """Most frequent non-null value per group, ties to the lowest value, with its
     count (A23). Two partial aggregates: (group, value) counts, then an
     arg-max per group; no window sort and no group gathered in one task."""
-    counts = (df.filter(F.col(value_col).isNotNull())
-              .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_n")))
-    best = F.min_by(F.struct(F.col(value_col).alias("v"), F.col("_n").alias("n")),
-                    F.struct((-F.col("_n")).alias("neg_n"), F.col(value_col).alias("v")))
-    return (counts.groupBy(*group_cols).agg(best.alias("_b"))
-            .select(*group_cols, F.col("_b.v").alias("mode_value"), F.col("_b.n").alias("mode_count")))
+    v = q(value_col)
+    counts = df.filter(f"{v} IS NOT NULL").groupBy(*group_cols, value_col).agg(E("count(1) AS _n"))
+    best = f"min_by(named_struct('v', {v}, 'n', _n), named_struct('neg_n', -_n, 'v', {v})) AS _b"
+    return (counts.groupBy(*group_cols).agg(E(best))
+            .selectExpr(*[q(g) for g in group_cols], "_b.v AS mode_value", "_b.n AS mode_count"))
 
 
 def top_zones(readings: DataFrame, min_count: int = 10, top: int = 10) -> DataFrame:
     """Top ``top`` zones by mean noise with at least ``min_count`` rows."""
-    x = F.col(NOISE)
     return (readings.groupBy("geo_zone")
-            .agg(r2(F.avg(x)).alias("mean_db"), F.count(x).alias("count"))
-            .filter(F.col("count") >= min_count)
-            .orderBy(F.col("mean_db").desc(), "geo_zone")
+            .agg(E(f"{R(f'avg({NOISE})')} AS mean_db"), E(f"count({NOISE}) AS count"))
+            .filter(f"count >= {min_count}")
+            .orderBy(F.desc("mean_db"), "geo_zone")
             .limit(top))
 
 
 def distinct_zones(store: DataFrame) -> DataFrame:
     """Distinct non-null zones."""
-    return store.select("geo_zone").filter(F.col("geo_zone").isNotNull()).distinct()
+    return store.select("geo_zone").filter("geo_zone IS NOT NULL").distinct()

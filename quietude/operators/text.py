@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quietude.functions.expr import round_half_up
+from quietude.functions.expr import E, q, round_half_up_sql, s
 
 # --- fixed values that must equal the reference's -------------------------
 # Whitespace characters that separate words (default Java tokenizer set).
@@ -83,20 +83,16 @@ def keyword_categories(texts: DataFrame, col: str = "text",
                        keywords: dict[str, list[str]] | None = None) -> DataFrame:
     """Texts matching any keyword of each category (substring, multi-label),
     with the share of all texts (A27). One scan with one conditional count
-    per category instead of a text x keyword nested-loop join."""
+    per category instead of a text x keyword nested-loop join; each text is
+    lower-cased once."""
     keywords = keywords or COMPLAINT_KEYWORDS
-    texts = texts.select(F.lower(F.col(col)).alias("_low"))  # lower-cased once per text
-    low = F.col("_low")
-    aggs = [F.count(F.lit(1)).alias("_total")]
-    for i, (cat, kws) in enumerate(keywords.items()):
-        hit = None
-        for kw in kws:
-            c = low.contains(kw)
-            hit = c if hit is None else (hit | c)
-        aggs.append(F.count_if(hit).alias(f"_c{i}"))
-    wide = texts.agg(*aggs)
-    pairs = ", ".join(f"'{cat}', _c{i}" for i, cat in enumerate(keywords))
-    long = wide.selectExpr("_total", f"stack({len(keywords)}, {pairs}) AS (category, match_count)")
-    return long.select("category", "match_count",
-                       round_half_up(F.lit(100.0) * F.col("match_count") / F.col("_total"))
-                       .alias("match_pct"))
+    low = texts.selectExpr(f"lower({q(col)}) AS _low")
+    aggs = ["count(1) AS _total"]
+    for i, kws in enumerate(keywords.values()):
+        hit = " OR ".join(f"contains(_low, {s(kw)})" for kw in kws)
+        aggs.append(f"count_if({hit}) AS _c{i}")
+    wide = low.agg(*[E(a) for a in aggs])
+    pairs = ", ".join(f"{s(cat)}, _c{i}" for i, cat in enumerate(keywords))
+    return (wide.selectExpr("_total", f"stack({len(keywords)}, {pairs}) AS (category, match_count)")
+            .selectExpr("category", "match_count",
+                        f"{round_half_up_sql('100.0D * match_count / _total')} AS match_pct"))

@@ -3,44 +3,48 @@ location, peak hours, monthly, category shares, zone x hour x day, dashboard
 summary, export roll-up, hourly zone statistics with a category map).
 
 All aggregates are algebraic or bounded-buffer (``percentile`` keeps one
-count per distinct value), so every ``groupBy`` runs with a map-side
-partial aggregate: a hot key (one zone holding a third of the rows) sends
-one partial row per task, not its rows.
+count per distinct value, ``mode`` one count per class), so every
+``groupBy`` runs with a map-side partial aggregate: a hot key (one zone
+holding a third of the rows) sends one partial row per task, not its rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quietude.functions import expr as X
-from quietude.functions.expr import round_half_up as r2
+from quietude.functions.expr import E, q
+from quietude.functions.expr import round_half_up_sql as R
 
 NOISE = "noise_level_db"
 
 
-def _noise() -> Column:
-    return F.col(NOISE)
+def _aggs(*sql: str):
+    return [E(x) for x in sql]
 
 
-def median_expr(col: Column, exact: bool = True, q: float = 0.5) -> Column:
+def median_sql(x: str, exact: bool = True, p: float = 0.5) -> str:
     """Exact interpolated percentile, or ``percentile_approx`` for very large
-    groups with an unbounded value domain."""
-    return F.percentile(col, F.lit(q)) if exact else F.percentile_approx(col, q, 10000)
+    groups over an unbounded value domain."""
+    return f"percentile({x}, {p})" if exact else f"percentile_approx({x}, {p}, 10000)"
+
+
+def _stats5(x: str = NOISE) -> list[str]:
+    return [f"count(1) AS measurement_count",
+            f"{R(f'avg({x})')} AS avg_noise_db",
+            f"{R(f'stddev_pop({x})')} AS std_dev_db",
+            f"{R(f'min({x})')} AS min_noise_db",
+            f"{R(f'max({x})')} AS max_noise_db"]
 
 
 def hourly_trends(readings: DataFrame, exact: bool = True) -> DataFrame:
     """Query 3: per hour count, avg, population std, min, max, median, p95."""
-    x = _noise()
-    return (readings.filter(x.isNotNull())
+    return (readings.filter(f"{NOISE} IS NOT NULL")
             .groupBy("hour")
-            .agg(F.count(F.lit(1)).alias("measurement_count"),
-                 r2(F.avg(x)).alias("avg_noise_db"),
-                 r2(F.stddev_pop(x)).alias("std_dev_db"),
-                 r2(F.min(x)).alias("min_noise_db"),
-                 r2(F.max(x)).alias("max_noise_db"),
-                 r2(median_expr(x, exact, 0.5)).alias("median_noise_db"),
-                 r2(median_expr(x, exact, 0.95)).alias("p95_noise_db"))
+            .agg(*_aggs(*_stats5(),
+                        f"{R(median_sql(NOISE, exact, 0.5))} AS median_noise_db",
+                        f"{R(median_sql(NOISE, exact, 0.95))} AS p95_noise_db"))
             .orderBy("hour"))
 
 
@@ -48,78 +52,61 @@ def zone_hotspots(readings: DataFrame, min_count: int = 10, top: int = 20,
                   extreme_db: float = 80.0) -> DataFrame:
     """Query 4: zones by average noise with the share above ``extreme_db``,
     at least ``min_count`` rows, top ``top`` (A7, A33, A34, O4)."""
-    x = _noise()
-    n = F.count(F.lit(1))
-    extreme = F.count_if(x > extreme_db)
-    return (readings.filter(F.col("geo_zone").isNotNull())
+    extreme = f"count_if({NOISE} > {X.dbl(extreme_db)})"
+    return (readings.filter("geo_zone IS NOT NULL")
             .groupBy("geo_zone")
-            .agg(n.alias("measurement_count"),
-                 r2(F.avg(x)).alias("avg_noise_db"),
-                 r2(F.max(x)).alias("max_noise_db"),
-                 extreme.alias("extreme_noise_count"),
-                 r2(F.lit(100.0) * extreme / n).alias("extreme_noise_pct"))
-            .filter(F.col("measurement_count") >= min_count)
-            .orderBy(F.col("avg_noise_db").desc(), F.col("geo_zone"))
+            .agg(*_aggs("count(1) AS measurement_count",
+                        f"{R(f'avg({NOISE})')} AS avg_noise_db",
+                        f"{R(f'max({NOISE})')} AS max_noise_db",
+                        f"{extreme} AS extreme_noise_count",
+                        f"{R(f'100.0D * {extreme} / count(1)')} AS extreme_noise_pct"))
+            .filter(f"measurement_count >= {min_count}")
+            .orderBy(F.desc("avg_noise_db"), "geo_zone")
             .limit(top))
 
 
-def _basic_stats(x: Column) -> list[Column]:
-    return [F.count(F.lit(1)).alias("measurement_count"),
-            r2(F.avg(x)).alias("avg_noise_db"),
-            r2(F.stddev_pop(x)).alias("std_dev_db"),
-            r2(F.min(x)).alias("min_noise_db"),
-            r2(F.max(x)).alias("max_noise_db")]
-
-
 def weekday_weekend(readings: DataFrame) -> DataFrame:
     """Query 5: weekday vs weekend."""
-    x = _noise()
-    return (readings.filter(x.isNotNull())
-            .groupBy(X.day_type("day_of_week").alias("period_type"))
-            .agg(*_basic_stats(x)))
+    return (readings.filter(f"{NOISE} IS NOT NULL")
+            .groupBy(E(f"{X.day_type_sql('day_of_week')} AS period_type"))
+            .agg(*_aggs(*_stats5())))
 
 
-def _has_location() -> Column:
-    loc = F.col("location_type")
-    return loc.isNotNull() & (loc != "")
+_HAS_LOCATION = "location_type IS NOT NULL AND location_type != ''"
 
 
 def location_analysis(readings: DataFrame) -> DataFrame:
     """Query 6: per location stats plus the most common noise class.
 
-    ``mode(..., deterministic=True)`` breaks ties to the lowest label and
-    keeps a bounded per-group buffer (one count per class), so it is
-    partially aggregated like the other statistics: one shuffle in total.
+    ``mode(..., true)`` breaks ties to the lowest label and keeps a bounded
+    per-group buffer (one count per class), so it is partially aggregated
+    like the other statistics: one shuffle in total.
     """
-    x = _noise()
-    return (readings.filter(_has_location() & x.isNotNull())
+    return (readings.filter(f"{_HAS_LOCATION} AND {NOISE} IS NOT NULL")
             .groupBy("location_type")
-            .agg(*_basic_stats(x),
-                 F.mode(F.col("noise_category"), True).alias("most_common_category"))
-            .orderBy(F.col("avg_noise_db").desc(), F.col("location_type")))
+            .agg(*_aggs(*_stats5(), "mode(noise_category, true) AS most_common_category"))
+            .orderBy(F.desc("avg_noise_db"), "location_type"))
 
 
 def peak_hours_by_location(readings: DataFrame) -> DataFrame:
     """Query 7: (location, hour) averages, loudest hour first per location (A10)."""
-    x = _noise()
-    return (readings.filter(_has_location() & x.isNotNull())
+    return (readings.filter(f"{_HAS_LOCATION} AND {NOISE} IS NOT NULL")
             .groupBy("location_type", "hour")
-            .agg(r2(F.avg(x)).alias("avg_noise_db"),
-                 F.count(F.lit(1)).alias("measurement_count"))
-            .orderBy(F.col("location_type"), F.col("avg_noise_db").desc(), F.col("hour")))
+            .agg(*_aggs(f"{R(f'avg({NOISE})')} AS avg_noise_db", "count(1) AS measurement_count"))
+            .orderBy("location_type", F.desc("avg_noise_db"), "hour"))
 
 
 def monthly_trends(series: DataFrame, time_col: str = "timestamp", value_col: str = NOISE,
                    high_threshold: float = 70.0) -> DataFrame:
     """Query 8: per calendar month (``yyyy-MM`` of the parsed time) count, avg,
     population std and the count above ``high_threshold`` (A11)."""
-    x = F.col(value_col)
-    return (series.filter(x.isNotNull())
-            .groupBy(F.date_format(F.col(time_col), "yyyy-MM").alias("month"))
-            .agg(F.count(F.lit(1)).alias("measurement_count"),
-                 r2(F.avg(x)).alias("avg_noise_db"),
-                 r2(F.stddev_pop(x)).alias("std_dev_db"),
-                 F.count_if(x > high_threshold).alias("high_noise_count"))
+    x = q(value_col)
+    return (series.filter(f"{x} IS NOT NULL")
+            .groupBy(E(f"date_format({q(time_col)}, 'yyyy-MM') AS month"))
+            .agg(*_aggs("count(1) AS measurement_count",
+                        f"{R(f'avg({x})')} AS avg_noise_db",
+                        f"{R(f'stddev_pop({x})')} AS std_dev_db",
+                        f"count_if({x} > {X.dbl(high_threshold)}) AS high_noise_count"))
             .orderBy("month"))
 
 
@@ -127,35 +114,34 @@ def with_share_of_total(grouped: DataFrame, count_col: str, out: str = "percenta
     """``100 * n / sum(n) over ()`` (W1). Applied to already-grouped rows, so
     the single window partition holds one row per group."""
     total = F.sum(F.col(count_col)).over(Window.partitionBy())
-    return grouped.withColumn(out, r2(F.lit(100.0) * F.col(count_col) / total))
+    return grouped.withColumn("_total", total).withColumn(
+        out, E(R(f"100.0D * {q(count_col)} / _total"))).drop("_total")
 
 
 def category_distribution(readings: DataFrame) -> DataFrame:
     """Query 9: rows per noise class with share of total."""
-    x = _noise()
-    grouped = (readings.filter(F.col("noise_category").isNotNull())
+    grouped = (readings.filter("noise_category IS NOT NULL")
                .groupBy("noise_category")
-               .agg(F.count(F.lit(1)).alias("count"),
-                    r2(F.avg(x)).alias("avg_noise_db"),
-                    r2(F.min(x)).alias("min_noise_db"),
-                    r2(F.max(x)).alias("max_noise_db")))
+               .agg(*_aggs("count(1) AS count",
+                           f"{R(f'avg({NOISE})')} AS avg_noise_db",
+                           f"{R(f'min({NOISE})')} AS min_noise_db",
+                           f"{R(f'max({NOISE})')} AS max_noise_db")))
     return (with_share_of_total(grouped, "count")
             .select("noise_category", "count", "percentage", "avg_noise_db",
                     "min_noise_db", "max_noise_db")
-            .orderBy(F.col("count").desc(), F.col("noise_category")))
+            .orderBy(F.desc("count"), "noise_category"))
 
 
 def zone_hour_day(readings: DataFrame, min_count: int = 5, top: int = 100) -> DataFrame:
     """Query 10: (zone, hour, day) with at least ``min_count`` rows, top ``top``
     by average (A13)."""
-    x = _noise()
-    return (readings.filter(F.col("geo_zone").isNotNull() & x.isNotNull())
+    return (readings.filter(f"geo_zone IS NOT NULL AND {NOISE} IS NOT NULL")
             .groupBy("geo_zone", "hour", "day_of_week")
-            .agg(F.count(F.lit(1)).alias("sample_size"),
-                 r2(F.avg(x)).alias("avg_noise_db"),
-                 r2(F.stddev_pop(x)).alias("std_dev_db"))
-            .filter(F.col("sample_size") >= min_count)
-            .orderBy(F.col("avg_noise_db").desc(), "geo_zone", "hour", "day_of_week")
+            .agg(*_aggs("count(1) AS sample_size",
+                        f"{R(f'avg({NOISE})')} AS avg_noise_db",
+                        f"{R(f'stddev_pop({NOISE})')} AS std_dev_db"))
+            .filter(f"sample_size >= {min_count}")
+            .orderBy(F.desc("avg_noise_db"), "geo_zone", "hour", "day_of_week")
             .limit(top))
 
 
@@ -164,21 +150,19 @@ SUMMARY_KEYS = ["geo_zone", "location_type", "hour", "day_of_week"]
 
 def summary_view(readings: DataFrame, exact: bool = True) -> DataFrame:
     """Query 11: dashboard summary by (zone, location, hour, day)."""
-    x = _noise()
-    return (readings.filter(x.isNotNull())
+    return (readings.filter(f"{NOISE} IS NOT NULL")
             .groupBy(*SUMMARY_KEYS)
-            .agg(F.count(F.lit(1)).alias("total_measurements"),
-                 r2(F.avg(x)).alias("avg_noise_db"),
-                 r2(F.stddev_pop(x)).alias("std_dev_db"),
-                 r2(F.min(x)).alias("min_noise_db"),
-                 r2(F.max(x)).alias("max_noise_db"),
-                 r2(median_expr(x, exact)).alias("median_noise_db"),
-                 F.count_if(x > 80.0).alias("extreme_noise_events"),
-                 F.count_if(x < 50.0).alias("quiet_events"))
-            .withColumn("day_type", X.day_type("day_of_week"))
-            .select(*SUMMARY_KEYS, "day_type", "total_measurements", "avg_noise_db",
-                    "std_dev_db", "min_noise_db", "max_noise_db", "median_noise_db",
-                    "extreme_noise_events", "quiet_events"))
+            .agg(*_aggs("count(1) AS total_measurements",
+                        f"{R(f'avg({NOISE})')} AS avg_noise_db",
+                        f"{R(f'stddev_pop({NOISE})')} AS std_dev_db",
+                        f"{R(f'min({NOISE})')} AS min_noise_db",
+                        f"{R(f'max({NOISE})')} AS max_noise_db",
+                        f"{R(median_sql(NOISE, exact))} AS median_noise_db",
+                        f"count_if({NOISE} > 80.0D) AS extreme_noise_events",
+                        f"count_if({NOISE} < 50.0D) AS quiet_events"))
+            .selectExpr(*SUMMARY_KEYS, f"{X.day_type_sql('day_of_week')} AS day_type",
+                        "total_measurements", "avg_noise_db", "std_dev_db", "min_noise_db",
+                        "max_noise_db", "median_noise_db", "extreme_noise_events", "quiet_events"))
 
 
 def export_aggregates(readings: DataFrame, digits: int | None = 6) -> DataFrame:
@@ -187,15 +171,16 @@ def export_aggregates(readings: DataFrame, digits: int | None = 6) -> DataFrame:
     ``digits`` (default 6) rounds half-up through DECIMAL so two engines that
     sum in a different order print the same value; ``None`` keeps raw doubles.
     """
-    x = _noise()
-    fix = (lambda c: X.round_half_up(c, digits)) if digits is not None else (lambda c: c)
-    return (readings.filter(x.isNotNull())
+    def fix(sql: str) -> str:
+        return R(sql, digits) if digits is not None else sql
+
+    return (readings.filter(f"{NOISE} IS NOT NULL")
             .groupBy(*SUMMARY_KEYS)
-            .agg(fix(F.avg(x)).alias("avg_noise_db"),
-                 fix(F.stddev_pop(x)).alias("std_dev_db"),
-                 F.count(F.lit(1)).alias("sample_count"),
-                 F.max(x).alias("max_noise_db"),
-                 F.min(x).alias("min_noise_db")))
+            .agg(*_aggs(f"{fix(f'avg({NOISE})')} AS avg_noise_db",
+                        f"{fix(f'stddev_pop({NOISE})')} AS std_dev_db",
+                        "count(1) AS sample_count",
+                        f"max({NOISE}) AS max_noise_db",
+                        f"min({NOISE}) AS min_noise_db")))
 
 
 def zone_hourly_stats(readings: DataFrame) -> DataFrame:
@@ -205,28 +190,25 @@ def zone_hourly_stats(readings: DataFrame) -> DataFrame:
     counts in the same single aggregate (no second shuffle, no join), with
     absent classes filtered out of the map.
     """
-    x = _noise()
-    cat = F.col("noise_category")
-    counts = [F.count_if(cat == label).alias(f"_n{i}") for i, label in enumerate(X.ALL_NOISE_CLASSES)]
-    agg = (readings.filter(x.isNotNull())
-           .groupBy("geo_zone", "hour", F.date_format("timestamp", "yyyy-MM-dd").alias("date_partition"))
-           .agg(r2(F.avg(x)).alias("avg_noise_db"),
-                r2(F.max(x)).alias("max_noise_db"),
-                r2(F.min(x)).alias("min_noise_db"),
-                r2(F.stddev_pop(x)).alias("std_dev_db"),
-                F.count(F.lit(1)).alias("sample_count"),
-                *counts))
-    cmap = F.map_filter(
-        F.map_from_arrays(F.array(*[F.lit(l) for l in X.ALL_NOISE_CLASSES]),
-                          F.array(*[F.col(f"_n{i}") for i in range(len(X.ALL_NOISE_CLASSES))])),
-        lambda k, v: v > 0)
-    return agg.select("geo_zone", "hour", "avg_noise_db", "max_noise_db", "min_noise_db",
-                      "std_dev_db", "sample_count",
-                      cmap.alias("noise_category_distribution"), "date_partition")
+    labels = X.ALL_NOISE_CLASSES
+    counts = [f"count_if(noise_category = {X.s(l)}) AS _n{i}" for i, l in enumerate(labels)]
+    agg = (readings.filter(f"{NOISE} IS NOT NULL")
+           .groupBy("geo_zone", "hour", E("date_format(`timestamp`, 'yyyy-MM-dd') AS date_partition"))
+           .agg(*_aggs(f"{R(f'avg({NOISE})')} AS avg_noise_db",
+                       f"{R(f'max({NOISE})')} AS max_noise_db",
+                       f"{R(f'min({NOISE})')} AS min_noise_db",
+                       f"{R(f'stddev_pop({NOISE})')} AS std_dev_db",
+                       "count(1) AS sample_count", *counts)))
+    keys = ", ".join(X.s(l) for l in labels)
+    vals = ", ".join(f"_n{i}" for i in range(len(labels)))
+    cmap = f"map_filter(map_from_arrays(array({keys}), array({vals})), (k, v) -> v > 0)"
+    return agg.selectExpr("geo_zone", "hour", "avg_noise_db", "max_noise_db", "min_noise_db",
+                          "std_dev_db", "sample_count", f"{cmap} AS noise_category_distribution",
+                          "date_partition")
 
 
 def explode_category_map(stats: DataFrame) -> DataFrame:
     """Hourly zone statistics with the class map as rows (for comparison)."""
-    return stats.select("geo_zone", "hour", "date_partition", "avg_noise_db", "max_noise_db",
-                        "min_noise_db", "std_dev_db", "sample_count",
-                        F.explode("noise_category_distribution").alias("noise_category", "category_count"))
+    return stats.selectExpr("geo_zone", "hour", "date_partition", "avg_noise_db", "max_noise_db",
+                            "min_noise_db", "std_dev_db", "sample_count",
+                            "explode(noise_category_distribution) AS (noise_category, category_count)")

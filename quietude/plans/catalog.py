@@ -9,8 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from quietude.functions.expr import round_half_up_sql
 from quietude.operators import complaints as C
 from quietude.operators import features, report, stats, text, trends
 from quietude.sinks.writers import upsert
@@ -122,9 +122,9 @@ def q_noise_grouping_sets(spark, sf):
 
 def q_moments_partial(spark, sf):
     p = stats.moments_partial(_readings(spark, sf))
-    return p.select("key", "date", "n", "min_x", "max_x",
-                    features.X.round_half_up(F.col("sum_x"), 6).alias("sum_x"),
-                    features.X.round_half_up(F.col("sum_x2"), 6).alias("sum_x2"))
+    return p.selectExpr("key", "date", "n", "min_x", "max_x",
+                        f"{round_half_up_sql('sum_x', 6)} AS sum_x",
+                        f"{round_half_up_sql('sum_x2', 6)} AS sum_x2")
 
 
 def q_moments_merge(spark, sf):
@@ -173,16 +173,16 @@ def q_distinct_zones(spark, sf):
 
 def q_zone_stats_upsert(spark, sf):
     store = _store(spark, sf)
-    cut = F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
-    old = stats.zone_statistics(store.filter(F.col("timestamp") < cut))
-    new = stats.zone_statistics(store.filter(F.col("timestamp") >= cut))
+    cut = f"TIMESTAMP_NTZ '{UPSERT_CUTOFF}'"
+    old = stats.zone_statistics(store.filter(f"`timestamp` < {cut}"))
+    new = stats.zone_statistics(store.filter(f"`timestamp` >= {cut}"))
     return upsert(old, new, "geo_zone")
 
 
 # --- text -----------------------------------------------------------------
 
 def q_word_count(spark, sf):
-    return text.word_count(_docs(spark, sf).select(F.col("text").alias("value")))
+    return text.word_count(_docs(spark, sf).withColumnRenamed("text", "value"))
 
 
 def q_keyword_search(spark, sf):

@@ -8,7 +8,6 @@ written in the DuckDB oracle (``quietude.plans.oracle``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quietude.functions import expr as X
 from quietude.operators import features
@@ -22,30 +21,31 @@ EVENT_LOCATION = {
     "purchase": "Indoor - Commercial",
 }
 
+_LOCATION_SQL = ("CASE " + " ".join(f"WHEN event_type = {X.s(e)} THEN {X.s(loc)}"
+                                     for e, loc in EVENT_LOCATION.items()) + " END")
+_LAT_SQL = "CASE WHEN user_id % 7 != 0 THEN 1.2D + CAST(user_id % 15 AS DOUBLE) * 0.02D END"
+_LON_SQL = "CASE WHEN user_id % 7 != 0 THEN 103.6D + CAST(user_id div 10 AS DOUBLE) * 0.03D END"
+_NOISE_SQL = X.clip_keep_null_sql("40.0D + value * 0.5D")
 
-def _event_location(event_type):
-    expr = None
-    for ev, loc in EVENT_LOCATION.items():
-        expr = F.when(event_type == ev, F.lit(loc)) if expr is None else expr.when(event_type == ev, F.lit(loc))
-    return expr
+READING_TABLE_COLUMNS = ["timestamp", "participant_id", "latitude", "longitude", "noise_level_db",
+                         "noise_category", "location_type", "noise_kind", "hour", "day_of_week",
+                         "geo_zone"]
 
 
 def events_to_raw(events: DataFrame) -> DataFrame:
     """Events in the reading layout before zoning (keeps ``reading_id``)."""
-    uid = F.col("user_id")
-    no_coords = (uid % 7) == 0
-    return events.select(
-        F.col("event_id").alias("reading_id"),
-        F.col("ts").alias("timestamp"),
-        uid.cast("string").alias("participant_id"),
-        F.when(~no_coords, F.lit(1.2) + (uid % 15) * F.lit(0.02)).alias("latitude"),
-        F.when(~no_coords, F.lit(103.6) + F.expr("user_id div 10") * F.lit(0.03)).alias("longitude"),
-        X.clip_keep_null(F.lit(40.0) + F.col("value") * F.lit(0.5)).alias("noise_level_db"),
-        _event_location(F.col("event_type")).alias("location_type"),
-        F.col("props").alias("noise_kind"),
-        F.hour("ts").cast("bigint").alias("hour"),
-        F.weekday("ts").cast("bigint").alias("day_of_week"),
-        F.col("value"),
+    return events.selectExpr(
+        "event_id AS reading_id",
+        "ts AS `timestamp`",
+        "CAST(user_id AS STRING) AS participant_id",
+        f"{_LAT_SQL} AS latitude",
+        f"{_LON_SQL} AS longitude",
+        f"{_NOISE_SQL} AS noise_level_db",
+        f"{_LOCATION_SQL} AS location_type",
+        "props AS noise_kind",
+        "CAST(hour(ts) AS BIGINT) AS hour",
+        "CAST(weekday(ts) AS BIGINT) AS day_of_week",
+        "value",
     )
 
 
@@ -56,29 +56,30 @@ def readings(events: DataFrame, keep_id: bool = True) -> DataFrame:
     ``keep_id=False`` for the eleven table columns only.
     """
     raw = events_to_raw(events)
-    df = features.with_noise_category(raw)
-    df = features.with_geo_zone(df, "latitude", "longitude")
-    cols = ["timestamp", "participant_id", "latitude", "longitude", "noise_level_db",
-            "noise_category", "location_type", "noise_kind", "hour", "day_of_week", "geo_zone"]
-    return df.select(*(["reading_id"] if keep_id else []), *cols)
+    bounds = features.axis_bounds(raw, "latitude", "longitude")
+    exprs = {c: X.q(c) for c in READING_TABLE_COLUMNS}
+    exprs["noise_category"] = X.noise_category_sql("noise_level_db")
+    exprs["geo_zone"] = features.geo_zone_sql("latitude", "longitude", bounds)
+    sel = [f"{v} AS {X.q(k)}" for k, v in exprs.items()]
+    return raw.selectExpr(*(["reading_id"] if keep_id else []), *sel)
 
 
 def offset_inputs(events: DataFrame) -> DataFrame:
     """Inputs for the offset operator: base estimate and measured exposure."""
-    return events_to_raw(events).select(
-        "reading_id", "location_type",
-        F.least(F.lit(45.0) + F.col("value") * F.lit(0.1), F.lit(85.0)).alias("base_noise_db"),
-        F.when(F.col("reading_id") % 10 == 0, F.col("value")).alias("measured_db"),
+    return events.selectExpr(
+        "event_id AS reading_id",
+        f"{_LOCATION_SQL} AS location_type",
+        "least(45.0D + value * 0.1D, 85.0D) AS base_noise_db",
+        "CASE WHEN event_id % 10 = 0 THEN value END AS measured_db",
     )
 
 
 def order_series(orders: DataFrame) -> DataFrame:
     """Orders as a time series for the monthly trend job."""
-    return orders.select(F.col("o_orderdate").alias("timestamp"),
-                         F.col("o_totalprice").alias("value"))
+    return orders.selectExpr("o_orderdate AS `timestamp`", "o_totalprice AS value")
 
 
 def customer_records(customer: DataFrame) -> DataFrame:
     """Customers as space-separated ``id name balance`` record lines."""
-    return customer.select(F.concat_ws(" ", F.col("c_custkey").cast("string"), F.col("c_name"),
-                                       F.format_string("%.2f", F.col("c_acctbal"))).alias("value"))
+    return customer.selectExpr(
+        "concat_ws(' ', CAST(c_custkey AS STRING), c_name, format_string('%.2f', c_acctbal)) AS value")
