@@ -29,10 +29,11 @@ def document_lines(documents: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def raw_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw sensor CSV with a header, explicit schema, ``""`` unescaped."""
-    return (spark.read.schema(RAW_SENSOR_SCHEMA)
-            .options(header=True, escape='"', mode="PERMISSIVE")
-            .csv(path))
+    """Raw sensor CSV with a header: the nine used columns picked by name
+    (the file has many more, in any order) and typed explicitly. Reading
+    every field as text avoids an inference pass; ``""`` is unescaped."""
+    raw = spark.read.options(header=True, escape='"', mode="PERMISSIVE").csv(path)
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in RAW_SENSOR_SCHEMA.fields])
 
 
 def readings_tsv_as_text(spark: SparkSession, path: str) -> DataFrame:

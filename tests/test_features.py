@@ -117,3 +117,31 @@ def test_store_load_requires_coordinates(spark):
     df = spark.createDataFrame([(50.0, 1.0, 2.0), (None, 1.0, 2.0), (50.0, None, 2.0)],
                                "noise_level_db double, latitude double, longitude double")
     assert features.readings_complete(df).count() == 1
+
+
+def test_preprocess_raw_csv(spark, tmp_out):
+    import os
+    from quietude.sources.tables import raw_sensor_csv
+    csv = os.path.join(tmp_out, "raw.csv")
+    with open(csv, "w") as f:
+        # columns in another order than the job's, plus unused ones
+        f.write("extra,id_participant,time,ws_latitude,ws_longitude,q_location,q_noise_kind,q_noise_nearby,"
+                "ts_heart_rate,ts_audio_exposure_environment\n")
+        f.write('x,p1,2022-10-17 09:18:17.134000+08:00,1.30,103.8,Outdoor,"Traffic, ""heavy""",yes,70,\n')
+        f.write("x,p2,2022-10-18 23:05:00+08:00,,,Indoor - Home,Quiet,no,60,88.5\n")
+        f.write("x,p3,,1.35,103.9,Outdoor,k,no,60,\n")          # NULL time: dropped
+        f.write("x,p4,not a time,1.40,104.0,Somewhere,k,no,60,\n")  # unparseable: kept, NULL time
+    raw = raw_sensor_csv(spark, csv).withColumn("base", X.E("CAST(60.0 AS DOUBLE)"))
+    out = {r["id_participant"]: r for r in features.preprocess_raw(raw, "base").collect()}
+    assert set(out) == {"p1", "p2", "p4"}
+    p1, p2, p4 = out["p1"], out["p2"], out["p4"]
+    assert p1["time"] == dt.datetime(2022, 10, 17, 9, 18, 17, 134000)   # local wall clock
+    assert (p1["hour"], p1["day_of_week"], p1["noise_level_db"]) == (9, 0, 70.0)   # 60 + 10 outdoor
+    assert p1["q_noise_kind"] == 'Traffic, "heavy"'
+    assert p2["noise_level_db"] == 88.5 and p2["noise_category"] == "Extremely Noisy"  # measured wins
+    assert p2["geo_zone"].startswith("nan_") and p2["hour"] == 23
+    assert p4["time"] is None and p4["hour"] is None and p4["noise_level_db"] == 60.0
+    renamed = features.rename_to_table(features.preprocess_raw(raw, "base"))
+    assert {"timestamp", "participant_id", "latitude", "location_type"} <= set(renamed.columns)
+    stored = features.store_coerce(features.readings_complete(renamed.withColumnRenamed("ws_longitude", "longitude")))
+    assert dict(stored.dtypes)["hour"] == "bigint"
