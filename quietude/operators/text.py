@@ -30,6 +30,7 @@ COMPLAINT_KEYWORDS = {
 }
 # Word runs (letters, digits, underscore in any script) and the kept form.
 WORD_RUN = r"[\p{L}\p{N}_]+"
+NON_WORD = r"[^\p{L}\p{N}_]+"
 KEPT_WORD = r"^[a-z]{4,}$"
 # ---------------------------------------------------------------------------
 
@@ -71,11 +72,16 @@ def sort_by_name(records: DataFrame, col: str = "value") -> DataFrame:
 
 def word_frequency(texts: DataFrame, col: str = "text", top: int | None = 20) -> DataFrame:
     """Words of four or more ASCII letters (whole word runs, lower-cased) and
-    their counts, most frequent first, ties by word; ``top`` rows (A26)."""
-    runs = F.explode(F.regexp_extract_all(F.lower(F.col(col)), F.lit(WORD_RUN), 0)).alias("word")
-    out = (texts.select(runs).filter(F.col("word").rlike(KEPT_WORD))
-           .groupBy("word").agg(F.count(F.lit(1)).alias("count"))
-           .orderBy(F.col("count").desc(), F.col("word")))
+    their counts, most frequent first, ties by word; ``top`` rows (A26).
+
+    Word runs are the pieces between non-word characters; a run is kept only
+    if it is entirely ``[a-z]`` (so accented words are not cut into ASCII
+    fragments). The cheap length test runs before the pattern test.
+    """
+    runs = texts.selectExpr(f"explode(split(lower({q(col)}), {s(NON_WORD)})) AS word")
+    out = (runs.filter(f"length(word) >= 4 AND word RLIKE {s(KEPT_WORD)}")
+           .groupBy("word").agg(E("count(1) AS count"))
+           .orderBy(F.desc("count"), "word"))
     return out.limit(top) if top else out
 
 
