@@ -145,24 +145,30 @@ def dataset_stats(store: DataFrame) -> DataFrame:
         "count(DISTINCT participant_id) AS participants", "count(DISTINCT geo_zone) AS zones")])
 
 
-def noise_describe(readings: DataFrame, col: str = NOISE, digits: int = 5) -> DataFrame:
-    """count, mean, sample std, min, 25/50/75 % (exact, interpolated), max."""
+def noise_describe(readings: DataFrame, col: str = NOISE, digits: int = 5,
+                   exact: bool = True) -> DataFrame:
+    """count, mean, sample std, min, 25/50/75 %, max (A20). Quartiles are exact
+    and interpolated (one count per distinct value, bounded for quantised
+    readings); ``exact=False`` uses ``percentile_approx``."""
     x = q(col)
+    quart = (f"percentile({x}, array(0.25, 0.5, 0.75))" if exact
+             else f"percentile_approx({x}, array(0.25, 0.5, 0.75), 10000)")
     return (readings.agg(*[E(a) for a in (
         f"count({x}) AS count", f"{R(f'avg({x})', digits)} AS mean",
         f"{R(f'stddev_samp({x})', digits)} AS std", f"min({x}) AS min",
-        f"percentile({x}, array(0.25, 0.5, 0.75)) AS _q", f"max({x}) AS max")])
+        f"{quart} AS _q", f"max({x}) AS max")])
             .selectExpr("count", "mean", "std", "min", f"{R('_q[0]', digits)} AS p25",
                         f"{R('_q[1]', digits)} AS p50", f"{R('_q[2]', digits)} AS p75", "max"))
 
 
-def noise_summary(readings: DataFrame, col: str = NOISE) -> DataFrame:
+def noise_summary(readings: DataFrame, col: str = NOISE, exact: bool = True) -> DataFrame:
     """Whole-table count, mean, sample std, min, max, median, 2 places."""
     x = q(col)
+    med = f"median({x})" if exact else f"percentile_approx({x}, 0.5, 10000)"
     return readings.agg(*[E(a) for a in (
         "count(1) AS total_records", f"{R(f'avg({x})')} AS mean_db",
         f"{R(f'stddev_samp({x})')} AS std_dev_db", f"{R(f'min({x})')} AS min_db",
-        f"{R(f'max({x})')} AS max_db", f"{R(f'median({x})')} AS median_db")])
+        f"{R(f'max({x})')} AS max_db", f"{R(med)} AS median_db")])
 
 
 def value_counts(df: DataFrame, col: str, with_pct: bool = True) -> DataFrame:
