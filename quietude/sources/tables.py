@@ -28,12 +28,15 @@ def document_lines(documents: DataFrame, text_col: str = "text") -> DataFrame:
     return documents.select(F.explode(F.split(F.col(text_col), "\n")).alias("value"))
 
 
-def raw_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
+def raw_sensor_csv(spark: SparkSession, path: str, extra_cols: tuple[str, ...] = ()) -> DataFrame:
     """Raw sensor CSV with a header: the nine used columns picked by name
-    (the file has many more, in any order) and typed explicitly. Reading
-    every field as text avoids an inference pass; ``""`` is unescaped."""
+    (the file has many more, in any order) and typed explicitly; ``extra_cols``
+    are kept as DOUBLE (for example a base noise estimate). Reading every
+    field as text avoids an inference pass; ``""`` is unescaped."""
     raw = spark.read.options(header=True, escape='"', mode="PERMISSIVE").csv(path)
-    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in RAW_SENSOR_SCHEMA.fields])
+    cols = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in RAW_SENSOR_SCHEMA.fields]
+    cols += [F.col(f"`{c}`").cast("double").alias(c) for c in extra_cols]
+    return raw.select(*cols)
 
 
 def readings_tsv_as_text(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,72 @@
+"""End-to-end jobs write every output and agree with the operators."""
+
+import json
+import os
+
+from quietude.plans import pipeline as P
+from quietude.sources import adapter
+from quietude.sources.tables import table
+from tests.conftest import SF_SMALL
+
+
+def _write_lines(path, lines):
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_line_jobs(spark, tmp_out):
+    src = os.path.join(tmp_out, "input.txt")
+    _write_lines(src, ["hadoop big data hadoop", "big data analytics", "hadoop analytics"])
+    P.word_count_job(spark, src, os.path.join(tmp_out, "wc"))
+    assert sorted(r["value"] for r in spark.read.text(os.path.join(tmp_out, "wc")).collect()) == \
+        ["analytics\t2", "big\t2", "data\t2", "hadoop\t3"]
+    P.keyword_search_job(spark, src, os.path.join(tmp_out, "ks"))
+    assert sorted(r["value"] for r in spark.read.text(os.path.join(tmp_out, "ks")).collect()) == \
+        ["Found\thadoop analytics", "Found\thadoop big data hadoop"]
+    students = os.path.join(tmp_out, "students.txt")
+    _write_lines(students, ["1 Rahul 85", "2 Aman 90", "3 Zaid 75"])
+    P.sort_by_name_job(spark, students, os.path.join(tmp_out, "sorted"))
+    assert sorted(r["value"] for r in spark.read.text(os.path.join(tmp_out, "sorted")).collect()) == \
+        ["Aman\t2 Aman 90", "Rahul\t1 Rahul 85", "Zaid\t3 Zaid 75"]
+
+
+def test_preprocess_then_signal(spark, tmp_out):
+    raw = os.path.join(tmp_out, "raw.csv")
+    rows = ["time,id_participant,ws_latitude,ws_longitude,q_location,q_noise_kind,q_noise_nearby,"
+            "ts_audio_exposure_environment,ts_heart_rate,base_db"]
+    for i in range(40):
+        loc = ["Outdoor", "Indoor - Home", "Indoor - Transport", ""][i % 4]
+        rows.append(f"2023-0{1 + i % 3}-1{i % 10} {i % 24:02d}:00:00+08:00,p{i % 5},{1.2 + i * 0.01},"
+                    f"{103.6 + i * 0.02},{loc},k{i % 3},no,,70,{45 + i}")
+    _write_lines(raw, rows)
+    readings = P.preprocessing_job(spark, raw, "base_db", tmp_out)
+    assert readings.count() == 40
+    result = P.signal_processing_job(spark, os.path.join(tmp_out, "noise_data_for_hdfs"), tmp_out)
+    kinds = {r["key"].split(":")[0] for r in result.collect()}
+    assert kinds == {"zone_hour", "location_hour", "day", "hour", "zone"}
+    back = spark.read.options(sep="\t", header=True).csv(os.path.join(tmp_out, "mapreduce_results"))
+    assert back.count() == result.count()
+
+
+def test_noise_pipeline(spark, tmp_out):
+    readings = P.materialise(adapter.readings(table(spark, SF_SMALL, "events")),
+                             os.path.join(tmp_out, "readings"))
+    P.trend_queries_job(spark, readings, tmp_out)
+    for name in P.TREND_QUERIES:
+        assert os.path.isdir(os.path.join(tmp_out, name))
+    assert spark.table("noise_pollution_summary").count() > 0
+    assert spark.read.csv(os.path.join(tmp_out, "mongodb_export")).count() > 0
+    out = P.storage_job(spark, readings, os.path.join(tmp_out, "store"), run_ts="2024-02-01T00:00:00")
+    ds = out["dataset"].first()
+    assert ds["total_records"] == readings.filter("latitude IS NOT NULL").count()
+    doc = P.complaints_job(spark, readings, tmp_out, run_ts="2024-02-01T00:00:00").first()
+    assert doc["summary"]["total_complaints"] == 500
+    files = [f for f in os.listdir(os.path.join(tmp_out, "web_analytics_report")) if f.endswith(".json")]
+    obj = json.loads(open(os.path.join(tmp_out, "web_analytics_report", files[0])).read())
+    assert obj["generated_at"] == "2024-02-01T00:00:00" and len(obj["insights"]) == 4
+
+
+def test_complaints_without_ids(spark, tmp_out):
+    readings = adapter.readings(table(spark, SF_SMALL, "events"), keep_id=False)
+    doc = P.complaints_job(spark, readings, tmp_out, run_ts="t", n=50).first()
+    assert doc["summary"]["total_complaints"] == 50
