@@ -51,7 +51,8 @@ def get_session(master: str | None = None, app: str = "quietude",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if (spark.sparkContext.master or "").startswith("local"):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -59,13 +60,18 @@ def ensure_checkpoint_dir(spark: SparkSession, local_fallback: str | None = None
     """Return the session's checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local runs, tests) is a fresh scratch
-    folder created and registered.
+    as is; when it is unset there, this raises instead of inventing a
+    machine-local folder that other executors cannot see. Only local runs
+    (tests, a laptop) get a fresh scratch folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) "
+                           "for jobs that checkpoint on a cluster")
     path = local_fallback or tempfile.mkdtemp(prefix="quietude-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
