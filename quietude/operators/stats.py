@@ -145,6 +145,14 @@ def dataset_stats(store: DataFrame) -> DataFrame:
         "count(DISTINCT participant_id) AS participants", "count(DISTINCT geo_zone) AS zones")])
 
 
+def readings_overview(readings: DataFrame) -> DataFrame:
+    """Measurements, first and last time, distinct participants (A19, the
+    preprocessing summary)."""
+    return readings.agg(*[E(a) for a in (
+        "count(1) AS total_measurements", "min(`timestamp`) AS first_time",
+        "max(`timestamp`) AS last_time", "count(DISTINCT participant_id) AS participants")])
+
+
 def noise_describe(readings: DataFrame, col: str = NOISE, digits: int = 5,
                    exact: bool = True) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 %, max (A20). Quartiles are exact

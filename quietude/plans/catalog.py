@@ -147,6 +147,10 @@ def q_dataset_stats(spark, sf):
     return stats.dataset_stats(_store(spark, sf))
 
 
+def q_readings_overview(spark, sf):
+    return stats.readings_overview(_readings(spark, sf))
+
+
 def q_noise_describe(spark, sf):
     return stats.noise_describe(_readings(spark, sf))
 

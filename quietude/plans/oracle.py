@@ -268,6 +268,8 @@ FROM store WHERE hour IS NOT NULL GROUP BY hour ORDER BY hour"""
     q["dataset_stats"] = W + f"""SELECT count(*) AS total_records, {R('avg(noise_level_db)')} AS avg_noise_db,
        min(noise_level_db) AS min_noise_db, max(noise_level_db) AS max_noise_db,
        count(DISTINCT participant_id) AS participants, count(DISTINCT geo_zone) AS zones FROM store"""
+    q["readings_overview"] = W + """SELECT count(*) AS total_measurements, min("timestamp") AS first_time,
+       max("timestamp") AS last_time, count(DISTINCT participant_id) AS participants FROM readings"""
     q["noise_describe"] = W + f"""SELECT count(noise_level_db) AS count, {R('avg(noise_level_db)', 5)} AS mean,
        {R('stddev_samp(noise_level_db)', 5)} AS std, min(noise_level_db) AS min,
        {R('quantile_cont(noise_level_db, 0.25)', 5)} AS p25, {R('quantile_cont(noise_level_db, 0.5)', 5)} AS p50,

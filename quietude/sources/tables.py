@@ -70,7 +70,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     cores (one small file, one row group), so per-row work such as
     tokenizing runs in parallel. A no-op for inputs that already have enough
     splits, which is every large input."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= want:
+            return df
+    except Exception:  # no RDD access (e.g. a Connect session): leave the scan as is
         return df
     return df.repartition(want)
