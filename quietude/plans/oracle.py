@@ -7,7 +7,6 @@ the same tie-breaks. Keys match ``quietude.plans.catalog.QUERIES``.
 
 from __future__ import annotations
 
-from quietude.functions.expr import ALL_NOISE_CLASSES  # noqa: F401  (documented set)
 from quietude.operators.text import COMPLAINT_KEYWORDS
 from quietude.plans.catalog import COMPLAINT_COUNT, SEARCH_KEYWORD, UPSERT_CUTOFF
 

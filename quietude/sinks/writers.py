@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quietude.operators import features
-from quietude.sources.schemas import EXPORT_HEADER
 
 # Local wall-clock time with full microseconds (the CSV default keeps millis).
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -136,5 +135,5 @@ __all__ = [
     "write_key_value_text", "export_readings_tsv", "write_csv", "write_stats_tsv",
     "insert_overwrite_directory", "write_partitioned_parquet", "append_table", "upsert",
     "upsert_table", "write_json_lines", "write_report_json", "create_view",
-    "create_table_if_absent", "EXPORT_HEADER",
+    "create_table_if_absent",
 ]

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from quietude.functions import expr as X
 from quietude.operators import features
 
