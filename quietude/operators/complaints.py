@@ -109,20 +109,47 @@ def sample_order_sql(id_col: str = "reading_id") -> str:
     return f"(({q(id_col)} * 7919) % {SAMPLE_MODULUS})"
 
 
+# Rows the final merge of a plain top-n may receive (input tasks x n) before
+# the sample switches to the histogram cutoff.
+TOPK_MERGE_LIMIT = 2_000_000
+
+
+def _input_partitions(df: DataFrame) -> int | None:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Connect session)
+        return None
+
+
 def sample_high_noise(readings: DataFrame, n: int = 500,
                       threshold: float = HIGH_NOISE_DB) -> DataFrame:
     """``n`` readings above ``threshold`` in sample order; when fewer than
     ``n`` exist, ``n`` from all readings instead (O7).
 
-    The fallback test is a scalar subquery, not a driver-side count, and the
-    pick is a top-n (each task keeps ``n`` rows), so no task holds more than
-    ``n`` rows per input partition.
+    Nothing goes through the driver and no task sees more than a bounded
+    share of the rows:
+
+    * the fallback test is a scalar subquery (count of rows above the
+      threshold);
+    * the pick is a top-n: each task keeps n rows, one task merges them.
+      When input tasks x n could exceed ``TOPK_MERGE_LIMIT`` rows, a
+      histogram of the sample key (at most ``SAMPLE_MODULUS`` values,
+      partially aggregated) first gives the smallest key ``K`` whose
+      cumulative count reaches ``n``. Only rows with key <= K go on to the
+      top-n, so the merge receives at most n + rows(K) rows.
     """
     high = f"noise_level_db > {X.dbl(threshold)}"
     n_high = readings.filter(high).agg(E("count(1)")).scalar()
-    return (readings.filter(E(high) | (n_high < n))
-            .orderBy(E(sample_order_sql()), "reading_id")
-            .limit(n))
+    cand = (readings.filter(E(high) | (n_high < n))
+            .withColumn("_sample_key", E(sample_order_sql())))
+    parts = _input_partitions(readings)
+    if parts is None or parts * n > TOPK_MERGE_LIMIT:
+        hist = cand.groupBy("_sample_key").agg(E("count(1) AS _n"))
+        running = hist.withColumn("_cum", F.sum("_n").over(
+            Window.orderBy("_sample_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        cutoff = running.filter(f"_cum >= {n}").agg(E("min(_sample_key)")).scalar()
+        cand = cand.filter(cutoff.isNull() | (F.col("_sample_key") <= cutoff))
+    return cand.orderBy("_sample_key", "reading_id").limit(n).drop("_sample_key")
 
 
 def complaints(readings: DataFrame, n: int = 500) -> DataFrame:

@@ -64,3 +64,11 @@ def test_complaint_ids(spark):
     r = adapter.readings(table(spark, SF_SMALL, "events"))
     ids = [x["complaint_id"] for x in C.complaints(r, 50).collect()]
     assert all(i.startswith("NC") and len(i) >= 8 for i in ids) and len(set(ids)) == 50
+
+
+def test_sample_cutoff_path_same_rows(spark, monkeypatch):
+    r = adapter.readings(table(spark, SF_SMALL, "events"))
+    plain = [x["reading_id"] for x in C.sample_high_noise(r, 200).collect()]
+    monkeypatch.setattr(C, "TOPK_MERGE_LIMIT", 0)  # force the histogram cutoff
+    cut = [x["reading_id"] for x in C.sample_high_noise(r, 200).collect()]
+    assert plain == cut and len(cut) == 200
