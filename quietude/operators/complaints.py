@@ -195,10 +195,10 @@ def complaint_status(c: DataFrame) -> DataFrame:
 
 
 def _counts_with_total(c: DataFrame, col: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Per-value counts carrying the overall total; the window runs over the
-    grouped rows (one per value), not over the complaints."""
+    """Per-value counts carrying the overall total (a scalar subquery over the
+    grouped rows, whose shuffle is reused)."""
     grouped = c.groupBy(col).agg(E("count(1) AS n"), *[E(x) for x in extra])
-    return grouped.withColumn("total", F.sum("n").over(Window.partitionBy()))
+    return grouped.withColumn("total", grouped.agg(F.sum("n")).scalar())
 
 
 def top_zone_share(c: DataFrame, k: int = 5) -> DataFrame:

@@ -10,7 +10,7 @@ holding a third of the rows) sends one partial row per task, not its rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quietude.functions import expr as X
@@ -111,11 +111,13 @@ def monthly_trends(series: DataFrame, time_col: str = "timestamp", value_col: st
 
 
 def with_share_of_total(grouped: DataFrame, count_col: str, out: str = "percentage") -> DataFrame:
-    """``100 * n / sum(n) over ()`` (W1). Applied to already-grouped rows, so
-    the single window partition holds one row per group."""
-    total = F.sum(F.col(count_col)).over(Window.partitionBy())
-    return grouped.withColumn("_total", total).withColumn(
-        out, E(R(f"100.0D * {q(count_col)} / _total"))).drop("_total")
+    """``100 * n / sum(n)`` over all groups (W1, ``SUM(COUNT(*)) OVER ()``).
+
+    The total is a scalar subquery over the grouped rows (its shuffle is
+    reused), not an empty-partition window, so a column with millions of
+    distinct values never lands in one task."""
+    total = grouped.agg(F.sum(count_col).alias("_t")).scalar()
+    return grouped.withColumn(out, X.round_half_up(F.lit(100.0) * F.col(count_col) / total))
 
 
 def category_distribution(readings: DataFrame) -> DataFrame:
