@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import argparse
 
-from quietude.plans import pipeline as P
+from quietude.plans import jobs as P
 from quietude.session import get_session
 
 

@@ -46,7 +46,7 @@ def sort_by_name_job(spark: SparkSession, input_path: str, output_path: str) ->
                            "name", "record")
 
 
-# --- noise pipeline -----------------------------------------------------------
+# --- noise jobs ---------------------------------------------------------------
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write once, read back: later steps start from stored columns (and

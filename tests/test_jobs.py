@@ -3,7 +3,7 @@
 import json
 import os
 
-from quietude.plans import pipeline as P
+from quietude.plans import jobs as P
 from quietude.sources import adapter
 from quietude.sources.tables import table
 from tests.conftest import SF_SMALL
@@ -48,7 +48,7 @@ def test_preprocess_then_signal(spark, tmp_out):
     assert back.count() == result.count()
 
 
-def test_noise_pipeline(spark, tmp_out):
+def test_noise_jobs(spark, tmp_out):
     readings = P.materialise(adapter.readings(table(spark, SF_SMALL, "events")),
                              os.path.join(tmp_out, "readings"))
     P.trend_queries_job(spark, readings, tmp_out)
