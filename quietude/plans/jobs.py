@@ -122,5 +122,5 @@ def complaints_job(spark: SparkSession, readings: DataFrame, out_root: str, run_
     c = materialise(C.complaints(readings, n), _p(out_root, "public_complaints_parquet"))
     W.write_csv(c, _p(out_root, "public_complaints"))
     doc = report.report_document(c, readings, run_ts=run_ts)
-    W.write_report_json(doc, _p(out_root, "web_analytics_report"))
+    W.write_report_json(doc, _p(out_root, "complaint_report"))
     return doc

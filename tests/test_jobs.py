@@ -61,8 +61,8 @@ def test_noise_jobs(spark, tmp_out):
     assert ds["total_records"] == readings.filter("latitude IS NOT NULL").count()
     doc = P.complaints_job(spark, readings, tmp_out, run_ts="2024-02-01T00:00:00").first()
     assert doc["summary"]["total_complaints"] == 500
-    files = [f for f in os.listdir(os.path.join(tmp_out, "web_analytics_report")) if f.endswith(".json")]
-    obj = json.loads(open(os.path.join(tmp_out, "web_analytics_report", files[0])).read())
+    files = [f for f in os.listdir(os.path.join(tmp_out, "complaint_report")) if f.endswith(".json")]
+    obj = json.loads(open(os.path.join(tmp_out, "complaint_report", files[0])).read())
     assert obj["generated_at"] == "2024-02-01T00:00:00" and len(obj["insights"]) == 4
 
 
