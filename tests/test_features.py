@@ -143,3 +143,12 @@ def test_preprocess_raw_csv(spark, tmp_out):
     assert {"timestamp", "participant_id", "latitude", "location_type"} <= set(renamed.columns)
     stored = features.store_coerce(features.readings_complete(renamed.withColumnRenamed("ws_longitude", "longitude")))
     assert dict(stored.dtypes)["hour"] == "bigint"
+
+
+def test_cluster_settings_scale_with_input():
+    from quietude.session import cluster_settings
+    small = cluster_settings(10 << 30, 64)
+    big = cluster_settings(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128          # 2x cores floor
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000        # capped
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
