@@ -11,6 +11,8 @@ Streaming gives both incrementally:
   overwrites only its own partition, so a retry never double-counts.
 * ``merged_moments``: the current statistics = merge of all stored
   partials (same result as one pass over all rows).
+* ``compact_partials``: folds many per-batch partitions into one partial
+  row per key (written to a new folder), keeping later merges cheap.
 
 Geographic zones need global bounds, so the stream reads readings that are
 already zoned (for example an exported readings table).
@@ -21,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from quietude.functions.expr import E
 from quietude.operators import stats
 from quietude.sources.schemas import READINGS_SCHEMA
 
@@ -64,3 +67,16 @@ def moments_by_batch(stream: DataFrame, table_path: str, checkpoint: str,
 def merged_moments(spark: SparkSession, table_path: str) -> DataFrame:
     """Current keyed statistics from all stored partials (A5)."""
     return stats.moments_merge(spark.read.parquet(table_path).drop("batch_id"))
+
+
+def compact_partials(spark: SparkSession, table_path: str, out_path: str) -> DataFrame:
+    """Fold all per-batch partials into one row per key under ``out_path``
+    (a new folder; the source stays intact until the caller switches).
+    Sums add, minima and maxima combine; the result keeps the highest batch
+    id so later batches can still be appended next to it."""
+    parts = spark.read.parquet(table_path)
+    folded = parts.groupBy("key").agg(*[E(a) for a in (
+        "sum(n) AS n", "sum(sum_x) AS sum_x", "min(min_x) AS min_x", "max(max_x) AS max_x",
+        "sum(sum_x2) AS sum_x2", "max(batch_id) AS batch_id")])
+    folded.write.mode("overwrite").partitionBy("batch_id").parquet(out_path)
+    return spark.read.parquet(out_path)

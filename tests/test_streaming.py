@@ -28,6 +28,14 @@ def test_streamed_partials_merge_to_batch_result(spark, tmp_out):
         assert (gn, glo, ghi) == (n, lo, hi)
         assert abs(gmean - mean) <= 0.011 and abs(gstd - std) <= 0.011
     assert spark.read.parquet(parts).select("batch_id").distinct().count() > 1
+    compacted = os.path.join(tmp_out, "compacted")
+    S.compact_partials(spark, parts, compacted)
+    again = {x["key"]: tuple(x[1:]) for x in S.merged_moments(spark, compacted).collect()}
+    assert again.keys() == got.keys()
+    for k, v in got.items():
+        assert again[k][0] == v[0] and again[k][3:] == v[3:]
+        assert abs(again[k][1] - v[1]) <= 0.011 and abs(again[k][2] - v[2]) <= 0.011
+    assert spark.read.parquet(compacted).select("batch_id").distinct().count() == 1
 
 
 def test_append_stream_exactly_once(spark, tmp_out):
