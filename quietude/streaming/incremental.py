@@ -75,8 +75,9 @@ def compact_partials(spark: SparkSession, table_path: str, out_path: str) -> Dat
     Sums add, minima and maxima combine; the result keeps the highest batch
     id so later batches can still be appended next to it."""
     parts = spark.read.parquet(table_path)
+    last = parts.agg(E("max(batch_id)")).scalar()
     folded = parts.groupBy("key").agg(*[E(a) for a in (
         "sum(n) AS n", "sum(sum_x) AS sum_x", "min(min_x) AS min_x", "max(max_x) AS max_x",
-        "sum(sum_x2) AS sum_x2", "max(batch_id) AS batch_id")])
+        "sum(sum_x2) AS sum_x2")]).withColumn("batch_id", last)
     folded.write.mode("overwrite").partitionBy("batch_id").parquet(out_path)
     return spark.read.parquet(out_path)
