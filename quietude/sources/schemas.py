@@ -65,3 +65,15 @@ HOURLY_TRENDS_SCHEMA = T.StructType([
     T.StructField("sample_count", T.LongType()),
     T.StructField("max_noise_db", T.DoubleType()),
 ])
+
+# Driver tables the jobs read (FIXTURES.md section 8). Declaring them skips
+# footer-based schema discovery on the driver and fixes the read types up
+# front, whatever the files hold.
+DRIVER_TABLE_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+              "props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+}

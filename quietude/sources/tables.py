@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quietude.sources.schemas import RAW_SENSOR_SCHEMA, READINGS_TEXT_SCHEMA
+from quietude.sources.schemas import DRIVER_TABLE_SCHEMAS, RAW_SENSOR_SCHEMA, READINGS_TEXT_SCHEMA
 
 DRIVER_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -14,8 +14,12 @@ DRIVER_TABLES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (parquet). Column pruning and filters reach the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table (parquet), with its declared schema when known.
+    Column pruning and filters reach the scan."""
+    reader = spark.read
+    if name in DRIVER_TABLE_SCHEMAS:
+        reader = reader.schema(DRIVER_TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
