@@ -71,6 +71,21 @@ def write_partitioned_parquet(df: DataFrame, path: str, partition_col: str = "da
      .parquet(path))
 
 
+HOURLY_STATS_DDL = ("geo_zone STRING, hour BIGINT, avg_noise_db DOUBLE, max_noise_db DOUBLE, "
+                    "min_noise_db DOUBLE, std_dev_db DOUBLE, sample_count BIGINT, "
+                    "noise_category_distribution MAP<STRING, BIGINT>, date_partition STRING")
+
+
+def insert_into_table(df: DataFrame, name: str, overwrite: bool = True) -> None:
+    """Insert into a catalog table by column position, replacing only the
+    partitions present in ``df`` (dynamic partition overwrite) (K6 with
+    K12: declare the table once, then load it)."""
+    table_cols = df.sparkSession.table(name).columns
+    (df.select(*table_cols)
+     .write.option("partitionOverwriteMode", "dynamic")
+     .insertInto(name, overwrite=overwrite))
+
+
 def append_table(df: DataFrame, path: str) -> None:
     """Append rows (K7). Each write job commits atomically; rerunning a load
     appends its rows again, as a plain append does."""
@@ -135,5 +150,5 @@ __all__ = [
     "write_key_value_text", "export_readings_tsv", "write_csv", "write_stats_tsv",
     "insert_overwrite_directory", "write_partitioned_parquet", "append_table", "upsert",
     "upsert_table", "write_json_lines", "write_report_json", "create_view",
-    "create_table_if_absent",
+    "create_table_if_absent", "insert_into_table", "HOURLY_STATS_DDL",
 ]

@@ -131,3 +131,19 @@ def test_view_and_create_if_absent(spark, tmp_out):
                                  location=loc)
     assert spark.table("zone_statistics_t").columns == ["geo_zone", "avg_noise_db"]
     spark.sql("DROP TABLE IF EXISTS zone_statistics_t")
+
+
+def test_declared_partitioned_table_insert(spark, tmp_out):
+    from quietude.operators import trends
+    loc = os.path.join(tmp_out, "hourly_table")
+    W.create_table_if_absent(spark, "noise_statistics_hourly_t", W.HOURLY_STATS_DDL,
+                             partitioned_by="date_partition", location=loc)
+    z = trends.zone_hourly_stats(_readings(spark))
+    W.insert_into_table(z, "noise_statistics_hourly_t")
+    W.insert_into_table(z, "noise_statistics_hourly_t")  # replaces the same partitions
+    back = spark.table("noise_statistics_hourly_t")
+    assert back.count() == z.count()
+    assert dict(back.dtypes)["noise_category_distribution"] == "map<string,bigint>"
+    one = back.select("date_partition").first()["date_partition"]
+    assert back.filter(F.col("date_partition") == one).count() == z.filter(F.col("date_partition") == one).count()
+    spark.sql("DROP TABLE IF EXISTS noise_statistics_hourly_t")
