@@ -38,6 +38,19 @@ def _norm(v, tol):
     return (4, str(v))
 
 
+def _family(type_name: str) -> str:
+    t = type_name.lower()
+    if t in ("bigint", "int", "integer", "smallint", "tinyint", "hugeint", "long"):
+        return "integer"
+    if t in ("double", "float", "real") or t.startswith("decimal"):
+        return "number"
+    if t in ("string", "varchar") or t.startswith("varchar"):
+        return "text"
+    if t.startswith("timestamp"):
+        return "timestamp"
+    return t
+
+
 def _rows(records, cols, tol):
     return sorted(tuple(_norm(r[c], tol) for c in cols) for r in records)
 
@@ -69,12 +82,18 @@ def main() -> int:
         try:
             cur = con.execute(sqls[name])
             dcols = [d[0] for d in cur.description]
+            dtypes = {d[0]: str(d[1]) for d in cur.description}
             drows = [dict(zip(dcols, r)) for r in cur.fetchall()]
         except Exception as e:  # noqa: BLE001
             print(f"DUCK-FAIL  {name}: {str(e)[:400]}")
             bad += 1
             continue
         same_cols = sorted(scols) == sorted(dcols)
+        stypes = dict(sdf.dtypes)
+        type_diff = [(c, stypes[c], dtypes[c]) for c in scols
+                     if c in dtypes and _family(stypes[c]) != _family(dtypes[c])]
+        if type_diff:
+            print(f"TYPES      {name}: {type_diff}")
         cols = sorted(scols)
         exact = same_cols and _rows(srows, cols, False) == _rows(drows, cols, False)
         close = same_cols and _rows(srows, cols, True) == _rows(drows, cols, True)
