@@ -147,3 +147,16 @@ def test_declared_partitioned_table_insert(spark, tmp_out):
     one = back.select("date_partition").first()["date_partition"]
     assert back.filter(F.col("date_partition") == one).count() == z.filter(F.col("date_partition") == one).count()
     spark.sql("DROP TABLE IF EXISTS noise_statistics_hourly_t")
+
+
+def test_partition_pruning_on_date(spark, tmp_out):
+    from quietude.operators import trends
+    path = os.path.join(tmp_out, "hourly_pruned")
+    W.write_partitioned_parquet(trends.zone_hourly_stats(_readings(spark)), path)
+    day = spark.read.parquet(path).select("date_partition").first()["date_partition"]
+    q = spark.read.parquet(path).filter(F.col("date_partition") == day).select("geo_zone", "avg_noise_db")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    # partition values are typed on read (a yyyy-MM-dd folder reads back as DATE)
+    assert "PartitionFilters: [isnotnull(date_partition" in plan and str(day) in plan
+    assert "ReadSchema: struct<geo_zone:string,avg_noise_db:double>" in plan
+    assert q.count() == spark.read.parquet(path).filter(F.col("date_partition") == day).count()
