@@ -56,6 +56,11 @@ def test_noise_jobs(spark, tmp_out):
         assert os.path.isdir(os.path.join(tmp_out, name))
     assert spark.table("noise_pollution_summary").count() > 0
     assert spark.read.csv(os.path.join(tmp_out, "mongodb_export")).count() > 0
+    rolled = os.path.join(tmp_out, "rolled")
+    P.trend_queries_job(spark, readings, rolled, use_rollup=True)
+    direct = spark.read.options(header=True).csv(os.path.join(tmp_out, "query9_category_distribution"))
+    via = spark.read.options(header=True).csv(os.path.join(rolled, "query9_category_distribution"))
+    assert sorted(r["count"] for r in direct.collect()) == sorted(r["count"] for r in via.collect())
     out = P.storage_job(spark, readings, os.path.join(tmp_out, "store"), run_ts="2024-02-01T00:00:00")
     ds = out["dataset"].first()
     assert ds["total_records"] == readings.filter("latitude IS NOT NULL").count()
