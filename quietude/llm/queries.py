@@ -5,20 +5,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quietude.llm import exact_dedup, mixing, topk, url_filter
+from quietude.llm import bpe, exact_dedup, language_id, mixing, quality, topk, url_filter
 from quietude.llm.common import LOWER, UPPER, table
 
 
+#: Vocabulary of the registered query: a file of the Python environment, which
+#: every executor has.
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.label_copies(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.fold(F.col("doc_id"), 4, missing=2) == 2
+    model = language_id.fit(docs, ~held_out)
+    return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = language_id.fold(F.col("doc_id"), 5, missing=0) == 0
+    model = quality.fit(docs, labels, ~held_out)
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.RULES)
 
@@ -28,7 +56,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op4_topk, op6_url_filter, op9_mixing)}
+    f.__name__: f for f in (
+        op1_bpe, op2_exact_dedup, op3_language_id, op4_topk, op5_quality, op6_url_filter, op9_mixing)}
 
 _RULE_ROWS = ", ".join(
     f"('{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{a}')" for a, r in url_filter.RULES)
