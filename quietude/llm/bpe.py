@@ -35,7 +35,7 @@ from quietude.llm.common import quoted
 
 #: How byte-level vocabularies cut a text into words (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 BATCH_CHARS = 1 << 20
 MATRIX_CELLS = 1 << 20
 _NONE = np.int64(1) << 62
