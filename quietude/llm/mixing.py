@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quietude.llm.common import fresh_name, quoted, stored
@@ -137,16 +137,20 @@ def shard_slots(plan: Plan, shard: int) -> pd.DataFrame:
     return pd.DataFrame({"shard": shard, "slot": order, "src": source, "block": block, "pass": turn})
 
 
+def word_count(text: Column) -> Column:
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+
+
 def _streams(docs: DataFrame, id_col: str, source_col: str, text_col: str, weights: Sequence[float],
-             share: float, cap: float, seed: int, block_words: int | None, shard_slots_: int):
-    """Documents with their place in their source's stream, the per-source
-    table, and the plan. Added columns: size, src, start, source_size, target."""
+             share: float, cap: float, seed: int, block_words: int | None, shard_slots_: int, size_col: str = ""):
+    """Documents with their place in their source's stream, and the plan.
+    ``size_col`` is their word count where they are a stored table with one. Added columns: size, src, start, source_size, target."""
     names = {n: fresh_name(docs, n) for n in ("size", "src", "start", "source_size", "target", "chunk", "order", "before")}
     size, src, start, chunk, order, before = (names[n] for n in ("size", "src", "start", "chunk", "order", "before"))
-    sized = docs.withColumn(size, F.regexp_count(F.coalesce(quoted(text_col), F.lit("")), F.lit(WORD)).cast("long"))
-    sized = sized.withColumn(order, F.xxhash64(quoted(id_col)))
-    small = stored(sized.select(quoted(source_col).alias("source"), F.col(size).alias("size"),
-                                F.col(order).alias("ord")), "sizes")
+    sized = (docs.withColumn(size, F.col(size_col) if size_col else word_count(quoted(text_col)))
+             .withColumn(order, F.xxhash64(quoted(id_col))))
+    small = sized.select(quoted(source_col).alias("source"), F.col(size).alias("size"), F.col(order).alias("ord"))
+    small = small if size_col else stored(small, "sizes")
     sums = small.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(sums) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -199,7 +203,8 @@ def _taken(rows: DataFrame, plan: Plan, src: str, start: str, size: str, *keep:
         src, start, size, *keep,
         F.explode(F.expr(f"sequence({start} DIV {b}, ({start} + {size} - 1) DIV {b})")).alias("at"))
     drawn = draw(rows, plan).select(F.col("src").alias("d_src"), "block", "pass")
-    return (spans.join(drawn, (F.col(src) == F.col("d_src")) & (F.col("at") == F.col("block")), "left")
+    # The draws come from a tiny range, but grow with the corpus: not to be broadcast.
+    return (spans.join(drawn.hint("merge"), (F.col(src) == F.col("d_src")) & (F.col("at") == F.col("block")), "left")
             .withColumn("lo", F.expr(f"greatest({start}, at * {b})"))
             .withColumn("hi", F.expr(f"least({start} + {size}, (at + 1) * {b})")))
 
@@ -208,9 +213,9 @@ def mix_sizes(docs: DataFrame, weights: Sequence[float], share: float = 1.5, cap
               id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 7,
               block_words: int | None = None, slots_per_shard: int = 4096) -> DataFrame:
     """One row per document: id, size, source_size, target, taken (words)."""
-    rows = docs.select(quoted(id_col).alias("id"), quoted(source_col).cast("string").alias("source"),
-                       quoted(text_col).cast("string").alias("text"))
-    placed, plan, n = _streams(rows, "id", "source", "text", weights, share, cap, seed, block_words, slots_per_shard)
+    rows = stored(docs.select(quoted(id_col).alias("id"), quoted(source_col).cast("string").alias("source"),
+                              word_count(quoted(text_col)).alias("words")), "sizes")
+    placed, plan, n = _streams(rows, "id", "source", "", weights, share, cap, seed, block_words, slots_per_shard, "words")
     out = placed.select("id", n["src"], n["size"], n["start"], n["source_size"], n["target"])
     if not plan.shards:
         return out.selectExpr(f"id AS `{id_col}`", f"{n['size']} AS size", f"{n['source_size']} AS source_size",
