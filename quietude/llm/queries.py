@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quietude.llm import bpe, exact_dedup, html_extract, language_id, mixing, quality, topk, url_filter
+from quietude.llm import bpe, exact_dedup, html_extract, jaccard_join, language_id, mixing, quality, topk, url_filter
 from quietude.llm.common import LOWER, UPPER, table
 
 
@@ -60,9 +60,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, cap=2.0)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(table(spark, sf_dir, "documents"), percent=90, words=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_bpe, op2_exact_dedup, op3_language_id, op4_topk, op5_quality, op6_url_filter, op8_html_extract, op9_mixing)}
+        op1_bpe, op2_exact_dedup, op3_language_id, op4_topk, op5_quality, op6_url_filter, op8_html_extract, op9_mixing,
+        op10_jaccard_join)}
 
 _RULE_ROWS = ", ".join(
     f"('{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{a}')" for a, r in url_filter.RULES)
