@@ -222,18 +222,22 @@ def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids))
 
 
-def _apply(docs: DataFrame, path: str, id_col: str, source_col: str, source_type: str, work, added: str) -> DataFrame:
-    rows = docs.select(quoted(id_col).alias("id"), quoted(source_col).cast(source_type).alias("source"))
+def _apply(docs: DataFrame, path: str, id_col: str, source_col: str, source_type: str, work, added: str,
+           keep: Sequence[str] = ()) -> DataFrame:
+    rows = docs.select(quoted(id_col).alias("id"), quoted(source_col).cast(source_type).alias("source"),
+                       *[quoted(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
+    added_names = [f.split()[0] for f in added.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
             for lo, columns in work(vocab, batch.column(1)):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(columns[0])), *columns],
-                                                 names=["id", *[f.split()[0] for f in added.split(", ")]])
+                here = [c.slice(lo, len(columns[0])) for n, c in enumerate(batch.columns) if n != 1]
+                yield pa.RecordBatch.from_arrays([*here, *columns], names=[*kept_names, *added_names])
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, {added}").withColumnRenamed("id", id_col)
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "source"]
+    kept_names = [c for c in rows.columns if c != "source"]
+    return rows.mapInArrow(run, ", ".join([*fields, added])).toDF(id_col, *keep, *added_names)
 
 
 def _encoded(vocab: Vocabulary, column: pa.Array):
@@ -256,9 +260,10 @@ def _round_trip(vocab: Vocabulary, column: pa.Array):
         yield lo, [_lists(ids, counts), pa.array(vocab.decode(ids, counts), pa.string())]
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and ids (array of int) of every row's text."""
-    return _apply(docs, path, id_col, text_col, "string", _encoded, "ids array<int>")
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+           keep: Sequence[str] = ()) -> DataFrame:
+    """id, the ``keep`` columns and ids (array of int) of every row's text."""
+    return _apply(docs, path, id_col, text_col, "string", _encoded, "ids array<int>", keep)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +57,29 @@ def ascii_lower(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def key_filter(keys: DataFrame, rows: int, max_bits: int = 1 << 27) -> np.ndarray:
+    """A bitmap of the binary keys in the first column: for ``in_filter`` in tasks.
+
+    About 8 bits for each of ``rows`` expected keys, at most ``max_bits``: with
+    more keys it fills up, and tests pass more keys that are not in it.
+    """
+    bits = min(max_bits, 1 << max(15, math.ceil(math.log2(max(1, rows) * 8))))
+    name = keys.columns[0]
+    # The low bits of the first eight bytes, little-endian, as in_filter reads them.
+    value = F.expr(f"CAST(conv(concat(hex(substring({name}, 4, 1)), hex(substring({name}, 3, 1)), "
+                   f"hex(substring({name}, 2, 1)), hex(substring({name}, 1, 1))), 16, 10) AS BIGINT)")
+    cells = keys.select((F.pmod(value, F.lit(bits)) + 1).alias("cell"))
+    parts = (cells.groupBy(F.expr("bitmap_bucket_number(cell)").alias("bucket"))
+             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(cell))").alias("bitmap")).collect())
+    out = np.zeros(bits // 8, np.uint8)
+    for r in parts:
+        out[(r["bucket"] - 1) * 4096:r["bucket"] * 4096] = np.frombuffer(r["bitmap"], np.uint8)
+    return out
+
+
+def in_filter(key: bytes, bitmap: np.ndarray) -> bool:
+    """Whether ``key_filter`` may have been given the key."""
+    cell = int.from_bytes(key[:4], "little") % (len(bitmap) * 8)
+    return bool(bitmap[cell >> 3] >> (cell & 7) & 1)

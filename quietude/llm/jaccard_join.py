@@ -20,7 +20,7 @@ the fewest rare shingles. Then the pairs whose ends the hubs have not
 connected are verified, so no link between components is lost.
 
 Nothing grows with the corpus on the driver or in a broadcast: the count table has
-``CELLS`` counts, the filter of candidate classes ``FILTER_BITS`` bits.
+``CELLS`` counts, the filter of candidate classes at most 2**27 bits.
 
 Defined cases: a NULL text counts as empty. A text with fewer words than a
 shingle is one shingle of all its words; one without words has an empty set and
@@ -44,11 +44,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quietude.llm.arrow_text import text_runs
-from quietude.llm.common import fresh_name, quoted, stored
+from quietude.llm.common import fresh_name, in_filter, key_filter, quoted, stored
 
 CELLS = 1 << 20
 CHUNK = 1 << 12
-FILTER_BITS = 1 << 27
 MAX_BOUNDARY = 40
 
 _RNG = np.random.default_rng(20240229)
@@ -58,6 +57,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_ALL = (1 << 64) - 1
 _ORDER = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -233,9 +233,9 @@ def _posted(words: int, threshold: Threshold, boundary: int, table, noise: float
                     spread = mixed(s)
                     whole = spread.sum(dtype=np.uint64)
                     for a, b, c in threshold.subset_sizes(n, boundary):
-                        gone = np.array(list(combinations(range(n), n - c)), np.int64).reshape(-1, n - c)
+                        gone = np.array(list(combinations(range(n), n - c)), np.int64).reshape(math.comb(n, c), n - c)
                         keys = whole - spread[gone].sum(axis=1, dtype=np.uint64)
-                        put(mixed(keys + _ORDER[a % 64] * np.uint64(b)), n, np.full(len(keys), -1), few)
+                        put(mixed(keys + np.uint64(((a << 32) + b) * int(_ORDER[0]) & _ALL)), n, np.full(len(keys), -1), few)
                     length = threshold.index(n) if threshold.largest(n) > boundary else 0
                 else:
                     length = threshold.probe(n)
@@ -335,7 +335,7 @@ def _unconnected(t: Threshold, boundary: int, block: int = 512):
     return work
 
 
-def _wanted_sets(words: int, bits: int, table):
+def _wanted_sets(words: int, table):
     """(node, shingles) of the classes that the filter may hold."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = table.value, set()
@@ -343,8 +343,7 @@ def _wanted_sets(words: int, bits: int, table):
             nodes, sets = [], []
             for _, s in _each_set(batch, words):
                 if len(s) and (node := signature(s)) not in seen:
-                    cell = int.from_bytes(node[:8], "little") % bits
-                    if wanted[cell >> 3] >> (cell & 7) & 1:
+                    if in_filter(node, wanted):
                         seen.add(node)
                         nodes.append(node)
                         sets.append(s.tobytes())
@@ -415,17 +414,8 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
                                 "key long, node binary, n int, pos int, rare int, hub binary, may boolean"), "buckets")
 
     # Sets of the classes in buckets, by a filter of bounded size.
-    bits = min(FILTER_BITS, 1 << max(15, math.ceil(math.log2(max(1, found.count()) * 8))))
-    nodes = shared.select("node").distinct()
-    low_bytes = F.expr("conv(concat_ws('', transform(sequence(7, 0, -1), i -> hex(substring(node, i + 1, 1)))), 16, 10)")
-    bitmaps = (nodes.select((F.pmod(low_bytes.cast("decimal(20,0)"), F.lit(bits)) + 1).cast("long").alias("cell"))
-               .groupBy(F.expr("bitmap_bucket_number(cell)").alias("bucket"))
-               .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(cell))").alias("bitmap")).collect())
-    wanted = np.zeros(bits // 8, np.uint8)
-    for r in bitmaps:
-        wanted[(r["bucket"] - 1) * 4096:r["bucket"] * 4096] = np.frombuffer(r["bitmap"], np.uint8)
-    sets = stored(rows.mapInArrow(_wanted_sets(words, bits, spark.sparkContext.broadcast(wanted)),
-                                  "node binary, shingles binary"), "sets")
+    wanted = key_filter(shared.select("node").distinct(), found.count())
+    sets = stored(rows.mapInArrow(_wanted_sets(words, spark.sparkContext.broadcast(wanted)), "node binary, shingles binary"), "sets")
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (x, y) that link. A class of many copies may have its set

@@ -194,6 +194,25 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return out.toDF(id_col, *keep, "lang_pred", "score")
 
 
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.2,
+               languages: frozenset[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text has a recognised language: not ``und``,
+    a score of at least ``min_score`` and, if given, one of ``languages``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mask = []
+            for lo, hi, data, offsets in text_runs(batch.column(at)):
+                for text, margins in zip(batch.column(at).slice(lo, hi - lo), shared.value.margins(data, offsets)):
+                    lang, score = shared.value.decide(margins) if has_letter(text.as_py()) else ("und", 0.0)
+                    mask.append(lang != "und" and score >= min_score and (languages is None or lang in languages))
+            yield batch.filter(pa.array(mask, pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def fold(id_col: Column, folds: int, missing: int) -> Column:
     """crc32 of the id's text modulo ``folds``; ``missing`` for a NULL id."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds, F.lit(missing))

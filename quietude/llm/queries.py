@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quietude.llm import bpe, exact_dedup, html_extract, jaccard_join, language_id, mixing, quality, topk, url_filter
+from quietude.llm import bpe, exact_dedup, html_extract, jaccard_join, language_id, mixing, quality, repeats, topk, url_filter
 from quietude.llm.common import LOWER, UPPER, table
 
 
@@ -51,6 +51,13 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.RULES)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeats(table(spark, sf_dir, "documents"), length=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (html_extract.extract(table(spark, sf_dir, "pages"))
             .withColumn("n_chars", F.length("text").cast("long")))
@@ -66,7 +73,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_bpe, op2_exact_dedup, op3_language_id, op4_topk, op5_quality, op6_url_filter, op8_html_extract, op9_mixing,
+        op1_bpe, op2_exact_dedup, op3_language_id, op4_topk, op5_quality, op6_url_filter, op7_suffix_dedup, op8_html_extract, op9_mixing,
         op10_jaccard_join)}
 
 _RULE_ROWS = ", ".join(
