@@ -35,7 +35,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take each source's words up to its target."""
-    return mixing.mixed_documents(docs, weights=(3, 1, 2), share=1.5, cap=2.0)
+    mixed = mixing.mixed_documents(docs, weights=(3, 1, 2), share=1.5, cap=2.0)
+    return mixed.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
