@@ -17,7 +17,8 @@ a hashed count table of fixed size over all documents.
 Only connected components are asked for, so a bucket does not emit all its
 pairs. First each member is verified against the bucket's hub, the member with
 the fewest rare shingles. Then the pairs whose ends the hubs have not
-connected are verified, so no link between components is lost.
+connected are verified, so no link between components is lost. Histograms of
+the sets rule out most false pairs before whole texts are fetched and compared.
 
 Nothing grows with the corpus on the driver or in a broadcast: the count table has
 ``CELLS`` counts, the filter of candidate classes at most 2**27 bits.
@@ -34,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -49,6 +51,7 @@ from quietude.llm.common import fresh_name, in_filter, key_filter, quoted, store
 CELLS = 1 << 20
 CHUNK = 1 << 12
 MAX_BOUNDARY = 40
+BINS = 128
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -185,7 +188,7 @@ def _surveyed(words: int):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()),
                                               pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=names)
         if kind is not None:
-            parts = [counts[lo:lo + CHUNK].tobytes() for lo in range(0, CELLS, CHUNK)]
+            parts = [zlib.compress(counts[lo:lo + CHUNK].tobytes(), 1) for lo in range(0, CELLS, CHUNK)]
             k = len(parts)
             yield pa.RecordBatch.from_arrays([pa.nulls(k, kind), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()),
                                               pa.array(range(k), pa.int32()), pa.array(parts, pa.binary())], names=names)
@@ -197,27 +200,42 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            total[chunk] = total.get(chunk, np.zeros(CHUNK, np.uint64)) + np.frombuffer(counts, np.uint32)
+            total[chunk] = total.get(chunk, np.zeros(CHUNK, np.uint64)) + np.frombuffer(zlib.decompress(counts), np.uint32)
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(total), pa.int32()),
          pa.array([np.minimum(c, 0xFFFFFFFF).astype(np.uint32).tobytes() for c in total.values()], pa.binary())],
         names=["chunk", "counts"])
 
 
+_BITS = 21  # of sizes and places; a set of 2**21 shingles or more is refused
+
+
+def _packed(n: int, pos: np.ndarray, rare: int) -> np.ndarray:
+    """rare, n and pos (the place in the order of rarity, -1 for a subset) in
+    one number that orders by rare first."""
+    if n >= (1 << _BITS) - 1:
+        raise ValueError(f"a document has {n} distinct shingles; widen _BITS")
+    return (np.int64((rare << _BITS) | n) << _BITS) | (pos.astype(np.int64) + 1)
+
+
+def _unpacked(info: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(n, pos) of packed numbers."""
+    low = (1 << _BITS) - 1
+    return (info >> _BITS) & low, (info & low) - 1
+
+
 def _posted(words: int, threshold: Threshold, boundary: int, table, noise: float):
-    """Bucket rows of each class: key, node, n, pos (in the order of rarity; -1
-    for a subset), rare (number of rare shingles)."""
+    """Bucket rows of each class: key, node, and its size, the key's place and
+    the number of rare shingles in one number (see ``_packed``)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = table.value, set()
         for batch in batches:
-            key, at, size, pos, rare, nodes = [], [], [], [], [], []
+            key, at, info, nodes = [], [], [], []
 
             def put(keys: np.ndarray, n: int, places: np.ndarray, few: int) -> None:
                 key.append(keys)
                 at.append(np.full(len(keys), len(nodes) - 1))
-                size.append(np.full(len(keys), n))
-                pos.append(places)
-                rare.append(np.full(len(keys), few))
+                info.append(_packed(n, places, few))
 
             for _, s in _each_set(batch, words):
                 n = len(s)
@@ -246,8 +264,7 @@ def _posted(words: int, threshold: Threshold, boundary: int, table, noise: float
                 owner = pa.array(np.concatenate(at), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(key).view(np.int64)), pa.array(nodes, pa.binary()).take(owner),
-                     pa.array(np.concatenate(size).astype(np.int32)), pa.array(np.concatenate(pos).astype(np.int32)),
-                     pa.array(np.concatenate(rare).astype(np.int32))], names=["key", "node", "n", "pos", "rare"])
+                     pa.array(np.concatenate(info))], names=["key", "node", "info"])
     return work
 
 
@@ -279,49 +296,45 @@ def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[dic
         yield held
 
 
-_BUCKET = ["key", "node", "n", "pos", "rare"]
-
-
 def _shared(t: Threshold, boundary: int):
-    """Of sorted bucket rows, those of buckets with two classes or more, with
-    the hub and whether the pair with it may link. Holds one row of a bucket."""
+    """Of bucket rows sorted by (key, info, node), those of buckets with two
+    classes or more, with the hub and whether the pair with it may link. Holds
+    one row of a bucket."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub = last = None
         told = True
         for batch in batches:
-            rows = list(zip(*(batch.column(i).to_pylist() for i in range(5))))
             out = []
-            for row in rows:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if hub is None or row[0] != hub[0]:
                     hub = last = row
                     told = False
-                elif row[1] != last[1] or row[3] != last[3]:
+                elif row != last:
                     last = row
                     if row[1] != hub[1]:
                         if not told:
-                            out.append((*hub, hub[1], hub[2], hub[3]))
+                            out.append((*hub, hub[1], hub[2]))
                             told = True
-                        out.append((*row, hub[1], hub[2], hub[3]))
+                        out.append((*row, hub[1], hub[2]))
             if out:
-                key, node, n, pos, rare, hub_node, hub_n, hub_pos = zip(*out)
-                n, pos, hub_n, hub_pos = (np.array(x, np.int64) for x in (n, pos, hub_n, hub_pos))
+                key, node, info, hub_node, hub_info = zip(*out)
+                info = np.array(info, np.int64)
+                may = _may_link(t, boundary, *_unpacked(info), *_unpacked(np.array(hub_info, np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key, pa.int64()), pa.array(node, pa.binary()), pa.array(n.astype(np.int32)),
-                     pa.array(pos.astype(np.int32)), pa.array(rare, pa.int32()), pa.array(hub_node, pa.binary()),
-                     pa.array(_may_link(t, boundary, n, pos, hub_n, hub_pos))],
-                    names=[*_BUCKET, "hub", "may"])
+                    [pa.array(key, pa.int64()), pa.array(node, pa.binary()), pa.array(info), pa.array(hub_node, pa.binary()),
+                     pa.array(may)], names=["key", "node", "info", "hub", "may"])
     return work
 
 
 def _unconnected(t: Threshold, boundary: int, block: int = 512):
     """Pairs (x, y) of a bucket that may link and are in different components."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket in _runs(batches, ["key", "node", "n", "pos", "root"]):
+        for bucket in _runs(batches, ["key", "node", "info", "root"]):
             roots = {r: i for i, r in enumerate(dict.fromkeys(bucket["root"]))}
             if len(roots) < 2:
                 continue
             root = np.array([roots[r] for r in bucket["root"]])
-            n, pos = np.array(bucket["n"], np.int64), np.array(bucket["pos"], np.int64)
+            n, pos = _unpacked(np.array(bucket["info"], np.int64))
             for lo in range(0, len(n), block):
                 mine = slice(lo, lo + block)
                 may = (root[mine, None] != root[None, lo:]) & _may_link(
@@ -335,29 +348,57 @@ def _unconnected(t: Threshold, boundary: int, block: int = 512):
     return work
 
 
-def _wanted_sets(words: int, table):
-    """(node, shingles) of the classes that the filter may hold."""
+def _histogram(shingles: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles by their low bits. The L1 distance of two
+    histograms is at most the size of the sets' symmetric difference."""
+    return np.bincount((shingles & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS).astype(np.uint32)
+
+
+def _wanted(words: int, table, bins: bool):
+    """(node, content) of the classes that the filter may hold: their histogram,
+    or their text, compressed (sets of hashes are larger and don't compress)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = table.value, set()
         for batch in batches:
-            nodes, sets = [], []
-            for _, s in _each_set(batch, words):
-                if len(s) and (node := signature(s)) not in seen:
-                    if in_filter(node, wanted):
-                        seen.add(node)
-                        nodes.append(node)
-                        sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())],
-                                             names=["node", "shingles"])
+            nodes, out = [], []
+            for row, s in _each_set(batch, words):
+                if len(s) and (node := signature(s)) not in seen and in_filter(node, wanted):
+                    seen.add(node)
+                    nodes.append(node)
+                    out.append(_histogram(s).tobytes() if bins else zlib.compress(batch.column(1)[row].as_py().encode(), 1))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(out, pa.binary())],
+                                             names=["node", "content"])
     return work
 
 
-def _verified(percent: int):
+def _set_of(packed: bytes, words: int) -> np.ndarray:
+    raw = np.frombuffer(zlib.decompress(packed), np.uint8)
+    return shingle_sets(raw, np.array([0, len(raw)]), words)[0]
+
+
+def _plausible(t: Threshold):
+    """The pairs (x, y) whose histograms allow the overlap that a link needs."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, BINS).astype(np.int64) for c in (2, 3))
+            a, b = x.sum(axis=1), y.sum(axis=1)
+            need = -(-t.percent * (a + b) // (100 + t.percent))
+            keep = np.abs(x - y).sum(axis=1) <= a + b - 2 * need
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["x", "y"]).filter(pa.array(keep))
+    return work
+
+
+def _verified(percent: int, words: int):
+    """The pairs (x, y) that link, from their texts; sorted by y, so its set is
+    made once for a run of pairs."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, y = None, None
         for batch in batches:
             keep = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            for a, name, b in zip(*(batch.column(c).to_pylist() for c in (2, 1, 3))):
+                if name != last:
+                    last, y = name, _set_of(b, words)
+                x = _set_of(a, words)
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
@@ -408,34 +449,41 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
     boundary = choose_boundary(sizes, mean_list, t)
 
     table = spark.sparkContext.broadcast(counts)
-    posts = rows.mapInArrow(_posted(words, t, boundary, table, noise), "key long, node binary, n int, pos int, rare int")
-    shared = stored(posts.repartition(parts, "key").sortWithinPartitions("key", "rare", "node", "pos")
-                    .mapInArrow(_shared(t, boundary),
-                                "key long, node binary, n int, pos int, rare int, hub binary, may boolean"), "buckets")
+    posts = rows.mapInArrow(_posted(words, t, boundary, table, noise), "key long, node binary, info long")
+    shared = stored(posts.repartition(parts, "key").sortWithinPartitions("key", "info", "node")
+                    .mapInArrow(_shared(t, boundary), "key long, node binary, info long, hub binary, may boolean"),
+                    "buckets")
+
+    def contents(nodes: DataFrame, bins: bool) -> DataFrame:
+        """Histograms or texts of classes, by a filter of bounded size. A class of
+        many copies may be there once per input task."""
+        wanted = spark.sparkContext.broadcast(key_filter(nodes, found.count()))
+        return rows.mapInArrow(_wanted(words, wanted, bins), "node binary, content binary")
 
-    # Sets of the classes in buckets, by a filter of bounded size.
-    wanted = key_filter(shared.select("node").distinct(), found.count())
-    sets = stored(rows.mapInArrow(_wanted_sets(words, spark.sparkContext.broadcast(wanted)), "node binary, shingles binary"), "sets")
+    histograms = stored(contents(shared.select("node").distinct(), True).dropDuplicates(["node"]), "bins")
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (x, y) that link. A class of many copies may have its set
-        once per input task; the smaller side of the second join is made unique."""
-        ones = sets.join(pairs.select(F.col("y").alias("node")).distinct(), "node", "left_semi").groupBy("node").agg(
-            F.first("shingles").alias("set_y")).withColumnRenamed("node", "node_y")
-        joined = (pairs.join(sets.selectExpr("node AS node_x", "shingles AS set_x"), F.col("x") == F.col("node_x"))
-                  .join(ones, F.col("y") == F.col("node_y")).select("x", "y", "set_x", "set_y"))
-        return stored(joined.mapInArrow(_verified(percent), "x binary, y binary"), name)
+        """The pairs (x, y) that link: first by histograms, then by whole sets."""
+        likely = stored(
+            pairs.join(histograms.selectExpr("node AS node_x", "content AS in_x"), F.col("x") == F.col("node_x"))
+            .join(histograms.selectExpr("node AS node_y", "content AS in_y"), F.col("y") == F.col("node_y"))
+            .select("x", "y", "in_x", "in_y").mapInArrow(_plausible(t), "x binary, y binary"), f"{name}_likely")
+        xs, ys = (likely.select(F.col(c).alias("node")).distinct() for c in ("x", "y"))
+        hubs = contents(ys, False).dropDuplicates(["node"]).selectExpr("node AS node_y", "content AS in_y")
+        joined = (likely.join(contents(xs, False).selectExpr("node AS node_x", "content AS in_x"), F.col("x") == F.col("node_x"))
+                  .join(hubs, F.col("y") == F.col("node_y")).select("x", "y", "in_x", "in_y"))
+        return stored(joined.mapInArrow(_verified(percent, words), "x binary, y binary").distinct(), name)
 
     near_hub = verify(stored(shared.where("may").selectExpr("node AS x", "hub AS y").distinct(), "hub_pairs"), "hub_links")
     first = stored(components(near_hub), "roots")
-    rooted = (shared.select("key", "node", "n", "pos").join(first.withColumnRenamed("node", "r_node"),
+    rooted = (shared.select("key", "node", "info").join(first.withColumnRenamed("node", "r_node"),
                                                           F.col("node") == F.col("r_node"), "left")
-              .selectExpr("key", "node", "n", "pos", "coalesce(root, node) AS root"))
+              .selectExpr("key", "node", "info", "coalesce(root, node) AS root"))
     # Buckets inside one component are done; only the others come together again.
     open_keys = (rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                  .where("lo != hi").selectExpr("key AS open_key"))
     again = (rooted.join(stored(open_keys, "open"), F.col("key") == F.col("open_key"), "left_semi")
-             .repartition(parts, "key").sortWithinPartitions("key", "n", "node", "pos"))
+             .repartition(parts, "key").sortWithinPartitions("key", "info", "node"))
     pairs = stored(again.mapInArrow(_unconnected(t, boundary), "x binary, y binary").distinct(), "rest_pairs")
     roots = stored(components(near_hub.unionByName(verify(pairs, "rest_links"))), "final_roots")
     return (found.join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
