@@ -263,7 +263,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(quoted(id_col).alias("id"), quoted(url_col).cast("string").alias("url"),
                         quoted(html_col).cast("string").alias("html"), host.alias("host"),
                         F.xxhash64(quoted(id_col), quoted(url_col)).alias("place"))
-    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Hosts stay whole but for those at the borders of tasks; small tables need few tasks.
+    parts = max(1, min(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), pages.count() // (32 * GROUP_PAGES)))
     rows = rows.repartitionByRange(parts, "host", "place").sortWithinPartitions("host", "place")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

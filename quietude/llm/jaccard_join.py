@@ -504,11 +504,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, words: int = 3) -> DataFrame:
     """The rows of ``docs`` without the others of each component: the one with
     the smallest id stays. Documents without words all stay."""
-    row = fresh_name(docs, "row")
+    row, kept_row = fresh_name(docs, "row"), fresh_name(docs, "kept")
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     found = stored(classes(rows, row, text_col, percent, words), "classes")
     named = found.where("n > 0").join(rows.select(F.col(row).alias("row"), quoted(id_col).alias("name")), F.col("id") == F.col("row"))
     others = (named.groupBy("root").agg(F.min(F.struct(F.col("name").isNull().alias("none"), "name", "row")).alias("first"))
-              .selectExpr("first.row AS kept"))
-    kept = stored(others.unionByName(found.where("n = 0").selectExpr("id AS kept")), "kept")
-    return rows.join(kept, F.col(row) == F.col("kept"), "left_semi").drop(row)
+              .selectExpr(f"first.row AS {kept_row}"))
+    kept = stored(others.unionByName(found.where("n = 0").selectExpr(f"id AS {kept_row}")), "kept")
+    return rows.join(kept, F.col(row) == F.col(kept_row), "left_semi").drop(row)

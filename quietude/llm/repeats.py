@@ -115,7 +115,7 @@ def repeated_offsets(bucket: np.ndarray, right: list[bytes], left: list[bytes],
         greatest[rows] = d
         if d == depth:
             break
-        byte = np.where(left_len[here] > d, before[here, d], 256).astype(np.int64)
+        byte = np.where(left_len[here] > d, before[here, d].astype(np.int64), 256)
         key = interval * 257 + byte
         order = np.argsort(key, kind="stable")
         key = key[order]
