@@ -101,6 +101,8 @@ def repeated_offsets(bucket: np.ndarray, right: list[bytes], left: list[bytes],
     common = np.where(new, 0, np.concatenate([[0], shared]))
     interval = np.cumsum(new)
     for d in range(depth + 1):
+        if not len(here):
+            break
         # A single occurrence has no partner, and none in a longer string.
         alone = np.concatenate([interval[1:] != interval[:-1], [True]]) & np.concatenate([[True], interval[1:] != interval[:-1]])
         if alone.any():
