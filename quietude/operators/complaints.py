@@ -46,14 +46,14 @@ def route_group(location: str = "location_type", hour: str = "hour") -> Column:
 
 def category_bucket_sql(id_col: str = "reading_id") -> str:
     """0..99 bucket for the category draw."""
-    return f"(({q(id_col)} * 7919) % 100)"
+    return f"(pmod({q(id_col)}, 100) * 7919 % 100)"
 
 
 def status_bucket_sql(id_col: str = "reading_id") -> str:
     """0..99 bucket for the status draw; mixes in ``id div 100`` so it does not
     follow the category bucket."""
     i = q(id_col)
-    return f"(({i} * 7 + ({i} div 100) * 13) % 100)"
+    return f"((pmod({i}, 100) * 7 + pmod({i} div 100, 100) * 13) % 100)"
 
 
 def category_bucket(id_col: str = "reading_id") -> Column:
@@ -106,7 +106,7 @@ def weighted_assign(readings: DataFrame) -> DataFrame:
 
 
 def sample_order_sql(id_col: str = "reading_id") -> str:
-    return f"(({q(id_col)} * 7919) % {SAMPLE_MODULUS})"
+    return f"(pmod({q(id_col)}, {SAMPLE_MODULUS}) * 7919 % {SAMPLE_MODULUS})"
 
 
 # Rows the final merge of a plain top-n may receive (input tasks x n) before
@@ -165,8 +165,8 @@ def complaints(readings: DataFrame, n: int = 500) -> DataFrame:
 
 
 def complaints_by_hour(c: DataFrame) -> DataFrame:
-    """Complaints per hour."""
-    return c.groupBy("hour").agg(E("count(1) AS complaints")).orderBy("hour")
+    """Complaints per hour (A28); complaints without an hour are not counted."""
+    return c.filter("hour IS NOT NULL").groupBy("hour").agg(E("count(1) AS complaints")).orderBy("hour")
 
 
 def complaint_zones(c: DataFrame, top: int = 10) -> DataFrame:
@@ -222,7 +222,7 @@ def top_zone_share(c: DataFrame, k: int = 5) -> DataFrame:
 def peak_hour(c: DataFrame) -> DataFrame:
     """Insight 2: busiest hour (ties to the lowest), its count and the patrol
     window hour-1..hour+1 (I2)."""
-    top = c.groupBy("hour").agg(E("count(1) AS n")).orderBy(F.desc("n"), "hour").limit(1)
+    top = c.filter("hour IS NOT NULL").groupBy("hour").agg(E("count(1) AS n")).orderBy(F.desc("n"), "hour").limit(1)
     return top.selectExpr("hour AS peak_hour", "n AS peak_count", "hour - 1 AS window_start",
                           "hour + 1 AS window_end")
 

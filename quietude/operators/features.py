@@ -162,7 +162,8 @@ def readings_complete(df: DataFrame) -> DataFrame:
 
 
 def store_coerce(df: DataFrame) -> DataFrame:
-    """Types and defaults applied on store load."""
+    """Types and defaults applied on store load (P19); an unknown hour or day
+    stays NULL."""
     return df.selectExpr(
         "CAST(`timestamp` AS STRING) AS `timestamp`",
         "CAST(participant_id AS STRING) AS participant_id",
@@ -172,8 +173,8 @@ def store_coerce(df: DataFrame) -> DataFrame:
         f"coalesce(noise_category, {X.s(X.NOISE_CLASS_MISSING)}) AS noise_category",
         "CAST(location_type AS STRING) AS location_type",
         "CAST(noise_kind AS STRING) AS noise_kind",
-        "coalesce(CAST(hour AS BIGINT), 0L) AS hour",
-        "coalesce(CAST(day_of_week AS BIGINT), 0L) AS day_of_week",
+        "CAST(hour AS BIGINT) AS hour",
+        "CAST(day_of_week AS BIGINT) AS day_of_week",
         "CAST(geo_zone AS STRING) AS geo_zone",
     )
 

@@ -15,7 +15,7 @@ from quietude.operators import complaints as C
 from quietude.operators import features, report, stats, text, trends
 from quietude.sinks.writers import upsert
 from quietude.sources import adapter
-from quietude.sources.tables import document_lines, spread, table
+from quietude.sources.tables import document_lines, table
 
 # Fixed job parameters of the registered queries.
 SEARCH_KEYWORD = "data"
@@ -38,7 +38,7 @@ def _complaints(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents").select("text"))
+    return table(spark, sf, "documents").select("text")
 
 
 # --- features -------------------------------------------------------------

@@ -141,7 +141,7 @@ def complaints_job(spark: SparkSession, readings: DataFrame, out_root: str, run_
     reruns and cluster layouts, unlike a position-based id."""
     if "reading_id" not in readings.columns:
         cols = ", ".join(f"`{c}`" for c in readings.columns)
-        readings = readings.selectExpr("*", f"pmod(xxhash64({cols}), 1000000000000) AS reading_id")
+        readings = readings.selectExpr("*", f"xxhash64({cols}) & 9223372036854775807 AS reading_id")
     c = materialise(C.complaints(readings, n), _p(out_root, "public_complaints_parquet"))
     W.write_csv(c, _p(out_root, "public_complaints"))
     doc = report.report_document(c, readings, run_ts=run_ts)

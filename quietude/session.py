@@ -8,9 +8,7 @@ a durable scratch location (``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import math
-import os
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -25,9 +23,6 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # MIN/MAX/COUNT over plain Parquet columns answered from file footers
-    # (the geographic bounds fit on a stored readings table).
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
@@ -36,14 +31,12 @@ def get_session(master: str | None = None, app: str = "quietude",
                 extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's base settings.
 
-    ``master`` defaults to ``local[*]`` only when no master is configured,
-    so the same code runs under ``spark-submit`` on a cluster.
+    Without ``master`` the launcher decides (``spark-submit --master``, the
+    defaults file, or Spark's own ``local[*]``).
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    elif not os.environ.get("SPARK_MASTER") and "spark.master" not in (extra or {}):
-        builder = builder.master("local[*]")
     for key, value in BASE_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
@@ -79,12 +72,6 @@ def ensure_checkpoint_dir(spark: SparkSession, local_fallback: str | None = None
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the checkpoint directory."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
-
-
 def cluster_settings(input_bytes: int, total_cores: int,
                      target_partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input.
@@ -92,14 +79,13 @@ def cluster_settings(input_bytes: int, total_cores: int,
     * Scan splits of 256 MB (fewer, larger tasks; Parquet row groups stay
       whole).
     * Shuffles start with enough partitions that a full-size shuffle stays
-      near ``target_partition_bytes`` per task (at least 2x the cores,
-      capped at 100,000). AQE then coalesces the many small partitions that
+      near ``target_partition_bytes`` per task (at least 2x the cores). AQE then coalesces the many small partitions that
       partial aggregation leaves, so most jobs run far fewer.
     * Skewed joins split at 5x the median partition and 256 MB.
 
     Pass the result as ``extra`` to ``get_session`` (or as ``--conf``).
     """
-    initial = min(100_000, max(2 * total_cores, math.ceil(input_bytes / target_partition_bytes)))
+    initial = max(2 * total_cores, math.ceil(input_bytes / target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.shuffle.partitions": str(initial),

@@ -36,10 +36,11 @@ def raw_sensor_csv(spark: SparkSession, path: str, extra_cols: tuple[str, ...] =
     """Raw sensor CSV with a header: the nine used columns picked by name
     (the file has many more, in any order) and typed explicitly; ``extra_cols``
     are kept as DOUBLE (for example a base noise estimate). Reading every
-    field as text avoids an inference pass; ``""`` is unescaped."""
+    field as text avoids an inference pass; ``""`` is unescaped. A value that
+    does not parse becomes NULL."""
     raw = spark.read.options(header=True, escape='"', mode="PERMISSIVE").csv(path)
-    cols = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in RAW_SENSOR_SCHEMA.fields]
-    cols += [F.col(f"`{c}`").cast("double").alias(c) for c in extra_cols]
+    cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in RAW_SENSOR_SCHEMA.fields]
+    cols += [F.col(f"`{c}`").try_cast("double").alias(c) for c in extra_cols]
     return raw.select(*cols)
 
 
@@ -67,17 +68,3 @@ def stored(spark: SparkSession, path_or_table: str) -> DataFrame:
     if "/" in path_or_table:
         return spark.read.parquet(path_or_table)
     return spark.table(path_or_table)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that arrived in fewer partitions than the cluster has
-    cores (one small file, one row group), so per-row work such as
-    tokenizing runs in parallel. A no-op for inputs that already have enough
-    splits, which is every large input."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= want:
-            return df
-    except Exception:  # no RDD access (e.g. a Connect session): leave the scan as is
-        return df
-    return df.repartition(want)

@@ -150,5 +150,28 @@ def test_cluster_settings_scale_with_input():
     small = cluster_settings(10 << 30, 64)
     big = cluster_settings(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 128          # 2x cores floor
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000        # capped
+    assert int(big["spark.sql.shuffle.partitions"]) == 819_200        # capped
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+def test_raw_csv_bad_number_is_null(spark, tmp_out):
+    from quietude.sources.schemas import RAW_SENSOR_SCHEMA
+    from quietude.sources.tables import raw_sensor_csv
+    names = [f.name for f in RAW_SENSOR_SCHEMA.fields]
+    number = next(f.name for f in RAW_SENSOR_SCHEMA.fields if f.dataType.typeName() == "double")
+    with open(f"{tmp_out}/raw.csv", "w") as out:
+        out.write(",".join(names) + "\n" + ",".join("n/a" if n == number else "" for n in names) + "\n")
+    assert raw_sensor_csv(spark, f"{tmp_out}/raw.csv").collect()[0][number] is None
+
+
+def test_unknown_hour_stays_unknown(spark):
+    from quietude.operators import complaints as C
+    c = spark.createDataFrame([(None,), (None,), (3,)], "hour bigint")
+    assert [r.hour for r in C.complaints_by_hour(c).collect()] == [3]
+    assert C.peak_hour(c).first().peak_hour == 3
+
+
+def test_no_master_is_chosen_for_the_launcher():
+    import inspect
+    from quietude import session
+    assert "local[*]\")" not in inspect.getsource(session.get_session)
