@@ -298,8 +298,8 @@ def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[dic
 
 def _shared(t: Threshold, boundary: int):
     """Of bucket rows sorted by (key, info, node), those of buckets with two
-    classes or more, with the hub and whether the pair with it may link. Holds
-    one row of a bucket."""
+    classes or more, with the hub and whether the pair with it may link (never a
+    hub with itself). Holds one row of a bucket."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub = last = None
         told = True
@@ -320,6 +320,7 @@ def _shared(t: Threshold, boundary: int):
                 key, node, info, hub_node, hub_info = zip(*out)
                 info = np.array(info, np.int64)
                 may = _may_link(t, boundary, *_unpacked(info), *_unpacked(np.array(hub_info, np.int64)))
+                may &= np.array([a != b for a, b in zip(node, hub_node)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key, pa.int64()), pa.array(node, pa.binary()), pa.array(info), pa.array(hub_node, pa.binary()),
                      pa.array(may)], names=["key", "node", "info", "hub", "may"])
