@@ -109,61 +109,58 @@ def sample_order_sql(id_col: str = "reading_id") -> str:
     return f"(pmod({q(id_col)}, {SAMPLE_MODULUS}) * 7919 % {SAMPLE_MODULUS})"
 
 
-# Rows the final merge of a plain top-n may receive (input tasks x n) before
-# the sample switches to the histogram cutoff.
-TOPK_MERGE_LIMIT = 2_000_000
-
-
-def _input_partitions(df: DataFrame) -> int | None:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Connect session)
-        return None
-
-
 def sample_high_noise(readings: DataFrame, n: int = 500,
                       threshold: float = HIGH_NOISE_DB) -> DataFrame:
     """``n`` readings above ``threshold`` in sample order; when fewer than
     ``n`` exist, ``n`` from all readings instead (O7).
 
     Nothing goes through the driver and no task sees more than a bounded
-    share of the rows:
-
-    * the fallback test is a scalar subquery (count of rows above the
-      threshold);
-    * the pick is a top-n: each task keeps n rows, one task merges them.
-      When input tasks x n could exceed ``TOPK_MERGE_LIMIT`` rows, a
-      histogram of the sample key (at most ``SAMPLE_MODULUS`` values,
-      partially aggregated) first gives the smallest key ``K`` whose
-      cumulative count reaches ``n``. Only rows with key <= K go on to the
-      top-n, so the merge receives at most n + rows(K) rows.
+    share of the rows. One plan serves every size:
+
+    * one aggregate over (sample key) counts the rows above the threshold and
+      all rows (at most ``SAMPLE_MODULUS`` groups, partially aggregated). A
+      running sum over these groups gives the number of high rows and the
+      smallest key whose cumulative count reaches ``n``, for either choice;
+    * rows with a larger key are filtered out, so the merge of the top-n
+      receives at most n + rows(that key) rows, not n from each task.
     """
-    high = f"noise_level_db > {X.dbl(threshold)}"
-    n_high = readings.filter(high).agg(E("count(1)")).scalar()
-    cand = (readings.filter(E(high) | (n_high < n))
-            .withColumn("_sample_key", E(sample_order_sql())))
-    parts = _input_partitions(readings)
-    if parts is None or parts * n > TOPK_MERGE_LIMIT:
-        hist = cand.groupBy("_sample_key").agg(E("count(1) AS _n"))
-        running = hist.withColumn("_cum", F.sum("_n").over(
-            Window.orderBy("_sample_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        cutoff = running.filter(f"_cum >= {n}").agg(E("min(_sample_key)")).scalar()
-        cand = cand.filter(cutoff.isNull() | (F.col("_sample_key") <= cutoff))
+    high = f"coalesce(noise_level_db > {X.dbl(threshold)}, false)"
+    keyed = readings.withColumn("_sample_key", E(f"coalesce({sample_order_sql()}, -1)"))
+    hist = keyed.groupBy("_sample_key").agg(E(f"count_if({high}) AS _h"), E("count(1) AS _n"))
+    upto = Window.orderBy("_sample_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = hist.withColumn("_cum_h", F.sum("_h").over(upto)).withColumn("_cum_n", F.sum("_n").over(upto))
+    enough = f"max(_cum_h) >= {n}"
+    cut = running.agg(E(f"named_struct('high', {enough}, 'key', IF({enough}, "
+                        f"min(_sample_key) FILTER (WHERE _cum_h >= {n}), "
+                        f"coalesce(min(_sample_key) FILTER (WHERE _cum_n >= {n}), {SAMPLE_MODULUS})))")).scalar()
+    cand = keyed.filter((E(high) | ~cut["high"]) & (F.col("_sample_key") <= cut["key"]))
     return cand.orderBy("_sample_key", "reading_id").limit(n).drop("_sample_key")
 
 
-def complaints(readings: DataFrame, n: int = 500) -> DataFrame:
-    """Complaint records from sampled readings."""
-    return sample_high_noise(readings, n).selectExpr(
+def as_complaints(rows: DataFrame) -> DataFrame:
+    """Complaint records of readings (P20-P22), with the zone if there is one."""
+    zone = ["geo_zone"] if "geo_zone" in rows.columns else []
+    return rows.selectExpr(
         f"{X.zero_pad_id_sql('NC', 'reading_id')} AS complaint_id",
         "reading_id", "`timestamp`", "latitude", "longitude",
         f"{assigned_category_sql(route_group_sql())} AS category",
         "noise_level_db AS estimated_noise_db",
-        "location_type", "hour", "day_of_week", "geo_zone",
+        "location_type", "hour", "day_of_week", *zone,
         f"{assigned_status_sql()} AS status",
     )
 
 
+def complaints(readings: DataFrame, n: int = 500) -> DataFrame:
+    """Complaint records from sampled readings."""
+    return as_complaints(sample_high_noise(readings, n))
+
+
+def all_complaints(readings: DataFrame, threshold: float = HIGH_NOISE_DB) -> DataFrame:
+    """Complaint records of every reading above ``threshold``: the input of the
+    analytics (A28-A30, A32, I1-I4)."""
+    return as_complaints(readings.filter(f"noise_level_db > {X.dbl(threshold)}"))
+
+
 def complaints_by_hour(c: DataFrame) -> DataFrame:
     """Complaints per hour (A28); complaints without an hour are not counted."""
     return c.filter("hour IS NOT NULL").groupBy("hour").agg(E("count(1) AS complaints")).orderBy("hour")

@@ -20,7 +20,8 @@ from quietude.sources.tables import document_lines, table
 # Fixed job parameters of the registered queries.
 SEARCH_KEYWORD = "data"
 UPSERT_CUTOFF = "2024-01-16 00:00:00"
-COMPLAINT_COUNT = 500
+COMPLAINT_COUNT = 500  # of the sample itself; the analytics take every complaint
+HOTSPOT_DB = 65.0
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,12 +30,17 @@ def _readings(spark: SparkSession, sf: str) -> DataFrame:
     return adapter.readings(table(spark, sf, "events"))
 
 
+def _unzoned(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings for the queries without zones: no pass for the zone bounds."""
+    return adapter.readings(table(spark, sf, "events"), with_zone=False)
+
+
 def _store(spark: SparkSession, sf: str) -> DataFrame:
     return features.readings_complete(_readings(spark, sf))
 
 
-def _complaints(spark: SparkSession, sf: str) -> DataFrame:
-    return C.complaints(_readings(spark, sf), COMPLAINT_COUNT)
+def _complaints(spark: SparkSession, sf: str, zones: bool = False) -> DataFrame:
+    return C.all_complaints(_readings(spark, sf) if zones else _unzoned(spark, sf))
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +55,7 @@ def q_readings_clean(spark, sf):
 
 
 def q_noise_category(spark, sf):
-    r = _readings(spark, sf)
+    r = _unzoned(spark, sf)
     return r.select("reading_id", "noise_level_db", "noise_category")
 
 
@@ -70,7 +76,7 @@ def q_readings_complete(spark, sf):
 # --- trends ---------------------------------------------------------------
 
 def q_hourly_trends(spark, sf):
-    return trends.hourly_trends(_readings(spark, sf))
+    return trends.hourly_trends(_unzoned(spark, sf))
 
 
 def q_zone_hotspots(spark, sf):
@@ -78,15 +84,15 @@ def q_zone_hotspots(spark, sf):
 
 
 def q_weekday_weekend(spark, sf):
-    return trends.weekday_weekend(_readings(spark, sf))
+    return trends.weekday_weekend(_unzoned(spark, sf))
 
 
 def q_location_analysis(spark, sf):
-    return trends.location_analysis(_readings(spark, sf))
+    return trends.location_analysis(_unzoned(spark, sf))
 
 
 def q_peak_hours_by_location(spark, sf):
-    return trends.peak_hours_by_location(_readings(spark, sf))
+    return trends.peak_hours_by_location(_unzoned(spark, sf))
 
 
 def q_monthly_trends(spark, sf):
@@ -95,7 +101,7 @@ def q_monthly_trends(spark, sf):
 
 
 def q_category_distribution(spark, sf):
-    return trends.category_distribution(_readings(spark, sf))
+    return trends.category_distribution(_unzoned(spark, sf))
 
 
 def q_zone_hour_day(spark, sf):
@@ -136,11 +142,11 @@ def q_zone_statistics(spark, sf):
 
 
 def q_hotspots_threshold(spark, sf):
-    return stats.hotspots_threshold(stats.zone_statistics(_store(spark, sf)))
+    return stats.hotspots_threshold(stats.zone_statistics(_store(spark, sf)), threshold=HOTSPOT_DB)
 
 
 def q_hourly_patterns(spark, sf):
-    return stats.hourly_patterns(_store(spark, sf))
+    return stats.hourly_patterns(features.readings_complete(_unzoned(spark, sf)))
 
 
 def q_dataset_stats(spark, sf):
@@ -148,23 +154,23 @@ def q_dataset_stats(spark, sf):
 
 
 def q_readings_overview(spark, sf):
-    return stats.readings_overview(_readings(spark, sf))
+    return stats.readings_overview(_unzoned(spark, sf))
 
 
 def q_noise_describe(spark, sf):
-    return stats.noise_describe(_readings(spark, sf))
+    return stats.noise_describe(_unzoned(spark, sf))
 
 
 def q_noise_summary(spark, sf):
-    return stats.noise_summary(_readings(spark, sf))
+    return stats.noise_summary(_unzoned(spark, sf))
 
 
 def q_value_counts(spark, sf):
-    return stats.value_counts(_readings(spark, sf), "location_type")
+    return stats.value_counts(_unzoned(spark, sf), "location_type")
 
 
 def q_group_mode(spark, sf):
-    return stats.group_mode(_readings(spark, sf), ["location_type"], "noise_kind")
+    return stats.group_mode(_unzoned(spark, sf), ["location_type"], "noise_kind")
 
 
 def q_top_zones(spark, sf):
@@ -212,11 +218,11 @@ def q_keyword_categories(spark, sf):
 # --- complaints -----------------------------------------------------------
 
 def q_complaint_route(spark, sf):
-    return C.complaint_route(_readings(spark, sf))
+    return C.complaint_route(_unzoned(spark, sf))
 
 
 def q_weighted_assign(spark, sf):
-    return C.weighted_assign(_readings(spark, sf))
+    return C.weighted_assign(_unzoned(spark, sf))
 
 
 def q_sample_high_noise(spark, sf):
@@ -225,7 +231,7 @@ def q_sample_high_noise(spark, sf):
 
 
 def q_complaints(spark, sf):
-    return _complaints(spark, sf)
+    return C.complaints(_readings(spark, sf), COMPLAINT_COUNT)
 
 
 def q_complaints_by_hour(spark, sf):
@@ -233,7 +239,7 @@ def q_complaints_by_hour(spark, sf):
 
 
 def q_complaint_zones(spark, sf):
-    return C.complaint_zones(_complaints(spark, sf))
+    return C.complaint_zones(_complaints(spark, sf, zones=True))
 
 
 def q_complaints_by_weekday(spark, sf):
@@ -245,7 +251,7 @@ def q_complaint_status(spark, sf):
 
 
 def q_top_zone_share(spark, sf):
-    return C.top_zone_share(_complaints(spark, sf))
+    return C.top_zone_share(_complaints(spark, sf, zones=True))
 
 
 def q_peak_hour(spark, sf):
@@ -262,7 +268,7 @@ def q_unresolved_share(spark, sf):
 
 def q_complaint_report(spark, sf):
     r = _readings(spark, sf)
-    return report.report_flat(C.complaints(r, COMPLAINT_COUNT), r)
+    return report.report_flat(C.all_complaints(r), r)
 
 
 QUERIES: dict[str, Query] = {

@@ -8,7 +8,7 @@ the same tie-breaks. Keys match ``quietude.plans.catalog.QUERIES``.
 from __future__ import annotations
 
 from quietude.operators.text import COMPLAINT_KEYWORDS
-from quietude.plans.catalog import COMPLAINT_COUNT, SEARCH_KEYWORD, UPSERT_CUTOFF
+from quietude.plans.catalog import COMPLAINT_COUNT, HOTSPOT_DB, SEARCH_KEYWORD, UPSERT_CUTOFF
 
 
 def R(x: str, d: int = 2) -> str:
@@ -74,14 +74,7 @@ CATEGORY = (f"CASE {ROUTE} WHEN 'traffic' THEN 'traffic' "
 STATUS = (f"CASE WHEN {STATUS_B} < 30 THEN 'Open' WHEN {STATUS_B} < 50 THEN 'In Progress' "
           f"WHEN {STATUS_B} < 80 THEN 'Resolved' ELSE 'Closed' END")
 
-COMPLAINTS = f"""{READINGS},
-sampled AS (
-  SELECT * FROM readings
-  WHERE noise_level_db > 70 OR (SELECT count(*) FROM readings WHERE noise_level_db > 70) < {COMPLAINT_COUNT}
-  ORDER BY (reading_id * 7919) % 100003, reading_id
-  LIMIT {COMPLAINT_COUNT}
-),
-complaints AS (
+COMPLAINT_ROWS = f"""complaints AS (
   SELECT CASE WHEN length(CAST(reading_id AS VARCHAR)) < 6
               THEN 'NC' || lpad(CAST(reading_id AS VARCHAR), 6, '0')
               ELSE 'NC' || CAST(reading_id AS VARCHAR) END AS complaint_id,
@@ -91,6 +84,20 @@ complaints AS (
   FROM sampled
 )"""
 
+SAMPLED = f"""{READINGS},
+sampled AS (
+  SELECT * FROM readings
+  WHERE noise_level_db > 70 OR (SELECT count(*) FROM readings WHERE noise_level_db > 70) < {COMPLAINT_COUNT}
+  ORDER BY (reading_id * 7919) % 100003, reading_id
+  LIMIT {COMPLAINT_COUNT}
+),
+{COMPLAINT_ROWS}"""
+
+# The analytics take every complaint, not the sample.
+COMPLAINTS = f"""{READINGS},
+sampled AS (SELECT * FROM readings WHERE noise_level_db > 70),
+{COMPLAINT_ROWS}"""
+
 X = "noise_level_db"
 
 
@@ -153,6 +160,7 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     W = f"WITH {READINGS}\n"
     WC = f"WITH {COMPLAINTS}\n"
+    WS = f"WITH {SAMPLED}\n"
 
     q["readings_clean"] = W + """SELECT "timestamp", participant_id, latitude, longitude, noise_level_db,
        noise_category, location_type, noise_kind, hour, day_of_week, geo_zone
@@ -259,7 +267,7 @@ SELECT key, CAST(n AS BIGINT) AS count, {R('sum_x / n')} AS mean_db,
 FROM m ORDER BY key"""
     q["zone_statistics"] = W + _zone_stats("store")
     q["hotspots_threshold"] = W + f""", z AS ({_zone_stats('store')})
-SELECT geo_zone, avg_noise_db, sample_count FROM z WHERE avg_noise_db >= 75 AND sample_count >= 10
+SELECT geo_zone, avg_noise_db, sample_count FROM z WHERE avg_noise_db >= {HOTSPOT_DB} AND sample_count >= 10
 ORDER BY avg_noise_db DESC, geo_zone"""
     q["hourly_patterns"] = W + f"""SELECT hour, {R('avg(noise_level_db)')} AS avg_noise_db,
        max(noise_level_db) AS max_noise_db, count(*) AS sample_count
@@ -315,8 +323,8 @@ FROM ({_keyword_rows()})"""
 
     q["complaint_route"] = W + f"SELECT reading_id, location_type, hour, {ROUTE} AS route FROM readings"
     q["weighted_assign"] = W + f"SELECT reading_id, {CATEGORY} AS category, {STATUS} AS status FROM readings"
-    q["sample_high_noise"] = WC + 'SELECT reading_id, "timestamp", noise_level_db, location_type, geo_zone FROM sampled'
-    q["complaints"] = WC + "SELECT * FROM complaints"
+    q["sample_high_noise"] = WS + 'SELECT reading_id, "timestamp", noise_level_db, location_type, geo_zone FROM sampled'
+    q["complaints"] = WS + "SELECT * FROM complaints"
     q["complaints_by_hour"] = WC + "SELECT hour, count(*) AS complaints FROM complaints GROUP BY hour ORDER BY hour"
     q["complaint_zones"] = WC + f"""SELECT geo_zone, count(*) AS complaints, {R('avg(estimated_noise_db)')} AS avg_noise_db
 FROM complaints GROUP BY geo_zone ORDER BY complaints DESC, geo_zone LIMIT 10"""

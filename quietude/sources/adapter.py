@@ -49,17 +49,22 @@ def events_to_raw(events: DataFrame) -> DataFrame:
     )
 
 
-def readings(events: DataFrame, keep_id: bool = True) -> DataFrame:
+def readings(events: DataFrame, keep_id: bool = True, with_zone: bool = True) -> DataFrame:
     """Readings table (FIXTURES.md section 4) derived from ``events``.
 
     ``reading_id`` (the event id) is kept for the complaint jobs; pass
-    ``keep_id=False`` for the eleven table columns only.
+    ``keep_id=False`` for the eleven table columns only. The zones need the
+    bounds of both axes, one pass over ``events``; ``with_zone=False`` leaves
+    ``geo_zone`` out and starts no job.
     """
     raw = events_to_raw(events)
-    bounds = features.axis_bounds(raw, "latitude", "longitude")
     exprs = {c: X.q(c) for c in READING_TABLE_COLUMNS}
     exprs["noise_category"] = X.noise_category_sql("noise_level_db")
-    exprs["geo_zone"] = features.geo_zone_sql("latitude", "longitude", bounds)
+    if with_zone:
+        bounds = features.axis_bounds(raw, "latitude", "longitude")
+        exprs["geo_zone"] = features.geo_zone_sql("latitude", "longitude", bounds)
+    else:
+        del exprs["geo_zone"]
     sel = [f"{v} AS {X.q(k)}" for k, v in exprs.items()]
     return raw.selectExpr(*(["reading_id"] if keep_id else []), *sel)
 

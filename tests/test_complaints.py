@@ -66,9 +66,28 @@ def test_complaint_ids(spark):
     assert all(i.startswith("NC") and len(i) >= 8 for i in ids) and len(set(ids)) == 50
 
 
-def test_sample_cutoff_path_same_rows(spark, monkeypatch):
-    r = adapter.readings(table(spark, SF_SMALL, "events"))
-    plain = [x["reading_id"] for x in C.sample_high_noise(r, 200).collect()]
-    monkeypatch.setattr(C, "TOPK_MERGE_LIMIT", 0)  # force the histogram cutoff
-    cut = [x["reading_id"] for x in C.sample_high_noise(r, 200).collect()]
-    assert plain == cut and len(cut) == 200
+def test_sample_equals_brute_force(spark):
+    r = adapter.readings(table(spark, SF_SMALL, "events"), with_zone=False)
+    rows = [(x["reading_id"], x["noise_level_db"]) for x in r.select("reading_id", "noise_level_db").collect()]
+    high = [i for i, db in rows if db is not None and db > C.HIGH_NOISE_DB]
+    for n in (1, 200, len(high), len(high) + 1, len(rows), len(rows) + 5):
+        pool = high if len(high) >= n else [i for i, _ in rows]
+        want = sorted(pool, key=lambda i: ((i * 7919) % C.SAMPLE_MODULUS, i))[:n]
+        assert [x["reading_id"] for x in C.sample_high_noise(r, n).collect()] == want
+    assert C.sample_high_noise(r.limit(0), 5).count() == 0
+
+
+def test_zone_free_queries_start_no_job(spark):
+    from quietude.plans.catalog import QUERIES
+    names = ["noise_category", "hourly_trends", "weekday_weekend", "location_analysis", "peak_hours_by_location",
+             "category_distribution", "hourly_patterns", "readings_overview", "noise_describe", "noise_summary",
+             "value_counts", "group_mode", "complaint_route", "weighted_assign", "complaints_by_hour",
+             "complaints_by_weekday", "complaint_status", "peak_hour", "top_category", "unresolved_share"]
+    sc = spark.sparkContext
+    sc.setJobGroup("zone-free", "build only")
+    try:
+        for name in names:
+            QUERIES[name](spark, SF_SMALL)
+        assert list(sc.statusTracker().getJobIdsForGroup("zone-free")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
