@@ -408,11 +408,20 @@ def _verified(percent: int, words: int):
     return work
 
 
+def only_stars(links: DataFrame) -> bool:
+    """Whether every u of the links (u, v) has one link and no v is a u: each
+    component is then its smallest node with the others around it."""
+    ends = (links.selectExpr("u AS n", "1L AS up", "0 AS down")
+            .unionByName(links.selectExpr("v AS n", "0L AS up", "1 AS down")))
+    seen = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not seen.where("up > 1 OR (up = 1 AND down = 1)").count()
+
+
 def components(edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """(node, root) of every node with an edge; root is the component's smallest
-    node. Alternating large and small stars until the stars are stable."""
+    node. Alternating large and small stars until only stars are left."""
     links = stored(edges.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).where("u != v").distinct(), "edges")
-    while True:
+    while not only_stars(links):
         # Large star: the larger neighbours of a node go to its smallest one.
         both = links.unionByName(links.selectExpr("v AS u", "u AS v"))
         low = both.groupBy("u").agg(F.min("v").alias("low")).selectExpr("u AS w", "least(u, low) AS low")
@@ -422,11 +431,9 @@ def components(edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("low")).withColumnRenamed("u", "w")
         small = (large.join(low, F.col("u") == F.col("w")).where("v != low").selectExpr("v AS u", "low AS v")
                  .unionByName(low.selectExpr("w AS u", "low AS v")).distinct())
-        small = stored(small, "small")
-        if not small.exceptAll(links).limit(1).count() and small.count() == links.count():
-            return links.selectExpr("u AS node", "v AS root").unionByName(
-                links.select("v").distinct().selectExpr("v AS node", "v AS root"))
-        links = small
+        links = stored(small, "small")
+    return links.selectExpr("u AS node", "v AS root").unionByName(
+        links.select("v").distinct().selectExpr("v AS node", "v AS root"))
 
 
 def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, words: int = 3) -> DataFrame:
@@ -486,7 +493,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
     again = (rooted.join(stored(open_keys, "open"), F.col("key") == F.col("open_key"), "left_semi")
              .repartition(parts, "key").sortWithinPartitions("key", "info", "node"))
     pairs = stored(again.mapInArrow(_unconnected(t, boundary), "x binary, y binary").distinct(), "rest_pairs")
-    roots = stored(components(near_hub.unionByName(verify(pairs, "rest_links"))), "final_roots")
+    roots = stored(components(first.selectExpr("node AS x", "root AS y").unionByName(verify(pairs, "rest_links"))), "final_roots")
     return (found.join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
             .selectExpr("id", "n", "node", "coalesce(root, node) AS root"))
 
