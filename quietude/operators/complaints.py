@@ -188,7 +188,7 @@ def complaints_by_weekday(c: DataFrame) -> DataFrame:
 def complaint_status(c: DataFrame) -> DataFrame:
     """Status counts with share (A22 on complaints)."""
     from quietude.operators.stats import value_counts
-    return value_counts(c, "status")
+    return value_counts(c, "status", closed=True)
 
 
 def _counts_with_total(c: DataFrame, col: str, extra: tuple[str, ...] = ()) -> DataFrame:

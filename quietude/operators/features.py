@@ -17,6 +17,8 @@ from quietude.sources.schemas import EXPORT_HEADER, RAW_SENSOR_COLUMNS, READING_
 
 # Characters a text-line strip removes at both ends (ASCII whitespace).
 WHITESPACE = " \t\n\r\x0b\x0c"
+# A local time, with what follows it.
+LOCAL_TIME = "^([0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?)(Z|[+-][0-9]{2}:?[0-9]{2})?$"
 
 
 def with_noise_category(df: DataFrame, noise_col: str = "noise_level_db",
@@ -91,11 +93,11 @@ def preprocess_raw(raw: DataFrame, base_noise_col: str) -> DataFrame:
 
     ``base_noise_col`` is the base estimate per row (the reference draws it
     at random; here it is an input column). Rows with a NULL time are
-    dropped before parsing; unparseable times survive as NULL.
+    dropped before parsing; a time that is not wholly a local time (0 to 9
+    decimals of a second, with or without an offset) survives as NULL.
     """
     others = [q(c) for c in RAW_SENSOR_COLUMNS if c != "time"]
-    t = ("CAST(coalesce(try_to_timestamp(substring(`time`, 1, 26), 'yyyy-MM-dd HH:mm:ss.SSSSSS'), "
-         "try_to_timestamp(substring(`time`, 1, 19), 'yyyy-MM-dd HH:mm:ss')) AS TIMESTAMP_NTZ)")
+    t = f"try_cast(regexp_extract(`time`, {X.s(LOCAL_TIME)}, 1) AS TIMESTAMP_NTZ)"
     df = raw.filter("`time` IS NOT NULL").selectExpr(f"{t} AS `time`", *others, q(base_noise_col))
     noise = adjusted_noise_sql(q(base_noise_col), "`q_location`", "`ts_audio_exposure_environment`")
     feats = time_features_sql("`time`")

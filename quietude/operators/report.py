@@ -18,7 +18,7 @@ from quietude.operators.complaints import CATEGORY_HIGH_PCT, UNRESOLVED, UNRESOL
 
 # grouping_id() over (category, hour, status, geo_zone) for each section
 _GID = {"category": 7, "hour": 11, "status": 13, "zone": 14, "all": 15}
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def _grouped(c: DataFrame) -> DataFrame:
@@ -30,12 +30,13 @@ def _grouped(c: DataFrame) -> DataFrame:
 
 
 def _entries_sql(gid: int, key: str, by_key: bool = False) -> str:
-    """Sorted (count desc, key) or (key) array of one section's entries."""
+    """Sorted (count desc, key) or (key) array of one section's entries; NULL
+    keys are not counted."""
     if by_key:
         e = f"named_struct('k', {key}, 'n', n, 's', s)"
     else:
         e = f"named_struct('neg_n', -n, 'k', {key}, 'n', n, 's', s)"
-    return f"array_sort(collect_list(CASE WHEN gid = {gid} THEN {e} END))"
+    return f"array_sort(collect_list(CASE WHEN gid = {gid} AND {key} IS NOT NULL THEN {e} END))"
 
 
 def report_parts(c: DataFrame, readings: DataFrame) -> DataFrame:
@@ -61,14 +62,15 @@ def _insights_sql() -> str:
     top5 = "slice(zones, 1, 5)"
     top5_n = f"aggregate({top5}, 0L, (a, e) -> a + e.n)"
     top5_s = f"aggregate({top5}, 0.0D, (a, e) -> a + e.s)"
-    peak = ("element_at(array_sort(transform(hours, e -> named_struct('neg_n', -e.n, 'k', e.k, 'n', e.n))), 1)")
-    cat = "element_at(categories, 1)"
+    peak = ("try_element_at(array_sort(transform(hours, e -> named_struct('neg_n', -e.n, 'k', e.k, 'n', e.n))), 1)")
+    cat = "try_element_at(categories, 1)"
     cat_pct = f"(100.0D * {cat}.n / total_complaints)"
     unres = "coalesce(unresolved_count, 0L)"
     unres_pct = f"(100.0D * {unres} / total_complaints)"
 
     def item(kind: str, prio: str, **m: str) -> str:
         fields = {"avg_noise_db": "CAST(NULL AS DOUBLE)", "peak_hour": "CAST(NULL AS BIGINT)",
+                  "peak_count": "CAST(NULL AS BIGINT)",
                   "category": "CAST(NULL AS STRING)", "unresolved_count": "CAST(NULL AS BIGINT)",
                   "share_pct": "CAST(NULL AS DOUBLE)"}
         fields.update(m)
@@ -76,9 +78,9 @@ def _insights_sql() -> str:
         return f"named_struct('type', {X.s(kind)}, 'priority', {prio}, {body})"
 
     return "array(" + ", ".join([
-        item("Geographic Hotspot", "'High'", avg_noise_db=R(f"{top5_s} / {top5_n}"),
+        item("Geographic Hotspot", "'High'", avg_noise_db=R(f"{top5_s} / nullif({top5_n}, 0L)"),
              share_pct=R(f"100.0D * {top5_n} / total_complaints")),
-        item("Temporal Pattern", "'Medium'", peak_hour=f"CAST({peak}.k AS BIGINT)"),
+        item("Temporal Pattern", "'Medium'", peak_hour=f"CAST({peak}.k AS BIGINT)", peak_count=f"{peak}.n"),
         item("Complaint Category", priority_sql(cat_pct, CATEGORY_HIGH_PCT), category=f"{cat}.k",
              share_pct=R(cat_pct)),
         item("Response Efficiency", priority_sql(unres_pct, UNRESOLVED_HIGH_PCT),
@@ -133,6 +135,7 @@ def report_flat(c: DataFrame, readings: DataFrame) -> DataFrame:
         "_ins[0].share_pct AS top5_zone_share_pct",
         "_ins[0].avg_noise_db AS top5_avg_noise_db",
         "_ins[1].peak_hour AS peak_hour",
+        "_ins[1].peak_count AS peak_count",
         "_ins[2].category AS top_category",
         "_ins[2].priority AS category_priority",
         "_ins[3].unresolved_count AS unresolved_count",

@@ -179,13 +179,14 @@ def noise_summary(readings: DataFrame, col: str = NOISE, exact: bool = True) ->
         f"{R(f'max({x})')} AS max_db", f"{R(med)} AS median_db")])
 
 
-def value_counts(df: DataFrame, col: str, with_pct: bool = True) -> DataFrame:
+def value_counts(df: DataFrame, col: str, with_pct: bool = True, closed: bool = False) -> DataFrame:
     """Count per value, most frequent first, ties by value; optional share of
-    non-null rows in percent (A22)."""
+    non-null rows in percent (A22). ``closed``: the column has a small fixed
+    set of values."""
     out = df.filter(f"{q(col)} IS NOT NULL").groupBy(col).agg(E("count(1) AS count"))
     if with_pct:
         from quietude.operators.trends import with_share_of_total
-        out = with_share_of_total(out, "count", "percentage")
+        out = with_share_of_total(out, "count", "percentage", closed)
     return out.orderBy(F.desc("count"), col)
 
 

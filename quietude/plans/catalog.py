@@ -20,6 +20,7 @@ from quietude.sources.tables import document_lines, table
 # Fixed job parameters of the registered queries.
 SEARCH_KEYWORD = "data"
 UPSERT_CUTOFF = "2024-01-16 00:00:00"
+UPSERT_SOUTH = 1.31  # readings south of it all come with the first batch, so their zones stay
 COMPLAINT_COUNT = 500  # of the sample itself; the analytics take every complaint
 HOTSPOT_DB = 65.0
 
@@ -184,8 +185,9 @@ def q_distinct_zones(spark, sf):
 def q_zone_stats_upsert(spark, sf):
     store = _store(spark, sf)
     cut = f"TIMESTAMP_NTZ '{UPSERT_CUTOFF}'"
-    old = stats.zone_statistics(store.filter(f"`timestamp` < {cut}"))
-    new = stats.zone_statistics(store.filter(f"`timestamp` >= {cut}"))
+    second = f"`timestamp` >= {cut} AND latitude >= {UPSERT_SOUTH}D"
+    old = stats.zone_statistics(store.filter(f"NOT ({second})"))
+    new = stats.zone_statistics(store.filter(second))
     return upsert(old, new, "geo_zone")
 
 

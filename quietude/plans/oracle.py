@@ -8,7 +8,7 @@ the same tie-breaks. Keys match ``quietude.plans.catalog.QUERIES``.
 from __future__ import annotations
 
 from quietude.operators.text import COMPLAINT_KEYWORDS
-from quietude.plans.catalog import COMPLAINT_COUNT, HOTSPOT_DB, SEARCH_KEYWORD, UPSERT_CUTOFF
+from quietude.plans.catalog import COMPLAINT_COUNT, HOTSPOT_DB, SEARCH_KEYWORD, UPSERT_CUTOFF, UPSERT_SOUTH
 
 
 def R(x: str, d: int = 2) -> str:
@@ -232,9 +232,11 @@ ORDER BY avg_noise_db DESC, geo_zone, hour, day_of_week LIMIT 100"""
        count(*) FILTER (WHERE noise_level_db < 50) AS quiet_events
 FROM readings WHERE noise_level_db IS NOT NULL GROUP BY geo_zone, location_type, hour, day_of_week"""
     q["export_aggregates"] = W + f"""SELECT geo_zone, location_type, hour, day_of_week,
-       {R('avg(noise_level_db)', 6)} AS avg_noise_db, {R('stddev_pop(noise_level_db)', 6)} AS std_dev_db,
+       floor(CAST(sum(u) AS DOUBLE) / count(*) + 0.5e0) / 1e6 AS avg_noise_db,
+       floor(sqrt(CAST(count(*)::HUGEINT * sum(u * u) - sum(u) * sum(u) AS DOUBLE)) / count(*) + 0.5e0) / 1e6 AS std_dev_db,
        count(*) AS sample_count, max(noise_level_db) AS max_noise_db, min(noise_level_db) AS min_noise_db
-FROM readings WHERE noise_level_db IS NOT NULL GROUP BY geo_zone, location_type, hour, day_of_week"""
+FROM (SELECT *, CAST(round(noise_level_db * 1e6) AS HUGEINT) AS u FROM readings WHERE noise_level_db IS NOT NULL)
+GROUP BY geo_zone, location_type, hour, day_of_week"""
     q["zone_hourly_stats"] = W + f""", f AS (
   SELECT *, strftime("timestamp", '%Y-%m-%d') AS date_partition FROM readings WHERE noise_level_db IS NOT NULL
 ), s AS (
@@ -297,8 +299,9 @@ SELECT location_type, noise_kind AS mode_value, n AS mode_count FROM r WHERE rn
     q["top_zones"] = W + f"""SELECT geo_zone, {R('avg(noise_level_db)')} AS mean_db, count(noise_level_db) AS count
 FROM readings GROUP BY geo_zone HAVING count(noise_level_db) >= 10 ORDER BY mean_db DESC, geo_zone LIMIT 10"""
     q["distinct_zones"] = W + "SELECT DISTINCT geo_zone FROM store WHERE geo_zone IS NOT NULL"
-    before = f"(SELECT * FROM store WHERE \"timestamp\" < TIMESTAMP '{UPSERT_CUTOFF}')"
-    after = f"(SELECT * FROM store WHERE \"timestamp\" >= TIMESTAMP '{UPSERT_CUTOFF}')"
+    second = f"(\"timestamp\" >= TIMESTAMP '{UPSERT_CUTOFF}' AND latitude >= {UPSERT_SOUTH}e0)"
+    before = f"(SELECT * FROM store WHERE NOT {second})"
+    after = f"(SELECT * FROM store WHERE {second})"
     q["zone_stats_upsert"] = W + f""", old AS ({_zone_stats(before)}), new AS ({_zone_stats(after)})
 SELECT * FROM old WHERE geo_zone NOT IN (SELECT geo_zone FROM new)
 UNION ALL SELECT * FROM new"""
@@ -365,10 +368,10 @@ tot AS (SELECT count(*) AS total, min("timestamp") AS t0, max("timestamp") AS t1
                avg(estimated_noise_db) AS a, max(estimated_noise_db) AS mx,
                count(*) FILTER (WHERE status IN ('Open', 'In Progress')) AS unres FROM complaints),
 topcat AS (SELECT k AS top_k, n AS top_n FROM cat ORDER BY n DESC, k LIMIT 1),
-peak AS (SELECT k AS peak_k FROM hr ORDER BY n DESC, k LIMIT 1),
+peak AS (SELECT k AS peak_k, n AS peak_n FROM hr ORDER BY n DESC, k LIMIT 1),
 z5 AS (SELECT sum(n) AS n5, sum(s) AS s5 FROM zn5)
 SELECT tot.total AS total_complaints, (SELECT count(*) FROM readings) AS total_readings,
-       strftime(tot.t0, '%Y-%m-%d %H:%M:%S') AS date_start, strftime(tot.t1, '%Y-%m-%d %H:%M:%S') AS date_end,
+       strftime(tot.t0, '%Y-%m-%d %H:%M:%S.%f') AS date_start, strftime(tot.t1, '%Y-%m-%d %H:%M:%S.%f') AS date_end,
        {R('tot.a', 6)} AS avg_noise_level_db, tot.mx AS max_noise_level_db,
        {_json_obj('k', 'n DESC, k', 'cat')} AS category_distribution,
        {_json_obj('k', 'k', 'hr')} AS hourly_distribution,
@@ -376,7 +379,7 @@ SELECT tot.total AS total_complaints, (SELECT count(*) FROM readings) AS total_r
        {_json_obj('k', 'n DESC, k', 'zn10')} AS top_complaint_zones,
        {R('100e0 * z5.n5 / tot.total')} AS top5_zone_share_pct,
        {R('z5.s5 / z5.n5')} AS top5_avg_noise_db,
-       peak.peak_k AS peak_hour,
+       peak.peak_k AS peak_hour, peak.peak_n AS peak_count,
        topcat.top_k AS top_category,
        CASE WHEN 100e0 * topcat.top_n / tot.total > 30 THEN 'High' ELSE 'Medium' END AS category_priority,
        tot.unres AS unresolved_count,

@@ -15,6 +15,8 @@ from quietude.operators import features
 
 # Local wall-clock time with full microseconds (the CSV default keeps millis).
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+# Which side of an upsert a row is from.
+_BATCH = "_upsert_batch"
 
 
 def write_key_value_text(df: DataFrame, path: str, key: str, value: str,
@@ -92,33 +94,58 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def upsert(old: DataFrame, new: DataFrame, key: list[str] | str) -> DataFrame:
-    """Keyed upsert as a DataFrame (K8): rows of ``new`` replace rows of
-    ``old`` with the same key; other old rows stay. Applying it twice with the
-    same ``new`` gives the same table."""
+def _one_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The row of each key that is last by ``order``, then by its other values
+    (maps have no order). One aggregate, partially done before the shuffle."""
+    cols = [c for c in rows.columns if c != _BATCH]
+    rest = [c for c in cols if c not in keys]
+    if not rest:
+        return rows.select(*cols).distinct()
+    ranked = [f.name for f in rows.schema.fields if f.name in rest and "map<" not in f.dataType.simpleString()]
+    last = F.max_by(F.struct(*rest), F.struct(_BATCH, *order, *ranked))
+    return rows.groupBy(*keys).agg(last.alias("_row")).select(
+        *[F.col(c) if c in keys else F.col(f"_row.{c}") for c in cols])
+
+
+def upsert(old: DataFrame | None, new: DataFrame, key: list[str] | str,
+           order: list[str] | str = ()) -> DataFrame:
+    """Keyed upsert as a DataFrame (K8): a row of ``new`` replaces the row of
+    ``old`` with the same key; other old rows stay. The result has one row per
+    key: of several rows of ``new`` with one key the last by ``order`` stays.
+    Applying it twice with the same ``new`` gives the same table."""
     keys = [key] if isinstance(key, str) else list(key)
-    kept = old.join(new.select(*keys), keys, "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    rows = new.withColumn(_BATCH, F.lit(1))
+    if old is not None:
+        rows = old.withColumn(_BATCH, F.lit(0)).unionByName(rows, allowMissingColumns=True)
+    return _one_per_key(rows, keys, [order] if isinstance(order, str) else list(order))
 
 
-def upsert_table(spark: SparkSession, path: str, new: DataFrame, key: list[str] | str) -> DataFrame:
+def upsert_table(spark: SparkSession, path: str, new: DataFrame, key: list[str] | str,
+                 order: list[str] | str = ()) -> DataFrame:
     """Upsert ``new`` into the Parquet table at ``path`` (K8).
 
-    The merged rows are checkpointed (reliable, under ``spark.checkpoint.dir``)
-    before the target is overwritten, so the write never reads the files it
-    replaces and a lost executor recomputes from the checkpoint, not from
-    deleted input.
+    The merged rows are written beside the table and then take its place by
+    rename, so a failed write leaves the table as it was, and a run stopped
+    between the two renames is mended by the next one. Only a missing path
+    counts as no table; an unreadable one is an error.
     """
-    from pyspark.errors import AnalysisException
-    try:
-        old = spark.read.parquet(path)
-    except AnalysisException:
-        new.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    from quietude.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    merged = upsert(old, new, key).checkpoint(eager=True)
-    merged.write.mode("overwrite").parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    previous, fresh = target.suffix("__previous"), target.suffix("__next")
+
+    def rename(a, b) -> None:
+        if not fs.rename(a, b):
+            raise OSError(f"cannot rename {a.toString()} to {b.toString()}")
+
+    if not fs.exists(target) and fs.exists(previous):
+        rename(previous, target)
+    old = spark.read.parquet(path) if fs.exists(target) else None
+    upsert(old, new, key, order).write.mode("overwrite").parquet(fresh.toString())
+    if old is not None:
+        fs.delete(previous, True)
+        rename(target, previous)
+    rename(fresh, target)
+    fs.delete(previous, True)
     return spark.read.parquet(path)
 
 
@@ -133,10 +160,16 @@ def write_report_json(report: DataFrame, path: str, mode: str = "overwrite") ->
 
 
 def create_view(spark: SparkSession, name: str, df: DataFrame) -> None:
-    """Persistent-style dashboard view (K11): registered once per session."""
+    """View of this session over any DataFrame."""
     df.createOrReplaceTempView(name)
 
 
+def create_persistent_view(spark: SparkSession, name: str, query: str) -> None:
+    """``CREATE VIEW IF NOT EXISTS`` over catalog tables (K11): kept in the
+    catalog, so other sessions read it by name."""
+    spark.sql(f"CREATE VIEW IF NOT EXISTS {name} AS {query}")
+
+
 def create_table_if_absent(spark: SparkSession, name: str, schema_ddl: str,
                            using: str = "parquet", partitioned_by: str | None = None,
                            location: str | None = None) -> None:
@@ -150,5 +183,6 @@ __all__ = [
     "write_key_value_text", "export_readings_tsv", "write_csv", "write_stats_tsv",
     "insert_overwrite_directory", "write_partitioned_parquet", "append_table", "upsert",
     "upsert_table", "write_json_lines", "write_report_json", "create_view",
+    "create_persistent_view",
     "create_table_if_absent", "insert_into_table", "HOURLY_STATS_DDL",
 ]

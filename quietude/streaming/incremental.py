@@ -45,8 +45,18 @@ def append_readings(stream: DataFrame, table_path: str, checkpoint: str,
     return w.start()
 
 
+def _compacted(spark: SparkSession, table_path: str) -> int:
+    """The last batch folded into the history of ``table_path``; -1 if none."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(table_path, "batch_id=-*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    ids = [int(f.getPath().getName().partition("=")[2]) for f in found or []]
+    return max([-1 - i for i in ids], default=-1)
+
+
 def _write_batch_partials(table_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= _compacted(batch.sparkSession, table_path):
+            return  # a replay of a batch that the history holds
         partials = stats.moments_partial(batch, split_cols=()).selectExpr("*", f"{batch_id}L AS batch_id")
         (partials.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
@@ -72,12 +82,13 @@ def merged_moments(spark: SparkSession, table_path: str) -> DataFrame:
 def compact_partials(spark: SparkSession, table_path: str, out_path: str) -> DataFrame:
     """Fold all per-batch partials into one row per key under ``out_path``
     (a new folder; the source stays intact until the caller switches).
-    Sums add, minima and maxima combine; the result keeps the highest batch
-    id so later batches can still be appended next to it."""
+    Sums add, minima and maxima combine. The history of batches up to N gets the
+    id -1 - N, which no batch has: later batches are added next to it, and a
+    replay of one that it holds is skipped."""
     parts = spark.read.parquet(table_path)
-    last = parts.agg(E("max(batch_id)")).scalar()
+    history = parts.agg(E("least(-1 - max(batch_id), min(batch_id))")).scalar()
     folded = parts.groupBy("key").agg(*[E(a) for a in (
         "sum(n) AS n", "sum(sum_x) AS sum_x", "min(min_x) AS min_x", "max(max_x) AS max_x",
-        "sum(sum_x2) AS sum_x2")]).withColumn("batch_id", last)
+        "sum(sum_x2) AS sum_x2")]).withColumn("batch_id", history)
     folded.write.mode("overwrite").partitionBy("batch_id").parquet(out_path)
     return spark.read.parquet(out_path)
