@@ -6,9 +6,10 @@ order-preserving mapping between nodes of the same tag whose parents map). A
 block of text that is the same in every page aligned with it is template; slots
 whose text varies are content. Names that HTML itself gives to furniture (nav,
 aside, form, ...) and the usual class names for it mark what varies from page
-to page without being content, such as adverts and comments. Inside an
-article element the blocks are the page's own even if other pages repeat
-them, as copies of a page do.
+to page without being content, such as adverts and comments. Inside article elements
+the alignment decides as well, and blocks outside them count like others. Copies
+of a page are one witness, however many they are: pages whose blocks are the
+same, or share ``COPY_SHARE`` percent of their characters and ``COPY_CHARS`` at least.
 
 A group holds at most ``GROUP_PAGES`` distinct pages of a host, neighbours in a
 fixed pseudorandom order, so a host with a third of all pages is many groups in
@@ -28,6 +29,7 @@ rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
@@ -40,6 +42,8 @@ from quietude.llm.common import LOWER, UPPER, quoted
 GROUP_PAGES = 32
 GROUP_CHARS = 8 << 20
 MIN_PAGES = 3
+COPY_SHARE = 90
+COPY_CHARS = 500
 MAX_DEPTH = 200
 
 # Names of HTML elements, roles and common class names.
@@ -75,12 +79,12 @@ class Node:
 
 class Page(HTMLParser):
     """The tree of a page outside its furniture, and its blocks of text in page
-    order as (node, index in the node, whether inside an article)."""
+    order as (node, index in the node)."""
 
     def __init__(self, html: str) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("")
-        self.order: list[tuple[Node, int, bool]] = []
+        self.order: list[tuple[Node, int]] = []
         self.buffer: list[str] = []
         # Open elements: tag, node that gets blocks (None in furniture), inside an article.
         self.open: list[tuple[str, Node | None, bool]] = [("", self.root, False)]
@@ -97,7 +101,7 @@ class Page(HTMLParser):
             node = self.open[at][1]
             if node is not None:
                 node.blocks.append(text)
-                self.order.append((node, len(node.blocks) - 1, self.open[at][2]))
+                self.order.append((node, len(node.blocks) - 1))
 
     def handle_data(self, data: str) -> None:
         if self.open[-1][1] is not None:
@@ -230,29 +234,51 @@ def _size(node: Node) -> int:
     return count
 
 
+def contents(trees: Sequence[Page]) -> list[int]:
+    """A number for each page's content, the same for copies of a page."""
+    firsts: list[tuple[Counter, int]] = []
+    out = []
+    for page in trees:
+        own = Counter(n.blocks[i] for n, i in page.order)
+        size = sum(len(t) * k for t, k in own.items())
+        for number, (other, length) in enumerate(firsts):
+            if own == other:
+                break
+            if 100 * min(size, length) >= COPY_SHARE * max(size, length) and min(size, length) >= COPY_CHARS:
+                common = sum(len(t) * min(k, other[t]) for t, k in own.items() if t in other)
+                if common >= COPY_CHARS and 100 * common >= COPY_SHARE * max(size, length):
+                    break
+        else:
+            number = len(firsts)
+            firsts.append((own, size))
+        out.append(number)
+    return out
+
+
 def extract_group(htmls: Sequence[str], min_pages: int = MIN_PAGES) -> list[str]:
     """The texts of pages of one host."""
     pages = {h: Page(h) for h in dict.fromkeys(htmls)}
     trees = list(pages.values())
     template: dict[int, set[int]] = {}  # block indices that are template, by the node's identity
-    if len(trees) >= min_pages:
+    number = contents(trees)
+    if len(set(number)) >= min_pages:
         pivot = trees[0]
-        partners: dict[int, list[Node]] = {}
-        for other in trees[1:]:
+        partners: dict[int, list[tuple[int, Node]]] = {}
+        for at, other in zip(number[1:], trees[1:]):
             pairs: list[tuple[Node, Node]] = []
             match(pivot.root, other.root, pairs)
             for x, y in pairs:
                 if x.blocks and y.blocks:
-                    partners.setdefault(id(x), []).append(y)
-        for node, index, _ in pivot.order:
-            same = partners.get(id(node), [])
-            if len(same) + 1 >= min_pages and all(index < len(y.blocks) and y.blocks[index] == node.blocks[index] for y in same):
-                for y in [node, *same]:
+                    partners.setdefault(id(x), []).append((at, y))
+        for node, index in pivot.order:
+            same = [(number[0], node), *partners.get(id(node), [])]
+            if len({at for at, _ in same}) >= min_pages and \
+                    all(index < len(y.blocks) and y.blocks[index] == node.blocks[index] for _, y in same):
+                for _, y in same:
                     template.setdefault(id(y), set()).add(index)
     texts = {}
     for html, page in pages.items():
-        article = any(inside for _, _, inside in page.order)
-        blocks = [(n.blocks[i], i in template.get(id(n), ()) and not inside) for n, i, inside in page.order if inside or not article]
+        blocks = [(n.blocks[i], i in template.get(id(n), ())) for n, i in page.order]
         texts[html] = "\n".join([t for t, constant in blocks if not constant] or [t for t, _ in blocks])
     return [texts[h] for h in htmls]
 

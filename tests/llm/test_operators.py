@@ -240,6 +240,17 @@ def test_html_extract(spark):
     assert html_extract.extract_group([deep, deep + " ", deep + "y", "<p>a <1 & b"]) [0] == "x"
 
 
+def test_html_alignment_decides_inside_articles():
+    page = "<body><article><h1>T{0}</h1><p>Text {0}</p><p>Read more of our stories</p></article><div><p>Outside {0}</p></div></body>"
+    got = html_extract.extract_group([page.format(n) for n in range(4)])
+    assert got == [f"T{n}\nText {n}\nOutside {n}" for n in range(4)]
+    # Copies of an article are one witness: their text isn't template, on their own or beside other pages.
+    body = "".join(f"<p>{words(40, n)}</p>" for n in range(5))
+    copies = [f"<body><article>{body}</article><div>Seen {n}</div></body>" for n in range(5)]
+    assert all(words(40, 0) in t and words(40, 4) in t for t in html_extract.extract_group(copies))
+    assert html_extract.extract_group([f"<head><title>{n}</title></head><article><p>same</p></article>" for n in range(4)]) == ["same"] * 4
+
+
 def test_tree_matching_is_largest():
     page = lambda s: html_extract.Page(s).root
     a, b = page("<div><p>1<p>2</div><ul><li>x</ul>"), page("<ul><li>y<li>z</ul><div><p>3</div><ul><li>q</ul>")
