@@ -6,7 +6,12 @@ order-preserving mapping between nodes of the same tag whose parents map). A
 block of text that is the same in every page aligned with it is template; slots
 whose text varies are content. Names that HTML itself gives to furniture (nav,
 aside, form, ...) and the usual class names for it mark what varies from page
-to page without being content, such as adverts and comments. Inside article elements
+to page without being content, such as adverts and comments. A class or id names
+furniture only as a whole (``sidebar``, ``site-footer``, but not ``has-sidebar`` or
+``search-results-page``, which the alignment judges). Even then a ``main`` below it
+is content; on a page without an article elsewhere so are an article below it
+(but for comments) and the element itself if it has more than half of the text
+(but for comments, adverts and the like). Inside article elements
 the alignment decides as well, and blocks outside them count like others. Copies
 of a page are one witness, however many they are: pages whose blocks are the
 same, or share ``COPY_SHARE`` percent of their characters and ``COPY_CHARS`` at least.
@@ -60,6 +65,16 @@ FURNITURE_NAMES = frozenset("ad ads advert adverts advertisement advertising ads
                             "breadcrumbs footer comment comments disqus reply replies respond share sharing social "
                             "related recommended recommendations widget widgets pagination pager masthead topbar "
                             "toolbar copyright skip search form".split())
+#: Parts that may stand beside these in a name that is furniture as a whole.
+PLACE_NAMES = frozenset("site page main left right top bottom primary secondary global list item items box block area section "
+                        "link links bar button buttons user post posts articles stories wrapper container".split())
+COMMENT_NAMES = frozenset("comment comments disqus reply replies respond".split())
+COMMENT_PLACES = frozenset("body content text author meta thread count title".split()) | PLACE_NAMES
+#: Names that no share of a page's text rules out.
+SURE_NAMES = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies "
+                       "consent gdpr newsletter share sharing breadcrumb breadcrumbs pagination pager".split())
+#: Names that make the whole an element of another kind if they stand at its end.
+CONTENT_HEADS = frozenset("page main post".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
 KEEP_TAGS = frozenset(("html", "body", "article", "main"))
 #: Start tags that end an open element of the same kind, up to the given parents.
@@ -77,20 +92,33 @@ class Node:
         self.tag, self.kids, self.blocks, self.shape = tag, [], [], 0
 
 
+class Named:
+    """An element that its name makes furniture, and the one around it."""
+
+    __slots__ = ("kind", "outer")
+
+    def __init__(self, kind: str, outer: Named | None) -> None:
+        self.kind, self.outer = kind, outer
+
+
 class Page(HTMLParser):
     """The tree of a page outside its furniture, and its blocks of text in page
-    order as (node, index in the node)."""
+    order as (node, index in the node). ``seen`` also has the blocks below names
+    of furniture, which ``judge`` takes into ``order`` or leaves."""
 
     def __init__(self, html: str) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("")
         self.order: list[tuple[Node, int]] = []
+        self.seen: list[tuple[Node, int, Named | None, bool]] = []
+        self.article = False  # an article outside named furniture
         self.buffer: list[str] = []
-        # Open elements: tag, node that gets blocks (None in furniture), inside an article.
-        self.open: list[tuple[str, Node | None, bool]] = [("", self.root, False)]
+        # Open elements: tag, node that gets blocks (None in furniture), inside an article, named furniture around.
+        self.open: list[tuple[str, Node | None, bool, Named | None]] = [("", self.root, False, None)]
         self.feed(html)
         self.close()
         self.flush()
+        self.judge()
         self.shapes()
 
     def flush(self) -> None:
@@ -101,14 +129,43 @@ class Page(HTMLParser):
             node = self.open[at][1]
             if node is not None:
                 node.blocks.append(text)
-                self.order.append((node, len(node.blocks) - 1))
+                self.seen.append((node, len(node.blocks) - 1, self.open[at][3], self.open[at][2]))
+
+    def judge(self) -> None:
+        """The blocks in ``order``: those outside named furniture, and below it what its names can't rule out."""
+        total = sum(len(n.blocks[i]) for n, i, _, _ in self.seen)
+        share: dict[Named, int] = {}
+        for node, index, named, _ in self.seen:
+            while named is not None:
+                share[named] = share.get(named, 0) + len(node.blocks[index])
+                named = named.outer
+
+        def content(named: Named | None, inside: bool) -> bool:
+            while named is not None:
+                if self.article or named.kind == "comment" or \
+                        not inside and (named.kind == "sure" or 2 * share[named] <= total):
+                    return False
+                named = named.outer
+            return True
+
+        for node, index, named, inside in self.seen:
+            if content(named, inside):
+                self.order.append((node, index))
+        if len(self.order) < len(self.seen):
+            held: dict[int, list[str]] = {}
+            for k, (node, index) in enumerate(self.order):
+                kept = held.setdefault(id(node), [])
+                kept.append(node.blocks[index])
+                self.order[k] = (node, len(kept) - 1)
+            for node in {id(n): n for n, *_ in self.seen}.values():
+                node.blocks = held.get(id(node), [])
 
     def handle_data(self, data: str) -> None:
         if self.open[-1][1] is not None:
             self.buffer.append(data)
 
     def pop_to(self, at: int) -> None:
-        if any(tag not in INLINE for tag, _, _ in self.open[at:]):
+        if any(tag not in INLINE for tag, *_ in self.open[at:]):
             self.flush()
         del self.open[at:]
 
@@ -124,15 +181,22 @@ class Page(HTMLParser):
             self.flush()
         if tag in VOID:
             return
-        _, node, inside = self.open[-1]
+        _, node, inside, named = self.open[-1]
         if node is not None:
-            if self.is_furniture(tag, attrs, inside):
+            main = tag == "main" or ("role", "main") in attrs
+            if not main and self.is_furniture(tag, attrs, inside):
                 node = None
             elif tag not in INLINE and len(self.open) < MAX_DEPTH:
                 node.kids.append(kid := Node(tag))
                 node = kid
-            inside = inside or tag in ARTICLE_TAGS or ("role", "main") in attrs or ("itemprop", "articleBody") in attrs
-        self.open.append((tag, node, inside))
+            if main:
+                named = None
+            elif node is not None and (kind := self.furniture_name(tag, attrs, inside)):
+                # An article counts again below this name.
+                named, inside = Named(kind, named), False
+            inside = inside or main or tag in ARTICLE_TAGS or ("itemprop", "articleBody") in attrs
+            self.article = self.article or inside and node is not None and named is None
+        self.open.append((tag, node, inside, named))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -156,20 +220,29 @@ class Page(HTMLParser):
 
     @staticmethod
     def is_furniture(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
-        if tag in FURNITURE or tag == "header" and not inside:
-            return True
         if tag in KEEP_TAGS:
-            return any(n in ("class", "id") and {"comment", "comments"} & set(_name_parts(v)) for n, v in attrs) and inside
+            return False
+        if tag in FURNITURE and tag != "form" or tag == "header" and not inside:
+            return True
+        return any(name == "role" and (value or "").lower() in FURNITURE_ROLES - {"form"} or name == "hidden" or
+                   name == "aria-hidden" and value == "true" or
+                   name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value or "")
+                   for name, value in attrs)
+
+    @staticmethod
+    def furniture_name(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> str:
+        """``comment``, ``sure`` or ``other`` if class, id or kind of the element name furniture, else empty."""
+        kind = "other" if tag == "form" or ("role", "form") in attrs else ""
         for name, value in attrs:
-            if name in ("class", "id"):
-                parts = set(_name_parts(value))
-                if parts & FURNITURE_NAMES or "header" in parts and not inside:
-                    return True
-            elif name == "role" and (value or "").lower() in FURNITURE_ROLES or name == "hidden" or \
-                    name == "aria-hidden" and value == "true" or \
-                    name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value or ""):
-                return True
-        return False
+            for token in (value or "").split() if name in ("class", "id") else ():
+                parts = set(own := _name_parts(token))
+                if parts & COMMENT_NAMES and parts <= FURNITURE_NAMES | COMMENT_PLACES and \
+                        own[-1] not in CONTENT_HEADS and (tag not in KEEP_TAGS or inside):
+                    return "comment"
+                if tag not in KEEP_TAGS and (parts & FURNITURE_NAMES or "header" in parts and not inside) and \
+                        parts <= FURNITURE_NAMES | PLACE_NAMES | {"header"} and own[-1] not in CONTENT_HEADS:
+                    kind = "sure" if kind == "sure" or parts & SURE_NAMES else "other"
+        return kind
 
     def shapes(self) -> None:
         """A hash of each subtree's tags, children before parents."""

@@ -251,6 +251,17 @@ def test_html_alignment_decides_inside_articles():
     assert html_extract.extract_group([f"<head><title>{n}</title></head><article><p>same</p></article>" for n in range(4)]) == ["same"] * 4
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='layout has-sidebar'><article><p>{}</p></article></div>", "<div class=sidebar><article><p>{}</p></article></div>",
+    "<div id='search-results-page'><p>{}</p></div>", "<form id=aspnetForm><div><p>{}</p></div></form>", "<div class=search><main>{}</main></div>",
+    "<form><article><p>{}</p><div class=comment-body>me too</div></article></form>", "<div class=notice>{}</div>",
+    "<article><section id='social-history'><p>{}</p></section></article><div class=related-posts><article>other</article></div>",
+    "<div class=ad>Buy this, it is longer than the text.</div><p>{}</p><div class='comments'><p>I think that is a good one</p></div>"])
+def test_html_names_lose_no_content(page):
+    got = html_extract.extract_group([f"<body><nav>menu</nav>{page.format('The text')}<div class='site-footer'>F</div></body>"])
+    assert got == ["The text"]
+
+
 def test_tree_matching_is_largest():
     page = lambda s: html_extract.Page(s).root
     a, b = page("<div><p>1<p>2</div><ul><li>x</ul>"), page("<ul><li>y<li>z</ul><div><p>3</div><ul><li>q</ul>")
