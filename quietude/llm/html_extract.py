@@ -1,10 +1,11 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are worked in groups. Each page becomes a DOM tree; the trees
-of a group are aligned with one of them by simple tree matching (the largest
+Pages of one host are worked in groups. Each page becomes a DOM tree. Pages whose
+sets of tag paths are alike (``ALIKE`` percent of the paths of both) form a cluster;
+its trees are aligned with up to ``PIVOTS`` of them by simple tree matching (the largest
 order-preserving mapping between nodes of the same tag whose parents map). A
-block of text that is the same in every page aligned with it is template; slots
-whose text varies are content. Names that HTML itself gives to furniture (nav,
+block of text that ``AGREE`` percent of the nodes aligned with a pivot's node have,
+in at least ``MIN_PAGES`` pages, is template; what varies is content. Names that HTML itself gives to furniture (nav,
 aside, form, ...) and the usual class names for it mark what varies from page
 to page without being content, such as adverts and comments. A class or id names
 furniture only as a whole (``sidebar``, ``site-footer``, but not ``has-sidebar`` or
@@ -16,10 +17,13 @@ the alignment decides as well, and blocks outside them count like others. Copies
 of a page are one witness, however many they are: pages whose blocks are the
 same, or share ``COPY_SHARE`` percent of their characters and ``COPY_CHARS`` at least.
 
-A group holds at most ``GROUP_PAGES`` distinct pages of a host, neighbours in a
-fixed pseudorandom order, so a host with a third of all pages is many groups in
-many tasks. Every page is extracted with its own group's template; at least
-``MIN_PAGES`` distinct pages are needed to call a block constant.
+A host with more than ``SPLIT_PAGES`` pages is dealt into groups of about
+``GROUP_PAGES`` by a hash of the page, so a host with a third of all pages is many
+groups in many tasks. Groups of a host with long pages are smaller, of about
+``GROUP_BYTES``, but not below ``LEAST_PAGES`` pages on average. A page's group
+follows from the host's pages alone, not from settings or other hosts. The list of
+the split hosts is broadcast: at most one row for ``LEAST_PAGES`` pages. Every page is
+extracted with its own group's template.
 
 Blocks are the text between block-level tags, with character references
 decoded and white space turned into single blanks; a line break is white space.
@@ -45,7 +49,12 @@ from pyspark.sql import functions as F
 from quietude.llm.common import LOWER, UPPER, quoted
 
 GROUP_PAGES = 32
-GROUP_CHARS = 8 << 20
+SPLIT_PAGES = 48
+GROUP_BYTES = 32 << 20
+LEAST_PAGES = 12
+PIVOTS = 4
+ALIKE = 50
+AGREE = 60
 MIN_PAGES = 3
 COPY_SHARE = 90
 COPY_CHARS = 500
@@ -245,12 +254,15 @@ class Page(HTMLParser):
         return kind
 
     def shapes(self) -> None:
-        """A hash of each subtree's tags, children before parents."""
-        order, todo = [], [self.root]
+        """A hash of each subtree's tags, children before parents, and the tag paths from the root."""
+        order, todo = [], [(self.root, 0)]
+        paths = set()
         while todo:
-            node = todo.pop()
+            node, above = todo.pop()
             order.append(node)
-            todo += node.kids
+            paths.add(path := hash((above, node.tag)))
+            todo += [(k, path) for k in node.kids]
+        self.paths = frozenset(paths)
         for node in reversed(order):
             node.shape = hash((node.tag, *[k.shape for k in node.kids]))
 
@@ -328,61 +340,112 @@ def contents(trees: Sequence[Page]) -> list[int]:
     return out
 
 
+def clusters(trees: Sequence[Page]) -> list[list[int]]:
+    """Indices of pages with like tag paths, each with the cluster of the first page most like it."""
+    firsts: list[frozenset] = []
+    out: list[list[int]] = []
+    for at, page in enumerate(trees):
+        own = page.paths
+        like = [100 * len(own & other) / len(own | other) for other in firsts]
+        best = max(range(len(like)), key=lambda k: (like[k], -k), default=None)
+        if best is None or like[best] < ALIKE:
+            best = len(firsts)
+            firsts.append(own)
+            out.append([])
+        out[best].append(at)
+    return out
+
+
+def constants(trees: Sequence[Page], number: Sequence[int], min_pages: int) -> set[tuple[int, str]]:
+    """(identity of a node, text) of the blocks of a cluster that are template."""
+    found: set[tuple[int, str]] = set()
+    aligned: set[int] = set()
+    left = set(range(len(trees)))
+    for _ in range(min(PIVOTS, len(trees))):
+        # The next pivot has most blocks that no alignment has reached.
+        fresh = {k: sum(id(n) not in aligned for n, _ in trees[k].order) for k in left}
+        pivot = max(sorted(left), key=lambda k: fresh[k])
+        left.discard(pivot)
+        if not fresh[pivot]:
+            break
+        partners: dict[int, list[tuple[int, Node]]] = {id(n): [(number[pivot], n)] for n, _ in trees[pivot].order}
+        for k, other in enumerate(trees):
+            if k != pivot:
+                pairs: list[tuple[Node, Node]] = []
+                match(trees[pivot].root, other.root, pairs)
+                for x, y in pairs:
+                    if id(x) in partners and y.blocks:
+                        partners[id(x)].append((number[k], y))
+        for same in partners.values():
+            everyone = len({at for at, _ in same})
+            if everyone < min_pages:
+                continue
+            aligned.update(id(y) for _, y in same)
+            votes: dict[str, set[int]] = {}
+            for at, y in same:
+                for text in y.blocks:
+                    votes.setdefault(text, set()).add(at)
+            for text, voters in votes.items():
+                if len(voters) >= min_pages and 100 * len(voters) >= AGREE * everyone:
+                    found.update((id(y), text) for _, y in same)
+    return found
+
+
 def extract_group(htmls: Sequence[str], min_pages: int = MIN_PAGES) -> list[str]:
     """The texts of pages of one host."""
     pages = {h: Page(h) for h in dict.fromkeys(htmls)}
     trees = list(pages.values())
-    template: dict[int, set[int]] = {}  # block indices that are template, by the node's identity
     number = contents(trees)
+    template: set[tuple[int, str]] = set()
     if len(set(number)) >= min_pages:
-        pivot = trees[0]
-        partners: dict[int, list[tuple[int, Node]]] = {}
-        for at, other in zip(number[1:], trees[1:]):
-            pairs: list[tuple[Node, Node]] = []
-            match(pivot.root, other.root, pairs)
-            for x, y in pairs:
-                if x.blocks and y.blocks:
-                    partners.setdefault(id(x), []).append((at, y))
-        for node, index in pivot.order:
-            same = [(number[0], node), *partners.get(id(node), [])]
-            if len({at for at, _ in same}) >= min_pages and \
-                    all(index < len(y.blocks) and y.blocks[index] == node.blocks[index] for _, y in same):
-                for _, y in same:
-                    template.setdefault(id(y), set()).add(index)
+        for of in clusters(trees):
+            if len({number[k] for k in of}) >= min_pages:
+                template |= constants([trees[k] for k in of], [number[k] for k in of], min_pages)
     texts = {}
     for html, page in pages.items():
-        blocks = [(n.blocks[i], i in template.get(id(n), ())) for n, i in page.order]
+        blocks = [(n.blocks[i], (id(n), n.blocks[i]) in template) for n, i in page.order]
         texts[html] = "\n".join([t for t, constant in blocks if not constant] or [t for t, _ in blocks])
     return [texts[h] for h in htmls]
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """id, url and text of every page."""
+def groups(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """id, url, html, host, place (a hash of the page) and deal (the host's group) of every page."""
     host = F.translate(F.regexp_extract(F.coalesce(quoted(url_col), F.lit("")), "://([^/?#]*)", 1), UPPER, LOWER)
     rows = pages.select(quoted(id_col).alias("id"), quoted(url_col).cast("string").alias("url"),
                         quoted(html_col).cast("string").alias("html"), host.alias("host"),
-                        F.xxhash64(quoted(id_col), quoted(url_col)).alias("place"))
-    # Hosts stay whole but for those at the borders of tasks; small tables need few tasks.
+                        F.xxhash64(quoted(id_col), quoted(url_col), quoted(html_col)).alias("place"))
+    deals = f"least(n div {LEAST_PAGES}, greatest(CAST(round(n / {GROUP_PAGES}) AS BIGINT), size div {GROUP_BYTES} + 1))"
+    split = (rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.octet_length("html")).cast("long").alias("size"))
+             .where(f"n > {SPLIT_PAGES} OR size > {GROUP_BYTES}").selectExpr("host", f"greatest(1, {deals}) AS deals").where("deals > 1"))
+    return (rows.join(F.broadcast(split), "host", "left")
+            .withColumn("deal", F.expr("pmod(place, coalesce(deals, 1))")).drop("deals")
+            .select("id", "url", "html", "host", "place", "deal"))
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """id, url and text of every page."""
+    rows = groups(pages, id_col, url_col, html_col)
+    # Small tables need few tasks. A group is in one task, however many there are.
     parts = max(1, min(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), pages.count() // (32 * GROUP_PAGES)))
-    rows = rows.repartitionByRange(parts, "host", "place").sortWithinPartitions("host", "place")
+    rows = rows.repartitionByRange(parts, "host", "deal").sortWithinPartitions("host", "deal", "place", "html")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, urls, htmls, chars, at = [], [], [], 0, None
+        ids, urls, htmls, at = [], [], [], None
 
         def done() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.concat_arrays(ids), pa.array(urls, pa.string()),
                                                pa.array(extract_group(htmls), pa.string())], names=["id", "url", "text"])
 
         for batch in batches:
-            for n, (url, html, name) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)))):
-                if ids and (name != at or len(ids) >= GROUP_PAGES or chars > GROUP_CHARS):
+            for n, (url, html, *name) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2, 3, 5)))):
+                if ids and name != at:
                     yield done()
-                    ids, urls, htmls, chars = [], [], [], 0
+                    ids, urls, htmls = [], [], []
                 at = name
                 ids.append(batch.column(0).slice(n, 1))
                 urls.append(url)
-                htmls.append(html or "")
-                chars += len(html or "")
+                # A page that comes again is the same string (they are sorted).
+                htmls.append(htmls[-1] if htmls and htmls[-1] == (html or "") else html or "")
         if ids:
             yield done()
 

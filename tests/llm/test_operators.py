@@ -262,6 +262,33 @@ def test_html_names_lose_no_content(page):
     assert got == ["The text"]
 
 
+def test_html_template_outvotes_odd_pages(spark):
+    page = "<body><div><p>Home of news</p><p>{1}</p></div><div><h1>T{0}</h1><p>Text {0}</p></div><div>All rights</div></body>"
+    normal = [page.format(n, "Menu") for n in range(12)]
+    want = [f"T{n}\nText {n}" for n in range(12)]
+    error = "<body><table><tr><td>Not found</table></body>"
+    assert html_extract.extract_group([error, *normal])[1:] == want  # an odd page first
+    assert html_extract.extract_group([page.format(12, "Other"), *normal])[1:] == want  # one that differs at a slot
+    shifted = normal[0].replace("<div><p>Home", "<div>New<p>Home").replace("<div>All", "<div>Today<br><p>x</p>All")
+    assert html_extract.extract_group([shifted, *normal[1:]])[1:] == want[1:]  # one with another block before
+    # Long pages and any number of partitions: a page's group is the same.
+    filler = "<script>" + "x" * (3 << 20) + "</script>"
+    long = [(n, "http://big.example/", h + filler) for n, h in enumerate(normal)]
+    rows = long + [(n, f"http://h{n % 3}.example/{n}", page.format(n, "Menu")) for n in range(100, 400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        deals = set()
+        for width in ("1", "3", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", width)
+            deals.add(frozenset((r.id, r.host, r.deal) for r in html_extract.groups(pages).select("id", "host", "deal").collect()))
+            got = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
+            assert got == {r[0]: f"T{r[0]}\nText {r[0]}" for r in rows}
+        assert len(deals) == 1 and len({(h, d) for _, h, d in next(iter(deals))}) >= 7
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_tree_matching_is_largest():
     page = lambda s: html_extract.Page(s).root
     a, b = page("<div><p>1<p>2</div><ul><li>x</ul>"), page("<ul><li>y<li>z</ul><div><p>3</div><ul><li>q</ul>")
