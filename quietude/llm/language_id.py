@@ -6,6 +6,13 @@ of the text's trigrams. Linear SVMs vote one-versus-one, first between
 language families, then between the languages of the winning family. Text
 is the only input of a prediction.
 
+The duels can't say "none of these": one language always wins. ``keep_known``
+therefore also asks how likely a text's trigrams are in the learned languages. Its
+mean log chance per trigram, in the language where it is highest, must be nearer to
+that of labelled texts left out of the counts (their median) than to that of trigrams
+drawn evenly, less ``SLACK`` standard errors of a text of its length. A text
+of few trigrams can't be told from a learned language and stays.
+
 The models are fitted on a sample of labelled rows: about ``per_language`` rows
 of each language, taken by a hash of the id from all labelled rows, never more
 than ``2 * per_language * languages`` rows. Prediction covers every whole text.
@@ -19,7 +26,7 @@ NULL ids are held out. An empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +38,8 @@ from quietude.llm.common import quoted
 from quietude.llm.linear import fit_hinge
 
 DIMS = 1 << 16
+SLACK = 3.0
+MOST = 2000  # trigrams of one text that count towards a language's chances
 SCALE = 100.0  # shares of trigrams are small; one unit of the models' features is a hundredth
 
 #: Families of languages (fixed values); a language not listed is a family of its own.
@@ -72,6 +81,28 @@ class Model:
     language_duels: Mapping[str, tuple[Duel, ...]]
     weights: np.ndarray
     bias: np.ndarray
+    #: Log chance of each trigram (languages, DIMS); the median of labelled texts' means
+    #: and the deviation within texts.
+    chance: np.ndarray = field(default_factory=lambda: np.zeros((0, DIMS), np.float32))
+    usual: float = 0.0
+    spread: float = 0.0
+
+    def learned(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Whether each text of a run can be of a learned language."""
+        out = np.ones(len(offsets) - 1, bool)
+        if len(data) < 3 or not len(self.chance):
+            return out
+        codes = trigram_codes(data)
+        length = np.maximum(np.diff(offsets) - 2, 0)
+        lo = np.minimum(offsets[:-1], len(codes))
+        hi = np.minimum(lo + length, len(codes))
+        sums = np.full(len(length), -np.inf)
+        for own in self.chance:
+            total = np.concatenate([[0.0], np.cumsum(own[codes], dtype=np.float64)])
+            sums = np.maximum(sums, total[hi] - total[lo])
+        n = np.maximum(length, 1)
+        floor = (self.usual - np.log(DIMS)) / 2 - SLACK * self.spread / np.sqrt(n)
+        return (length == 0) | (sums / n >= floor)
 
     def margins(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Margins (texts, duels) of a run of texts."""
@@ -108,6 +139,40 @@ def _vote(names, duels, margins) -> tuple[str, float]:
     return best, 1.0 / (1.0 + float(np.exp(-2.0 * np.clip(min(own), -20, 20)))) if own else 1.0
 
 
+def _log_chances(features, sizes, lang, keep) -> np.ndarray:
+    """Log chance of each trigram in each language, from the texts that ``keep`` marks."""
+    out = []
+    for name in sorted(set(lang[keep])):
+        counts = np.zeros(DIMS)
+        for k in np.flatnonzero(keep & (lang == name)):
+            at, value = features[k]
+            counts[at] += value * (min(sizes[k], MOST) / SCALE)
+        out.append(np.log((counts + 0.1) / (counts.sum() + 0.1 * DIMS)).astype(np.float32))
+    return np.array(out)
+
+
+def _calibrated(features, sizes, lang) -> tuple[np.ndarray, float, float]:
+    """Log chances, and the median and the deviation within texts on texts that another half's counts judge."""
+    filled = np.array([n > 0 for n in sizes], bool)
+    if not filled.any():
+        return np.zeros((0, DIMS), np.float32), 0.0, 0.0
+    order = np.zeros(len(lang), np.int64)  # number of the text among its language's
+    for name in set(lang):
+        order[lang == name] = np.arange((lang == name).sum())
+    means, variances = [], []
+    for half in (0, 1):
+        learn = filled & (order % 2 == half)
+        table = _log_chances(features, sizes, lang, learn if learn.any() else filled)
+        for k in np.flatnonzero(filled & (order % 2 != half)):
+            at, value = features[k]
+            share = value / SCALE
+            own = max((row[at] for row in table), key=lambda x: float(share @ x))
+            mean = float(share @ own)
+            means.append(mean)
+            variances.append(float(share @ (own - mean) ** 2))
+    return _log_chances(features, sizes, lang, filled), float(np.median(means)), float(np.sqrt(np.median(variances)))
+
+
 def sample_by_label(rows: DataFrame, label: str, key: Column, per_label: int) -> DataFrame:
     """About ``per_label`` rows of each label, by a hash of ``key``; at most
     twice that in all. Few labels are expected: their counts come here."""
@@ -130,17 +195,19 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, value = [], []
+            at, value, size = [], [], []
             for _, _, data, offsets in text_runs(batch.column(1)):
                 for lo, hi in zip(offsets[:-1], offsets[1:]):
                     codes, n = np.unique(trigram_codes(data[lo:hi]), return_counts=True) if hi - lo >= 3 else ((), ())
                     at.append(np.asarray(codes, np.int32))
                     value.append(np.asarray(n, np.float32) * (SCALE / max(1, hi - lo - 2)))
+                    size.append(max(0, hi - lo - 2))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(at, pa.list_(pa.int32())),
-                                              pa.array(value, pa.list_(pa.float32()))], names=["lang", "at", "value"])
+                                              pa.array(value, pa.list_(pa.float32())), pa.array(size, pa.int64())],
+                                             names=["lang", "at", "value", "size"])
 
     sample = (sample_by_label(rows, "lang", F.col("id"), per_language).select("lang", "text")
-              .mapInArrow(counted, "lang string, at array<int>, value array<float>").toPandas())
+              .mapInArrow(counted, "lang string, at array<int>, value array<float>, size long").toPandas())
     languages = sorted(sample["lang"].unique())
     groups: dict[str, tuple[str, ...]] = {}
     for lang in languages:
@@ -166,7 +233,8 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     family_duels = duels(sorted(groups), family)
     language_duels = {g: duels(names, lang) for g, names in groups.items()}
     return Model(groups, family_duels, language_duels,
-                 np.array(weights, np.float32).reshape(len(weights), DIMS), np.array(bias))
+                 np.array(weights, np.float32).reshape(len(weights), DIMS), np.array(bias),
+                 *_calibrated(features, sample["size"].to_numpy(), lang))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -196,8 +264,9 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.2,
                languages: frozenset[str] | None = None) -> DataFrame:
-    """The rows of ``docs`` whose text has a recognised language: not ``und``,
-    a score of at least ``min_score`` and, if given, one of ``languages``."""
+    """The rows of ``docs`` whose text has a recognised language: not ``und``, trigrams
+    that a learned language can have, a score of at least ``min_score`` (from 0.25 on it
+    rejects texts that the duels are unsure of) and, if given, one of ``languages``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
@@ -205,8 +274,9 @@ def keep_known(docs: DataFrame, model: Model, text_col: str = "text", min_score:
         for batch in batches:
             mask = []
             for lo, hi, data, offsets in text_runs(batch.column(at)):
-                for text, margins in zip(batch.column(at).slice(lo, hi - lo), shared.value.margins(data, offsets)):
-                    lang, score = shared.value.decide(margins) if has_letter(text.as_py()) else ("und", 0.0)
+                for text, margins, learned in zip(batch.column(at).slice(lo, hi - lo), shared.value.margins(data, offsets),
+                                                  shared.value.learned(data, offsets)):
+                    lang, score = shared.value.decide(margins) if learned and has_letter(text.as_py()) else ("und", 0.0)
                     mask.append(lang != "und" and score >= min_score and (languages is None or lang in languages))
             yield batch.filter(pa.array(mask, pa.bool_()))
 

@@ -355,6 +355,28 @@ def test_hinge_separates():
     assert w[1] + b > 0.5 and w[0] + b < -0.5
 
 
+def test_pipeline_rejects_unlearned_languages(spark):
+    from pyspark.sql import functions as F
+    from tests.conftest import SF_ORACLE
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").where("text IS NOT NULL")
+    few = docs.limit(1)
+    letters = np.random.default_rng(3)
+    bad = ["".join(letters.choice(list("abcdefghijklmnopqrstuvwxyz     "), 400)),
+           "Litwo, ojczyzno moja, ty jesteś jak zdrowie; ile cię trzeba cenić, ten tylko się dowie, kto cię stracił.",
+           "Шла Саша по шоссе и сосала сушку, а потом пошла домой и легла спать до самого утра."]
+    model = language_id.fit(docs.where("lang != 'es'"), F.lit(True))
+    for text in bad:
+        assert language_id.keep_known(few.withColumn("text", F.lit(text)), model).count() == 0
+    # A language that the model has not learned goes; texts of the learned ones stay.
+    kept = {r.lang: r["count"] for r in language_id.keep_known(docs, model).groupBy("lang").count().collect()}
+    total = {r.lang: r["count"] for r in docs.groupBy("lang").count().collect()}
+    assert kept.get("es", 0) <= 0.1 * total["es"]
+    assert all(kept[lang] >= 0.99 * total[lang] for lang in total if lang != "es")
+    rows = spark.createDataFrame([(10 ** 6 + i, t, None, None, len(t)) for i, t in enumerate(bad)], docs.schema)
+    out = corpus_pipeline.identify_language(spark, docs.unionByName(rows), "")
+    assert out.where(f"doc_id >= {10 ** 6}").count() == 0 and out.count() >= 0.99 * docs.count()
+
+
 def test_pipeline_stages(spark):
     docs = frame(spark, [*TEXTS, *[words(40, s) for s in range(30)]]).selectExpr("doc_id", "text", "'en' AS lang", "source", "length(text) AS n_chars")
     out = docs
