@@ -207,35 +207,29 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names=["chunk", "counts"])
 
 
-_BITS = 21  # of sizes and places; a set of 2**21 shingles or more is refused
+# What a posting says beside key and node, as wide as the sizes of sets ask for: the
+# number of rare shingles, the size n and pos (the place in the order of rarity, -1
+# for a subset). Rows sort by it in this order.
+_INFO = ["rare", "n", "pos"]
+_INFO_SCHEMA = "rare long, n long, pos long"
 
 
-def _packed(n: int, pos: np.ndarray, rare: int) -> np.ndarray:
-    """rare, n and pos (the place in the order of rarity, -1 for a subset) in
-    one number that orders by rare first."""
-    if n >= (1 << _BITS) - 1:
-        raise ValueError(f"a document has {n} distinct shingles; widen _BITS")
-    return (np.int64((rare << _BITS) | n) << _BITS) | (pos.astype(np.int64) + 1)
-
-
-def _unpacked(info: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(n, pos) of packed numbers."""
-    low = (1 << _BITS) - 1
-    return (info >> _BITS) & low, (info & low) - 1
+def _longs(rows: list) -> np.ndarray:
+    return np.array(rows, np.int64)
 
 
 def _posted(words: int, threshold: Threshold, boundary: int, table, noise: float):
-    """Bucket rows of each class: key, node, and its size, the key's place and
-    the number of rare shingles in one number (see ``_packed``)."""
+    """Bucket rows of each class: key, node, and the number of its rare shingles,
+    its size and the key's place (see ``_INFO``)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = table.value, set()
         for batch in batches:
-            key, at, info, nodes = [], [], [], []
+            key, at, info, nodes = [], [], [], []  # info: (rare, n, pos) of each row
 
             def put(keys: np.ndarray, n: int, places: np.ndarray, few: int) -> None:
                 key.append(keys)
                 at.append(np.full(len(keys), len(nodes) - 1))
-                info.append(_packed(n, places, few))
+                info.append(np.stack([np.full(len(keys), few, np.int64), np.full(len(keys), n, np.int64), places.astype(np.int64)]))
 
             for _, s in _each_set(batch, words):
                 n = len(s)
@@ -264,7 +258,7 @@ def _posted(words: int, threshold: Threshold, boundary: int, table, noise: float
                 owner = pa.array(np.concatenate(at), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(key).view(np.int64)), pa.array(nodes, pa.binary()).take(owner),
-                     pa.array(np.concatenate(info))], names=["key", "node", "info"])
+                     *map(pa.array, np.concatenate(info, axis=1))], names=["key", "node", *_INFO])
     return work
 
 
@@ -297,7 +291,7 @@ def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[dic
 
 
 def _shared(t: Threshold, boundary: int):
-    """Of bucket rows sorted by (key, info, node), those of buckets with two
+    """Of bucket rows (key, rare, n, pos, node) sorted in this order, those of buckets with two
     classes or more, with the hub and whether the pair with it may link (never a
     hub with itself). Holds one row of a bucket."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +299,7 @@ def _shared(t: Threshold, boundary: int):
         told = True
         for batch in batches:
             out = []
-            for row in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", *_INFO))):
                 if hub is None or row[0] != hub[0]:
                     hub = last = row
                     told = False
@@ -313,29 +307,28 @@ def _shared(t: Threshold, boundary: int):
                     last = row
                     if row[1] != hub[1]:
                         if not told:
-                            out.append((*hub, hub[1], hub[2]))
+                            out.append((*hub, *hub[1:]))
                             told = True
-                        out.append((*row, hub[1], hub[2]))
+                        out.append((*row, *hub[1:]))
             if out:
-                key, node, info, hub_node, hub_info = zip(*out)
-                info = np.array(info, np.int64)
-                may = _may_link(t, boundary, *_unpacked(info), *_unpacked(np.array(hub_info, np.int64)))
+                key, node, rare, n, pos, hub_node, _, hub_n, hub_pos = zip(*out)
+                may = _may_link(t, boundary, *map(_longs, (n, pos, hub_n, hub_pos)))
                 may &= np.array([a != b for a, b in zip(node, hub_node)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key, pa.int64()), pa.array(node, pa.binary()), pa.array(info), pa.array(hub_node, pa.binary()),
-                     pa.array(may)], names=["key", "node", "info", "hub", "may"])
+                    [pa.array(key, pa.int64()), pa.array(node, pa.binary()), *(pa.array(c, pa.int64()) for c in (rare, n, pos)),
+                     pa.array(hub_node, pa.binary()), pa.array(may)], names=["key", "node", *_INFO, "hub", "may"])
     return work
 
 
 def _unconnected(t: Threshold, boundary: int, block: int = 512):
     """Pairs (x, y) of a bucket that may link and are in different components."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket in _runs(batches, ["key", "node", "info", "root"]):
+        for bucket in _runs(batches, ["key", "node", "n", "pos", "root"]):
             roots = {r: i for i, r in enumerate(dict.fromkeys(bucket["root"]))}
             if len(roots) < 2:
                 continue
             root = np.array([roots[r] for r in bucket["root"]])
-            n, pos = _unpacked(np.array(bucket["info"], np.int64))
+            n, pos = _longs(bucket["n"]), _longs(bucket["pos"])
             for lo in range(0, len(n), block):
                 mine = slice(lo, lo + block)
                 may = (root[mine, None] != root[None, lo:]) & _may_link(
@@ -457,9 +450,9 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
     boundary = choose_boundary(sizes, mean_list, t)
 
     table = spark.sparkContext.broadcast(counts)
-    posts = rows.mapInArrow(_posted(words, t, boundary, table, noise), "key long, node binary, info long")
-    shared = stored(posts.repartition(parts, "key").sortWithinPartitions("key", "info", "node")
-                    .mapInArrow(_shared(t, boundary), "key long, node binary, info long, hub binary, may boolean"),
+    posts = rows.mapInArrow(_posted(words, t, boundary, table, noise), f"key long, node binary, {_INFO_SCHEMA}")
+    shared = stored(posts.repartition(parts, "key").sortWithinPartitions("key", *_INFO, "node")
+                    .mapInArrow(_shared(t, boundary), f"key long, node binary, {_INFO_SCHEMA}, hub binary, may boolean"),
                     "buckets")
 
     def contents(nodes: DataFrame, bins: bool) -> DataFrame:
@@ -484,14 +477,14 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
 
     near_hub = verify(stored(shared.where("may").selectExpr("node AS x", "hub AS y").distinct(), "hub_pairs"), "hub_links")
     first = stored(components(near_hub), "roots")
-    rooted = (shared.select("key", "node", "info").join(first.withColumnRenamed("node", "r_node"),
+    rooted = (shared.select("key", "node", *_INFO).join(first.withColumnRenamed("node", "r_node"),
                                                           F.col("node") == F.col("r_node"), "left")
-              .selectExpr("key", "node", "info", "coalesce(root, node) AS root"))
+              .selectExpr("key", "node", *_INFO, "coalesce(root, node) AS root"))
     # Buckets inside one component are done; only the others come together again.
     open_keys = (rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                  .where("lo != hi").selectExpr("key AS open_key"))
     again = (rooted.join(stored(open_keys, "open"), F.col("key") == F.col("open_key"), "left_semi")
-             .repartition(parts, "key").sortWithinPartitions("key", "info", "node"))
+             .repartition(parts, "key").sortWithinPartitions("key", *_INFO, "node"))
     pairs = stored(again.mapInArrow(_unconnected(t, boundary), "x binary, y binary").distinct(), "rest_pairs")
     roots = stored(components(first.selectExpr("node AS x", "root AS y").unionByName(verify(pairs, "rest_links"))), "final_roots")
     return (found.join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")

@@ -355,6 +355,15 @@ def test_hinge_separates():
     assert w[1] + b > 0.5 and w[0] + b < -0.5
 
 
+def test_jaccard_join_takes_sets_of_any_size(spark):
+    long = " ".join(map(str, range((1 << 21) + 10)))
+    docs = spark.createDataFrame([(0, long), (1, long + " end"), (2, words(60, 2)), (3, words(60, 2) + " end"), (4, words(60, 3))],
+                                 "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link(docs, percent=90, words=1).collect()}
+    assert got[0] == ((1 << 21) + 10, 0) and got[1] == ((1 << 21) + 11, 0)
+    assert got[2][1] == got[3][1] == 2 and got[4][1] == 4
+
+
 def test_pipeline_rejects_unlearned_languages(spark):
     from pyspark.sql import functions as F
     from tests.conftest import SF_ORACLE
