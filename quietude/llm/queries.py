@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quietude.llm import bpe, exact_dedup, html_extract, jaccard_join, language_id, mixing, quality, repeats, topk, url_filter
+from quietude.llm import (bpe, collocation, exact_dedup, html_extract, jaccard_join, language_id, license_scan, merkle, mixing,
+                          quality, repeats, topk, url_filter)
 from quietude.llm.common import LOWER, UPPER, table
 
 
@@ -71,10 +72,24 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(table(spark, sf_dir, "documents"), percent=90, words=3)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.verify(docs, altered={"text": F.replace("text", F.lit("\n"), F.lit(""))},
+                         where=merkle.even_crc(F.col("doc_id")))
+
+
+def op13_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe, op2_exact_dedup, op3_language_id, op4_topk, op5_quality, op6_url_filter, op7_suffix_dedup, op8_html_extract, op9_mixing,
-        op10_jaccard_join)}
+        op10_jaccard_join, op11_collocations, op12_merkle, op13_license)}
 
 _RULE_ROWS = ", ".join(
     f"('{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{a}')" for a, r in url_filter.RULES)
@@ -106,4 +121,67 @@ ORACLE: dict[str, str] = {
                    FROM u JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
         SELECT u.page_id, host, path, m.rule, coalesce(m.action, 'allow') AS verdict
         FROM u LEFT JOIN m ON u.page_id = m.page_id AND m.n = 1""",
+    "op11_collocations": collocation.oracle(),
+    "op12_merkle": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, source, text,
+                   concat(CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END,
+                          CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END,
+                          CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END,
+                          CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END) AS head,
+                   xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                       lambda crc, byte: list_reduce(range(8), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)), xor(crc, byte)),
+                       CAST(4294967295 AS BIGINT))) % 2 = 0 AS altered
+            FROM documents),
+        leaf AS (
+            SELECT doc_id, source,
+                   sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS h,
+                   CASE WHEN altered AND text IS NOT NULL
+                        THEN sha256(head || strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''))
+                        ELSE sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) END AS other
+            FROM d),
+        place AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS pos,
+                   count(*) OVER (PARTITION BY source) AS n,
+                   dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM leaf),
+        tree(place, lvl, pos, n, h) AS (
+            SELECT place, 0, pos, n, h FROM place
+            UNION ALL
+            SELECT place, lvl + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM tree
+            WHERE n > 1 GROUP BY place, lvl, pos // 3),
+        sub AS (SELECT place, max(lvl) AS height, arg_max(h, lvl) AS subroot FROM tree GROUP BY place),
+        top(lvl, pos, n, h) AS (
+            SELECT 0, place, (SELECT count(*) FROM sub), subroot FROM sub
+            UNION ALL
+            SELECT lvl + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM top
+            WHERE n > 1 GROUP BY lvl, pos // 3),
+        path AS (
+            SELECT p.place, p.pos AS own, CAST(l.lvl AS INTEGER) AS lvl,
+                   CASE WHEN l.lvl < s.height THEN p.pos // CAST(pow(3, l.lvl) AS BIGINT)
+                        ELSE p.place // CAST(pow(3, l.lvl - s.height) AS BIGINT) END AS spot,
+                   s.height
+            FROM place p JOIN sub s ON p.place = s.place,
+                 (SELECT unnest(range((SELECT max(height) FROM sub) + (SELECT max(lvl) FROM top))) AS lvl) l
+            WHERE l.lvl < s.height + (SELECT max(lvl) FROM top)),
+        sibling AS (
+            SELECT path.place, own, path.lvl, string_agg(x.h, '' ORDER BY x.pos) FILTER (WHERE x.pos < spot) AS lefts,
+                   string_agg(x.h, '' ORDER BY x.pos) FILTER (WHERE x.pos > spot) AS rights
+            FROM path LEFT JOIN (
+                SELECT place, lvl, pos, h, false AS upper FROM tree
+                UNION ALL SELECT s.place, s.height + t.lvl, t.pos, t.h, true FROM sub s, top t) x
+              ON x.place = path.place AND x.lvl = path.lvl AND x.upper = (path.lvl >= height) AND x.pos // 3 = spot // 3
+            GROUP BY path.place, own, path.lvl),
+        fold(place, own, lvl, h) AS (
+            SELECT place, pos, 0, other FROM place
+            UNION ALL
+            SELECT f.place, f.own, f.lvl + 1, sha256(concat(s.lefts, f.h, s.rights))
+            FROM fold f JOIN sibling s ON f.place = s.place AND f.own = s.own AND f.lvl = s.lvl),
+        proof AS (SELECT place, own, sha256(string_agg(concat(lefts, rights), '' ORDER BY lvl)) AS p FROM sibling GROUP BY ALL),
+        ended AS (SELECT place, own, arg_max(h, lvl) AS h FROM fold GROUP BY ALL),
+        root AS (SELECT arg_max(h, lvl) AS root FROM top)
+        SELECT p.doc_id, p.h AS leaf, s.subroot, root.root, coalesce(proof.p, sha256('')) AS proof_sha256,
+               e.h AS folded_root, e.h = root.root AS verified
+        FROM root, place p JOIN sub s ON p.place = s.place JOIN ended e ON e.place = p.place AND e.own = p.pos
+             LEFT JOIN proof ON proof.place = p.place AND proof.own = p.pos""",
+    "op13_license": license_scan.oracle(),
 }
