@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quietude.functions import expr as X
 from quietude.functions.expr import E, q
 from quietude.functions.expr import round_half_up_sql as R
+from quietude.operators import ranks
 
 NOISE = "noise_level_db"
 
@@ -156,27 +157,28 @@ def readings_overview(readings: DataFrame) -> DataFrame:
 def noise_describe(readings: DataFrame, col: str = NOISE, digits: int = 5,
                    exact: bool = True) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 %, max (A20). Quartiles are exact
-    and interpolated (one count per distinct value, bounded for quantised
-    readings); ``exact=False`` uses ``percentile_approx``."""
-    x = q(col)
-    quart = (f"percentile({x}, array(0.25, 0.5, 0.75))" if exact
-             else f"percentile_approx({x}, array(0.25, 0.5, 0.75), 10000)")
-    return (readings.agg(*[E(a) for a in (
-        f"count({x}) AS count", f"{R(f'avg({x})', digits)} AS mean",
-        f"{R(f'stddev_samp({x})', digits)} AS std", f"min({x}) AS min",
-        f"{quart} AS _q", f"max({x}) AS max")])
-            .selectExpr("count", "mean", "std", "min", f"{R('_q[0]', digits)} AS p25",
-                        f"{R('_q[1]', digits)} AS p50", f"{R('_q[2]', digits)} AS p75", "max"))
+    and interpolated, by rank selection in bounded state; ``exact=False`` uses
+    ``percentile_approx``."""
+    x, probs = q(col), {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    aggs = [f"count({x}) AS count", f"{R(f'avg({x})', digits)} AS mean",
+            f"{R(f'stddev_samp({x})', digits)} AS std", f"min({x}) AS min", f"max({x}) AS max"]
+    out = _overall(readings, x, aggs, probs, exact)
+    return out.selectExpr("count", "mean", "std", "min", *[f"{R(p, digits)} AS {p}" for p in probs], "max")
 
 
 def noise_summary(readings: DataFrame, col: str = NOISE, exact: bool = True) -> DataFrame:
     """Whole-table count, mean, sample std, min, max, median, 2 places."""
     x = q(col)
-    med = f"median({x})" if exact else f"percentile_approx({x}, 0.5, 10000)"
-    return readings.agg(*[E(a) for a in (
-        "count(1) AS total_records", f"{R(f'avg({x})')} AS mean_db",
-        f"{R(f'stddev_samp({x})')} AS std_dev_db", f"{R(f'min({x})')} AS min_db",
-        f"{R(f'max({x})')} AS max_db", f"{R(med)} AS median_db")])
+    aggs = ["count(1) AS total_records", f"{R(f'avg({x})')} AS mean_db", f"{R(f'stddev_samp({x})')} AS std_dev_db",
+            f"{R(f'min({x})')} AS min_db", f"{R(f'max({x})')} AS max_db"]
+    return _overall(readings, x, aggs, {"median_db": 0.5}, exact).withColumn("median_db", E(R("median_db")))
+
+
+def _overall(rows: DataFrame, x: str, aggs: list[str], probs: dict[str, float], exact: bool) -> DataFrame:
+    if exact:
+        return ranks.with_percentiles(rows, [], x, aggs, probs)
+    approx = [f"percentile_approx({x}, {X.dbl(p)}, 10000) AS {name}" for name, p in probs.items()]
+    return rows.agg(*[E(a) for a in (*aggs, *approx)])
 
 
 def value_counts(df: DataFrame, col: str, with_pct: bool = True, closed: bool = False) -> DataFrame:

@@ -2,10 +2,10 @@
 location, peak hours, monthly, category shares, zone x hour x day, dashboard
 summary, export roll-up, hourly zone statistics with a category map).
 
-All aggregates are algebraic or bounded-buffer (``percentile`` keeps one
-count per distinct value, ``mode`` one count per class), so every
-``groupBy`` runs with a map-side partial aggregate: a hot key (one zone
-holding a third of the rows) sends one partial row per task, not its rows.
+All aggregates are algebraic or bounded-buffer (``mode`` keeps one count per
+class, percentiles come from ``ranks``), so every ``groupBy`` runs with a
+map-side partial aggregate: a hot key (one zone holding a third of the rows)
+sends one partial row per task, not its rows.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quietude.functions import expr as X
 from quietude.functions.expr import E, q
 from quietude.functions.expr import round_half_up_sql as R
+from quietude.operators import ranks
 
 NOISE = "noise_level_db"
 
@@ -24,12 +25,6 @@ def _aggs(*sql: str):
     return [E(x) for x in sql]
 
 
-def median_sql(x: str, exact: bool = True, p: float = 0.5) -> str:
-    """Exact interpolated percentile, or ``percentile_approx`` for very large
-    groups over an unbounded value domain."""
-    return f"percentile({x}, {p})" if exact else f"percentile_approx({x}, {p}, 10000)"
-
-
 def _stats5(x: str = NOISE) -> list[str]:
     return [f"count(1) AS measurement_count",
             f"{R(f'avg({x})')} AS avg_noise_db",
@@ -39,13 +34,23 @@ def _stats5(x: str = NOISE) -> list[str]:
 
 
 def hourly_trends(readings: DataFrame, exact: bool = True) -> DataFrame:
-    """Query 3: per hour count, avg, population std, min, max, median, p95."""
-    return (readings.filter(f"{NOISE} IS NOT NULL")
-            .groupBy("hour")
-            .agg(*_aggs(*_stats5(),
-                        f"{R(median_sql(NOISE, exact, 0.5))} AS median_noise_db",
-                        f"{R(median_sql(NOISE, exact, 0.95))} AS p95_noise_db"))
-            .orderBy("hour"))
+    """Query 3: per hour count, avg, population std, min, max, median, p95.
+
+    Percentiles are exact by rank selection (``ranks``: a few scans, bounded
+    state); ``exact=False`` takes ``percentile_approx`` in the one scan."""
+    rows, probs = readings.filter(f"{NOISE} IS NOT NULL"), {"median_noise_db": 0.5, "p95_noise_db": 0.95}
+    return _with_percentiles(rows, ["hour"], _stats5(), probs, exact).orderBy("hour")
+
+
+def _with_percentiles(rows: DataFrame, keys: list[str], aggs: list[str], probs: dict[str, float], exact: bool,
+                      digits: int = 2) -> DataFrame:
+    """Aggregates and rounded percentiles of the noise by ``keys``."""
+    if exact:
+        out = ranks.with_percentiles(rows, keys, NOISE, aggs, probs)
+    else:
+        approx = [f"percentile_approx({NOISE}, {X.dbl(p)}, 10000) AS {name}" for name, p in probs.items()]
+        out = rows.groupBy(*keys).agg(*_aggs(*aggs, *approx))
+    return out.withColumns({name: E(R(name, digits)) for name in probs})
 
 
 def zone_hotspots(readings: DataFrame, min_count: int = 10, top: int = 20,
@@ -157,16 +162,14 @@ SUMMARY_KEYS = ["geo_zone", "location_type", "hour", "day_of_week"]
 
 def summary_view(readings: DataFrame, exact: bool = True) -> DataFrame:
     """Query 11: dashboard summary by (zone, location, hour, day)."""
-    return (readings.filter(f"{NOISE} IS NOT NULL")
-            .groupBy(*SUMMARY_KEYS)
-            .agg(*_aggs("count(1) AS total_measurements",
-                        f"{R(f'avg({NOISE})')} AS avg_noise_db",
-                        f"{R(f'stddev_pop({NOISE})')} AS std_dev_db",
-                        f"{R(f'min({NOISE})')} AS min_noise_db",
-                        f"{R(f'max({NOISE})')} AS max_noise_db",
-                        f"{R(median_sql(NOISE, exact))} AS median_noise_db",
-                        f"count_if({NOISE} > 80.0D) AS extreme_noise_events",
-                        f"count_if({NOISE} < 50.0D) AS quiet_events"))
+    aggs = ["count(1) AS total_measurements",
+            f"{R(f'avg({NOISE})')} AS avg_noise_db",
+            f"{R(f'stddev_pop({NOISE})')} AS std_dev_db",
+            f"{R(f'min({NOISE})')} AS min_noise_db",
+            f"{R(f'max({NOISE})')} AS max_noise_db",
+            f"count_if({NOISE} > 80.0D) AS extreme_noise_events",
+            f"count_if({NOISE} < 50.0D) AS quiet_events"]
+    return (_with_percentiles(readings.filter(f"{NOISE} IS NOT NULL"), SUMMARY_KEYS, aggs, {"median_noise_db": 0.5}, exact)
             .selectExpr(*SUMMARY_KEYS, f"{X.day_type_sql('day_of_week')} AS day_type",
                         "total_measurements", "avg_noise_db", "std_dev_db", "min_noise_db",
                         "max_noise_db", "median_noise_db", "extreme_noise_events", "quiet_events"))
