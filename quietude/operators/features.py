@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 
 from quietude.functions import expr as X
 from quietude.functions.expr import E, q
+from quietude.sources.raw import time_sql
 from quietude.sources.schemas import EXPORT_HEADER, RAW_SENSOR_COLUMNS, READING_COLUMNS
 
 # Characters a text-line strip removes at both ends (ASCII whitespace).
 WHITESPACE = " \t\n\r\x0b\x0c"
-# A local time, with what follows it.
-LOCAL_TIME = "^([0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,9})?)(Z|[+-][0-9]{2}:?[0-9]{2})?$"
 
 
 def with_noise_category(df: DataFrame, noise_col: str = "noise_level_db",
@@ -97,8 +96,7 @@ def preprocess_raw(raw: DataFrame, base_noise_col: str) -> DataFrame:
     decimals of a second, with or without an offset) survives as NULL.
     """
     others = [q(c) for c in RAW_SENSOR_COLUMNS if c != "time"]
-    t = f"try_cast(regexp_extract(`time`, {X.s(LOCAL_TIME)}, 1) AS TIMESTAMP_NTZ)"
-    df = raw.filter("`time` IS NOT NULL").selectExpr(f"{t} AS `time`", *others, q(base_noise_col))
+    df = raw.filter("`time` IS NOT NULL").selectExpr(f"{time_sql('`time`')} AS `time`", *others, q(base_noise_col))
     noise = adjusted_noise_sql(q(base_noise_col), "`q_location`", "`ts_audio_exposure_environment`")
     feats = time_features_sql("`time`")
     df = df.selectExpr("*", f"{noise} AS noise_level_db", *[f"{v} AS {k}" for k, v in feats.items()])

@@ -9,10 +9,8 @@ is bounded by zones x locations x 24 x 7 x days x 6 rows whatever the
 number of readings. Queries 3 and 11 need exact percentiles and the mode
 reads classes, so they keep their direct form.
 
-Means and deviations come from sums (mean = s/n, population variance =
-s2/n - mean^2, clamped at 0), so they can differ from the direct,
-numerically stabler aggregates in the last bits and, rarely, at a
-two-decimal rounding boundary.
+Sums are the exact ones of ``functions.exact``: whatever the split of the
+readings and the order of merging, a figure comes out the same.
 """
 
 from __future__ import annotations
@@ -20,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quietude.functions import exact as fixed
 from quietude.functions import expr as X
 from quietude.functions.expr import E
 from quietude.functions.expr import round_half_up_sql as R
@@ -34,13 +33,14 @@ def readings_rollup(readings: DataFrame) -> DataFrame:
     return (readings.withColumn("date", E("to_date(`timestamp`)"))
             .groupBy(*ROLLUP_KEYS)
             .agg(*[E(a) for a in (
-                "count(1) AS n_rows", f"count({x}) AS n", f"sum({x}) AS s", f"sum({x} * {x}) AS s2",
+                "count(1) AS n_rows", *fixed.sums_sql(x),
                 f"min({x}) AS mn", f"max({x}) AS mx", f"count_if({x} > 80.0D) AS n80",
                 f"count_if({x} > 70.0D) AS n70", f"count_if({x} < 50.0D) AS n50")]))
 
 
-_MEAN = "(sum(s) / sum(n))"
-_STD = f"sqrt(greatest(0.0D, sum(s2) / sum(n) - {_MEAN} * {_MEAN}))"
+_MERGED = tuple(m.rpartition(" AS ")[0] for m in fixed.merge_sql())
+_MEAN = fixed.mean_sql(_MERGED)
+_STD = fixed.std_sql(_MERGED)
 
 
 def _stats5() -> list:
@@ -95,6 +95,7 @@ def zone_hour_day(r: DataFrame, min_count: int = 5, top: int = 100) -> DataFrame
 
 
 def export_aggregates(r: DataFrame) -> DataFrame:
-    return (r.filter("n > 0").groupBy("geo_zone", "location_type", "hour", "day_of_week")
-            .agg(*[E(a) for a in (f"{_MEAN} AS avg_noise_db", f"{_STD} AS std_dev_db", "sum(n) AS sample_count",
-                                  "max(mx) AS max_noise_db", "min(mn) AS min_noise_db")]))
+    from quietude.operators.trends import SUMMARY_KEYS, export_figure_sql
+    return (r.filter("n > 0").groupBy(*SUMMARY_KEYS)
+            .agg(*[E(a) for a in (f"{export_figure_sql(_MEAN)} AS avg_noise_db", f"{export_figure_sql(_STD)} AS std_dev_db",
+                                  "sum(n) AS sample_count", "max(mx) AS max_noise_db", "min(mn) AS min_noise_db")]))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quietude.functions import exact as fixed
 from quietude.functions import expr as X
 from quietude.functions.expr import E, q
 from quietude.functions.expr import round_half_up_sql as R
@@ -66,34 +67,29 @@ def noise_grouping_sets(readings: DataFrame) -> DataFrame:
 
 
 def moments_partial(readings: DataFrame, split_cols: tuple[str, ...] = ("date",)) -> DataFrame:
-    """Partial moments per composite key and split: count, sum, min, max, sum
-    of squares (A4). Splits (default: the reading date) are the units an
-    incremental load stores and later merges. One scan: the five key sets
-    are grouping sets, each extended by the split columns."""
+    """Partial moments per composite key and split: count, min, max, and the
+    exact sums of ``functions.exact`` (A4). Splits (default: the reading date)
+    are the units an incremental load stores and later merges. One scan: the
+    five key sets are grouping sets, each extended by the split columns."""
     df = _keyed_rows(readings)
     if "date" in split_cols and "date" not in df.columns:
         df = df.withColumn("date", E("to_date(`timestamp`)"))
-    out = _grouping_sets(df, ["count(1) AS n", f"sum({NOISE}) AS sum_x", f"min({NOISE}) AS min_x",
-                              f"max({NOISE}) AS max_x", f"sum({NOISE} * {NOISE}) AS sum_x2"],
+    out = _grouping_sets(df, [*fixed.sums_sql(NOISE), f"min({NOISE}) AS min_x", f"max({NOISE}) AS max_x"],
                          extra=tuple(split_cols))
-    return out.selectExpr(f"{_composite_key_sql()} AS key", *[q(c) for c in split_cols],
-                          "n", "sum_x", "min_x", "max_x", "sum_x2")
+    return out.selectExpr(f"{_composite_key_sql()} AS key", *[q(c) for c in split_cols], *fixed.SUMS, "min_x", "max_x")
 
 
 def moments_merge(partials: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
-    """Merge stored partials: mean = sum/n, var = sum_x2/n - mean^2 clamped at
-    0, std = sqrt(var) (A5). Merging any split of the partials gives the
-    same result, so roll-ups can be incremental."""
+    """Merge stored partials to count, mean, population std, min and max (A5).
+    Sums are exact, so any split of the partials, merged in any order, gives
+    the same result and roll-ups can be incremental."""
     key_cols = key_cols or ["key"]
     merged = (partials.groupBy(*key_cols)
-              .agg(*[E(a) for a in ("sum(n) AS n", "sum(sum_x) AS sum_x", "min(min_x) AS min_x",
-                                    "max(max_x) AS max_x", "sum(sum_x2) AS sum_x2")]))
-    mean = "(sum_x / n)"
-    var = f"(sum_x2 / n - {mean} * {mean})"
+              .agg(*[E(a) for a in (*fixed.merge_sql(), "min(min_x) AS min_x", "max(max_x) AS max_x")]))
     return (merged.selectExpr(*[q(k) for k in key_cols],
-                              "CAST(n AS BIGINT) AS count",
-                              f"{R(mean)} AS mean_db",
-                              f"{R(f'sqrt(greatest(0.0D, {var}))')} AS std_dev",
+                              "n AS count",
+                              f"{R(fixed.mean_sql())} AS mean_db",
+                              f"{R(fixed.std_sql())} AS std_dev",
                               f"{R('min_x')} AS min_db",
                               f"{R('max_x')} AS max_db")
             .orderBy(*key_cols))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quietude.functions import exact as fixed
 from quietude.functions import expr as X
 from quietude.functions.expr import E, q
 from quietude.functions.expr import round_half_up_sql as R
@@ -175,29 +176,20 @@ def summary_view(readings: DataFrame, exact: bool = True) -> DataFrame:
                         "max_noise_db", "median_noise_db", "extreme_noise_events", "quiet_events"))
 
 
-def export_aggregates(readings: DataFrame, digits: int | None = 6) -> DataFrame:
-    """Query 12: the summary grain for export.
+def export_aggregates(readings: DataFrame) -> DataFrame:
+    """Query 12: the summary grain for export (A15). Mean and deviation come from
+    exact sums, to six decimals, so they depend on no order of rows."""
+    sums = (readings.filter(f"{NOISE} IS NOT NULL").groupBy(*SUMMARY_KEYS)
+            .agg(*_aggs(*fixed.sums_sql(NOISE), f"max({NOISE}) AS max_noise_db", f"min({NOISE}) AS min_noise_db")))
+    return sums.selectExpr(*SUMMARY_KEYS, f"{export_figure_sql(fixed.mean_sql())} AS avg_noise_db",
+                           f"{export_figure_sql(fixed.std_sql())} AS std_dev_db", "n AS sample_count",
+                           "max_noise_db", "min_noise_db")
 
-    ``digits`` (default 6) adds up whole units of that many decimals, so the
-    sums and the rounded mean and deviation don't depend on the order of rows
-    (up to about 10**11 rows a group at 6); ``None`` keeps raw doubles.
-    """
-    if digits is not None:
-        n, unit = "CAST(count(1) AS DECIMAL(20, 0))", X.dbl(10.0 ** digits)
-        u = f"CAST(CAST(round({NOISE} * {unit}) AS BIGINT) AS DECIMAL(18, 0))"
-        s, q2 = f"sum({u})", f"sum(CAST({u} * {u} AS DECIMAL(20, 0)))"
-        mean = f"floor(CAST({s} AS DOUBLE) / count(1) + 0.5D) / {unit}"
-        spread = f"CAST({n} * {q2} - {s} * {s} AS DOUBLE)"
-        std = f"floor(sqrt({spread}) / count(1) + 0.5D) / {unit}"
-    else:
-        mean, std = f"avg({NOISE})", f"stddev_pop({NOISE})"
-    return (readings.filter(f"{NOISE} IS NOT NULL")
-            .groupBy(*SUMMARY_KEYS)
-            .agg(*_aggs(f"{mean} AS avg_noise_db",
-                        f"{std} AS std_dev_db",
-                        "count(1) AS sample_count",
-                        f"max({NOISE}) AS max_noise_db",
-                        f"min({NOISE}) AS min_noise_db")))
+
+def export_figure_sql(x: str) -> str:
+    """An exported mean or deviation: whole units, half up."""
+    unit = f"{10 ** fixed.DIGITS}D"
+    return f"floor({x} * {unit} + 0.5D) / {unit}"
 
 
 def zone_hourly_stats(readings: DataFrame) -> DataFrame:

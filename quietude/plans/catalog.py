@@ -6,15 +6,17 @@ full. Limits appear only where the top-k or the sample is the feature.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quietude.functions.expr import round_half_up_sql
 from quietude.operators import complaints as C
-from quietude.operators import features, report, stats, text, trends
-from quietude.sinks.writers import upsert
-from quietude.sources import adapter
+from quietude.operators import dashboard, features, report, stats, text, trends
+from quietude.session import ensure_checkpoint_dir
+from quietude.sinks.writers import HOURLY_STATS_DDL, upsert
+from quietude.sources import adapter, raw
 from quietude.sources.tables import document_lines, table
 
 # Fixed job parameters of the registered queries.
@@ -74,6 +76,24 @@ def q_readings_complete(spark, sf):
     return _store(spark, sf).select("reading_id", "participant_id", "noise_level_db", "geo_zone")
 
 
+def _raw(spark: SparkSession, sf: str) -> DataFrame:
+    lines = adapter.raw_csv_lines(table(spark, sf, "events"))
+    return raw.with_faults(raw.parse_lines(lines, adapter.RAW_COLUMNS), ("base_db",))
+
+
+def q_raw_readings(spark, sf):
+    good = raw.accepted(_raw(spark, sf), ("base_db",))
+    return features.export_columns(features.rename_to_table(features.preprocess_raw(good, "base_db")))
+
+
+def q_raw_faults(spark, sf):
+    return raw.fault_counts(raw.faults(_raw(spark, sf)))
+
+
+def q_store_rows(spark, sf):
+    return features.store_coerce(_store(spark, sf))
+
+
 # --- trends ---------------------------------------------------------------
 
 def q_hourly_trends(spark, sf):
@@ -121,6 +141,39 @@ def q_zone_hourly_stats(spark, sf):
     return trends.explode_category_map(trends.zone_hourly_stats(_readings(spark, sf)))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the session's shared checkpoint folder, gone with the driver."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quietude-{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
+def _loads(readings: DataFrame) -> dict[str, DataFrame]:
+    """All readings in three loads; the first two share their days."""
+    early = f"`timestamp` < TIMESTAMP_NTZ '{UPSERT_CUTOFF}'"
+    return {"a": readings.filter(f"{early} AND reading_id % 2 = 0"), "b": readings.filter(f"{early} AND reading_id % 2 != 0"),
+            "c": readings.filter(f"NOT coalesce({early}, false)")}
+
+
+def q_summary_kept(spark, sf):
+    """The dashboard over stored histograms: three loads, one of them run twice."""
+    path, readings = _scratch(spark, "histograms"), _readings(spark, sf)
+    loads = _loads(readings)
+    for load_id, rows in (*loads.items(), ("b", loads["b"])):
+        dashboard.load_histograms(rows, path, load_id)
+    return dashboard.kept_summary(dashboard.histograms(spark, path))
+
+
+def q_zone_hourly_loads(spark, sf):
+    """The hourly table kept by three loads, its class map as rows."""
+    path, readings = _scratch(spark, "hourly"), _readings(spark, sf)
+    for load_id, rows in _loads(readings).items():
+        dashboard.load_hourly(rows, f"{path}/partials", f"{path}/table", load_id)
+    kept = spark.read.schema(HOURLY_STATS_DDL).parquet(f"{path}/table")
+    return trends.explode_category_map(kept)
+
+
 # --- statistics -----------------------------------------------------------
 
 def q_noise_grouping_sets(spark, sf):
@@ -130,8 +183,8 @@ def q_noise_grouping_sets(spark, sf):
 def q_moments_partial(spark, sf):
     p = stats.moments_partial(_readings(spark, sf))
     return p.selectExpr("key", "date", "n", "min_x", "max_x",
-                        f"{round_half_up_sql('sum_x', 6)} AS sum_x",
-                        f"{round_half_up_sql('sum_x2', 6)} AS sum_x2")
+                        f"{round_half_up_sql('CAST(s AS DOUBLE) / 1e6D', 6)} AS sum_x",
+                        f"{round_half_up_sql('(CAST(q_hi AS DOUBLE) * 1e19D + CAST(q_lo AS DOUBLE)) / 1e12D', 6)} AS sum_x2")
 
 
 def q_moments_merge(spark, sf):

@@ -20,9 +20,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from quietude.operators import complaints as C
-from quietude.operators import features, report, rollup, stats, text, trends
+from quietude.operators import dashboard, features, report, rollup, stats, text, trends
 from quietude.sinks import writers as W
-from quietude.sources import tables
+from quietude.sources import raw, tables
 
 
 def _p(root: str, name: str) -> str:
@@ -56,9 +56,14 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
 
 
 def preprocessing_job(spark: SparkSession, raw_csv: str, base_noise_col: str, out_root: str) -> DataFrame:
-    """Raw CSV -> readings (features), TSV export and processed CSV."""
-    raw = tables.raw_sensor_csv(spark, raw_csv, extra_cols=(base_noise_col,))
-    processed = materialise(features.preprocess_raw(raw, base_noise_col), _p(out_root, "processed"))
+    """Raw CSV -> readings (features), TSV export and processed CSV; what was
+    wrong with the raw rows goes to ``raw_faults`` (with the text that was
+    there) and ``raw_fault_counts``."""
+    faulty = raw.with_faults(raw.read_raw(spark, raw_csv), (base_noise_col,))
+    good = raw.accepted(faulty, (base_noise_col,))
+    processed = materialise(features.preprocess_raw(good, base_noise_col), _p(out_root, "processed"))
+    faults = materialise(raw.faults(faulty), _p(out_root, "raw_faults"))
+    W.write_csv(raw.fault_counts(faults), _p(out_root, "raw_fault_counts"))
     readings = features.rename_to_table(processed)
     W.export_readings_tsv(readings, _p(out_root, "noise_data_for_hdfs"))
     W.write_csv(processed.drop(base_noise_col), _p(out_root, "processed_noise_data"))
@@ -113,18 +118,29 @@ def trend_queries_job(spark: SparkSession, readings: DataFrame, out_root: str,
         df = derived[name]() if name in derived else fn(readings)
         W.write_csv(df, _p(out_root, name))
     W.create_view(spark, "noise_pollution_summary", trends.summary_view(readings))
-    export = rollup.export_aggregates(cube) if use_rollup else trends.export_aggregates(readings, digits=None)
+    export = rollup.export_aggregates(cube) if use_rollup else trends.export_aggregates(readings)
     W.create_view(spark, "noise_export_aggregates", export)
     W.insert_overwrite_directory(spark, "noise_export_aggregates", _p(out_root, "mongodb_export"))
     W.write_partitioned_parquet(trends.zone_hourly_stats(readings), _p(out_root, "noise_statistics_hourly"))
 
 
-def storage_job(spark: SparkSession, readings: DataFrame, store_root: str, run_ts: str) -> dict[str, DataFrame]:
-    """Store load (append), zone and hourly roll-ups upserted by key, JSON
-    Lines export and the store-level summaries."""
+def storage_job(spark: SparkSession, readings: DataFrame, store_root: str, run_ts: str,
+                load_id: str | None = None) -> dict[str, DataFrame]:
+    """Store load, zone and hourly roll-ups upserted by key, JSON Lines export
+    and the store-level summaries.
+
+    With a ``load_id`` the load can be repeated: it replaces itself, and the
+    dashboard's histograms and the hourly table are kept along with it. Without
+    one rows are appended."""
     sensor = _p(store_root, "sensor_readings")
-    W.append_table(features.store_coerce(features.readings_complete(readings)), sensor)
-    store = spark.read.parquet(sensor)
+    rows = features.store_coerce(features.readings_complete(readings))
+    if load_id is None:
+        W.append_table(rows, sensor)
+    else:
+        W.write_load(rows, sensor, load_id)
+        dashboard.load_histograms(readings, _p(store_root, "noise_histograms"), load_id)
+        dashboard.load_hourly(readings, _p(store_root, "hourly_partials"), _p(store_root, "noise_statistics_hourly"), load_id)
+    store = spark.read.schema(rows.schema).parquet(sensor)
     zones = W.upsert_table(spark, _p(store_root, "zone_statistics"),
                            stats.zone_statistics(store, run_ts=run_ts), "geo_zone")
     W.upsert_table(spark, _p(store_root, "hourly_trends"), stats.hourly_patterns(store), "hour")
@@ -135,15 +151,16 @@ def storage_job(spark: SparkSession, readings: DataFrame, store_root: str, run_t
 
 def complaints_job(spark: SparkSession, readings: DataFrame, out_root: str, run_ts: str,
                    n: int = 500) -> DataFrame:
-    """Complaints (CSV) and the nested analytics report (JSON).
+    """A sample of ``n`` complaints (CSV) and the nested analytics report over every
+    complaint (JSON).
 
     Readings without a ``reading_id`` get a content hash as id: stable across
     reruns and cluster layouts, unlike a position-based id."""
     if "reading_id" not in readings.columns:
         cols = ", ".join(f"`{c}`" for c in readings.columns)
         readings = readings.selectExpr("*", f"xxhash64({cols}) & 9223372036854775807 AS reading_id")
-    c = materialise(C.complaints(readings, n), _p(out_root, "public_complaints_parquet"))
-    W.write_csv(c, _p(out_root, "public_complaints"))
-    doc = report.report_document(c, readings, run_ts=run_ts)
+    sample = materialise(C.complaints(readings, n), _p(out_root, "public_complaints_parquet"))
+    W.write_csv(sample, _p(out_root, "public_complaints"))
+    doc = report.report_document(C.all_complaints(readings), readings, run_ts=run_ts)
     W.write_report_json(doc, _p(out_root, "complaint_report"))
     return doc

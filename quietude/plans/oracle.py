@@ -179,6 +179,44 @@ est AS (
 )
 SELECT reading_id, location_type,
        CASE WHEN e IS NULL THEN NULL ELSE least(greatest(e, 40e0), 105e0) END AS noise_level_db FROM est"""
+    # The raw lines of adapter.raw_csv_lines, by what each is made to be.
+    whole = "event_id % 37 <> 0 AND event_id % 41 <> 0"
+    lat = "CASE WHEN event_id % 29 <> 0 AND user_id % 7 <> 0 THEN 1.2e0 + (user_id % 15) * 0.02e0 END"
+    q["raw_readings"] = f"""WITH good AS (
+  SELECT CASE WHEN event_id % 23 <> 0 THEN date_trunc('second', ts)
+              + CASE WHEN event_id % 3 = 0 THEN INTERVAL 250 MILLISECOND ELSE INTERVAL 0 SECOND END END AS "time",
+         CAST(user_id AS VARCHAR) AS id_participant, {lat} AS ws_latitude,
+         CASE WHEN user_id % 7 <> 0 THEN 103.6e0 + (user_id // 10) * 0.03e0 END AS ws_longitude,
+         CASE WHEN event_id % 13 = 0 THEN event_type || ', "so called"'
+              ELSE CASE event_type WHEN 'click' THEN 'Indoor - Home' WHEN 'signup' THEN 'Indoor - Office'
+                   WHEN 'view' THEN 'Outdoor' WHEN 'error' THEN 'Indoor - Transport'
+                   WHEN 'purchase' THEN 'Indoor - Commercial' END END AS q_location,
+         nullif(props, '') AS q_noise_kind,
+         CASE WHEN event_id % 31 <> 0 AND event_id % 10 = 0 THEN value END AS measured, 45e0 + value * 0.1e0 AS base
+  FROM events WHERE {whole} AND event_id % 17 <> 0
+), est AS (
+  SELECT *, coalesce(measured, base + CASE q_location WHEN 'Indoor - Home' THEN -10e0 WHEN 'Indoor - Office' THEN -5e0
+           WHEN 'Outdoor' THEN 10e0 WHEN 'Indoor - Transport' THEN 15e0 WHEN 'Indoor - Commercial' THEN 5e0 ELSE 0e0 END) AS e FROM good
+), f AS (
+  SELECT *, CASE WHEN e IS NOT NULL THEN least(greatest(e, 40e0), 105e0) END AS noise_level_db FROM est
+), bounds AS (
+  SELECT min(ws_latitude) AS lat_lo, max(ws_latitude) AS lat_hi, min(ws_longitude) AS lon_lo, max(ws_longitude) AS lon_hi FROM good
+)
+SELECT "time", id_participant, ws_latitude, ws_longitude, noise_level_db,
+       CASE WHEN noise_level_db IS NULL THEN 'Unknown' WHEN noise_level_db < 50 THEN 'Quiet' WHEN noise_level_db < 60 THEN 'Moderate'
+            WHEN noise_level_db < 70 THEN 'Noisy' WHEN noise_level_db < 80 THEN 'Very Noisy' ELSE 'Extremely Noisy' END AS noise_category,
+       q_location, q_noise_kind, CAST(hour("time") AS BIGINT) AS hour, CAST(isodow("time") - 1 AS BIGINT) AS day_of_week,
+       {_bin('ws_latitude', 'lat_lo', 'lat_hi')} || '_' || {_bin('ws_longitude', 'lon_lo', 'lon_hi')} AS geo_zone
+FROM f, bounds"""
+    q["raw_faults"] = f"""SELECT * FROM (
+  SELECT NULL::VARCHAR AS column_name, 'malformed line' AS reason, true AS rejected, count(*) AS n FROM events WHERE NOT ({whole})
+  UNION ALL SELECT 'time', 'missing', true, count(*) FROM events WHERE {whole} AND event_id % 17 = 0
+  UNION ALL SELECT 'time', 'not a time', false, count(*) FROM events WHERE {whole} AND event_id % 17 <> 0 AND event_id % 23 = 0
+  UNION ALL SELECT 'ws_latitude', 'not a number', false, count(*) FROM events WHERE {whole} AND event_id % 29 = 0
+  UNION ALL SELECT 'ts_audio_exposure_environment', 'not a number', false, count(*) FROM events WHERE {whole} AND event_id % 31 = 0
+) WHERE n > 0 ORDER BY reason, column_name"""
+    q["store_rows"] = W + """SELECT CAST("timestamp" AS VARCHAR) AS "timestamp", participant_id, latitude, longitude, noise_level_db,
+       noise_category, location_type, noise_kind, hour, day_of_week, geo_zone FROM store"""
     q["geo_zone"] = W + "SELECT reading_id, latitude, longitude, geo_zone FROM readings"
     q["readings_complete"] = W + "SELECT reading_id, participant_id, noise_level_db, geo_zone FROM store"
 
@@ -252,6 +290,10 @@ SELECT s.geo_zone, s.hour, s.date_partition, avg_noise_db, max_noise_db, min_noi
        sample_count, c.noise_category, c.category_count
 FROM s JOIN c ON s.geo_zone = c.geo_zone AND s.hour = c.hour AND s.date_partition = c.date_partition"""
 
+    # What is kept by loads equals what one query over all readings gives.
+    q["summary_kept"] = q["summary_view"]
+    q["zone_hourly_loads"] = q["zone_hourly_stats"]
+
     q["noise_grouping_sets"] = W + f""", {KEYED}
 {_five_sets(f"count(*) AS count, {R('avg(noise_level_db)')} AS mean_db, "
             f"{R('stddev_pop(noise_level_db)')} AS std_dev, {R('min(noise_level_db)')} AS min_db, "

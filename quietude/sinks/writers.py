@@ -8,6 +8,8 @@ gathered on the driver.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,9 +58,10 @@ def insert_overwrite_directory(spark: SparkSession, query_view: str, path: str)
 
 
 def write_partitioned_parquet(df: DataFrame, path: str, partition_col: str = "date_partition",
-                              mode: str = "overwrite") -> None:
+                              mode: str = "overwrite", dynamic: bool = True) -> None:
     """Parquet partitioned by ``partition_col`` (K6); dynamic partition
-    overwrite replaces only the partitions present in ``df``.
+    overwrite replaces only the partitions present in ``df`` (without
+    ``dynamic``, the whole folder).
 
     Rows are range-partitioned on (partition value, row hash): each task
     writes few partition folders, and a partition value holding a large
@@ -68,7 +71,7 @@ def write_partitioned_parquet(df: DataFrame, path: str, partition_col: str = "da
                 if f.dataType.typeName() not in ("map",) and f.name != partition_col]
     (df.repartitionByRange(F.col(partition_col), F.xxhash64(*[F.col(c) for c in hashable]))
      .write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic")
+     .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy(partition_col)
      .parquet(path))
 
@@ -90,10 +93,57 @@ def insert_into_table(df: DataFrame, name: str, overwrite: bool = True) -> None:
 
 def append_table(df: DataFrame, path: str) -> None:
     """Append rows (K7). Each write job commits atomically; rerunning a load
-    appends its rows again, as a plain append does."""
+    appends its rows again, as a plain append does (``write_load`` does not)."""
     df.write.mode("append").parquet(path)
 
 
+def _filesystem(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _load_folder(path: str, load_id: str) -> str:
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", load_id):
+        raise ValueError(f"a load id is letters, digits, dots, dashes: {load_id!r}")
+    return f"{path.rstrip('/')}/load_id={load_id}"
+
+
+def write_load(df: DataFrame, path: str, load_id: str, partition_col: str | None = None) -> None:
+    """Append the rows of one load to the table at ``path`` (K7), so that a load
+    that is run again replaces itself.
+
+    A load has a folder of its own, ``load_id=...``. It is written under a name
+    that readers ignore and then takes its place: a load that fails leaves the
+    table as it was, and other loads' files are never touched. A run stopped
+    after the old folder went is mended by the next run of that load."""
+    spark = df.sparkSession
+    target, fs = _filesystem(spark, _load_folder(path, load_id))
+    fresh, _ = _filesystem(spark, f"{path.rstrip('/')}/_loading-{load_id}")
+    if partition_col is None:
+        df.write.mode("overwrite").parquet(fresh.toString())
+    else:
+        write_partitioned_parquet(df, fresh.toString(), partition_col, dynamic=False)
+    fs.delete(target, True)
+    if not fs.rename(fresh, target):
+        raise OSError(f"cannot rename {fresh.toString()} to {target.toString()}")
+
+
+def load_partitions(spark: SparkSession, path: str, load_id: str | None = None) -> set[str]:
+    """The partition values that a load has (none if there is no such load), or
+    that any load has."""
+    folder = _load_folder(path, load_id) if load_id else f"{path.rstrip('/')}/load_id=*"
+    pattern, fs = _filesystem(spark, f"{folder}/*=*")
+    found = fs.globStatus(pattern) or []
+    return {f.getPath().getName().partition("=")[2] for f in found}
+
+
+def drop_partitions(spark: SparkSession, path: str, partition_col: str, values: set[str]) -> None:
+    """Remove whole partitions of a Parquet table."""
+    for value in values:
+        folder, fs = _filesystem(spark, f"{path.rstrip('/')}/{partition_col}={value}")
+        fs.delete(folder, True)
+
+
 def _one_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row of each key that is last by ``order``, then by its other values
     (maps have no order). One aggregate, partially done before the shuffle."""
@@ -181,7 +231,7 @@ def create_table_if_absent(spark: SparkSession, name: str, schema_ddl: str,
 
 __all__ = [
     "write_key_value_text", "export_readings_tsv", "write_csv", "write_stats_tsv",
-    "insert_overwrite_directory", "write_partitioned_parquet", "append_table", "upsert",
+    "insert_overwrite_directory", "write_partitioned_parquet", "append_table", "write_load", "load_partitions", "upsert",
     "upsert_table", "write_json_lines", "write_report_json", "create_view",
     "create_persistent_view",
     "create_table_if_absent", "insert_into_table", "HOURLY_STATS_DDL",

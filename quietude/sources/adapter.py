@@ -88,3 +88,31 @@ def customer_records(customer: DataFrame) -> DataFrame:
     """Customers as space-separated ``id name balance`` record lines."""
     return customer.selectExpr(
         "concat_ws(' ', CAST(c_custkey AS STRING), c_name, format_string('%.2f', c_acctbal)) AS value")
+
+
+# The raw rendering of events: a CSV line each, with what raw files have.
+RAW_COLUMNS = ["time", "id_participant", "ws_latitude", "ws_longitude", "q_location", "q_noise_kind", "q_noise_nearby",
+               "ts_audio_exposure_environment", "ts_heart_rate", "base_db"]
+
+
+def raw_csv_lines(events: DataFrame) -> DataFrame:
+    """Events as lines of a raw sensor CSV (column ``value``): times with and
+    without fractions and offsets, blanks, quoted labels, and by event id a
+    share of missing and unreadable times, bad numbers, lines with a field too
+    many and lines that end early (FIXTURES.md section 9)."""
+    def bad(every: int, text: str, otherwise: str) -> str:
+        return f"CASE WHEN event_id % {every} = 0 THEN {text} ELSE {otherwise} END"
+
+    fraction = "CASE WHEN event_id % 3 = 0 THEN '.250' ELSE '' END"
+    offset = "CASE event_id % 4 WHEN 0 THEN '+08:00' WHEN 1 THEN 'Z' WHEN 2 THEN '-0330' ELSE '' END"
+    stamp = f"concat(date_format(ts, 'yyyy-MM-dd HH:mm:ss'), {fraction}, {offset})"
+    time = bad(17, "''", bad(23, "concat('on ', date_format(ts, 'yyyy-MM-dd'))", stamp))
+    fields = [time, "CAST(user_id AS STRING)", bad(29, "'n/a'", f"coalesce(CAST({_LAT_SQL} AS STRING), '')"),
+              f"coalesce(CAST({_LON_SQL} AS STRING), '')",
+              bad(13, "concat('\"', event_type, ', \"\"so called\"\"\"')", f"coalesce({_LOCATION_SQL}, '')"),
+              "coalesce(props, '')", "'no'", bad(31, "'12,5 dB'", "CASE WHEN event_id % 10 = 0 THEN coalesce(CAST(value AS STRING), '') ELSE '' END"),
+              "'70'", "coalesce(CAST(45.0D + value * 0.1D AS STRING), '')"]
+    fields[7] = f"CASE WHEN event_id % 31 = 0 THEN '\"12,5 dB\"' ELSE {fields[7].partition(' ELSE ')[2].rpartition(' END')[0]} END"
+    line = f"concat_ws(',', {', '.join(fields)})"
+    line = bad(37, f"concat({line}, ',more')", bad(41, f"concat_ws(',', {', '.join(fields[:3])})", line))
+    return events.selectExpr(f"{line} AS value")

@@ -37,7 +37,7 @@ def raw_sensor_csv(spark: SparkSession, path: str, extra_cols: tuple[str, ...] =
     (the file has many more, in any order) and typed explicitly; ``extra_cols``
     are kept as DOUBLE (for example a base noise estimate). Reading every
     field as text avoids an inference pass; ``""`` is unescaped. A value that
-    does not parse becomes NULL."""
+    does not parse becomes NULL; ``sources.raw`` tells which did."""
     raw = spark.read.options(header=True, escape='"', mode="PERMISSIVE").csv(path)
     cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in RAW_SENSOR_SCHEMA.fields]
     cols += [F.col(f"`{c}`").try_cast("double").alias(c) for c in extra_cols]

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quietude.functions.expr import E
+from quietude.functions import exact as fixed
 from quietude.operators import stats
 from quietude.sources.schemas import READINGS_SCHEMA
 
@@ -88,7 +89,6 @@ def compact_partials(spark: SparkSession, table_path: str, out_path: str) -> Dat
     parts = spark.read.parquet(table_path)
     history = parts.agg(E("least(-1 - max(batch_id), min(batch_id))")).scalar()
     folded = parts.groupBy("key").agg(*[E(a) for a in (
-        "sum(n) AS n", "sum(sum_x) AS sum_x", "min(min_x) AS min_x", "max(max_x) AS max_x",
-        "sum(sum_x2) AS sum_x2")]).withColumn("batch_id", history)
+        *fixed.merge_sql(), "min(min_x) AS min_x", "max(max_x) AS max_x")]).withColumn("batch_id", history)
     folded.write.mode("overwrite").partitionBy("batch_id").parquet(out_path)
     return spark.read.parquet(out_path)
