@@ -137,6 +137,18 @@ def sample_high_noise(readings: DataFrame, n: int = 500,
     return cand.orderBy("_sample_key", "reading_id").limit(n).drop("_sample_key")
 
 
+def sample_uniform(rows: DataFrame, n: int, seed: int = 0, id_col: str = "reading_id") -> DataFrame:
+    """A uniform sample of ``n`` rows without replacement (all, if fewer) (O7):
+    the rows with the lowest MD5 of seed and id.
+
+    Another seed gives another, independent sample; the same seed gives the
+    same one, in any engine. Each task keeps ``n`` rows at most, and samples of
+    parts merge: the sample of a union is the sample of the parts' samples.
+    Rows without an id come last, ties by id."""
+    key = f"coalesce(md5(concat('{int(seed)}:', CAST({q(id_col)} AS STRING))), 'g')"  # no hash has a g
+    return rows.withColumn("_draw", E(key)).orderBy("_draw", id_col).limit(n).drop("_draw")
+
+
 def as_complaints(rows: DataFrame) -> DataFrame:
     """Complaint records of readings (P20-P22), with the zone if there is one."""
     zone = ["geo_zone"] if "geo_zone" in rows.columns else []

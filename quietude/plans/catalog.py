@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quietude.functions.expr import round_half_up_sql
 from quietude.operators import complaints as C
-from quietude.operators import dashboard, features, report, stats, text, trends
+from quietude.operators import dashboard, distinct, features, report, stats, text, trends
 from quietude.session import ensure_checkpoint_dir
+from quietude.sinks.keyed import KeyedTable
 from quietude.sinks.writers import HOURLY_STATS_DDL, upsert
 from quietude.sources import adapter, raw
 from quietude.sources.tables import document_lines, table
@@ -25,6 +26,7 @@ UPSERT_CUTOFF = "2024-01-16 00:00:00"
 UPSERT_SOUTH = 1.31  # readings south of it all come with the first batch, so their zones stay
 COMPLAINT_COUNT = 500  # of the sample itself; the analytics take every complaint
 HOTSPOT_DB = 65.0
+SAMPLE_SEED = 7
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -244,6 +246,24 @@ def q_zone_stats_upsert(spark, sf):
     return upsert(old, new, "geo_zone")
 
 
+def q_zone_stats_keyed(spark, sf):
+    """The same upsert on a keyed table: only the buckets of the second batch are rewritten."""
+    store = _store(spark, sf)
+    second = f"`timestamp` >= TIMESTAMP_NTZ '{UPSERT_CUTOFF}' AND latitude >= {UPSERT_SOUTH}D"
+    kept = KeyedTable(spark, _scratch(spark, "zones"), "geo_zone", buckets=16)
+    for batch in (store.filter(f"NOT ({second})"), store.filter(second)):
+        kept.upsert(stats.zone_statistics(batch))
+    return kept.read()
+
+
+def q_participants_trailing(spark, sf):
+    """Distinct participants of the seven days up to each day, from daily bitmaps."""
+    readings, path = _unzoned(spark, sf), _scratch(spark, "participants")
+    distinct.numbered(readings, "participant_id").write.parquet(f"{path}/ids")
+    distinct.day_bitmaps(readings, "participant_id", spark.read.parquet(f"{path}/ids")).write.parquet(f"{path}/days")
+    return distinct.trailing(spark.read.parquet(f"{path}/days"), days=7)
+
+
 # --- text -----------------------------------------------------------------
 
 def q_word_count(spark, sf):
@@ -285,6 +305,11 @@ def q_sample_high_noise(spark, sf):
         "reading_id", "timestamp", "noise_level_db", "location_type", "geo_zone")
 
 
+def q_sample_uniform(spark, sf):
+    high = _unzoned(spark, sf).filter(f"noise_level_db > {C.HIGH_NOISE_DB}D")
+    return C.sample_uniform(high, COMPLAINT_COUNT, SAMPLE_SEED).select("reading_id", "timestamp", "noise_level_db", "location_type")
+
+
 def q_complaints(spark, sf):
     return C.complaints(_readings(spark, sf), COMPLAINT_COUNT)
 

@@ -8,7 +8,7 @@ the same tie-breaks. Keys match ``quietude.plans.catalog.QUERIES``.
 from __future__ import annotations
 
 from quietude.operators.text import COMPLAINT_KEYWORDS
-from quietude.plans.catalog import COMPLAINT_COUNT, HOTSPOT_DB, SEARCH_KEYWORD, UPSERT_CUTOFF, UPSERT_SOUTH
+from quietude.plans.catalog import COMPLAINT_COUNT, HOTSPOT_DB, SAMPLE_SEED, SEARCH_KEYWORD, UPSERT_CUTOFF, UPSERT_SOUTH
 
 
 def R(x: str, d: int = 2) -> str:
@@ -348,6 +348,11 @@ FROM readings GROUP BY geo_zone HAVING count(noise_level_db) >= 10 ORDER BY mean
 SELECT * FROM old WHERE geo_zone NOT IN (SELECT geo_zone FROM new)
 UNION ALL SELECT * FROM new"""
 
+    q["zone_stats_keyed"] = q["zone_stats_upsert"]
+    q["participants_trailing"] = W + """, d AS (SELECT DISTINCT CAST("timestamp" AS DATE) AS date, participant_id FROM readings)
+SELECT a.date, count(DISTINCT b.participant_id) AS distinct_ids
+FROM (SELECT DISTINCT date FROM d) a JOIN d b ON b.date BETWEEN a.date - 6 AND a.date GROUP BY a.date"""
+
     q["word_count"] = """SELECT word, count(*) AS count
 FROM (SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) AS word FROM documents)
 WHERE word <> '' GROUP BY word"""
@@ -369,6 +374,8 @@ FROM ({_keyword_rows()})"""
     q["complaint_route"] = W + f"SELECT reading_id, location_type, hour, {ROUTE} AS route FROM readings"
     q["weighted_assign"] = W + f"SELECT reading_id, {CATEGORY} AS category, {STATUS} AS status FROM readings"
     q["sample_high_noise"] = WS + 'SELECT reading_id, "timestamp", noise_level_db, location_type, geo_zone FROM sampled'
+    q["sample_uniform"] = W + f"""SELECT reading_id, "timestamp", noise_level_db, location_type FROM readings WHERE noise_level_db > 70
+ORDER BY md5('{SAMPLE_SEED}:' || reading_id), reading_id LIMIT {COMPLAINT_COUNT}"""
     q["complaints"] = WS + "SELECT * FROM complaints"
     q["complaints_by_hour"] = WC + "SELECT hour, count(*) AS complaints FROM complaints GROUP BY hour ORDER BY hour"
     q["complaint_zones"] = WC + f"""SELECT geo_zone, count(*) AS complaints, {R('avg(estimated_noise_db)')} AS avg_noise_db
