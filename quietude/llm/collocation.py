@@ -37,6 +37,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ from quietude.llm.common import LOWER, UPPER, quoted, stored
 
 BREAKS = ".,;:!?\n\x0b\x0c\r"  # what ends a piece
 FLUSH = 1 << 20
-SLICE = 1 << 22
+SLICE = 1 << 20  # with FLUSH, fewer than 2**21 words gather, so three of them fit an int64
 ROOT_PARTS = 512
 HOT = 2000
 MAX_BITS = 1 << 27
@@ -53,7 +54,8 @@ _END = b"."  # stands between pieces; no word holds it
 _PLAIN = bytes.maketrans((UPPER + BREAKS).encode(), (LOWER + "." * len(BREAKS)).encode())
 # Odd factors that tell the words of a phrase apart in its filter cell.
 _FACTORS = (1, 40503, 30011)
-_STRIPES = "lang string, prefix binary, part int, words binary, counts binary"
+_STRIPES = "lang string, prefix binary, part int, words binary, counts binary, most long"
+_DIGITS = [b"%d" % i for i in range(1000)]
 
 
 def tokens(text: bytes) -> Iterator[list[bytes]]:
@@ -65,8 +67,7 @@ def tokens(text: bytes) -> Iterator[list[bytes]]:
         if stop < len(text):  # cut where no word is
             cuts = [c for c in (text.find(b, stop) for b in (b" ", b"\t", _END)) if c >= 0]
             stop = min(cuts, default=len(text))
-        piece = text[start:stop].replace(_END, b" . ").replace(b"\t", b" ")
-        yield [w for w in piece.split(b" ") if w]
+        yield text[start:stop].replace(_END, b" . ").split()  # of white space only blanks and tabs are left
         start = stop
 
 
@@ -118,8 +119,8 @@ class _Counter:
         self.arrays.append(np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words)))
         self.n += len(words)
 
-    def flush(self, goes_on: bool) -> Iterator[tuple]:
-        """Rows (lang, prefix, part, words, counts) of what has gathered."""
+    def flush(self, goes_on: bool) -> Iterator[pa.RecordBatch]:
+        """The stripes of what has gathered."""
         seq = np.concatenate(self.arrays)
         names = [b"", *self.ids]
         k = self.size
@@ -127,50 +128,68 @@ class _Counter:
         yield from self._stripes(seq, names)
         self.clear()
 
-    def _stripes(self, seq: np.ndarray, names: list[bytes]) -> Iterator[tuple]:
+    def _stripes(self, seq: np.ndarray, names: list[bytes]) -> Iterator[pa.RecordBatch]:
         k, m = self.size, len(seq) - self.size
         if m <= 0:
             return
-        crc = np.fromiter(map(zlib.crc32, names), np.int64, len(names))
+        v = len(names)
         columns = [seq[i:m + i] for i in range(k + 1)]
-        good = np.ones(m, bool)
-        for c in columns:
+        good = columns[0] != 1
+        for c in columns[1:]:
             good &= c != 1
+        crc = np.fromiter(map(zlib.crc32, names), np.int64, v)
         if k:  # all but the last and all but the first word may be a frequent phrase
             may = _held(self.bitmap, [crc[seq[i:len(seq) - k + 1 + i]] for i in range(k)], self.lang_crc)
             good &= may[:m] & may[1:]
-        columns = [c[good] for c in columns]
-        if not len(columns[0]):
+        code = columns[0][good]
+        for c in columns[1:]:
+            code = code * v + c[good]
+        code, counts = np.unique(code, return_counts=True)
+        if not len(code):
             return
-        prefix, prefixes = np.zeros(len(columns[0]), np.int64), [b""]
-        if k:
-            code = columns[0] if k == 1 else columns[0] * len(names) + columns[1]
-            codes, prefix = np.unique(code, return_inverse=True)
-            prefixes = [names[c] for c in codes] if k == 1 else [names[c // len(names)] + b" " + names[c % len(names)] for c in codes]
-        pairs, counts = np.unique(prefix * len(names) + columns[-1], return_counts=True)
-        prefix, word = pairs // len(names), pairs % len(names)
-        shares = np.array([self.parts.get(p, 1) for p in prefixes], np.int64) if k else np.array([ROOT_PARTS])
-        part = crc[word] % shares[prefix]
-        if shares.max() > 1:
-            order = np.lexsort((word, part, prefix))
-            prefix, word, part, counts = prefix[order], word[order], part[order], counts[order]
-        starts = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])])
-        words, numbers = [names[w] for w in word], [b"%d" % c for c in counts]
-        for a, b in itertools.pairwise([*starts.tolist(), len(words)]):
-            yield (self.lang, prefixes[prefix[a]], int(part[a]), b" ".join(words[a:b]), b" ".join(numbers[a:b]))
-
-
-def _batches(rows: Iterable[tuple], most: int = 20_000) -> Iterator[pa.RecordBatch]:
-    kinds = (pa.string(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
-    names = ("lang", "prefix", "part", "words", "counts")
-    rows = iter(rows)
-    while batch := list(itertools.islice(rows, most)):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*batch), kinds)], names)
+        before, word = code // v, code % v
+        starts = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
+        words, numbers = [names[w] for w in word], [_DIGITS[c] if c < 1000 else b"%d" % c for c in counts.tolist()]
+        most = np.maximum.reduceat(counts, starts).tolist()
+        heads = before[starts]
+        if k < 2:
+            prefixes = [names[h] if k else b"" for h in heads]
+        else:
+            prefixes = [names[x] + b" " + names[y] for x, y in zip(heads // v, heads % v)]
+        ends = [*starts[1:].tolist(), len(words)]
+        columns = [[], [], [], [], []]  # prefix, part, words, counts, most
+        whole = []
+        for i, prefix in enumerate(prefixes):
+            shares = self.parts.get(prefix, 1) if k else ROOT_PARTS
+            if shares == 1:
+                whole.append(i)
+                continue
+            dealt = defaultdict(list)
+            for j in range(starts[i], ends[i]):
+                dealt[int(crc[word[j]]) % shares].append(j)
+            for part, own in dealt.items():
+                row = (prefix, part, b" ".join([words[j] for j in own]), b" ".join([numbers[j] for j in own]), int(counts[own].max()))
+                for column, value in zip(columns, row):
+                    column.append(value)
+        spans = [(starts[i], ends[i]) for i in whole] if len(whole) < len(prefixes) else list(zip(starts.tolist(), ends))
+        columns[0] += [prefixes[i] for i in whole]
+        columns[1] += [0] * len(whole)
+        columns[2] += [b" ".join(words[x:y]) for x, y in spans]
+        columns[3] += [b" ".join(numbers[x:y]) for x, y in spans]
+        columns[4] += [most[i] for i in whole]
+        yield from _batches([self.lang] * len(columns[0]), *columns)
+
+
+def _batches(*columns: list, most: int = 20_000) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.string(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
+    names = ("lang", "prefix", "part", "words", "counts", "most")
+    for i in range(0, len(columns[0]), most):
+        yield pa.RecordBatch.from_arrays([pa.array(c[i:i + most], t) for c, t in zip(columns, kinds)], names)
 
 
 def _counted(size: int, bitmap, parts: dict[str, dict[bytes, int]]):
     """Texts (lang, text) to the stripes of prefixes of ``size`` words."""
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, _Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
@@ -192,35 +211,74 @@ def _counted(size: int, bitmap, parts: dict[str, dict[bytes, int]]):
         for c in counters.values():
             yield from c.flush(goes_on=False)
 
-    return lambda batches: _batches(rows(batches))
+    return count
+
+
+def _elementwise(run: list[tuple[bytes, bytes]]) -> dict[bytes, int]:
+    """The sum of stripes."""
+    total: dict[bytes, int] = {}
+    for words, counts in run:
+        words, numbers = words.split(b" "), map(int, counts.split(b" "))
+        if not total:
+            total = dict(zip(words, numbers))
+        else:
+            for w, n in zip(words, numbers):
+                total[w] = total.get(w, 0) + n
+    return total
 
 
 def _merged(least: int):
     """Sorted stripes to one row per (lang, prefix, part): entries of ``least``
-    or more, and in ``total`` the sum of all."""
+    or more, and in ``total`` the sum of all. Rows of a prefix whose largest
+    entries don't add up to ``least`` have no such entry."""
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for b in batches:
-                yield from zip(*(c.to_pylist() for c in b.columns))
-
         def out() -> Iterator[tuple]:
-            for key, run in itertools.groupby(rows(), lambda r: r[:3]):
-                total, first, counts = 0, next(run), None
-                for r in run:
-                    if counts is None:
-                        counts = defaultdict(int, zip(first[3].split(b" "), map(int, first[4].split(b" "))))
-                    for w, n in zip(r[3].split(b" "), map(int, r[4].split(b" "))):
-                        counts[w] += n
-                if counts is None:
-                    counts = dict(zip(first[3].split(b" "), map(int, first[4].split(b" "))))
-                total = sum(counts.values())
-                frequent = [(w, n) for w, n in counts.items() if n >= least]
-                if frequent or not key[1]:
-                    yield (*key, [w for w, _ in frequent], [n for _, n in frequent], total)
+            key, run, reach = None, [], 0
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                lang, prefix, part = batch.column(0), batch.column(1), batch.column(2).to_numpy()
+                most = np.where(pc.equal(pc.binary_length(prefix), 0), least, batch.column(5).to_numpy())  # all of the empty prefix
+                n = len(part)
+                new = np.r_[(prefix[0].as_py(), int(part[0]), lang[0].as_py()) != key, part[1:] != part[:-1]]
+                for c in (lang, prefix):
+                    new[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+                starts = np.flatnonzero(new)
+                head = int(starts[0]) if len(starts) else n
+                if head:  # goes on with the run before
+                    run += zip(batch.column(3).slice(0, head).to_pylist(), batch.column(4).slice(0, head).to_pylist())
+                    reach += int(most[:head].sum())
+                if not len(starts):
+                    continue
+                if reach >= least:
+                    yield key, _elementwise(run)
+                sums = np.add.reduceat(most, starts)
+                sums[-1] = max(sums[-1], least)  # the last run may go on
+                chosen, ends = np.flatnonzero(sums >= least), np.r_[starts[1:], n]
+                lengths = (ends - starts)[chosen]
+                rows = pa.array(np.repeat(starts[chosen] - np.r_[0, np.cumsum(lengths)[:-1]], lengths) + np.arange(lengths.sum()))
+                words, counts = batch.column(3).take(rows).to_pylist(), batch.column(4).take(rows).to_pylist()
+                firsts = pa.array(starts[chosen])
+                keys = zip(prefix.take(firsts).to_pylist(), part[starts[chosen]].tolist(), lang.take(firsts).to_pylist())
+                at = 0
+                for i, (key, length) in enumerate(zip(keys, lengths.tolist())):
+                    run = list(zip(words[at:at + length], counts[at:at + length]))
+                    at += length
+                    if i < len(lengths) - 1:
+                        yield key, _elementwise(run)
+                reach = int(most[starts[-1]:].sum())
+            if reach >= least:
+                yield key, _elementwise(run)
+
+        def rows() -> Iterator[tuple]:
+            for (prefix, part, lang), stripe in out():
+                frequent = [(w, n) for w, n in stripe.items() if n >= least]
+                if frequent or not prefix:
+                    yield lang, prefix, part, [w for w, _ in frequent], [n for _, n in frequent], sum(stripe.values())
 
         kinds = (pa.string(), pa.binary(), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.int64())
         names = ("lang", "prefix", "part", "words", "counts", "total")
-        done = out()
+        done = rows()
         while batch := list(itertools.islice(done, 5000)):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*batch), kinds)], names)
 

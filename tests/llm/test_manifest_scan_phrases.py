@@ -102,8 +102,9 @@ def test_stripes_across_flushes_and_slices(monkeypatch):
                 expected.update((" ".join(w[i:i + size]), w[i + size]) for i in range(len(w) - size))
         found, parts = Counter(), set()
         for out in collocation._counted(size, everything, {"x": {b"a": 3, b"a b": 2}})(iter([batch])):
-            for lang, prefix, part, words, counts in zip(*(c.to_pylist() for c in out.columns)):
+            for lang, prefix, part, words, counts, most in zip(*(c.to_pylist() for c in out.columns)):
                 parts.add((prefix, part))
+                assert most == max(map(int, counts.split(b" ")))
                 for w, n in zip(words.split(b" "), counts.split(b" ")):
                     found[(prefix.decode(), w.decode())] += int(n)
                     if size:
