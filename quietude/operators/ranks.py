@@ -74,11 +74,14 @@ def _narrowed(rows: DataFrame, open_: DataFrame, keys: list[str]) -> DataFrame:
     bucket of their interval that holds each."""
     side = _renamed(open_.select(*keys, "lo", "hi"), keys).selectExpr(
         "*", f"greatest(0, CAST(ceil(log2(CAST(hi AS DOUBLE) - CAST(lo AS DOUBLE) + 1)) AS INT) - {BUCKETS.bit_length() - 1}) AS shift")
-    if not keys:  # one row per percentile and side
-        side = F.broadcast(side)
-    on = _same(rows, side, keys) & E("_code BETWEEN lo AND hi")
+    if keys:
+        met = rows.join(side, _same(rows, side, keys) & E("_code BETWEEN lo AND hi"))
+    else:  # two intervals for each percentile at most: constants of the plan
+        own = ", ".join(f"named_struct('lo', CAST('{r.lo}' AS BIGINT), 'hi', CAST('{r.hi}' AS BIGINT), 'shift', {r.shift})"
+                        for r in side.collect())
+        met = rows.selectExpr("*", f"inline(filter(array({own}), i -> _code BETWEEN i.lo AND i.hi))")
     bucket = "shiftright(_code, shift) - shiftright(lo, shift)"
-    counts = (rows.join(side, on).groupBy(*keys, "lo", "hi", E(f"{bucket} AS bucket"))
+    counts = (met.groupBy(*keys, "lo", "hi", E(f"{bucket} AS bucket"))
               .agg(E("count(1) AS n"), E("min(_code) AS b_lo"), E("max(_code) AS b_hi"), E("min(_x) AS v_lo"), E("max(_x) AS v_hi")))
     over = f"(PARTITION BY {', '.join([*map(q, keys), 'lo', 'hi'])} ORDER BY bucket)"
     counts = _renamed(counts.selectExpr("*", f"sum(n) OVER {over} - n AS before"), keys)
@@ -116,8 +119,12 @@ def with_percentiles(df: DataFrame, keys: list[str], x: str, aggs: list[str], pr
         open_ = open_.groupBy(*keys, "lo", "hi").agg(F.collect_list("rank").alias("ranks"))
         found = kept(_narrowed(rows, open_, keys), "ranks")
     values = done.groupBy(*keys).agg(*[E(f"max(CASE WHEN id = {i} THEN v END) AS _r{i}") for i in range(len(spots))])
-    side = _renamed(values, keys)
-    out = base.join(side, _same(base, side, keys), "left")
+    if keys:
+        side = _renamed(values, keys)
+        out = base.join(side, _same(base, side, keys), "left")
+    else:
+        one = values.select(F.struct(*values.columns).alias("r")).scalar()
+        out = base.withColumn("_r", one).selectExpr("*", "_r.*").drop("_r")
     exprs = []
     for i, (name, p) in enumerate(probs.items()):
         lo, hi, pos = f"_r{2 * i}", f"_r{2 * i + 1}", f"({dbl(p)} * (_n - 1))"
