@@ -268,19 +268,18 @@ def keep_known(docs: DataFrame, model: Model, text_col: str = "text", min_score:
     that a learned language can have, a score of at least ``min_score`` (from 0.25 on it
     rejects texts that the duels are unsure of) and, if given, one of ``languages``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            mask = []
-            for lo, hi, data, offsets in text_runs(batch.column(at)):
-                for text, margins, learned in zip(batch.column(at).slice(lo, hi - lo), shared.value.margins(data, offsets),
-                                                  shared.value.learned(data, offsets)):
-                    lang, score = shared.value.decide(margins) if learned and has_letter(text.as_py()) else ("und", 0.0)
-                    mask.append(lang != "und" and score >= min_score and (languages is None or lang in languages))
-            yield batch.filter(pa.array(mask, pa.bool_()))
-
-    return docs.mapInArrow(kept, docs.schema)
+    @F.arrow_udf("boolean")
+    def known(texts: pa.Array) -> pa.Array:
+        mask = []
+        for lo, hi, data, offsets in text_runs(texts):
+            for text, margins, learned in zip(texts.slice(lo, hi - lo), shared.value.margins(data, offsets),
+                                              shared.value.learned(data, offsets)):
+                lang, score = shared.value.decide(margins) if learned and has_letter(text.as_py()) else ("und", 0.0)
+                mask.append(lang != "und" and score >= min_score and (languages is None or lang in languages))
+        return pa.array(mask, pa.bool_())
+
+    return docs.where(known(quoted(text_col).cast("string")))  # only the texts go to Python, and a verdict back
 
 
 def fold(id_col: Column, folds: int, missing: int) -> Column:
