@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from quietude.functions.expr import E, dbl, q
 from quietude.session import ensure_checkpoint_dir
 
-BUCKETS = 1 << 12
+BUCKETS = 1 << 14
 _TOP = (1 << 63) - 1
 
 
