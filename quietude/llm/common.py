@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from weakref import WeakKeyDictionary
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,20 +15,39 @@ from quietude.session import ensure_checkpoint_dir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
+#: Lets Spark delete a query's shuffle files when the query has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage: a lost executor rereads the files instead of running
     the plan again, and values such as row numbers stay what they were. Each
-    call takes a fresh folder; the session deletes it when the driver ends.
+    call takes a fresh folder; ``discard`` deletes it, or the session when the
+    driver ends. The shuffle files of the query go as soon as the table is written.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quietude-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` gave, once all that is made of them is stored too."""
+    for df in tables:
+        jpath = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(df))
+        jpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def fresh_name(df: DataFrame, base: str) -> str:

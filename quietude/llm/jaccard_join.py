@@ -17,8 +17,11 @@ a hashed count table of fixed size over all documents.
 Only connected components are asked for, so a bucket does not emit all its
 pairs. First each member is verified against the bucket's hub, the member with
 the fewest rare shingles. Then the pairs whose ends the hubs have not
-connected are verified, so no link between components is lost. Histograms of
-the sets rule out most false pairs before whole texts are fetched and compared.
+connected are verified, so no link between components is lost. Sketches of the
+sets (a parity bit for each of ``PARITY`` bins) rule out most of a bucket's pairs
+before they are emitted, and histograms most others before whole texts are fetched
+and compared. A bucket of more than ``BLOCK`` rows is dealt into blocks, and each
+pair of blocks is a task's group of its own.
 
 Nothing grows with the corpus on the driver or in a broadcast: the count table has
 ``CELLS`` counts, the filter of candidate classes at most 2**27 bits.
@@ -46,12 +49,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quietude.llm.arrow_text import text_runs
-from quietude.llm.common import fresh_name, in_filter, key_filter, quoted, stored
+from quietude.llm.common import discard, fresh_name, in_filter, key_filter, quoted, stored
 
 CELLS = 1 << 20
 CHUNK = 1 << 12
 MAX_BOUNDARY = 40
 BINS = 128
+PARITY = 512
+BLOCK = 1 << 14
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -272,21 +277,23 @@ def _may_link(t: Threshold, boundary: int, n1, pos1, n2, pos2) -> np.ndarray:
     return (100 * a >= t.percent * b) & (subset | listed)
 
 
-def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[dict[str, list]]:
-    """Rows with one key after another, from batches sorted by key."""
-    held: dict[str, list] = {c: [] for c in columns}
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str], columns: list[str]) -> Iterator[dict[str, list]]:
+    """Rows with equal keys one after another, from batches sorted by them."""
+    held: dict[str, list] = {}
+    last = None
     for batch in batches:
+        names = np.stack([np.asarray(batch.column(batch.schema.get_field_index(c)), np.int64) for c in keys], axis=1)
+        cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(names)]
         rows = {c: batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns}
-        keys = np.array(rows["key"], np.int64)
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
         for lo, hi in zip(cuts, cuts[1:]):
             if hi > lo:
-                if held["key"] and held["key"][0] != keys[lo]:
-                    yield held
-                    held = {c: [] for c in columns}
+                if tuple(names[lo]) != last:
+                    if held:
+                        yield held
+                    held, last = {c: [] for c in columns}, tuple(names[lo])
                 for c in columns:
                     held[c] += rows[c][lo:hi]
-    if held["key"]:
+    if held:
         yield held
 
 
@@ -321,27 +328,58 @@ def _shared(t: Threshold, boundary: int):
 
 
 def _unconnected(t: Threshold, boundary: int, block: int = 512):
-    """Pairs (x, y) of a bucket that may link and are in different components."""
+    """Pairs (x, y) of a group of bucket rows that may link and are in different
+    components. Of rows of two blocks, only those of different blocks are paired."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket in _runs(batches, ["key", "node", "n", "pos", "root"]):
-            roots = {r: i for i, r in enumerate(dict.fromkeys(bucket["root"]))}
+        for rows in _runs(batches, ["key", "lo", "hi"], ["node", "n", "pos", "root", "block", "lo", "hi", "sketch"]):
+            roots = {r: i for i, r in enumerate(dict.fromkeys(rows["root"]))}
             if len(roots) < 2:
                 continue
-            root = np.array([roots[r] for r in bucket["root"]])
-            n, pos = _longs(bucket["n"]), _longs(bucket["pos"])
+            root, n, pos, part = (_longs(c) for c in ([roots[r] for r in rows["root"]], rows["n"], rows["pos"], rows["block"]))
+            sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint64).reshape(len(n), -1)
+            # Rows in the order of size: the partners of a row are near it.
+            order = np.argsort(n, kind="stable")
+            root, n, pos, part, sketch = (c[order] for c in (root, n, pos, part, sketch))
+            apart = rows["lo"][0] != rows["hi"][0]
             for lo in range(0, len(n), block):
-                mine = slice(lo, lo + block)
-                may = (root[mine, None] != root[None, lo:]) & _may_link(
-                    t, boundary, n[mine, None], pos[mine, None], n[None, lo:], pos[None, lo:])
-                i, j = np.nonzero(np.triu(may, 1))
-                if len(i):
-                    pairs = sorted({tuple(sorted((bucket["node"][lo + a], bucket["node"][lo + b])))
-                                    for a, b in zip(i.tolist(), j.tolist())})
-                    yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()),
-                                                      pa.array([p[1] for p in pairs], pa.binary())], names=["x", "y"])
+                mine = slice(lo, min(lo + block, len(n)))
+                end = int(np.searchsorted(n, t.largest(int(n[mine.stop - 1])), "right"))
+                for at in range(lo, end, 4 * block):
+                    theirs = slice(at, min(at + 4 * block, end))
+                    may = (root[mine, None] != root[None, theirs]) & (
+                        np.arange(mine.start, mine.stop)[:, None] < np.arange(theirs.start, theirs.stop)) & _may_link(
+                        t, boundary, n[mine, None], pos[mine, None], n[None, theirs], pos[None, theirs])
+                    if apart:
+                        may &= part[mine, None] != part[None, theirs]
+                    i, j = np.nonzero(may)
+                    i, j = i + mine.start, j + theirs.start
+                    keep = _near(t, n[i], n[j], sketch, i, j)
+                    i, j = order[i[keep]], order[j[keep]]
+                    if len(i):
+                        pairs = sorted({(min(a, b), max(a, b)) for a, b in zip(
+                            map(rows["node"].__getitem__, i.tolist()), map(rows["node"].__getitem__, j.tolist()))})
+                        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()),
+                                                          pa.array([p[1] for p in pairs], pa.binary())], names=["x", "y"])
     return work
 
 
+def _near(t: Threshold, n1: np.ndarray, n2: np.ndarray, sketch: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the sketches i and j differ in no more bits than linked sets of these
+    sizes differ in shingles."""
+    need = -(-t.percent * (n1 + n2) // (100 + t.percent))
+    apart = np.zeros(len(i), np.int64)
+    for word in sketch.T:
+        apart += np.bitwise_count(word[i] ^ word[j])
+    return apart <= n1 + n2 - 2 * need
+
+
+def _sketch(shingles: np.ndarray) -> bytes:
+    """The parity of a set's shingles in each bin. A shingle that one of two sets has
+    alone changes one bit, so sketches differ in at most as many bits as sets in shingles."""
+    bins = np.bincount((shingles >> np.uint64(7) & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY)
+    return np.packbits((bins & 1).astype(np.uint8)).tobytes()
+
+
 def _histogram(shingles: np.ndarray) -> np.ndarray:
     """Counts of a set's shingles by their low bits. The L1 distance of two
     histograms is at most the size of the sets' symmetric difference."""
@@ -349,19 +387,20 @@ def _histogram(shingles: np.ndarray) -> np.ndarray:
 
 
 def _wanted(words: int, table, bins: bool):
-    """(node, content) of the classes that the filter may hold: their histogram,
-    or their text, compressed (sets of hashes are larger and don't compress)."""
+    """(node, content, sketch) of the classes that the filter may hold: their histogram
+    and sketch, or their text, compressed (sets of hashes are larger and don't compress)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = table.value, set()
         for batch in batches:
-            nodes, out = [], []
+            nodes, out, sketches = [], [], []
             for row, s in _each_set(batch, words):
                 if len(s) and (node := signature(s)) not in seen and in_filter(node, wanted):
                     seen.add(node)
                     nodes.append(node)
                     out.append(_histogram(s).tobytes() if bins else zlib.compress(batch.column(1)[row].as_py().encode(), 1))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(out, pa.binary())],
-                                             names=["node", "content"])
+                    sketches.append(_sketch(s) if bins else None)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in (nodes, out, sketches)],
+                                             names=["node", "content", "sketch"])
     return work
 
 
@@ -388,16 +427,17 @@ def _verified(percent: int, words: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, y = None, None
         for batch in batches:
-            keep = []
-            for a, name, b in zip(*(batch.column(c).to_pylist() for c in (2, 1, 3))):
-                if name != last:
-                    last, y = name, _set_of(b, words)
-                x = _set_of(a, words)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
+            for lo in range(0, batch.num_rows, 256):  # texts are unpacked a few rows at a time
+                part, keep = batch.slice(lo, 256), []
+                for a, name, b in zip(*(part.column(c).to_pylist() for c in (2, 1, 3))):
+                    if name != last:
+                        last, y = name, _set_of(b, words)
+                    x = _set_of(a, words)
+                    both = np.concatenate([x, y])
+                    both.sort(kind="stable")
+                    common = int((both[1:] == both[:-1]).sum())
+                    keep.append(100 * common >= percent * (len(x) + len(y) - common))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
     return work
 
 
@@ -420,13 +460,17 @@ def components(edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
         low = both.groupBy("u").agg(F.min("v").alias("low")).selectExpr("u AS w", "least(u, low) AS low")
         large = both.join(low, F.col("u") == F.col("w")).where("v > u").selectExpr("v AS u", "low AS v").where("u != v").distinct()
         large = stored(large, "large")
+        discard(links)
         # Small star: a node and its smaller neighbours go to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("low")).withColumnRenamed("u", "w")
         small = (large.join(low, F.col("u") == F.col("w")).where("v != low").selectExpr("v AS u", "low AS v")
                  .unionByName(low.selectExpr("w AS u", "low AS v")).distinct())
         links = stored(small, "small")
-    return links.selectExpr("u AS node", "v AS root").unionByName(
-        links.select("v").distinct().selectExpr("v AS node", "v AS root"))
+        discard(large)
+    roots = stored(links.selectExpr("u AS node", "v AS root").unionByName(
+        links.select("v").distinct().selectExpr("v AS node", "v AS root")), "roots")
+    discard(links)
+    return roots
 
 
 def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, words: int = 3) -> DataFrame:
@@ -435,10 +479,11 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
     rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     survey = stored(rows.mapInArrow(_surveyed(words), f"id {kind}, n long, node binary, chunk int, counts binary"), "survey")
-    found = survey.where("chunk IS NULL").select("id", "n", "node")
+    found = stored(survey.where("chunk IS NULL").select("id", "n", "node"), "found")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = (survey.where("chunk IS NOT NULL").select("chunk", "counts").repartition(parts, "chunk")
               .mapInArrow(_summed, "chunk int, counts binary").collect())
+    discard(survey)
     counts = np.zeros(CELLS, np.uint32)
     for chunk, part in chunks:
         counts[chunk * CHUNK:(chunk + 1) * CHUNK] = np.frombuffer(part, np.uint32)
@@ -459,7 +504,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
         """Histograms or texts of classes, by a filter of bounded size. A class of
         many copies may be there once per input task."""
         wanted = spark.sparkContext.broadcast(key_filter(nodes, found.count()))
-        return rows.mapInArrow(_wanted(words, wanted, bins), "node binary, content binary")
+        return rows.mapInArrow(_wanted(words, wanted, bins), "node binary, content binary, sketch binary")
 
     histograms = stored(contents(shared.select("node").distinct(), True).dropDuplicates(["node"]), "bins")
 
@@ -469,31 +514,47 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
             pairs.join(histograms.selectExpr("node AS node_x", "content AS in_x"), F.col("x") == F.col("node_x"))
             .join(histograms.selectExpr("node AS node_y", "content AS in_y"), F.col("y") == F.col("node_y"))
             .select("x", "y", "in_x", "in_y").mapInArrow(_plausible(t), "x binary, y binary"), f"{name}_likely")
+        discard(pairs)
         xs, ys = (likely.select(F.col(c).alias("node")).distinct() for c in ("x", "y"))
         hubs = contents(ys, False).dropDuplicates(["node"]).selectExpr("node AS node_y", "content AS in_y")
         joined = (likely.join(contents(xs, False).selectExpr("node AS node_x", "content AS in_x"), F.col("x") == F.col("node_x"))
                   .join(hubs, F.col("y") == F.col("node_y")).select("x", "y", "in_x", "in_y"))
-        return stored(joined.mapInArrow(_verified(percent, words), "x binary, y binary").distinct(), name)
+        links = stored(joined.mapInArrow(_verified(percent, words), "x binary, y binary").distinct(), name)
+        discard(likely)
+        return links
 
     near_hub = verify(stored(shared.where("may").selectExpr("node AS x", "hub AS y").distinct(), "hub_pairs"), "hub_links")
-    first = stored(components(near_hub), "roots")
-    rooted = (shared.select("key", "node", *_INFO).join(first.withColumnRenamed("node", "r_node"),
-                                                          F.col("node") == F.col("r_node"), "left")
-              .selectExpr("key", "node", *_INFO, "coalesce(root, node) AS root"))
-    # Buckets inside one component are done; only the others come together again.
-    open_keys = (rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                 .where("lo != hi").selectExpr("key AS open_key"))
-    again = (rooted.join(stored(open_keys, "open"), F.col("key") == F.col("open_key"), "left_semi")
-             .repartition(parts, "key").sortWithinPartitions("key", *_INFO, "node"))
+    first = components(near_hub)
+    discard(near_hub)
+    rooted = stored(shared.select("key", "node", "n", "pos")
+                    .join(first.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
+                    .selectExpr("key", "node", "n", "pos", "coalesce(root, node) AS root"), "rooted")
+    discard(shared)
+    # Buckets inside one component are done; only the others come together again, in
+    # groups of one bucket or of two of a large bucket's blocks.
+    open_keys = stored(rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"),
+                                                 F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+                       .where("least != most").selectExpr("key AS open_key", "blocks"), "open")
+    again = (rooted.join(open_keys, F.col("key") == F.col("open_key"))
+             .withColumn("block", F.expr("CAST(pmod(xxhash64(node, pos), blocks) AS INT)"))
+             .withColumn("other", F.expr("explode(sequence(0, blocks - 1))"))
+             .selectExpr("key", "node", "n", "pos", "root", "block", "least(block, other) AS lo", "greatest(block, other) AS hi")
+             .join(histograms.selectExpr("node AS s_node", "sketch"), F.col("node") == F.col("s_node")).drop("s_node")
+             .repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi"))
     pairs = stored(again.mapInArrow(_unconnected(t, boundary), "x binary, y binary").distinct(), "rest_pairs")
-    roots = stored(components(first.selectExpr("node AS x", "root AS y").unionByName(verify(pairs, "rest_links"))), "final_roots")
-    return (found.join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
-            .selectExpr("id", "n", "node", "coalesce(root, node) AS root"))
+    discard(rooted, open_keys)
+    rest = verify(pairs, "rest_links")
+    roots = components(first.selectExpr("node AS x", "root AS y").unionByName(rest))
+    discard(histograms, first, rest)
+    out = stored(found.join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
+                 .selectExpr("id", "n", "node", "coalesce(root, node) AS root"), "classes")
+    discard(found, roots)
+    return out
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, words: int = 3) -> DataFrame:
     """id, n_shingles and component_id (the smallest id of its component) of every row."""
-    rows = stored(classes(docs, id_col, text_col, percent, words), "classes")
+    rows = classes(docs, id_col, text_col, percent, words)
     groups = stored(rows.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id"))
                     .withColumnRenamed("root", "g_root"), "groups")
     linked = rows.where("n > 0").join(groups, F.col("root") == F.col("g_root"))
@@ -507,7 +568,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     the smallest id stays. Documents without words all stay."""
     row, kept_row = fresh_name(docs, "row"), fresh_name(docs, "kept")
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    found = stored(classes(rows, row, text_col, percent, words), "classes")
+    found = classes(rows, row, text_col, percent, words)
     named = found.where("n > 0").join(rows.select(F.col(row).alias("row"), quoted(id_col).alias("name")), F.col("id") == F.col("row"))
     others = (named.groupBy("root").agg(F.min(F.struct(F.col("name").isNull().alias("none"), "name", "row")).alias("first"))
               .selectExpr(f"first.row AS {kept_row}"))
