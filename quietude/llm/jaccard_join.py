@@ -57,6 +57,7 @@ MAX_BOUNDARY = 40
 BINS = 128
 PARITY = 512
 BLOCK = 1 << 14
+SHORT = 64
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -277,24 +278,32 @@ def _may_link(t: Threshold, boundary: int, n1, pos1, n2, pos2) -> np.ndarray:
     return (100 * a >= t.percent * b) & (subset | listed)
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str], columns: list[str]) -> Iterator[dict[str, list]]:
-    """Rows with equal keys one after another, from batches sorted by them."""
-    held: dict[str, list] = {}
+def _whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows in which each run of equal keys is whole, and the starts of the runs
+    and the end, from batches sorted by the keys."""
+    held: list[pa.RecordBatch] = []
     last = None
+
+    def joined() -> tuple[pa.Table, np.ndarray]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        names = np.stack([rows.column(c).to_numpy() for c in keys], axis=1)
+        return rows, np.concatenate([[0], np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1, [len(names)]])
+
     for batch in batches:
-        names = np.stack([np.asarray(batch.column(batch.schema.get_field_index(c)), np.int64) for c in keys], axis=1)
-        cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(names)]
-        rows = {c: batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns}
-        for lo, hi in zip(cuts, cuts[1:]):
-            if hi > lo:
-                if tuple(names[lo]) != last:
-                    if held:
-                        yield held
-                    held, last = {c: [] for c in columns}, tuple(names[lo])
-                for c in columns:
-                    held[c] += rows[c][lo:hi]
+        if not batch.num_rows:
+            continue
+        names = np.stack([np.asarray(batch.column(batch.schema.get_field_index(c))) for c in keys], axis=1)
+        cuts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+        cut = int(cuts[-1]) if len(cuts) else 0
+        if cut:
+            held.append(batch.slice(0, cut))
+        if held and (cut or last != tuple(names[0])):
+            yield joined()
+            held = []
+        held.append(batch.slice(cut))
+        last = tuple(names[-1])
     if held:
-        yield held
+        yield joined()
 
 
 def _shared(t: Threshold, boundary: int):
@@ -329,37 +338,48 @@ def _shared(t: Threshold, boundary: int):
 
 def _unconnected(t: Threshold, boundary: int, block: int = 512):
     """Pairs (x, y) of a group of bucket rows that may link and are in different
-    components. Of rows of two blocks, only those of different blocks are paired."""
+    components. Of rows of two blocks, only those of different blocks are paired.
+    Groups of at most ``SHORT`` rows are worked together, others by themselves."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _runs(batches, ["key", "lo", "hi"], ["node", "n", "pos", "root", "block", "lo", "hi", "sketch"]):
-            roots = {r: i for i, r in enumerate(dict.fromkeys(rows["root"]))}
-            if len(roots) < 2:
-                continue
-            root, n, pos, part = (_longs(c) for c in ([roots[r] for r in rows["root"]], rows["n"], rows["pos"], rows["block"]))
-            sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint64).reshape(len(n), -1)
-            # Rows in the order of size: the partners of a row are near it.
-            order = np.argsort(n, kind="stable")
-            root, n, pos, part, sketch = (c[order] for c in (root, n, pos, part, sketch))
-            apart = rows["lo"][0] != rows["hi"][0]
-            for lo in range(0, len(n), block):
-                mine = slice(lo, min(lo + block, len(n)))
-                end = int(np.searchsorted(n, t.largest(int(n[mine.stop - 1])), "right"))
-                for at in range(lo, end, 4 * block):
-                    theirs = slice(at, min(at + 4 * block, end))
-                    may = (root[mine, None] != root[None, theirs]) & (
-                        np.arange(mine.start, mine.stop)[:, None] < np.arange(theirs.start, theirs.stop)) & _may_link(
-                        t, boundary, n[mine, None], pos[mine, None], n[None, theirs], pos[None, theirs])
-                    if apart:
-                        may &= part[mine, None] != part[None, theirs]
-                    i, j = np.nonzero(may)
-                    i, j = i + mine.start, j + theirs.start
-                    keep = _near(t, n[i], n[j], sketch, i, j)
-                    i, j = order[i[keep]], order[j[keep]]
-                    if len(i):
-                        pairs = sorted({(min(a, b), max(a, b)) for a, b in zip(
-                            map(rows["node"].__getitem__, i.tolist()), map(rows["node"].__getitem__, j.tolist()))})
-                        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()),
-                                                          pa.array([p[1] for p in pairs], pa.binary())], names=["x", "y"])
+        for rows, cuts in _whole_runs(batches, ["key", "lo", "hi"]):
+            root = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+            n, pos, part, low, high = (rows.column(c).to_numpy().astype(np.int64) for c in ("n", "pos", "block", "lo", "hi"))
+            node = rows.column("node")
+            sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)
+
+            def near(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                keep = (root[i] != root[j]) & ((low[i] == high[i]) | (part[i] != part[j])) & _may_link(t, boundary, n[i], pos[i], n[j], pos[j])
+                i, j = i[keep], j[keep]
+                keep = _near(t, n[i], n[j], sketch, i, j)
+                return i[keep], j[keep]
+
+            def named(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+                pairs = sorted({(min(a, b), max(a, b)) for a, b in zip(node.take(i).to_pylist(), node.take(j).to_pylist())})
+                return pa.RecordBatch.from_arrays([pa.array([p[c] for p in pairs], pa.binary()) for c in (0, 1)], names=["x", "y"])
+
+            lengths = np.diff(cuts)
+            mixed_roots = np.logical_or.reduceat(root != np.repeat(root[cuts[:-1]], lengths), cuts[:-1])
+            # Short groups: each row with the row d places after it.
+            left = np.repeat(np.where(mixed_roots & (lengths <= SHORT), cuts[1:], 0), lengths)
+            first, d, found = np.arange(len(n)), 1, []
+            while len(first := first[first + d < left[first]]):
+                found.append(near(first, first + d))
+                d += 1
+            if found:
+                yield named(*(np.concatenate(c) for c in zip(*found)))
+            # Others in the order of size: the partners of a row are near it.
+            for g in np.flatnonzero(mixed_roots & (lengths > SHORT)).tolist():
+                order = cuts[g] + np.argsort(n[cuts[g]:cuts[g + 1]], kind="stable")
+                size = n[order]
+                for lo in range(0, len(order), block):
+                    hi = min(lo + block, len(order))
+                    end = int(np.searchsorted(size, t.largest(int(size[hi - 1])), "right"))
+                    for at in range(lo, end, 4 * block):
+                        i, j = np.meshgrid(np.arange(lo, hi), np.arange(at, min(at + 4 * block, end)), indexing="ij")
+                        after = i < j
+                        i, j = near(order[i[after]], order[j[after]])
+                        if len(i):
+                            yield named(i, j)
     return work
 
 

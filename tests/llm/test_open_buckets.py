@@ -57,3 +57,22 @@ def test_discarded_table_is_deleted(spark):
     assert files.exists(path)
     common.discard(df)
     assert not files.exists(path)
+
+
+def test_runs_stay_whole_over_batches_and_all_their_pairs_are_seen():
+    rng = np.random.default_rng(8)
+    t, size = jaccard_join.Threshold(80), 40
+    rows, want, lengths = [], set(), [1, 2, 3, 70, 5, 1, 130, 64, 65, 2]
+    for key, length in enumerate(lengths):
+        base = np.unique(rng.integers(1, 1 << 63, size, dtype=np.uint64))
+        for i in range(length):
+            s = base if i % 2 else np.unique(rng.integers(1, 1 << 63, size, dtype=np.uint64))
+            rows.append({"key": key, "node": b"%02d-%04d" % (key, i), "n": len(s), "pos": 0, "root": b"%02d-%04d" % (key, i // 3),
+                         "block": 0, "lo": 0, "hi": 0, "sketch": jaccard_join._sketch(s)})
+        want |= {(b"%02d-%04d" % (key, i), b"%02d-%04d" % (key, j)) for i in range(1, length, 2)
+                 for j in range(i + 2, length, 2) if i // 3 != j // 3}
+    batch = pa.RecordBatch.from_pylist(rows)
+    for step in (1, 7, 100, len(rows)):
+        parts = [batch.slice(lo, step) for lo in range(0, len(rows), step)]
+        got = {(x, y) for b in jaccard_join._unconnected(t, 0, 16)(iter(parts)) for x, y in zip(*(c.to_pylist() for c in b.columns))}
+        assert got == want
