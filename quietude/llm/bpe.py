@@ -5,8 +5,9 @@ Each word's adjacent symbol pairs are the leaves of a segment tree that holds
 (rank, position); its root is the leftmost merge of the lowest rank. A merge
 changes three leaves and their paths to the root, and the word is done when the
 root holds no mergeable pair. The trees of many words are worked together, one
-row of a matrix each, words of like length in one matrix; words seen before
-come from a bounded cache.
+row of a matrix each, words of like length in one matrix; a few long words are
+worked one by one, in a tree of plain numbers. Words seen before come from a
+bounded cache.
 
 Decoding joins the bytes of each id and reads them as UTF-8, with a replacement
 character for what is not.
@@ -38,6 +39,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 CACHE_WORDS = 1_000_000
 BATCH_CHARS = 1 << 20
 MATRIX_CELLS = 1 << 20
+FEW_WORDS = 32
 _NONE = np.int64(1) << 62
 
 
@@ -78,6 +80,7 @@ class Vocabulary:
         self.words = regex.compile(PATTERN)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
+        self.rank_by_key: dict[int, int] | None = None
         self.forget()
 
     def forget(self) -> None:
@@ -141,6 +144,47 @@ class Vocabulary:
         stays = symbols[:, :width] >= 0
         return symbols[:, :width][stays].astype(np.int32), stays.sum(axis=1)
 
+    def merge_word(self, word: bytes, width: int) -> list[int]:
+        """The ids of one word of at most ``width`` bytes, a power of two."""
+        if self.rank_by_key is None:
+            self.rank_by_key = dict(zip(self.keys.tolist(), self.rank_of.tolist()))
+        ranks, size, none = self.rank_by_key, self.size, int(_NONE)
+        symbols = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
+        count = len(symbols)
+        following, before = list(range(1, count + 1)), list(range(-1, count - 1))
+        tree = [none] * (2 * width)
+
+        def leaf(at: int) -> int:
+            after = following[at]
+            rank = ranks.get(symbols[at] * size + symbols[after]) if after < count else None
+            return none if rank is None else rank * width + at
+
+        def update(at: int, value: int) -> None:
+            node = at + width
+            tree[node] = value
+            while node > 1:
+                node >>= 1
+                low = min(tree[2 * node], tree[2 * node + 1])
+                if tree[node] == low:
+                    return
+                tree[node] = low
+
+        tree[width:width + count] = map(leaf, range(count))
+        for node in range(width - 1, 0, -1):
+            tree[node] = min(tree[2 * node], tree[2 * node + 1])
+        while tree[1] < none:
+            rank, at = divmod(tree[1], width)
+            gone = following[at]
+            symbols[at], symbols[gone] = int(self.merged[rank]), -1
+            following[at] = following[gone]
+            if following[at] < count:
+                before[following[at]] = at
+            update(gone, none)
+            update(at, leaf(at))
+            if before[at] >= 0:
+                update(before[at], leaf(before[at]))
+        return [i for i in symbols if i >= 0]
+
     def learn(self, words: Iterable[str]) -> None:
         """Put the ids of new words into the cache."""
         by_width: dict[int, list[tuple[str, bytes]]] = {}
@@ -153,7 +197,11 @@ class Vocabulary:
             for lo in range(0, len(group), size):
                 part = group[lo:lo + size]
                 self.cache.update(zip((w for w, _ in part), range(len(self.cache), len(self.cache) + len(part))))
-                more, counts = self.merge_words([raw for _, raw in part], width)
+                if len(part) <= FEW_WORDS and width > FEW_WORDS:
+                    found = [self.merge_word(raw, width) for _, raw in part]
+                    more, counts = np.array(list(chain.from_iterable(found)), np.int32), np.array(list(map(len, found)))
+                else:
+                    more, counts = self.merge_words([raw for _, raw in part], width)
                 ids.append(more)
                 lengths.append(counts)
         self.cache_ids, self.cache_len = np.concatenate(ids), np.concatenate(lengths)
