@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quietude.llm.arrow_text import text_runs
+from quietude.llm.arrow_text import RUN_BYTES, text_runs
 from quietude.llm.common import quoted
 from quietude.llm.linear import fit_hinge
 
@@ -58,6 +58,17 @@ def trigram_codes(data: np.ndarray) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint32(15))) & np.uint32(DIMS - 1)).astype(np.int32)
 
 
+def code_runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Trigram codes and text offsets of a run; a text longer than a run comes in pieces
+    of ``RUN_BYTES``, which overlap by two bytes so that no trigram is lost."""
+    if len(offsets) > 2 or len(data) <= RUN_BYTES:
+        yield trigram_codes(data), offsets
+    else:
+        for lo in range(0, len(data) - 2, RUN_BYTES):
+            piece = data[lo:lo + RUN_BYTES + 2]
+            yield trigram_codes(piece), np.array([0, len(piece)])
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
@@ -92,14 +103,15 @@ class Model:
         out = np.ones(len(offsets) - 1, bool)
         if len(data) < 3 or not len(self.chance):
             return out
-        codes = trigram_codes(data)
         length = np.maximum(np.diff(offsets) - 2, 0)
-        lo = np.minimum(offsets[:-1], len(codes))
-        hi = np.minimum(lo + length, len(codes))
-        sums = np.full(len(length), -np.inf)
-        for own in self.chance:
-            total = np.concatenate([[0.0], np.cumsum(own[codes], dtype=np.float64)])
-            sums = np.maximum(sums, total[hi] - total[lo])
+        sums = np.zeros((len(self.chance), len(length)))
+        for codes, edges in code_runs(data, offsets):
+            lo = np.minimum(edges[:-1], len(codes))
+            hi = np.minimum(lo + np.maximum(np.diff(edges) - 2, 0), len(codes))
+            for own, own_sums in zip(self.chance, sums):
+                total = np.concatenate([[0.0], np.cumsum(own[codes], dtype=np.float64)])
+                own_sums += total[hi] - total[lo]
+        sums = sums.max(axis=0)
         n = np.maximum(length, 1)
         floor = (self.usual - np.log(DIMS)) / 2 - SLACK * self.spread / np.sqrt(n)
         return (length == 0) | (sums / n >= floor)
@@ -109,13 +121,19 @@ class Model:
         out = np.tile(self.bias, (len(offsets) - 1, 1))
         if len(data) < 3 or not len(self.weights):
             return out
-        codes = trigram_codes(data)
-        for n, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-            if hi - lo >= 3:
-                own = codes[lo:hi - 2]
-                out[n] += self.weights[:, own].sum(axis=1, dtype=np.float64) * (SCALE / len(own))
+        size = np.maximum(np.diff(offsets) - 2, 1)
+        for codes, edges in code_runs(data, offsets):
+            for n, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+                if hi - lo >= 3:
+                    out[n] += self._weighed(codes[lo:hi - 2]) * (SCALE / size[n])
         return out
 
+    def _weighed(self, codes: np.ndarray) -> np.ndarray:
+        """Sum of each duel's weights over the codes; many codes are counted first."""
+        if len(codes) <= DIMS:
+            return self.weights[:, codes].sum(axis=1, dtype=np.float64)
+        return self.weights @ np.bincount(codes, minlength=DIMS).astype(np.float64)
+
     def decide(self, margins: np.ndarray) -> tuple[str, float]:
         if not self.families:
             return "und", 0.0
