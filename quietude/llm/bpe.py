@@ -7,7 +7,7 @@ changes three leaves and their paths to the root, and the word is done when the
 root holds no mergeable pair. The trees of many words are worked together, one
 row of a matrix each, words of like length in one matrix; a few long words are
 worked one by one, in a tree of plain numbers. Words seen before come from a
-bounded cache.
+cache of bounded bytes, emptied when it is full.
 
 Decoding joins the bytes of each id and reads them as UTF-8, with a replacement
 character for what is not.
@@ -36,7 +36,8 @@ from quietude.llm.common import quoted
 
 #: How byte-level vocabularies cut a text into words (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_WORDS = 1_000_000
+CACHE_BYTES = 1 << 26
+ENTRY_BYTES = 200  # of the cache, for each word besides its letters
 BATCH_CHARS = 1 << 20
 MATRIX_CELLS = 1 << 20
 FEW_WORDS = 32
@@ -90,6 +91,7 @@ class Vocabulary:
         self.cache_ids = np.array(list(self.special.values()), np.int32)
         self.cache_len = np.ones(len(self.special), np.int64)
         self.cache_at = np.arange(len(self.special), dtype=np.int64)
+        self.cache_bytes = 0
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The merge rank of each pair of symbols, ``_NONE`` where they don't merge."""
@@ -204,6 +206,7 @@ class Vocabulary:
                     more, counts = self.merge_words([raw for _, raw in part], width)
                 ids.append(more)
                 lengths.append(counts)
+            self.cache_bytes += sum(len(raw) + ENTRY_BYTES for _, raw in group)
         self.cache_ids, self.cache_len = np.concatenate(ids), np.concatenate(lengths)
         self.cache_at = np.cumsum(self.cache_len) - self.cache_len
 
@@ -224,7 +227,7 @@ class Vocabulary:
         found = list(map(self.cache.get, words))
         if None in found:
             missing = {w for w, n in zip(words, found) if n is None}
-            if len(self.cache) + len(missing) > CACHE_WORDS:
+            if self.cache_bytes + sum(map(len, missing)) + ENTRY_BYTES * len(missing) > CACHE_BYTES:
                 self.forget()
                 missing = set(words) - set(self.special)
             self.learn(missing)

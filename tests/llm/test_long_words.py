@@ -30,3 +30,14 @@ def test_long_words_as_the_library(both, text):
     assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
     assert counts.tolist() == [len(ids)]
     assert vocab.decode(ids, counts) == [text]
+
+
+def test_a_full_cache_is_emptied_and_gives_the_same_ids(both, monkeypatch):
+    vocab, library = both
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(400)) for _ in range(20)]
+    monkeypatch.setattr("quietude.llm.bpe.CACHE_BYTES", 100_000)
+    vocab.forget()
+    for text in [*texts, "z" * 200_000, texts[0]]:  # one word longer than the cache
+        assert vocab.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert vocab.cache_bytes <= 100_000
