@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quietude.functions.expr import E, q, round_half_up_sql, s
+from quietude.operators.frequent import top_values
 
 # --- fixed values that must equal the reference's -------------------------
 # Whitespace characters that separate words (default Java tokenizer set).
@@ -78,13 +79,23 @@ def word_frequency(texts: DataFrame, col: str = "text", top: int | None = 20) ->
     if it is entirely ``[a-z]`` (so accented words are not cut into ASCII
     fragments). The cheap length test runs before the pattern test.
     """
-    runs = texts.selectExpr(f"explode(split(lower({q(col)}), {s(NON_WORD)})) AS word")
-    out = (runs.filter(f"length(word) >= 4 AND word RLIKE {s(KEPT_WORD)}")
-           .groupBy("word").agg(E("count(1) AS count"))
+    out = (_kept_words(texts, col).groupBy("word").agg(E("count(1) AS count"))
            .orderBy(F.desc("count"), "word"))
     return out.limit(top) if top else out
 
 
+def word_frequency_bounded(texts: DataFrame, col: str = "text", top: int = 20) -> DataFrame:
+    """The rows of ``word_frequency`` with a bounded first shuffle: only words that
+    may be among the first ``top`` are counted one by one. It reads the texts
+    twice or more, so it is for corpora whose distinct words are the cost."""
+    return top_values(_kept_words(texts, col), "word", top)
+
+
+def _kept_words(texts: DataFrame, col: str) -> DataFrame:
+    runs = texts.selectExpr(f"explode(split(lower({q(col)}), {s(NON_WORD)})) AS word")
+    return runs.filter(f"length(word) >= 4 AND word RLIKE {s(KEPT_WORD)}")
+
+
 def keyword_categories(texts: DataFrame, col: str = "text",
                        keywords: dict[str, list[str]] | None = None) -> DataFrame:
     """Texts matching any keyword of each category (substring, multi-label),

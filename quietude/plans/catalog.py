@@ -286,6 +286,10 @@ def q_word_frequency(spark, sf):
     return text.word_frequency(_docs(spark, sf))
 
 
+def q_word_frequency_bounded(spark, sf):
+    return text.word_frequency_bounded(_docs(spark, sf))
+
+
 def q_keyword_categories(spark, sf):
     return text.keyword_categories(_docs(spark, sf))
 

@@ -368,6 +368,7 @@ SELECT parts[2] AS name, value AS record FROM p WHERE len(parts) >= 3 ORDER BY n
     q["word_frequency"] = """SELECT word, count(*) AS count
 FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS word FROM documents)
 WHERE regexp_full_match(word, '[a-z]{4,}') GROUP BY word ORDER BY count DESC, word LIMIT 20"""
+    q["word_frequency_bounded"] = q["word_frequency"]
     q["keyword_categories"] = f"""SELECT category, match_count, {R('100e0 * match_count / total')} AS match_pct
 FROM ({_keyword_rows()})"""
 
