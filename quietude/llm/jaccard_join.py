@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quietude.llm.arrow_text import text_runs
-from quietude.llm.common import discard, fresh_name, in_filter, key_filter, quoted, stored
+from quietude.llm.common import discard, fresh_name, key_filter, longs_in_filter, quoted, stored
 
 CELLS = 1 << 20
 CHUNK = 1 << 12
@@ -58,6 +58,8 @@ BINS = 128
 PARITY = 512
 BLOCK = 1 << 14
 SHORT = 64
+RUN_BYTES = 1 << 17  # of text whose words are hashed together: the arrays of 8 bytes a letter stay small
+POSTS = 1 << 16  # about as many bucket rows leave a task together
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -66,6 +68,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_POWERS = np.cumprod(np.full(RUN_BYTES, _BASE, np.uint64))
+_INVERSES = np.cumprod(np.full(RUN_BYTES, _BASE_INVERSE, np.uint64))
 _ALL = (1 << 64) - 1
 _ORDER = _RNG.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -77,6 +81,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _powers(known: np.ndarray, n: int) -> np.ndarray:
+    """The first n powers of ``known[0]``, of which some are known."""
+    return known[:n] if n <= len(known) else np.cumprod(np.full(n, known[0], np.uint64))
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values (sorting takes less than the hash table of ``np.unique``)."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])]
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text of a run."""
     empty = np.empty(0, np.uint64)
@@ -93,10 +108,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.n
     stop[inner] = True
     stops = np.append(np.flatnonzero(stop), len(data))
     ends = stops[np.searchsorted(stops, starts, "right")]
-    powers = np.cumprod(np.full(len(data), _BASE, np.uint64))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * powers)])
-    inverse = np.cumprod(np.full(len(data), _BASE_INVERSE, np.uint64))
-    hashes = mixed((total[ends] - total[starts]) * inverse[starts])
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(_POWERS, len(data)))])
+    hashes = mixed((total[ends] - total[starts]) * _powers(_INVERSES, len(data))[starts])
     cuts = np.searchsorted(starts, offsets).tolist()
     out = []
     grams = empty
@@ -107,7 +120,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.n
         grams = mixed(grams)
     for lo, hi in zip(cuts, cuts[1:]):
         if hi - lo >= words:
-            out.append(np.unique(grams[lo:hi - words + 1]))
+            out.append(distinct(grams[lo:hi - words + 1]))
         elif hi > lo:
             short = (hashes[lo:hi] * _ORDER[:hi - lo]).sum(dtype=np.uint64) + np.uint64(hi - lo)
             out.append(mixed(np.array([short ^ _ORDER[-1]], np.uint64)))
@@ -171,16 +184,22 @@ def _cells(shingles: np.ndarray) -> np.ndarray:
 
 def _each_set(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, shingles) of a batch whose column 1 is the text."""
-    for lo, _, data, offsets in text_runs(batch.column(1)):
+    for lo, _, data, offsets in text_runs(batch.column(1), RUN_BYTES):
         for n, s in enumerate(shingle_sets(data, offsets, words)):
             yield lo + n, s
 
 
 def _surveyed(words: int):
-    """Rows (id, n, node) of documents, and the task's shingle counts in chunks."""
+    """Rows (id, n, node, text_key) of documents, and the task's shingle counts in chunks."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(CELLS, np.uint32), set()
-        names = ["id", "n", "node", "chunk", "counts"]
+        cells, held = [], 0
+
+        def count() -> None:
+            counts[:] += np.bincount(np.concatenate(cells), minlength=CELLS).astype(np.uint32)
+            cells.clear()
+
+        names = ["id", "n", "node", "text_key", "chunk", "counts"]
         kind = None
         for batch in batches:
             kind = batch.column(0).type
@@ -190,13 +209,19 @@ def _surveyed(words: int):
                 nodes.append(signature(s))
                 if nodes[-1] not in seen:
                     seen.add(nodes[-1])
-                    np.add.at(counts, _cells(s), 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()),
+                    cells.append(_cells(s))
+                    held += len(s)
+                    if held >= CELLS >> 1:
+                        count()
+                        held = 0
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), batch.column(2),
                                               pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=names)
+        if cells:
+            count()
         if kind is not None:
             parts = [zlib.compress(counts[lo:lo + CHUNK].tobytes(), 1) for lo in range(0, CELLS, CHUNK)]
             k = len(parts)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, kind), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()),
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, kind), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()),
                                               pa.array(range(k), pa.int32()), pa.array(parts, pa.binary())], names=names)
     return work
 
@@ -229,14 +254,25 @@ def _posted(words: int, threshold: Threshold, boundary: int, table, noise: float
     its size and the key's place (see ``_INFO``)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = table.value, set()
+        key, at, info, nodes = [], [], [], []  # info: (rare, n, pos) of each row
+
+        def put(keys: np.ndarray, n: int, places: np.ndarray, few: int) -> int:
+            key.append(keys)
+            at.append(np.full(len(keys), len(nodes) - 1))
+            info.append(np.stack([np.full(len(keys), few, np.int64), np.full(len(keys), n, np.int64), places.astype(np.int64)]))
+            return len(keys)
+
+        def rows() -> pa.RecordBatch:
+            owner = pa.array(np.concatenate(at), pa.int64())
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(key).view(np.int64)), pa.array(nodes, pa.binary()).take(owner),
+                 *map(pa.array, np.concatenate(info, axis=1))], names=["key", "node", *_INFO])
+            for held in (key, at, info, nodes):
+                held.clear()
+            return out
+
+        posts = 0
         for batch in batches:
-            key, at, info, nodes = [], [], [], []  # info: (rare, n, pos) of each row
-
-            def put(keys: np.ndarray, n: int, places: np.ndarray, few: int) -> None:
-                key.append(keys)
-                at.append(np.full(len(keys), len(nodes) - 1))
-                info.append(np.stack([np.full(len(keys), few, np.int64), np.full(len(keys), n, np.int64), places.astype(np.int64)]))
-
             for _, s in _each_set(batch, words):
                 n = len(s)
                 if not n or (node := signature(s)) in seen:
@@ -253,18 +289,18 @@ def _posted(words: int, threshold: Threshold, boundary: int, table, noise: float
                     for a, b, c in threshold.subset_sizes(n, boundary):
                         gone = np.array(list(combinations(range(n), n - c)), np.int64).reshape(math.comb(n, c), n - c)
                         keys = whole - spread[gone].sum(axis=1, dtype=np.uint64)
-                        put(mixed(keys + np.uint64(((a << 32) + b) * int(_ORDER[0]) & _ALL)), n, np.full(len(keys), -1), few)
+                        posts += put(mixed(keys + np.uint64(((a << 32) + b) * int(_ORDER[0]) & _ALL)), n, np.full(len(keys), -1), few)
                     length = threshold.index(n) if threshold.largest(n) > boundary else 0
                 else:
                     length = threshold.probe(n)
                 if length:
                     first = np.lexsort((s, freq))[:length]
-                    put(s[first], n, np.arange(length), few)
-            if key:
-                owner = pa.array(np.concatenate(at), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(key).view(np.int64)), pa.array(nodes, pa.binary()).take(owner),
-                     *map(pa.array, np.concatenate(info, axis=1))], names=["key", "node", *_INFO])
+                    posts += put(s[first], n, np.arange(length), few)
+                if posts >= POSTS:
+                    yield rows()
+                    posts = 0
+        if key:
+            yield rows()
     return work
 
 
@@ -309,30 +345,35 @@ def _whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[
 def _shared(t: Threshold, boundary: int):
     """Of bucket rows (key, rare, n, pos, node) sorted in this order, those of buckets with two
     classes or more, with the hub and whether the pair with it may link (never a
-    hub with itself). Holds one row of a bucket."""
+    hub with itself). Of a bucket that goes on in the next batch, holds two rows."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub = last = None
-        told = True
+        held: list[pa.RecordBatch] = []  # the open bucket's hub and the last row
+        told = False  # whether that hub has been given
         for batch in batches:
-            out = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", *_INFO))):
-                if hub is None or row[0] != hub[0]:
-                    hub = last = row
-                    told = False
-                elif row != last:
-                    last = row
-                    if row[1] != hub[1]:
-                        if not told:
-                            out.append((*hub, *hub[1:]))
-                            told = True
-                        out.append((*row, *hub[1:]))
-            if out:
-                key, node, rare, n, pos, hub_node, _, hub_n, hub_pos = zip(*out)
-                may = _may_link(t, boundary, *map(_longs, (n, pos, hub_n, hub_pos)))
-                may &= np.array([a != b for a, b in zip(node, hub_node)])
+            if not batch.num_rows:
+                continue
+            rows, lead = pa.concat_batches([*held, batch]), len(held)
+            key, rare, n, pos = (rows.column(c).to_numpy() for c in ("key", *_INFO))
+            node = np.frombuffer(b"".join(rows.column("node").to_pylist()), np.int64).reshape(rows.num_rows, -1)
+            whole = np.column_stack([key, rare, n, pos, node])
+            first = np.append(True, key[1:] != key[:-1])
+            again = np.append(False, (whole[1:] == whole[:-1]).all(axis=1))
+            hub = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+            own = (node == node[hub]).all(axis=1)
+            out = np.flatnonzero(~again & ~own)
+            out = out[out >= lead]
+            hubs = np.unique(hub[out])
+            hubs = hubs[1:] if lead and told and len(hubs) and hubs[0] == 0 else hubs
+            told = bool(hub[-1] in hubs or (told and lead and hub[-1] == 0))
+            held = [rows.take(pa.array([k])) for k in (hub[-1], len(key) - 1)]
+            out = np.sort(np.concatenate([hubs, out]))
+            if len(out):
+                at = hub[out]
+                may = _may_link(t, boundary, n[out], pos[out], n[at], pos[at]) & ~own[out]
+                given = rows.take(pa.array(out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key, pa.int64()), pa.array(node, pa.binary()), *(pa.array(c, pa.int64()) for c in (rare, n, pos)),
-                     pa.array(hub_node, pa.binary()), pa.array(may)], names=["key", "node", *_INFO, "hub", "may"])
+                    [*(given.column(c) for c in ("key", "node", *_INFO)), rows.column("node").take(pa.array(at)), pa.array(may)],
+                    names=["key", "node", *_INFO, "hub", "may"])
     return work
 
 
@@ -407,20 +448,23 @@ def _histogram(shingles: np.ndarray) -> np.ndarray:
 
 
 def _wanted(words: int, table, bins: bool):
-    """(node, content, sketch) of the classes that the filter may hold: their histogram
-    and sketch, or their text, compressed (sets of hashes are larger and don't compress)."""
+    """(node, content, sketch) of the texts whose key the filter may hold: their histogram
+    and sketch, or their text, compressed (sets of hashes are larger and don't compress).
+    Shingles are made of these texts alone."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = table.value, set()
         for batch in batches:
+            batch = batch.filter(pa.array(longs_in_filter(batch.column(0).to_numpy(), wanted), pa.bool_()))
             nodes, out, sketches = [], [], []
             for row, s in _each_set(batch, words):
-                if len(s) and (node := signature(s)) not in seen and in_filter(node, wanted):
+                if len(s) and (node := signature(s)) not in seen:
                     seen.add(node)
                     nodes.append(node)
                     out.append(_histogram(s).tobytes() if bins else zlib.compress(batch.column(1)[row].as_py().encode(), 1))
                     sketches.append(_sketch(s) if bins else None)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in (nodes, out, sketches)],
-                                             names=["node", "content", "sketch"])
+            if nodes:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in (nodes, out, sketches)],
+                                                 names=["node", "content", "sketch"])
     return work
 
 
@@ -496,10 +540,11 @@ def components(edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
 def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, words: int = 3) -> DataFrame:
     """id, n (set size), node (class) and root (component of classes) of every row."""
     spark, t = docs.sparkSession, Threshold(percent)
-    rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"))
+    rows = (docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"))
+            .withColumn("text_key", F.xxhash64("text")))
     kind = rows.schema["id"].dataType.simpleString()
-    survey = stored(rows.mapInArrow(_surveyed(words), f"id {kind}, n long, node binary, chunk int, counts binary"), "survey")
-    found = stored(survey.where("chunk IS NULL").select("id", "n", "node"), "found")
+    survey = stored(rows.mapInArrow(_surveyed(words), f"id {kind}, n long, node binary, text_key long, chunk int, counts binary"), "survey")
+    found = stored(survey.where("chunk IS NULL").select("id", "n", "node", "text_key"), "found")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = (survey.where("chunk IS NOT NULL").select("chunk", "counts").repartition(parts, "chunk")
               .mapInArrow(_summed, "chunk int, counts binary").collect())
@@ -515,16 +560,21 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
     boundary = choose_boundary(sizes, mean_list, t)
 
     table = spark.sparkContext.broadcast(counts)
-    posts = rows.mapInArrow(_posted(words, t, boundary, table, noise), f"key long, node binary, {_INFO_SCHEMA}")
+    posts = rows.select("id", "text").mapInArrow(_posted(words, t, boundary, table, noise), f"key long, node binary, {_INFO_SCHEMA}")
     shared = stored(posts.repartition(parts, "key").sortWithinPartitions("key", *_INFO, "node")
                     .mapInArrow(_shared(t, boundary), f"key long, node binary, {_INFO_SCHEMA}, hub binary, may boolean"),
                     "buckets")
 
+    texts = stored(found.where("n > 0").groupBy("node").agg(F.min("text_key").alias("text_key")), "texts")
+    many = texts.count()
+
     def contents(nodes: DataFrame, bins: bool) -> DataFrame:
-        """Histograms or texts of classes, by a filter of bounded size. A class of
-        many copies may be there once per input task."""
-        wanted = spark.sparkContext.broadcast(key_filter(nodes, found.count()))
-        return rows.mapInArrow(_wanted(words, wanted, bins), "node binary, content binary, sketch binary")
+        """Histograms or texts of classes, from one text of each, by a filter of
+        bounded size; classes not asked for may come too. A class of many copies
+        may be there once per input task."""
+        chosen = texts.join(nodes.withColumnRenamed("node", "asked"), F.col("node") == F.col("asked"), "left_semi")
+        wanted = spark.sparkContext.broadcast(key_filter(chosen.select("text_key"), many))
+        return rows.select("text_key", "text").mapInArrow(_wanted(words, wanted, bins), "node binary, content binary, sketch binary")
 
     histograms = stored(contents(shared.select("node").distinct(), True).dropDuplicates(["node"]), "bins")
 
@@ -565,7 +615,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
     discard(rooted, open_keys)
     rest = verify(pairs, "rest_links")
     roots = components(first.selectExpr("node AS x", "root AS y").unionByName(rest))
-    discard(histograms, first, rest)
+    discard(histograms, texts, first, rest)
     out = stored(found.join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
                  .selectExpr("id", "n", "node", "coalesce(root, node) AS root"), "classes")
     discard(found, roots)
