@@ -51,6 +51,23 @@ def repeated_cells(keys: DataFrame, key: str, bits: int) -> DataFrame:
             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(cell))").alias("bitmap")))
 
 
+def all_cells(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """Bitmaps (bucket, bitmap) of the filter cells that any row hits."""
+    cells = keys.select(F.explode(F.array(*[_cell(key, i, bits) for i in range(HASHES)])).alias("cell"))
+    return (cells.groupBy(F.expr("bitmap_bucket_number(cell)").alias("bucket"))
+            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(cell))").alias("bitmap")))
+
+
+def split_by_keys(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of ``df`` whose key may be among ``keys`` (a stored table with a column
+    of the same name), those whose key is certainly not, and the filter's stored bitmaps."""
+    bits = filter_bits(keys.count())
+    bitmaps = stored(all_cells(keys, key, bits), "bloom")
+    maybe = fresh_name(df, "maybe")
+    tested = with_filter_test(df, key, bitmaps, bits, maybe)
+    return tested.where(F.col(maybe)).drop(maybe), tested.where(~F.col(maybe)).drop(maybe), bitmaps
+
+
 def with_filter_test(df: DataFrame, key: str, bitmaps: DataFrame, bits: int, out: str) -> DataFrame:
     """Add ``out``: whether all cells of the row's key are in the filter."""
     columns, test = df.columns, F.lit(True)

@@ -50,6 +50,7 @@ from pyspark.sql import functions as F
 
 from quietude.llm.arrow_text import text_runs
 from quietude.llm.common import discard, fresh_name, key_filter, longs_in_filter, quoted, stored
+from quietude.llm.exact_dedup import split_by_keys
 
 CELLS = 1 << 20
 CHUNK = 1 << 12
@@ -60,6 +61,7 @@ BLOCK = 1 << 14
 SHORT = 64
 RUN_BYTES = 1 << 17  # of text whose words are hashed together: the arrays of 8 bytes a letter stay small
 POSTS = 1 << 16  # about as many bucket rows leave a task together
+BATCH_BYTES = 1 << 22  # of texts go to a worker together
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -543,7 +545,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
     rows = (docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"))
             .withColumn("text_key", F.xxhash64("text")))
     kind = rows.schema["id"].dataType.simpleString()
-    survey = stored(rows.mapInArrow(_surveyed(words), f"id {kind}, n long, node binary, text_key long, chunk int, counts binary"), "survey")
+    survey = stored(rows.mapInArrow(_surveyed(words), f"id {kind}, n long, node binary, text_key long, chunk int, counts binary"), "survey", BATCH_BYTES)
     found = stored(survey.where("chunk IS NULL").select("id", "n", "node", "text_key"), "found")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = (survey.where("chunk IS NOT NULL").select("chunk", "counts").repartition(parts, "chunk")
@@ -563,7 +565,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
     posts = rows.select("id", "text").mapInArrow(_posted(words, t, boundary, table, noise), f"key long, node binary, {_INFO_SCHEMA}")
     shared = stored(posts.repartition(parts, "key").sortWithinPartitions("key", *_INFO, "node")
                     .mapInArrow(_shared(t, boundary), f"key long, node binary, {_INFO_SCHEMA}, hub binary, may boolean"),
-                    "buckets")
+                    "buckets", BATCH_BYTES)
 
     texts = stored(found.where("n > 0").groupBy("node").agg(F.min("text_key").alias("text_key")), "texts")
     many = texts.count()
@@ -576,30 +578,32 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
         wanted = spark.sparkContext.broadcast(key_filter(chosen.select("text_key"), many))
         return rows.select("text_key", "text").mapInArrow(_wanted(words, wanted, bins), "node binary, content binary, sketch binary")
 
-    histograms = stored(contents(shared.select("node").distinct(), True).dropDuplicates(["node"]), "bins")
+    histograms = stored(contents(shared.select("node").distinct(), True).dropDuplicates(["node"]), "bins", BATCH_BYTES)
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (x, y) that link: first by histograms, then by whole sets."""
         likely = stored(
             pairs.join(histograms.selectExpr("node AS node_x", "content AS in_x"), F.col("x") == F.col("node_x"))
             .join(histograms.selectExpr("node AS node_y", "content AS in_y"), F.col("y") == F.col("node_y"))
-            .select("x", "y", "in_x", "in_y").mapInArrow(_plausible(t), "x binary, y binary"), f"{name}_likely")
+            .select("x", "y", "in_x", "in_y").mapInArrow(_plausible(t), "x binary, y binary"), f"{name}_likely", BATCH_BYTES)
         discard(pairs)
         xs, ys = (likely.select(F.col(c).alias("node")).distinct() for c in ("x", "y"))
         hubs = contents(ys, False).dropDuplicates(["node"]).selectExpr("node AS node_y", "content AS in_y")
         joined = (likely.join(contents(xs, False).selectExpr("node AS node_x", "content AS in_x"), F.col("x") == F.col("node_x"))
                   .join(hubs, F.col("y") == F.col("node_y")).select("x", "y", "in_x", "in_y"))
-        links = stored(joined.mapInArrow(_verified(percent, words), "x binary, y binary").distinct(), name)
+        links = stored(joined.mapInArrow(_verified(percent, words), "x binary, y binary").distinct(), name, BATCH_BYTES)
         discard(likely)
         return links
 
     near_hub = verify(stored(shared.where("may").selectExpr("node AS x", "hub AS y").distinct(), "hub_pairs"), "hub_links")
     first = components(near_hub)
     discard(near_hub)
-    rooted = stored(shared.select("key", "node", "n", "pos")
-                    .join(first.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
-                    .selectExpr("key", "node", "n", "pos", "coalesce(root, node) AS root"), "rooted")
-    discard(shared)
+    # Few classes have a link by now: the rows of others need no join.
+    linked, alone, bitmaps = split_by_keys(shared.select("key", "node", "n", "pos"), "node", first)
+    rooted = stored(linked.join(first.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
+                    .selectExpr("key", "node", "n", "pos", "coalesce(root, node) AS root")
+                    .unionByName(alone.selectExpr("key", "node", "n", "pos", "node AS root")), "rooted")
+    discard(shared, bitmaps)
     # Buckets inside one component are done; only the others come together again, in
     # groups of one bucket or of two of a large bucket's blocks.
     open_keys = stored(rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"),
@@ -636,11 +640,14 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, words: int = 3) -> DataFrame:
     """The rows of ``docs`` without the others of each component: the one with
     the smallest id stays. Documents without words all stay."""
-    row, kept_row = fresh_name(docs, "row"), fresh_name(docs, "kept")
+    row = fresh_name(docs, "row")
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     found = classes(rows, row, text_col, percent, words)
     named = found.where("n > 0").join(rows.select(F.col(row).alias("row"), quoted(id_col).alias("name")), F.col("id") == F.col("row"))
-    others = (named.groupBy("root").agg(F.min(F.struct(F.col("name").isNull().alias("none"), "name", "row")).alias("first"))
-              .selectExpr(f"first.row AS {kept_row}"))
-    kept = stored(others.unionByName(found.where("n = 0").selectExpr(f"id AS {kept_row}")), "kept")
-    return rows.join(kept, F.col(row) == F.col(kept_row), "left_semi").drop(row)
+    firsts = (named.groupBy("root").agg(F.min(F.struct(F.col("name").isNull().alias("none"), "name", "row")).alias("first"))
+              .selectExpr("first.row AS kept"))
+    gone = stored(found.where("n > 0").join(firsts, F.col("id") == F.col("kept"), "left_anti").select(F.col("id").alias(row)), "gone")
+    # Whole documents are shuffled only if they may be among those that go.
+    doubtful, sure, _ = split_by_keys(rows, row, gone)
+    gone = gone.withColumnRenamed(row, "gone")
+    return doubtful.join(gone, F.col(row) == F.col("gone"), "left_anti").unionByName(sure).drop(row)
