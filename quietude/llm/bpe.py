@@ -291,10 +291,17 @@ def _apply(docs: DataFrame, path: str, id_col: str, source_col: str, source_type
     return rows.mapInArrow(run, ", ".join([*fields, added])).toDF(id_col, *keep, *added_names)
 
 
+def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of slices of a column; few rows at a time become strings."""
+    for at in range(0, len(column), 256):
+        texts = column.slice(at, 256).fill_null("").to_pylist()
+        for lo, hi in _slices(texts):
+            yield at + lo, texts[lo:hi]
+
+
 def _encoded(vocab: Vocabulary, column: pa.Array):
-    texts = column.fill_null("").to_pylist()
-    for lo, hi in _slices(texts):
-        yield lo, [_lists(*vocab.encode(texts[lo:hi]))]
+    for lo, texts in _texts(column):
+        yield lo, [_lists(*vocab.encode(texts))]
 
 
 def _decoded(vocab: Vocabulary, column: pa.Array):
@@ -305,9 +312,8 @@ def _decoded(vocab: Vocabulary, column: pa.Array):
 
 
 def _round_trip(vocab: Vocabulary, column: pa.Array):
-    texts = column.fill_null("").to_pylist()
-    for lo, hi in _slices(texts):
-        ids, counts = vocab.encode(texts[lo:hi])
+    for lo, texts in _texts(column):
+        ids, counts = vocab.encode(texts)
         yield lo, [_lists(ids, counts), pa.array(vocab.decode(ids, counts), pa.string())]
 
 

@@ -242,12 +242,16 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float], share: float = 1.
                     block_words: int | None = None, slots_per_shard: int = 4096) -> DataFrame:
     """The mix as documents: for each document and pass that takes words of
     it, one row with the document's columns and the words taken."""
-    placed, plan, n = _streams(docs, id_col, source_col, text_col, weights, share, cap, seed, block_words, slots_per_shard)
+    row, words = fresh_name(docs, "row"), fresh_name(docs, "words")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(words, word_count(quoted(text_col))), "mix_rows")
+    # The streams are made of sizes alone; whole documents meet their spans in one shuffle.
+    thin = rows.select(*map(quoted, dict.fromkeys((id_col, source_col, row, words))))
+    placed, plan, n = _streams(thin, id_col, source_col, "", weights, share, cap, seed, block_words, slots_per_shard, words)
     if not plan.shards:
         return docs.limit(0)
-    keys = placed.select(n["src"], n["start"], n["size"])
-    hit = _taken(keys, plan, n["src"], n["start"], n["size"]).where("block IS NOT NULL")
-    spans = (hit.groupBy(F.col(n["src"]).alias("t_src"), F.col(n["start"]).alias("t_start"), "pass")
+    keys = placed.select(n["src"], n["start"], n["size"], row)
+    hit = _taken(keys, plan, n["src"], n["start"], n["size"], row).where("block IS NOT NULL")
+    spans = (hit.groupBy(F.col(row).alias("t_row"), "pass")
              .agg(F.sort_array(F.collect_list(F.struct((F.col("lo") - F.col(n["start"])).alias("lo"),
                                                        (F.col("hi") - F.col(n["start"])).alias("hi")))).alias("t_spans")))
     text = fresh_name(docs, "cut")
@@ -266,7 +270,5 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float], share: float = 1.
             out.append(cut_words(t, joined))
         return pd.Series(out, dtype=object)
 
-    rows = placed.where(F.col(n["size"]) > 0).join(
-        spans, (F.col(n["src"]) == F.col("t_src")) & (F.col(n["start"]) == F.col("t_start")))
-    return (rows.withColumn(text, cut(quoted(text_col), F.col("t_spans")))
+    return (rows.join(spans, F.col(row) == F.col("t_row")).withColumn(text, cut(quoted(text_col), F.col("t_spans")))
             .select(*[(F.col(text) if c == text_col else quoted(c)).alias(c) for c in docs.columns]))
