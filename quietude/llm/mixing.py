@@ -25,7 +25,6 @@ rows; extra columns are ignored (``mix_sizes``) or kept (``mixed_documents``).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -37,6 +36,7 @@ from pyspark.sql import functions as F
 from quietude.llm.common import fresh_name, quoted, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
+BLANKS = r"[\x20\x09-\x0D]*"
 MAX_SOURCES = 100_000
 CHUNK_DOCS = 4096
 
@@ -228,13 +228,20 @@ def mix_sizes(docs: DataFrame, weights: Sequence[float], share: float = 1.5, cap
     return taken.select(*cols).unionByName(none).toDF(id_col, "size", "source_size", "target", "taken")
 
 
-def cut_words(text: str, spans: Sequence[tuple[int, int]]) -> str:
-    """The words of the given [lo, hi) ranges, each range with the text between
-    its words; a single range over all words gives the whole text."""
-    words = [m.span() for m in re.finditer(WORD, text)]
-    if len(spans) == 1 and spans[0] == (0, len(words)):
-        return text
-    return " ".join(text[words[lo][0]:words[hi - 1][1]] for lo, hi in spans)
+def cut_words(text: Column, tokens: Column, spans: Column) -> Column:
+    """The words of the given [lo, hi) ranges (sorted, disjoint), adjacent ranges with
+    the text between them, others a blank apart; ranges of all words give the whole
+    text. ``tokens``: the text's words, each with what follows it up to the next."""
+    blanks = F.lit("".join(map(chr, (0x20, *range(0x09, 0x0E)))))
+
+    def piece(span: Column, n: Column) -> Column:
+        raw = F.array_join(F.slice(tokens, span["lo"].cast("int") + 1, (span["hi"] - span["lo"]).cast("int")), "")
+        after = F.get(spans, n + 1)["lo"]
+        return (F.when(after == span["hi"], raw)
+                .otherwise(F.concat(F.rtrim(raw, blanks), F.when(after.isNull(), "").otherwise(" "))))
+
+    taken = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["hi"] - s["lo"])
+    return F.when(taken == F.size(tokens), text).otherwise(F.array_join(F.transform(spans, piece), ""))
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float], share: float = 1.5, cap: float = 2.0,
@@ -254,21 +261,10 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float], share: float = 1.
     spans = (hit.groupBy(F.col(row).alias("t_row"), "pass")
              .agg(F.sort_array(F.collect_list(F.struct((F.col("lo") - F.col(n["start"])).alias("lo"),
                                                        (F.col("hi") - F.col(n["start"])).alias("hi")))).alias("t_spans")))
-    text = fresh_name(docs, "cut")
-
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, ranges: pd.Series) -> pd.Series:
-        out = []
-        for t, found in zip(texts, ranges):
-            joined: list[tuple[int, int]] = []
-            for r in found:
-                lo, hi = int(r["lo"]), int(r["hi"])
-                if joined and joined[-1][1] == lo:
-                    joined[-1] = (joined[-1][0], hi)
-                else:
-                    joined.append((lo, hi))
-            out.append(cut_words(t, joined))
-        return pd.Series(out, dtype=object)
-
-    return (rows.join(spans, F.col(row) == F.col("t_row")).withColumn(text, cut(quoted(text_col), F.col("t_spans")))
-            .select(*[(F.col(text) if c == text_col else quoted(c)).alias(c) for c in docs.columns]))
+    # The texts are cut by Spark itself: whole documents beside the shuffle's and the
+    # writer's buffers would be held twice more in batches for Python workers.
+    tokens = fresh_name(docs, "tokens")
+    joined = (rows.join(spans, F.col(row) == F.col("t_row"))
+              .withColumn(tokens, F.regexp_extract_all(quoted(text_col), F.lit(f"{WORD}{BLANKS}"), F.lit(0))))
+    text = cut_words(quoted(text_col), F.col(tokens), F.col("t_spans"))
+    return joined.select(*[(text if c == text_col else quoted(c)).alias(c) for c in docs.columns])

@@ -118,6 +118,31 @@ def test_mixing_shuffles_whole_texts_once(spark, capsys):
     assert mixed.columns == docs.columns and mixed.count() > 0
 
 
+def test_mixing_cuts_texts_without_python(spark, capsys):
+    texts = ["  one\ttwo \n three\x0b", "a", " \u00a0\u2003x \U0001f600\r\nz\x1fq  é ", "w " * 9, "k\x00l m,\x0cn"]
+    ranges = {0: [[(0, 3)], [(0, 1), (1, 3)], [(1, 2)], [(0, 1), (2, 3)], [(1, 3)]], 1: [[(0, 1)]],
+              2: [[(0, 2)], [(1, 3)], [(0, 1), (1, 2), (3, 4)], [(0, 4)]], 3: [[(0, 2), (3, 5), (5, 6), (8, 9)]],
+              4: [[(0, 2)], [(1, 3)], [(0, 1), (2, 3)]]}
+    cases = [(n, texts[i], found) for n, (i, found) in enumerate((i, f) for i, each in ranges.items() for f in each)]
+
+    def want(text, found):
+        words = [m.span() for m in re.finditer(mixing.WORD, text)]
+        joined = []
+        for lo, hi in found:
+            if joined and joined[-1][1] == lo:
+                lo = joined.pop()[0]
+            joined.append((lo, hi))
+        return text if joined == [(0, len(words))] else " ".join(text[words[lo][0]:words[hi - 1][1]] for lo, hi in joined)
+
+    rows = spark.createDataFrame(cases, "n long, text string, spans array<struct<lo:long,hi:long>>")
+    tokens = F.regexp_extract_all("text", F.lit(mixing.WORD + mixing.BLANKS), F.lit(0))
+    got = rows.withColumn("tokens", tokens).select("n", mixing.cut_words(F.col("text"), F.col("tokens"), F.col("spans")).alias("t"))
+    assert {r.n: r.t for r in got.collect()} == {n: want(text, found) for n, text, found in cases}
+    mixed = mixing.mixed_documents(_docs(spark, texts * 4), weights=(3, 1), block_words=2)
+    mixed.explain()
+    assert "EvalPython" not in capsys.readouterr().out
+
+
 def test_stored_bounds_batches_and_puts_the_setting_back(spark):
     before = spark.conf.get(common.ARROW_BYTES)
 
