@@ -323,9 +323,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(quoted(text_col).cast("string"), F.lit("")).cast("binary")
     raw = docs.select(text.alias("text"))
-    base = stored(docs.select(quoted(id_col).alias("id"), F.octet_length(text).cast("long").alias("n_bytes"),
-                              F.unhex(F.md5(text)).alias("key"), F.sha2(text, 256).alias("sha")), "texts")
-    rows = base.count()
+    # Only what costs much and is read twice is stored; digests and their copies are cheap to make again.
+    base = docs.select(quoted(id_col).alias("id"), F.octet_length(text).cast("long").alias("n_bytes"),
+                       F.unhex(F.md5(text)).alias("key"), F.sha2(text, 256).alias("sha"))
+    rows = docs.count()
     hits = stored(raw.mapInArrow(_anchored(length), "anchor long, key binary, pos int, lo int, hi int")
                   .repartition(parts, "anchor").sortWithinPartitions("anchor", "key", "pos")
                   .mapInArrow(_repeated, "anchor long, key binary, pos int, lo int, hi int"), "anchors")
@@ -341,14 +342,14 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     order = ["anchor", "right", "left", "lo", "hi", "key", "pos"]
     spans = stored(contexts.repartition(parts, "anchor").sortWithinPartitions(*order)
                    .mapInArrow(_spans(length), "key binary, start int, end int"), "spans")
-    copies = stored(base.where(f"n_bytes >= {length}").groupBy("key").count().where("count > 1")
-                    .selectExpr("key AS c_key"), "copies")
+    copies = (base.where(f"n_bytes >= {length}").groupBy("key").count().where("count > 1")
+              .selectExpr("key AS c_key"))
     found = (spans.join(copies, F.col("key") == F.col("c_key"), "left_anti")
              .groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("found")))
-    cut = stored(texts(spans.select("key").distinct()).join(found.withColumnRenamed("key", "f_key"), F.col("key") == F.col("f_key"))
-                 .select("key", "body", "found")
-                 .mapInArrow(_cut, "key binary, spans array<struct<start:int,end:int>>, sha string")
-                 .dropDuplicates(["key"]).selectExpr("key AS s_key", "spans", "sha AS s_sha"), "cut")
+    cut = (texts(spans.select("key").distinct()).join(found.withColumnRenamed("key", "f_key"), F.col("key") == F.col("f_key"))
+           .select("key", "body", "found")
+           .mapInArrow(_cut, "key binary, spans array<struct<start:int,end:int>>, sha string")
+           .dropDuplicates(["key"]).selectExpr("key AS s_key", "spans", "sha AS s_sha"))
     whole = "array(named_struct('start', 0, 'end', CAST(n_bytes AS INT)))"
     nothing = hashlib.sha256(b"").hexdigest()
     return (base.join(cut, F.col("key") == F.col("s_key"), "left").join(copies, F.col("key") == F.col("c_key"), "left")

@@ -1,12 +1,13 @@
 """Passes over whole texts: which of them are worked on, shuffled and held together."""
 
+import hashlib
 import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from quietude.llm import bpe, common, exact_dedup, jaccard_join, mixing
+from quietude.llm import bpe, common, exact_dedup, jaccard_join, mixing, repeats
 
 
 class Shared:
@@ -143,6 +144,18 @@ def test_mixing_cuts_texts_without_python(spark, capsys):
     assert "EvalPython" not in capsys.readouterr().out
 
 
+def test_repeats_stores_only_anchors_and_spans(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(repeats, "stored", lambda df, name, *more: names.append(name) or common.stored(df, name, *more))
+    shared = "".join(f"s{i}," for i in range(80))
+    rows = ["x" + shared + "y", shared, None, "x" + shared + "y", "short", "short"]
+    got = {r.doc_id: r for r in repeats.repeats(_docs(spark, rows)).collect()}
+    assert names == ["anchors", "spans"]
+    digest = {n: hashlib.sha256(b).hexdigest() for n, b in ((0, b""), (1, b""), (2, b""), (3, b""), (4, b"short"), (5, b"short"))}
+    assert {n: r.kept_sha256 for n, r in got.items()} == digest
+    assert [len(got[n].spans) for n in range(6)] == [1, 1, 0, 1, 0, 0]
+
+
 def test_stored_bounds_batches_and_puts_the_setting_back(spark):
     before = spark.conf.get(common.ARROW_BYTES)
 
