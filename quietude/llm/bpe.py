@@ -7,7 +7,7 @@ changes three leaves and their paths to the root, and the word is done when the
 root holds no mergeable pair. The trees of many words are worked together, one
 row of a matrix each, words of like length in one matrix; a few long words are
 worked one by one, in a tree of plain numbers. Words seen before come from a
-cache of bounded bytes, emptied when it is full.
+cache of bounded bytes, emptied when it is full and when the task ends.
 
 Decoding joins the bytes of each id and reads them as UTF-8, with a replacement
 character for what is not.
@@ -273,6 +273,19 @@ def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids))
 
 
+def _worked(vocab: Vocabulary, batches: Iterator[pa.RecordBatch], work, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """A task's batches. The worker process outlives the task, its word cache does not:
+    what runs in the process next has the memory."""
+    try:
+        for batch in batches:
+            for lo, columns in work(vocab, batch.column(1)):
+                here = [c.slice(lo, len(columns[0])) for n, c in enumerate(batch.columns) if n != 1]
+                yield pa.RecordBatch.from_arrays([*here, *columns], names=names)
+    finally:
+        vocab.forget()
+        pa.default_memory_pool().release_unused()
+
+
 def _apply(docs: DataFrame, path: str, id_col: str, source_col: str, source_type: str, work, added: str,
            keep: Sequence[str] = ()) -> DataFrame:
     rows = docs.select(quoted(id_col).alias("id"), quoted(source_col).cast(source_type).alias("source"),
@@ -280,11 +293,7 @@ def _apply(docs: DataFrame, path: str, id_col: str, source_col: str, source_type
     added_names = [f.split()[0] for f in added.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
-        for batch in batches:
-            for lo, columns in work(vocab, batch.column(1)):
-                here = [c.slice(lo, len(columns[0])) for n, c in enumerate(batch.columns) if n != 1]
-                yield pa.RecordBatch.from_arrays([*here, *columns], names=[*kept_names, *added_names])
+        yield from _worked(vocabulary(path), batches, work, [*kept_names, *added_names])
 
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "source"]
     kept_names = [c for c in rows.columns if c != "source"]

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -156,6 +157,18 @@ def test_repeats_stores_only_anchors_and_spans(spark, monkeypatch):
     assert [len(got[n].spans) for n in range(6)] == [1, 1, 0, 1, 0, 0]
 
 
+def test_word_cache_goes_with_its_task():
+    vocab = bpe.Vocabulary(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    empty = dict(vocab.cache)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words here", None])], names=["id", "source"])
+    out = bpe._worked(vocab, iter([batch, batch]), bpe._encoded, ["id", "ids"])
+    first = next(out)
+    assert len(vocab.cache) > len(empty)
+    rest = list(out)
+    assert vocab.cache == empty and vocab.cache_bytes == 0 and len(vocab.cache_ids) == len(empty)
+    assert [b.to_pydict() for b in rest] == [first.to_pydict()] and first.column(1).to_pylist()[1] == []
+
+
 def test_stored_bounds_batches_and_puts_the_setting_back(spark):
     before = spark.conf.get(common.ARROW_BYTES)
 
