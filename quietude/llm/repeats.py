@@ -329,7 +329,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     rows = docs.count()
     hits = stored(raw.mapInArrow(_anchored(length), "anchor long, key binary, pos int, lo int, hi int")
                   .repartition(parts, "anchor").sortWithinPartitions("anchor", "key", "pos")
-                  .mapInArrow(_repeated, "anchor long, key binary, pos int, lo int, hi int"), "anchors")
+                  .mapInArrow(_repeated, "anchor long, key binary, pos int, lo int, hi int"), "anchors", None, True)
 
     def texts(keys: DataFrame) -> DataFrame:
         table = spark.sparkContext.broadcast(key_filter(keys, rows))
@@ -341,7 +341,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                 .mapInArrow(_contexts(length), "anchor long, right binary, left binary, key binary, pos int, lo int, hi int"))
     order = ["anchor", "right", "left", "lo", "hi", "key", "pos"]
     spans = stored(contexts.repartition(parts, "anchor").sortWithinPartitions(*order)
-                   .mapInArrow(_spans(length), "key binary, start int, end int"), "spans")
+                   .mapInArrow(_spans(length), "key binary, start int, end int"), "spans", None, True)
     copies = (base.where(f"n_bytes >= {length}").groupBy("key").count().where("count > 1")
               .selectExpr("key AS c_key"))
     found = (spans.join(copies, F.col("key") == F.col("c_key"), "left_anti")

@@ -1,14 +1,17 @@
 """Passes over whole texts: which of them are worked on, shuffled and held together."""
 
 import hashlib
+import os
 import re
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from quietude.llm import bpe, common, exact_dedup, jaccard_join, mixing, repeats
+from quietude.session import ensure_checkpoint_dir
 
 
 class Shared:
@@ -187,3 +190,30 @@ def test_bpe_turns_few_rows_into_strings_at_a_time():
     parts = list(bpe._texts(pa.array(texts)))
     assert max(len(t) for _, t in parts) <= 256
     assert [(lo + n, t) for lo, part in parts for n, t in enumerate(part)] == [(i, t or "") for i, t in enumerate(texts)]
+
+
+def test_repeats_creates_no_files_and_sees_replaced_input(spark, tmp_out):
+    folder = ensure_checkpoint_dir(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    shared = "".join(f"s{i}," for i in range(80))
+
+    def removed(texts):
+        pq.write_table(pa.table({"doc_id": list(range(len(texts))), "text": texts}), os.path.join(tmp_out, "documents.parquet"))
+        docs = spark.read.parquet(os.path.join(tmp_out, "documents.parquet"))
+        return {r.doc_id: [tuple(s) for s in r.spans] for r in repeats.repeats(docs).collect()}
+
+    assert removed(["x" + shared + "y", shared]) == {0: [(1, 1 + len(shared))], 1: [(0, len(shared))]}
+    assert removed(["x" + shared + "y", shared[::-1]]) == {0: [], 1: []}
+    assert set(os.listdir(folder)) == before
+
+
+def test_blocks_of_a_replaced_file_are_not_taken(spark, tmp_out):
+    path = os.path.join(tmp_out, "rows.parquet")
+
+    def total():
+        return common.stored(spark.read.parquet(path).groupBy().sum("n").toDF("n"), "sum", None, True).first().n
+
+    pq.write_table(pa.table({"n": [1, 2]}), path)
+    assert total() == 3
+    pq.write_table(pa.table({"n": [5, 6]}), path)
+    assert total() == 11
