@@ -3,6 +3,7 @@ import sys
 import tempfile
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -22,6 +23,14 @@ def spark():
     yield s
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_cache_left():
+    """What a module caches is not in the plans of the next one."""
+    yield
+    if session := SparkSession.getActiveSession():
+        session.catalog.clearCache()
+
+
 @pytest.fixture()
 def tmp_out():
     return tempfile.mkdtemp(prefix="quietude-test-")
