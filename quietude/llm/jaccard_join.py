@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quietude.llm.arrow_text import text_runs
-from quietude.llm.common import discard, fresh_name, key_filter, longs_in_filter, quoted, stored
+from quietude.llm.common import discard, fresh_name, held, key_filter, longs_in_filter, quoted, stored
 from quietude.llm.exact_dedup import split_by_keys
 
 CELLS = 1 << 20
@@ -519,24 +519,20 @@ def only_stars(links: DataFrame) -> bool:
 def components(edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """(node, root) of every node with an edge; root is the component's smallest
     node. Alternating large and small stars until only stars are left."""
-    links = stored(edges.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).where("u != v").distinct(), "edges")
+    links = held(edges.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).where("u != v").distinct())
     while not only_stars(links):
         # Large star: the larger neighbours of a node go to its smallest one.
         both = links.unionByName(links.selectExpr("v AS u", "u AS v"))
         low = both.groupBy("u").agg(F.min("v").alias("low")).selectExpr("u AS w", "least(u, low) AS low")
         large = both.join(low, F.col("u") == F.col("w")).where("v > u").selectExpr("v AS u", "low AS v").where("u != v").distinct()
-        large = stored(large, "large")
-        discard(links)
+        large = held(large)
         # Small star: a node and its smaller neighbours go to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("low")).withColumnRenamed("u", "w")
         small = (large.join(low, F.col("u") == F.col("w")).where("v != low").selectExpr("v AS u", "low AS v")
                  .unionByName(low.selectExpr("w AS u", "low AS v")).distinct())
-        links = stored(small, "small")
-        discard(large)
-    roots = stored(links.selectExpr("u AS node", "v AS root").unionByName(
-        links.select("v").distinct().selectExpr("v AS node", "v AS root")), "roots")
-    discard(links)
-    return roots
+        links = held(small)
+    return held(links.selectExpr("u AS node", "v AS root").unionByName(
+        links.select("v").distinct().selectExpr("v AS node", "v AS root")))
 
 
 def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, words: int = 3) -> DataFrame:
@@ -567,7 +563,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
                     .mapInArrow(_shared(t, boundary), f"key long, node binary, {_INFO_SCHEMA}, hub binary, may boolean"),
                     "buckets", BATCH_BYTES)
 
-    texts = stored(found.where("n > 0").groupBy("node").agg(F.min("text_key").alias("text_key")), "texts")
+    texts = held(found.where("n > 0").groupBy("node").agg(F.min("text_key").alias("text_key")))
     many = texts.count()
 
     def contents(nodes: DataFrame, bins: bool) -> DataFrame:
@@ -580,24 +576,21 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
 
     histograms = stored(contents(shared.select("node").distinct(), True).dropDuplicates(["node"]), "bins", BATCH_BYTES)
 
-    def verify(pairs: DataFrame, name: str) -> DataFrame:
+    def verify(pairs: DataFrame) -> DataFrame:
         """The pairs (x, y) that link: first by histograms, then by whole sets."""
-        likely = stored(
+        likely = held(
             pairs.join(histograms.selectExpr("node AS node_x", "content AS in_x"), F.col("x") == F.col("node_x"))
             .join(histograms.selectExpr("node AS node_y", "content AS in_y"), F.col("y") == F.col("node_y"))
-            .select("x", "y", "in_x", "in_y").mapInArrow(_plausible(t), "x binary, y binary"), f"{name}_likely", BATCH_BYTES)
-        discard(pairs)
+            .select("x", "y", "in_x", "in_y").mapInArrow(_plausible(t), "x binary, y binary"), BATCH_BYTES)
         xs, ys = (likely.select(F.col(c).alias("node")).distinct() for c in ("x", "y"))
         hubs = contents(ys, False).dropDuplicates(["node"]).selectExpr("node AS node_y", "content AS in_y")
         joined = (likely.join(contents(xs, False).selectExpr("node AS node_x", "content AS in_x"), F.col("x") == F.col("node_x"))
                   .join(hubs, F.col("y") == F.col("node_y")).select("x", "y", "in_x", "in_y"))
-        links = stored(joined.mapInArrow(_verified(percent, words), "x binary, y binary").distinct(), name, BATCH_BYTES)
-        discard(likely)
-        return links
+        return held(joined.mapInArrow(_verified(percent, words), "x binary, y binary").distinct(), BATCH_BYTES)
 
-    near_hub = verify(stored(shared.where("may").selectExpr("node AS x", "hub AS y").distinct(), "hub_pairs"), "hub_links")
-    first = components(near_hub)
-    discard(near_hub)
+    hub_pairs = stored(shared.where("may").selectExpr("node AS x", "hub AS y").distinct(), "hub_pairs")
+    first = components(verify(hub_pairs))
+    discard(hub_pairs)
     # Few classes have a link by now: the rows of others need no join.
     linked, alone, bitmaps = split_by_keys(shared.select("key", "node", "n", "pos"), "node", first)
     rooted = stored(linked.join(first.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
@@ -615,14 +608,14 @@ def classes(docs: DataFrame, id_col: str, text_col: str, percent: int = 90, word
              .selectExpr("key", "node", "n", "pos", "root", "block", "least(block, other) AS lo", "greatest(block, other) AS hi")
              .join(histograms.selectExpr("node AS s_node", "sketch"), F.col("node") == F.col("s_node")).drop("s_node")
              .repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi"))
-    pairs = stored(again.mapInArrow(_unconnected(t, boundary), "x binary, y binary").distinct(), "rest_pairs")
+    pairs = held(again.mapInArrow(_unconnected(t, boundary), "x binary, y binary").distinct())
     discard(rooted, open_keys)
-    rest = verify(pairs, "rest_links")
+    rest = verify(pairs)
     roots = components(first.selectExpr("node AS x", "root AS y").unionByName(rest))
-    discard(histograms, texts, first, rest)
-    out = stored(found.join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
-                 .selectExpr("id", "n", "node", "coalesce(root, node) AS root"), "classes")
-    discard(found, roots)
+    discard(histograms)
+    out = held(found.join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
+                 .selectExpr("id", "n", "node", "coalesce(root, node) AS root"))
+    discard(found)
     return out
 
 
@@ -646,7 +639,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     named = found.where("n > 0").join(rows.select(F.col(row).alias("row"), quoted(id_col).alias("name")), F.col("id") == F.col("row"))
     firsts = (named.groupBy("root").agg(F.min(F.struct(F.col("name").isNull().alias("none"), "name", "row")).alias("first"))
               .selectExpr("first.row AS kept"))
-    gone = stored(found.where("n > 0").join(firsts, F.col("id") == F.col("kept"), "left_anti").select(F.col("id").alias(row)), "gone")
+    gone = held(found.where("n > 0").join(firsts, F.col("id") == F.col("kept"), "left_anti").select(F.col("id").alias(row)))
     # Whole documents are shuffled only if they may be among those that go.
     doubtful, sure, _ = split_by_keys(rows, row, gone)
     gone = gone.withColumnRenamed(row, "gone")
