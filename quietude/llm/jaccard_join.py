@@ -379,10 +379,11 @@ def _shared(t: Threshold, boundary: int):
     return work
 
 
-def _unconnected(t: Threshold, boundary: int, block: int = 512):
+def _unconnected(t: Threshold, boundary: int, block: int = 128):
     """Pairs (x, y) of a group of bucket rows that may link and are in different
     components. Of rows of two blocks, only those of different blocks are paired.
-    Groups of at most ``SHORT`` rows are worked together, others by themselves."""
+    Groups of at most ``SHORT`` rows are worked together, others by themselves, ``block``
+    rows with 4 * ``block`` at a time: some twenty arrays have a value of each such pair."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, cuts in _whole_runs(batches, ["key", "lo", "hi"]):
             root = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy()

@@ -1,6 +1,7 @@
 """Buckets that hubs leave open: many members, and blocks of a large bucket."""
 
 import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,23 @@ def test_open_bucket_of_many_members_emits_only_near_pairs():
     assert len(got) < 100  # of 199,990,000 pairs
 
 
+def test_pairs_of_an_open_bucket_are_tested_a_few_at_a_time():
+    rng = np.random.default_rng(8)
+    count, t = 3000, jaccard_join.Threshold(80)
+    sets = [np.unique(rng.integers(1, 1 << 63, 60, dtype=np.uint64)) for _ in range(count)]
+    sets[2999] = np.unique(np.concatenate([sets[0][:-1], sets[1][:1]]))
+    nodes = [b"%05d" % i for i in range(count)]
+    batch = pa.RecordBatch.from_pydict({
+        "key": [1] * count, "node": nodes, "n": [len(s) for s in sets], "pos": [0] * count, "root": nodes, "block": [0] * count,
+        "lo": [0] * count, "hi": [0] * count, "sketch": [jaccard_join._sketch(s) for s in sets]})
+    tracemalloc.start()
+    got = {(x, y) for b in jaccard_join._unconnected(t, 0)(iter([batch])) for x, y in zip(*(c.to_pylist() for c in b.columns))}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (nodes[0], nodes[2999]) in got
+    assert peak < 24 << 20  # all columns and the arrays of 65,536 pairs; those of a million took over 100 MB
+
+
 def test_sketches_of_linked_sets_differ_in_no_more_bits_than_sets():
     rng = np.random.default_rng(6)
     for n in (1, 5, 300, 5000):
